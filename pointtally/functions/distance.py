@@ -57,9 +57,24 @@ def euclid(a: Column, b: Column, dim: int | None = None) -> Column:
     return F.sqrt(sqdist(a, b, dim))
 
 
+def _double_sql(x: float) -> str:
+    # repr() is the shortest text that parses back to the same double.
+    return f"{float(x)!r}D"
+
+
+def vector_literal(vector: Sequence[float]) -> Column:
+    """A constant ``ARRAY<DOUBLE>``, built from SQL text in one call."""
+    return F.expr("cast(array(" + ", ".join(_double_sql(x) for x in vector) + ") as array<double>)")
+
+
 def vectors_literal(vectors: Sequence[Sequence[float]]) -> Column:
-    """A constant ``ARRAY<ARRAY<DOUBLE>>`` (folded to one literal by the optimizer)."""
-    return F.array(*[F.array(*[F.lit(float(x)) for x in vec]) for vec in vectors]).cast("array<array<double>>")
+    """A constant ``ARRAY<ARRAY<DOUBLE>>`` (folded to one literal by the optimizer).
+
+    Built from SQL text in a single expression call: creating one ``lit`` per
+    coordinate costs a JVM round trip each and dominated small rounds.
+    """
+    inner = ", ".join("array(" + ", ".join(_double_sql(x) for x in vec) + ")" for vec in vectors)
+    return F.expr(f"cast(array({inner}) as array<array<double>>)")
 
 
 def _set_column(known: Column | Sequence[Sequence[float]]) -> Column:

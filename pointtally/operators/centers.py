@@ -34,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import nearest_sqdist
+from pointtally.functions.distance import nearest_sqdist, vector_size_stats
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.operators.pairs import LITERAL_TERMS, nearest_distance
 from pointtally.runtime import broadcast_budget, materialize, point_bytes
@@ -108,16 +108,43 @@ class _MinDistState:
             self.owned = None
 
 
-def _collect_centers(df: DataFrame) -> dict[int, tuple[int, list[float]]]:
-    return {int(r["part"]): (int(r["id"]), list(r["v"])) for r in df.collect()}
+def _collect_centers(rows) -> dict[int, tuple[int, list[float]]]:
+    return {int(r["part"]): (int(r["id"]), list(r["v"])) for r in rows if r["id"] is not None}
 
 
-def _first_centers(base: DataFrame, seed: int) -> dict[int, tuple[int, list[float]]]:
-    """Per group, the point with the smallest ``md5('<seed>:<id>')`` (ties: id)."""
-    firsts = base.groupBy("part").agg(
-        F.min(F.struct(seeded_order_key(seed).alias("h"), "id", "v")).alias("c")
-    ).select("part", "c.id", "c.v")
-    return _collect_centers(firsts)
+def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, dict[int, tuple[int, list[float]]]]:
+    """One job: validate the points and pick every group's first center.
+
+    Returns ``(n, dim, {part: (id, v)})``; the first center of a group is its
+    point with the smallest ``md5('<seed>:<id>')`` (ties: id).
+    """
+    rows = (
+        base.groupBy("part")
+        .agg(*vector_size_stats("v"), F.min(F.struct(seeded_order_key(seed).alias("h"), "id", "v")).alias("c"))
+        .select("part", "n", "min_dim", "max_dim", "n_bad", "c.id", "c.v")
+        .collect()
+    )
+    n = sum(int(r["n"]) for r in rows)
+    if n == 0:
+        return 0, 0, {}
+    bad = sum(int(r["n_bad"]) for r in rows)
+    if bad:
+        raise ValueError(f"{bad} point(s) have a null or NaN coordinate")
+    lo, hi = min(r["min_dim"] for r in rows), max(r["max_dim"] for r in rows)
+    if lo != hi:
+        raise ValueError(f"points of mixed dimension: {lo} to {hi}")
+    return n, int(lo), _collect_centers(rows)
+
+
+def _farthest_remaining(frame: DataFrame, single: bool) -> dict[int, tuple[int, list[float]]]:
+    """The not-yet-taken point with the largest ``md`` of every group (ties: smallest id)."""
+    best = F.min(F.struct((-F.col("md")).alias("nmd"), "id", "v")).alias("b")
+    remaining = frame.filter(~F.col("taken"))
+    if single:
+        rows = remaining.agg(best).select(F.lit(0).alias("part"), "b.id", "b.v").collect()
+    else:
+        rows = remaining.groupBy("part").agg(best).select("part", "b.id", "b.v").collect()
+    return _collect_centers(rows)
 
 
 def farthest_first(
@@ -127,6 +154,7 @@ def farthest_first(
     seed: int = 42,
     strict: bool | None = None,
     with_state: bool = False,
+    with_shape: bool = False,
 ):
     """Farthest-first traversal: ``k`` centers per group, in order of choice.
 
@@ -137,17 +165,18 @@ def farthest_first(
     ``k`` points; otherwise such a group returns all its points.
 
     Returns ``(part, pos, id, v)``; with ``with_state`` also the final
-    ``(id, v, part, md, taken)`` frame (``md`` = distance to the nearest
-    center of its group), which the caller must ``release()``.
+    min-distance state (``frame()`` gives ``(id, v, part, md, taken)``, ``md``
+    = distance to the nearest center of the point's group), which the caller
+    must ``release()``; with ``with_shape`` also ``(number of centers, dim)``.
+
+    Jobs: one that validates and picks the first centers (and fills the
+    cache), then one per further center.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, got {k}")
     if strict is None:
         strict = part is None
     spark = points.sparkSession
-    n, dim = validate_points(points)
-    if strict and k > n:
-        raise ValueError(f"cannot choose {k} centers from {n} points")
     single = part is None
     base = points.select(
         "id",
@@ -157,33 +186,34 @@ def farthest_first(
         F.lit(False).alias("taken"),
     )
     cached = base.persist(StorageLevel.MEMORY_AND_DISK)
-    first = _first_centers(cached, seed)
-    state = _MinDistState(cached, dim, single, owned=cached)
-    chosen: list[tuple[int, int, int, list[float]]] = [(p, 0, cid, cv) for p, (cid, cv) in first.items()]
-    state.add(first)
+    state = _MinDistState(cached, 0, single, owned=cached)
     try:
-        for pos in range(1, k):
-            frame = state.frame()
-            best = (
-                frame.filter(~F.col("taken"))
-                .groupBy("part")
-                .agg(F.min(F.struct((-F.col("md")).alias("nmd"), "id", "v")).alias("b"))
-                .select("part", "b.id", "b.v")
-            )
-            got = _collect_centers(best)
+        n, dim, first = _validated_firsts(cached, seed)
+        state.dim = dim
+        if strict and k > n:
+            raise ValueError(f"cannot choose {k} centers from {n} points")
+        chosen: list[tuple[int, int, int, list[float]]] = [(p, 0, cid, cv) for p, (cid, cv) in first.items()]
+        if first:
+            state.add(first)
+        for pos in range(1, k if first else 1):
+            got = _farthest_remaining(state.frame(), single)
             if not got:
                 break
             if strict and len(got) < len(first):
                 raise ValueError(f"a group has fewer than {k} points")
             chosen.extend((p, pos, cid, cv) for p, (cid, cv) in got.items())
             state.add(got)
-        out = spark.createDataFrame(sorted(chosen, key=lambda t: (t[0], t[1])), CENTERS_SCHEMA)
-        if with_state:
-            return out, state
-        return out
-    finally:
-        if not with_state:
-            state.release()
+        chosen.sort(key=lambda t: (t[0], t[1]))
+        out = spark.createDataFrame(chosen, CENTERS_SCHEMA)
+    except BaseException:
+        state.release()
+        raise
+    if with_state:
+        return out, state
+    state.release()
+    if with_shape:
+        return out, (len(chosen), dim)
+    return out
 
 
 def nearest_center_distance(points: DataFrame, centers: DataFrame) -> DataFrame:

@@ -49,10 +49,15 @@ def sample_points(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return top.select(pos.alias("pos"), "id", "v")
 
 
-def exact_diameter(points: DataFrame, strategy: str = "auto", prune: bool | None = None) -> DataFrame:
+def exact_diameter(
+    points: DataFrame,
+    strategy: str = "auto",
+    prune: bool | None = None,
+    shape: tuple[int, int] | None = None,
+) -> DataFrame:
     """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` below two points."""
     spark = points.sparkSession
-    n, dim = validate_points(points)
+    n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "diameter", -1.0)
     if prune is None:
@@ -93,13 +98,15 @@ def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str) -> Data
     return _one_value(spark, "diameter", best)
 
 
-def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
+def two_approx_diameter(
+    points: DataFrame, k: int, seed: int = 42, shape: tuple[int, int] | None = None
+) -> DataFrame:
     """``(diameter DOUBLE)``: max distance between any point and ``k`` sampled points.
 
     Lies in ``[D/2, D]``; ``-1`` for ``k = 0``; ``k`` larger than the set fails.
     """
     spark = points.sparkSession
-    n, dim = validate_points(points)
+    n, dim = validate_points(points, shape=shape)
     if k > n:
         raise ValueError(f"cannot sample {k} points from {n}")
     if k == 0:
@@ -112,10 +119,12 @@ def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return _one_value(spark, "diameter", -1.0 if best is None else best)
 
 
-def avg_pairwise_distance(points: DataFrame, strategy: str = "auto") -> DataFrame:
+def avg_pairwise_distance(
+    points: DataFrame, strategy: str = "auto", shape: tuple[int, int] | None = None
+) -> DataFrame:
     """``(avg_distance DOUBLE)``: mean distance over unordered pairs; NaN below two points."""
     spark = points.sparkSession
-    n, dim = validate_points(points)
+    n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "avg_distance", float("nan"))
     pairs = unordered_pairs(points, n, dim, strategy)

@@ -37,7 +37,9 @@ def _positions(points: DataFrame, order: list[int]) -> DataFrame:
     return points.join(F.broadcast(pos), "id").select("pos", "id", "v")
 
 
-def greedy_matching(points: DataFrame, k: int, strategy: str = "auto") -> DataFrame:
+def greedy_matching(
+    points: DataFrame, k: int, strategy: str = "auto", shape: tuple[int, int] | None = None
+) -> DataFrame:
     """``k`` points chosen by greedy farthest-pair matching: ``(pos, id, v)``.
 
     With ``k >= n`` every point is returned (in id order).  When all remaining
@@ -46,7 +48,7 @@ def greedy_matching(points: DataFrame, k: int, strategy: str = "auto") -> DataFr
     """
     if k < 0:
         raise ValueError(f"k must be non-negative, got {k}")
-    n, dim = validate_points(points)
+    n, dim = validate_points(points, shape=shape)
     if k >= n:
         ids = [r["id"] for r in points.select("id").orderBy("id").collect()]
         return _positions(points, ids)
@@ -71,7 +73,14 @@ def greedy_matching(points: DataFrame, k: int, strategy: str = "auto") -> DataFr
     return _positions(points, used)
 
 
-def coreset(points: DataFrame, k: int, groups: int, part: Column | None = None, seed: int = 42) -> DataFrame:
+def coreset(
+    points: DataFrame,
+    k: int,
+    groups: int,
+    part: Column | None = None,
+    seed: int = 42,
+    with_shape: bool = False,
+):
     """Round 1: ``k`` farthest-first centers of each group, ``(part, pos, id, v)``.
 
     Groups default to ``id % groups``.  A group with fewer than ``k`` points
@@ -81,14 +90,18 @@ def coreset(points: DataFrame, k: int, groups: int, part: Column | None = None,
         raise ValueError(f"number of groups must be positive, got {groups}")
     if part is None:
         part = F.col("id") % F.lit(groups)
-    return farthest_first(points, k, part=part, seed=seed, strict=False)
+    return farthest_first(points, k, part=part, seed=seed, strict=False, with_shape=with_shape)
 
 
 def diversity_maximization(
     points: DataFrame, k: int, groups: int, part: Column | None = None, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Both rounds: ``(chosen (pos, id, v), value (avg_distance))``."""
-    core = coreset(points, k, groups, part, seed).select("id", "v")
-    chosen = greedy_matching(core, k).persist()
-    value = avg_pairwise_distance(chosen.select("id", "v"))
+    """Both rounds: ``(chosen (pos, id, v), value (avg_distance))``.
+
+    Round 1 runs over all points (one job per center); round 2 and the value
+    only ever touch the ``k * groups`` coreset points.
+    """
+    core, (m, dim) = coreset(points, k, groups, part, seed, with_shape=True)
+    chosen = greedy_matching(core.select("id", "v"), k, shape=(m, dim))
+    value = avg_pairwise_distance(chosen.select("id", "v"), shape=(min(k, m), dim))
     return chosen, value

@@ -35,6 +35,10 @@ from pointtally.runtime import fits_broadcast, parallelism, point_bytes
 # about MAX_BLOCK_ROWS**2 distance evaluations).
 MAX_BLOCK_ROWS = 4096
 
+# Below this many pairs the broadcast join runs as one task (spreading the
+# streamed side would cost more than the distance math it parallelizes).
+SMALL_PAIRS = 200_000
+
 # Coordinates inlined into one constant before a known set is split over
 # several passes.
 LITERAL_TERMS = 1 << 16
@@ -65,8 +69,10 @@ def unordered_pairs(
     if strategy == "auto":
         strategy = "broadcast" if fits_broadcast(spark, n, point_bytes(dim)) else "grid"
     if strategy == "broadcast":
-        spread = pts.repartition(max(1, min(parallelism(spark), n)))
-        a, b = spread.alias("a"), F.broadcast(pts).alias("b")
+        streamed = pts
+        if n * (n - 1) // 2 > SMALL_PAIRS:
+            streamed = pts.repartition(max(1, min(parallelism(spark), n)))
+        a, b = streamed.alias("a"), F.broadcast(pts).alias("b")
         joined = a.join(b, F.col("a.id") < F.col("b.id"))
     elif strategy == "grid":
         nb = blocks or grid_blocks(spark, n)

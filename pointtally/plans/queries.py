@@ -149,8 +149,8 @@ def q_kcenter_centers(spark, d):
 
 
 def q_kcenter_diameter(spark, d):
-    centers = O.farthest_first(T.points(spark, d), K_POINTS, seed=SEED).select("id", "v")
-    return _round(O.exact_diameter(centers), "diameter")
+    centers, shape = O.farthest_first(T.points(spark, d), K_POINTS, seed=SEED, with_shape=True)
+    return _round(O.exact_diameter(centers.select("id", "v"), shape=shape), "diameter")
 
 
 def q_nearest_center_distance(spark, d):

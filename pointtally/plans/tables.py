@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pointtally.runtime import spread
 from pointtally.sources.text import document_lines, document_tokens, points_from_table
 
 
@@ -25,7 +26,7 @@ def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` split into lines (one reference document per line)."""
-    return document_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return document_lines(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,3 +68,18 @@ def materialize(df: DataFrame, reliable: bool) -> DataFrame:
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields too few splits.
+
+    A small input (one file, one row group) is one task; the CPU-heavy steps
+    after it (tokenizing, distance math) would then run single-threaded.  When
+    the plan has fewer partitions than the session's parallelism, one cheap
+    shuffle spreads it.  A large input already has many splits and is returned
+    unchanged, so no extra shuffle happens at scale.
+    """
+    target = min_partitions or parallelism(df.sparkSession)
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -180,8 +180,14 @@ def points_from_table(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
 
 
-def validate_points(points: DataFrame, v: str = "v") -> tuple[int, int]:
-    """One aggregate pass: ``(n, dim)``; raise on mixed dimension, null or NaN."""
+def validate_points(points: DataFrame, v: str = "v", shape: tuple[int, int] | None = None) -> tuple[int, int]:
+    """One aggregate pass: ``(n, dim)``; raise on mixed dimension, null or NaN.
+
+    ``shape`` is a result an earlier step already established for these very
+    rows (e.g. centers chosen by an operator); it is returned as is.
+    """
+    if shape is not None:
+        return shape
     row = points.agg(*vector_size_stats(v)).first()
     n = int(row["n"])
     if n == 0:
