@@ -54,8 +54,14 @@ def exact_diameter(
     strategy: str = "auto",
     prune: bool | None = None,
     shape: tuple[int, int] | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
-    """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` below two points."""
+    """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` below two points.
+
+    ``strategy``/``blocks`` choose how pairs are formed (see
+    :func:`~pointtally.operators.pairs.unordered_pairs`); ``prune`` forces the
+    exact triangle-inequality pruning on or off.
+    """
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
     if n < 2:
@@ -63,12 +69,12 @@ def exact_diameter(
     if prune is None:
         prune = strategy != "broadcast" and not fits_broadcast(spark, n, point_bytes(dim))
     if prune and n > 2 * PRUNE_CENTERS:
-        return _pruned_diameter(points, n, dim, strategy)
-    pairs = unordered_pairs(points, n, dim, strategy)
+        return _pruned_diameter(points, n, dim, strategy, blocks)
+    pairs = unordered_pairs(points, n, dim, strategy, blocks)
     return pairs.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(-1.0)).alias("diameter"))
 
 
-def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str) -> DataFrame:
+def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
     from pointtally.operators.centers import farthest_first
 
     spark = points.sparkSession
@@ -89,7 +95,7 @@ def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str) -> Data
         m = survivors.count()
         best = lower
         if m >= 2:
-            pairs = unordered_pairs(survivors, m, dim, strategy)
+            pairs = unordered_pairs(survivors, m, dim, strategy, blocks)
             got = pairs.agg(F.sqrt(F.max("d2")).alias("d")).first()["d"]
             if got is not None and got > best:
                 best = got
@@ -120,14 +126,17 @@ def two_approx_diameter(
 
 
 def avg_pairwise_distance(
-    points: DataFrame, strategy: str = "auto", shape: tuple[int, int] | None = None
+    points: DataFrame,
+    strategy: str = "auto",
+    shape: tuple[int, int] | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """``(avg_distance DOUBLE)``: mean distance over unordered pairs; NaN below two points."""
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "avg_distance", float("nan"))
-    pairs = unordered_pairs(points, n, dim, strategy)
+    pairs = unordered_pairs(points, n, dim, strategy, blocks)
     return pairs.agg(F.coalesce(F.avg(F.sqrt("d2")), F.lit(float("nan"))).alias("avg_distance"))
 
 
