@@ -22,9 +22,6 @@ square root after the min/max gives the same value as comparing roots, since
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,20 +36,25 @@ def _hof_sqdist(a: Column, b: Column) -> Column:
     )
 
 
-def sqdist(a: Column, b: Column, dim: int | None = None) -> Column:
-    """Squared Euclidean distance of two vector columns of dimension ``dim``."""
+def sqdist(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
+    """Squared Euclidean distance of two vector columns of dimension ``dim``.
+
+    ``a`` and ``b`` are columns or SQL references (``"a.v"``).  The unrolled
+    form is generated as SQL text and parsed in one call: assembling its
+    hundreds of nodes one ``Column`` operation at a time costs a JVM round
+    trip each (over a second for 64 dimensions).
+    """
     if dim == 0:
         return F.lit(0.0)
-    if dim is not None and dim <= UNROLL_MAX_DIM:
-        terms = []
-        for i in range(dim):
-            diff = a.getItem(i) - b.getItem(i)
-            terms.append(diff * diff)
-        return reduce(add, terms)
-    return _hof_sqdist(a, b)
+    if dim is not None and dim <= UNROLL_MAX_DIM and isinstance(a, str) and isinstance(b, str):
+        terms = " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(dim))
+        return F.expr(terms)
+    ca = F.col(a) if isinstance(a, str) else a
+    cb = F.col(b) if isinstance(b, str) else b
+    return _hof_sqdist(ca, cb)
 
 
-def euclid(a: Column, b: Column, dim: int | None = None) -> Column:
+def euclid(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
     """Euclidean distance ``sqrt(sqdist(a, b))``."""
     return F.sqrt(sqdist(a, b, dim))
 
@@ -73,8 +75,32 @@ def vectors_literal(vectors: Sequence[Sequence[float]]) -> Column:
     Built from SQL text in a single expression call: creating one ``lit`` per
     coordinate costs a JVM round trip each and dominated small rounds.
     """
+    return F.expr(vectors_sql(vectors))
+
+
+def vectors_sql(vectors: Sequence[Sequence[float]]) -> str:
+    """SQL text of a constant ``ARRAY<ARRAY<DOUBLE>>``."""
     inner = ", ".join("array(" + ", ".join(_double_sql(x) for x in vec) + ")" for vec in vectors)
-    return F.expr(f"cast(array({inner}) as array<array<double>>)")
+    return f"cast(array({inner}) as array<array<double>>)"
+
+
+def ids_sql(ids: Sequence[int]) -> str:
+    """SQL text of a constant ``ARRAY<BIGINT>``."""
+    return "cast(array(" + ", ".join(f"{int(i)}L" for i in ids) + ") as array<bigint>)"
+
+
+def nearest_sqdist_sql(v: str, vectors_expr: str) -> str:
+    """SQL text: smallest squared distance from vector ``v`` to a set expression."""
+    return (
+        f"array_min(transform({vectors_expr}, c -> "
+        f"aggregate(zip_with({v}, c, (x, y) -> (x - y) * (x - y)), 0D, (s, t) -> s + t)))"
+    )
+
+
+def ids_literal(ids: Sequence[int]) -> Column:
+    """A constant ``ARRAY<BIGINT>`` of ids (one literal, so plans differing only
+    in the ids share generated code)."""
+    return F.expr(ids_sql(ids))
 
 
 def _set_column(known: Column | Sequence[Sequence[float]]) -> Column:

@@ -34,7 +34,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import nearest_sqdist, vector_size_stats
+from pointtally.functions.distance import ids_sql, nearest_sqdist_sql, vector_size_stats, vectors_sql
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.operators.pairs import LITERAL_TERMS, nearest_distance
 from pointtally.runtime import broadcast_budget, materialize, point_bytes
@@ -43,6 +43,10 @@ from pointtally.sources.text import validate_points
 MATERIALIZE_EVERY = 8
 CHECKPOINT_EVERY = 4
 
+# Coordinates of pending centers inlined into one round's plan; more groups
+# than that switch to a broadcast table of centers joined on the group.
+LITERAL_COORDS = 16384
+
 CENTERS_SCHEMA = "part bigint, pos bigint, id bigint, v array<double>"
 
 
@@ -66,33 +70,53 @@ class _MinDistState:
         """``(id, v, part, md, taken)`` with every chosen center applied."""
         if not self.pending:
             return self.base
-        if self.single_group:
-            return self._apply_literals()
-        return self._apply_broadcast()
-
-    def _apply_literals(self) -> DataFrame:
-        rounds = [c[0] for c in self.pending if 0 in c]
-        md = F.least(F.col("md"), F.sqrt(nearest_sqdist(F.col("v"), [v for _, v in rounds])))
-        taken = F.col("taken") | F.col("id").isin([cid for cid, _ in rounds])
-        return self.base.select("id", "v", "part", md.alias("md"), taken.alias("taken"))
-
-    def _apply_broadcast(self) -> DataFrame:
-        spark = self.base.sparkSession
         per_part: dict[int, tuple[list[int], list[list[float]]]] = {}
         for centers in self.pending:
             for p, (cid, cv) in centers.items():
                 ids, vs = per_part.setdefault(p, ([], []))
                 ids.append(cid)
                 vs.append(cv)
+        coords = sum(len(vs) for _, vs in per_part.values()) * max(self.dim, 1)
+        if self.single_group or coords <= LITERAL_COORDS:
+            return self._apply_literals(per_part)
+        return self._apply_broadcast(per_part)
+
+    def _apply_literals(self, per_part) -> DataFrame:
+        """Centers inlined as constants: one projection, no join."""
+        if self.single_group:
+            ids, vs = per_part[0]
+            cvs, cids = vectors_sql(vs), ids_sql(ids)
+        else:
+            cvs = "try_element_at(map(" + ", ".join(
+                f"{p}L, {vectors_sql(vs)}" for p, (_, vs) in sorted(per_part.items())
+            ) + "), part)"
+            cids = "try_element_at(map(" + ", ".join(
+                f"{p}L, {ids_sql(ids)}" for p, (ids, _) in sorted(per_part.items())
+            ) + "), part)"
+        return self.base.selectExpr(
+            "id",
+            "v",
+            "part",
+            f"least(md, sqrt({nearest_sqdist_sql('v', cvs)})) AS md",
+            f"taken OR coalesce(array_contains({cids}, id), false) AS taken",
+        )
+
+    def _apply_broadcast(self, per_part) -> DataFrame:
+        """Many groups: the centers travel as a broadcast table keyed by group."""
+        spark = self.base.sparkSession
         rows = [(p, ids, vs) for p, (ids, vs) in sorted(per_part.items())]
         table = spark.createDataFrame(rows, "part bigint, cids array<bigint>, cvs array<array<double>>")
         n_centers = sum(len(ids) for ids, _ in per_part.values())
         if n_centers * point_bytes(self.dim) <= broadcast_budget(spark):
             table = F.broadcast(table)
         joined = self.base.join(table, "part", "left")
-        md = F.least(F.col("md"), F.sqrt(nearest_sqdist(F.col("v"), F.col("cvs"))))
-        taken = F.col("taken") | F.coalesce(F.array_contains(F.col("cids"), F.col("id")), F.lit(False))
-        return joined.select("id", "v", "part", md.alias("md"), taken.alias("taken"))
+        return joined.selectExpr(
+            "id",
+            "v",
+            "part",
+            f"least(md, sqrt({nearest_sqdist_sql('v', 'cvs')})) AS md",
+            "taken OR coalesce(array_contains(cids, id), false) AS taken",
+        )
 
     def _materialize(self) -> None:
         self.materialized += 1

@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pointtally.functions.distance import ids_literal
 from pointtally.operators.centers import farthest_first
 from pointtally.operators.diameter import avg_pairwise_distance
 from pointtally.operators.pairs import unordered_pairs
@@ -61,11 +62,12 @@ def greedy_matching(
         for _ in range(k // 2):
             remaining = pairs
             if used:
-                remaining = pairs.filter(~F.col("i").isin(used) & ~F.col("j").isin(used))
+                gone = ids_literal(used)
+                remaining = pairs.filter(~F.array_contains(gone, F.col("i")) & ~F.array_contains(gone, F.col("j")))
             best = remaining.agg(F.min(F.struct((-F.col("d2")).alias("nd2"), "i", "j")).alias("b")).first()["b"]
             used.extend([int(best["i"]), int(best["j"])])
         if k % 2:
-            free = points.filter(~F.col("id").isin(used)) if used else points
+            free = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
             used.append(int(free.agg(F.min("id")).first()[0]))
     finally:
         if cached:

@@ -95,7 +95,7 @@ def unordered_pairs(
     return joined.select(
         F.least(F.col("a.id"), F.col("b.id")).alias("i"),
         F.greatest(F.col("a.id"), F.col("b.id")).alias("j"),
-        sqdist(F.col("a.v"), F.col("b.v"), dim).alias("d2"),
+        sqdist("a.v", "b.v", dim).alias("d2"),
     )
 
 

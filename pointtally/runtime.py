@@ -38,12 +38,8 @@ def fits_broadcast(spark: SparkSession, rows: int, row_bytes: int) -> bool:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Target number of tasks for a fresh shuffle."""
-    try:
-        conf_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    except ValueError:
-        conf_parts = 200
-    return max(1, conf_parts, spark.sparkContext.defaultParallelism)
+    """Number of task slots: enough partitions to keep every core busy."""
+    return max(1, spark.sparkContext.defaultParallelism)
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
