@@ -1,0 +1,18 @@
+"""Incremental counting over file streams.
+
+The reference is batch-only; nothing here adds an operator.  The class and
+word counts are plain hash aggregations, so the very same operator functions
+run unchanged on a streaming DataFrame: Structured Streaming keeps the
+per-key partial counts in its state store and updates them per micro-batch.
+The point-set operators are iterative (a driver decision per round) and have
+no streaming form.
+"""
+
+from pointtally.streaming.counting import (
+    class_count_stream,
+    pairs_stream,
+    run_available,
+    word_count_stream,
+)
+
+__all__ = ["class_count_stream", "pairs_stream", "run_available", "word_count_stream"]

@@ -15,12 +15,12 @@ from pointtally.sources import read_point_tokens, read_points
 
 from conftest import DATA, SF, points_df
 
-UBER = os.path.join(DATA, "uber_small.csv")
+POINTS_2D = os.path.join(DATA, "points_2d.csv")
 
 
 @pytest.fixture(scope="module")
-def uber(spark):
-    pts = read_points(spark, UBER).cache()
+def pts2d(spark):
+    pts = read_points(spark, POINTS_2D).cache()
     yield pts
     pts.unpersist()
 
@@ -29,48 +29,48 @@ def one(df):
     return df.first()[0]
 
 
-def test_uber_count_and_token_scan_agree(spark, uber):
-    assert uber.count() == 1012
-    scanned = read_point_tokens(spark, UBER)
-    assert scanned.exceptAll(uber).count() == 0 and uber.exceptAll(scanned).count() == 0
+def test_2d_count_and_token_scan_agree(spark, pts2d):
+    assert pts2d.count() == 1012
+    scanned = read_point_tokens(spark, POINTS_2D)
+    assert scanned.exceptAll(pts2d).count() == 0 and pts2d.exceptAll(scanned).count() == 0
 
 
-def test_uber_exact_diameter(uber):
-    assert one(O.exact_diameter(uber)) == pytest.approx(0.9998054460743926, abs=1e-12)
+def test_2d_exact_diameter(pts2d):
+    assert one(O.exact_diameter(pts2d)) == pytest.approx(0.9998054460743926, abs=1e-12)
 
 
 @pytest.mark.parametrize("strategy,prune", [("grid", False), ("grid", True), ("broadcast", True)])
-def test_exact_diameter_strategies_agree(uber, strategy, prune):
-    assert one(O.exact_diameter(uber, strategy=strategy, prune=prune)) == pytest.approx(
+def test_exact_diameter_strategies_agree(pts2d, strategy, prune):
+    assert one(O.exact_diameter(pts2d, strategy=strategy, prune=prune)) == pytest.approx(
         0.9998054460743926, abs=1e-12
     )
 
 
-def test_uber_avg_pairwise(uber):
-    assert one(O.avg_pairwise_distance(uber)) == pytest.approx(0.066801397454, abs=1e-11)
-    assert one(O.avg_pairwise_distance(uber, strategy="grid")) == pytest.approx(0.066801397454, abs=1e-11)
+def test_2d_avg_pairwise(pts2d):
+    assert one(O.avg_pairwise_distance(pts2d)) == pytest.approx(0.066801397454, abs=1e-11)
+    assert one(O.avg_pairwise_distance(pts2d, strategy="grid")) == pytest.approx(0.066801397454, abs=1e-11)
 
 
-def test_uber_sample_and_two_approx(uber):
-    assert [r["id"] for r in O.sample_points(uber, 5).orderBy("pos").collect()] == [897, 47, 530, 19, 139]
-    assert one(O.two_approx_diameter(uber, 5)) == pytest.approx(0.620192752296, abs=1e-11)
+def test_2d_sample_and_two_approx(pts2d):
+    assert [r["id"] for r in O.sample_points(pts2d, 5).orderBy("pos").collect()] == [897, 47, 530, 19, 139]
+    assert one(O.two_approx_diameter(pts2d, 5)) == pytest.approx(0.620192752296, abs=1e-11)
 
 
-def test_uber_kcenter(uber):
-    centers = O.farthest_first(uber, 5).orderBy("pos")
+def test_2d_kcenter(pts2d):
+    centers = O.farthest_first(pts2d, 5).orderBy("pos")
     assert [r["id"] for r in centers.collect()] == [897, 427, 391, 25, 632]
     assert one(O.exact_diameter(centers.select("id", "v"))) == pytest.approx(0.9998054460743926, abs=1e-12)
-    dist = O.nearest_center_distance(uber, centers.select("id", "v"))
+    dist = O.nearest_center_distance(pts2d, centers.select("id", "v"))
     assert dist.count() == 1012
     assert one(dist.agg(F.max("dist"))) == pytest.approx(0.228861639424, abs=1e-11)
 
 
-def test_uber_coreset_and_diversity(uber):
-    core = O.coreset(uber, 5, 4)
+def test_2d_coreset_and_diversity(pts2d):
+    core = O.coreset(pts2d, 5, 4)
     assert sorted(r["id"] for r in core.collect()) == [
         25, 27, 47, 62, 140, 374, 391, 427, 476, 530, 534, 542, 632, 737, 740, 749, 805, 843, 852, 897,
     ]
-    chosen, value = O.diversity_maximization(uber, 5, 4)
+    chosen, value = O.diversity_maximization(pts2d, 5, 4)
     assert [r["id"] for r in chosen.orderBy("pos").collect()] == [391, 427, 374, 740, 25]
     assert one(value) == pytest.approx(0.579489418321, abs=1e-11)
 
