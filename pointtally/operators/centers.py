@@ -240,15 +240,16 @@ def farthest_first(
     return out
 
 
-def nearest_center_distance(points: DataFrame, centers: DataFrame) -> DataFrame:
+def nearest_center_distance(points: DataFrame, centers: DataFrame, dim: int | None = None) -> DataFrame:
     """``(id, dist)``: each point's distance to its nearest center.
 
     ``centers`` is a small ``(id, v)`` set whose rows reach the driver.  Up to
     :data:`LITERAL_TERMS` coordinates they are one constant in a single
     projection over the points (no join, no shuffle); a larger set goes
-    through the same chunked min-distance state as the traversal.
+    through the same chunked min-distance state as the traversal.  ``dim``
+    skips the validation pass when the caller already validated the points.
     """
-    n, dim = validate_points(points)
+    n, dim = (1, dim) if dim is not None else validate_points(points)
     known = [(int(r["id"]), list(r["v"])) for r in centers.select("id", "v").collect()]
     if n and known and len(known[0][1]) != dim:
         raise ValueError("centers and points differ in dimension")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import sqdists_to_set, vectors_literal
+from pointtally.functions.distance import sqdists_to_set, vector_size_stats, vectors_literal
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.operators.pairs import (
     LITERAL_TERMS,
@@ -104,25 +104,37 @@ def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks:
     return _one_value(spark, "diameter", best)
 
 
-def two_approx_diameter(
-    points: DataFrame, k: int, seed: int = 42, shape: tuple[int, int] | None = None
-) -> DataFrame:
+def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``(diameter DOUBLE)``: max distance between any point and ``k`` sampled points.
 
     Lies in ``[D/2, D]``; ``-1`` for ``k = 0``; ``k`` larger than the set fails.
+    Two passes: the seeded top-``k`` sample, then one aggregate that computes
+    the largest distance to the (inlined) sample together with the validation
+    statistics of all points.
     """
     spark = points.sparkSession
-    n, dim = validate_points(points, shape=shape)
-    if k > n:
-        raise ValueError(f"cannot sample {k} points from {n}")
+    if k < 0:
+        raise ValueError(f"sample size must be non-negative, got {k}")
+    sample = [list(r["v"]) for r in sample_points(points, k, seed).collect()] if k else []
+    aggs = vector_size_stats("v")
+    if sample and k * len(sample[0]) <= LITERAL_TERMS:
+        aggs.append(F.max(farthest_distance(F.col("v"), sample)).alias("far"))
+    row = points.agg(*aggs).first()
+    _check_stats(row)
+    if k > row["n"]:
+        raise ValueError(f"cannot sample {k} points from {row['n']}")
     if k == 0:
         return _one_value(spark, "diameter", -1.0)
-    sample = [list(r["v"]) for r in sample_points(points, k, seed).collect()]
-    if k * max(dim, 1) <= LITERAL_TERMS:
-        far = farthest_distance(F.col("v"), sample)
-        return points.agg(F.coalesce(F.max(far), F.lit(-1.0)).alias("diameter"))
-    best = max_distance_to_set(points, sample, dim)
-    return _one_value(spark, "diameter", -1.0 if best is None else best)
+    stats = row.asDict()
+    far = stats["far"] if "far" in stats else max_distance_to_set(points, sample, int(row["min_dim"]))
+    return _one_value(spark, "diameter", -1.0 if far is None else far)
+
+
+def _check_stats(row) -> None:
+    if row["n"] and row["n_bad"]:
+        raise ValueError(f"{row['n_bad']} point(s) have a null or NaN coordinate")
+    if row["n"] and row["min_dim"] != row["max_dim"]:
+        raise ValueError(f"points of mixed dimension: {row['min_dim']} to {row['max_dim']}")
 
 
 def avg_pairwise_distance(

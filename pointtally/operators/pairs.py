@@ -45,8 +45,13 @@ LITERAL_TERMS = 1 << 16
 
 
 def grid_blocks(spark, n: int) -> int:
-    """Number of grid blocks for ``n`` points."""
-    by_tasks = math.ceil(math.sqrt(2 * parallelism(spark)))
+    """Number of grid blocks for ``n`` points.
+
+    At least about four join keys per task slot (``B(B+1)/2 >= 4 * cores``) so
+    hash placement of keys evens out, and at most ``MAX_BLOCK_ROWS`` points per
+    block so one key's work stays bounded as ``n`` grows.
+    """
+    by_tasks = math.ceil(math.sqrt(8 * parallelism(spark)))
     by_size = math.ceil(n / MAX_BLOCK_ROWS)
     return max(1, by_tasks, by_size)
 
@@ -83,7 +88,11 @@ def unordered_pairs(
         right = pts.select(
             "id", "v", blk.alias("bj"), F.explode(F.sequence(F.lit(0).cast("bigint"), blk)).alias("bi")
         )
-        a, b = left.alias("a"), right.alias("b")
+        # A shuffle join on the block key: the build side of a key is one
+        # block (at most about MAX_BLOCK_ROWS points), so per-task memory is
+        # bounded; the hint keeps the optimizer from broadcasting the
+        # replicated side, whose size estimate ignores the explode.
+        a, b = left.alias("a"), right.hint("shuffle_hash").alias("b")
         joined = a.join(
             b,
             (F.col("a.bi") == F.col("b.bi"))

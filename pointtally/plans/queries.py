@@ -158,8 +158,8 @@ def q_kcenter_diameter(spark, d):
 
 def q_nearest_center_distance(spark, d):
     pts = T.points(spark, d)
-    centers = O.farthest_first(pts, K_POINTS, seed=SEED).select("id", "v")
-    return _round(O.nearest_center_distance(pts, centers), "dist")
+    centers, (_, dim) = O.farthest_first(pts, K_POINTS, seed=SEED, with_shape=True)
+    return _round(O.nearest_center_distance(pts, centers.select("id", "v"), dim=dim), "dist")
 
 
 def q_coreset(spark, d):

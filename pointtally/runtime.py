@@ -39,14 +39,20 @@ def fits_broadcast(spark: SparkSession, rows: int, row_bytes: int) -> bool:
 
 def parallelism(spark: SparkSession) -> int:
     """Number of task slots: enough partitions to keep every core busy."""
-    return max(1, spark.sparkContext.defaultParallelism)
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # no classic SparkContext (e.g. a Connect session)
+        return max(1, int(spark.conf.get("spark.default.parallelism", "8")))
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The reliable checkpoint folder the cluster names, if any."""
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if jdir.isDefined():
-        return jdir.get()
+    try:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if jdir.isDefined():
+            return jdir.get()
+    except Exception:  # no classic SparkContext
+        pass
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
@@ -76,6 +82,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     unchanged, so no extra shuffle happens at scale.
     """
     target = min_partitions or parallelism(df.sparkSession)
-    if df.rdd.getNumPartitions() < target:
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # RDD view unavailable: leave the plan alone
+        return df
+    if have < target:
         return df.repartition(target)
     return df
