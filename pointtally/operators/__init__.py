@@ -19,7 +19,7 @@ from pointtally.operators.diameter import (
     two_approx_diameter,
 )
 from pointtally.operators.diversity import coreset, diversity_maximization, greedy_matching
-from pointtally.operators.pairs import unordered_pairs
+from pointtally.operators.pairs import pair_summary, unordered_pairs
 from pointtally.operators.words import (
     avg_word_length,
     distinct_words,
@@ -49,6 +49,7 @@ __all__ = [
     "most_frequent_class",
     "nearest_center_distance",
     "pair_count",
+    "pair_summary",
     "sample_points",
     "two_approx_diameter",
     "unordered_pairs",

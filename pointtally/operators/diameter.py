@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +21,18 @@ from pointtally.functions.distance import sqdists_to_set, vector_size_stats, vec
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.operators.pairs import (
     LITERAL_TERMS,
+    SMALL_PAIRS,
+    pair_summary,
     farthest_distance,
     max_distance_to_set,
     unordered_pairs,
 )
-from pointtally.runtime import fits_broadcast, point_bytes
 from pointtally.sources.text import validate_points
 
 PRUNE_CENTERS = 8
+# Exact pruning is tried from this many points on (its O(k n) passes are then
+# negligible against the O(n^2) pair phase it can remove).
+PRUNE_MIN_POINTS = 100_000
 # Relative slack for floating-point error in the triangle inequality.
 PRUNE_SLACK = 1e-9
 
@@ -49,6 +55,19 @@ def sample_points(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     return top.select(pos.alias("pos"), "id", "v")
 
 
+def resolve_strategy(strategy: str, n: int) -> str:
+    """``auto`` → JVM pair rows for small sets, the vectorized block kernel above."""
+    if strategy != "auto":
+        return strategy
+    return "broadcast" if n * (n - 1) // 2 <= SMALL_PAIRS else "vectorized"
+
+
+def _max_d2(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
+    if strategy == "vectorized":
+        return pair_summary(points, n, dim, blocks).select("d2")
+    return unordered_pairs(points, n, dim, strategy, blocks).agg(F.max("d2").alias("d2"))
+
+
 def exact_diameter(
     points: DataFrame,
     strategy: str = "auto",
@@ -58,20 +77,22 @@ def exact_diameter(
 ) -> DataFrame:
     """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` below two points.
 
-    ``strategy``/``blocks`` choose how pairs are formed (see
-    :func:`~pointtally.operators.pairs.unordered_pairs`); ``prune`` forces the
-    exact triangle-inequality pruning on or off.
+    ``strategy`` is ``auto``, ``broadcast`` / ``grid`` (pair rows, see
+    :func:`~pointtally.operators.pairs.unordered_pairs`) or ``vectorized``
+    (:func:`~pointtally.operators.pairs.pair_summary`); ``prune`` forces the
+    exact triangle-inequality pruning on or off (default: on above
+    ``PRUNE_MIN_POINTS`` points, where the quadratic phase dominates).
     """
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "diameter", -1.0)
     if prune is None:
-        prune = strategy != "broadcast" and not fits_broadcast(spark, n, point_bytes(dim))
+        prune = n >= PRUNE_MIN_POINTS
     if prune and n > 2 * PRUNE_CENTERS:
         return _pruned_diameter(points, n, dim, strategy, blocks)
-    pairs = unordered_pairs(points, n, dim, strategy, blocks)
-    return pairs.agg(F.coalesce(F.sqrt(F.max("d2")), F.lit(-1.0)).alias("diameter"))
+    best = _max_d2(points, n, dim, resolve_strategy(strategy, n), blocks)
+    return best.select(F.coalesce(F.sqrt("d2"), F.lit(-1.0)).alias("diameter"))
 
 
 def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
@@ -95,10 +116,9 @@ def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks:
         m = survivors.count()
         best = lower
         if m >= 2:
-            pairs = unordered_pairs(survivors, m, dim, strategy, blocks)
-            got = pairs.agg(F.sqrt(F.max("d2")).alias("d")).first()["d"]
-            if got is not None and got > best:
-                best = got
+            got = _max_d2(survivors, m, dim, resolve_strategy(strategy, m), blocks).first()["d2"]
+            if got is not None and math.sqrt(got) > best:
+                best = math.sqrt(got)
     finally:
         survivors.unpersist()
     return _one_value(spark, "diameter", best)
@@ -148,6 +168,12 @@ def avg_pairwise_distance(
     n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "avg_distance", float("nan"))
+    strategy = resolve_strategy(strategy, n)
+    if strategy == "vectorized":
+        summary = pair_summary(points, n, dim, blocks)
+        return summary.select(
+            F.coalesce(F.col("sum_d") / F.col("n_pairs"), F.lit(float("nan"))).alias("avg_distance")
+        )
     pairs = unordered_pairs(points, n, dim, strategy, blocks)
     return pairs.agg(F.coalesce(F.avg(F.sqrt("d2")), F.lit(float("nan"))).alias("avg_distance"))
 

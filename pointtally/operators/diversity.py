@@ -22,13 +22,10 @@ from pyspark.sql import functions as F
 from pointtally.functions.distance import ids_literal
 from pointtally.operators.centers import farthest_first
 from pointtally.operators.diameter import avg_pairwise_distance
-from pointtally.operators.pairs import unordered_pairs
+from pointtally.operators.diameter import resolve_strategy
+from pointtally.operators.pairs import pair_summary, unordered_pairs
 from pointtally.sources.text import validate_points
 
-# Pair tables up to this many rows are cached between rounds; larger ones
-# are recomputed per round instead of holding n^2 rows.
-CACHE_PAIRS_MAX = 50_000_000
-
 RESULT_SCHEMA = "pos bigint, id bigint"
 
 
@@ -53,25 +50,30 @@ def greedy_matching(
     if k >= n:
         ids = [r["id"] for r in points.select("id").orderBy("id").collect()]
         return _positions(points, ids)
-    pairs = unordered_pairs(points, n, dim, strategy)
-    cached = n * (n - 1) // 2 <= CACHE_PAIRS_MAX
-    if cached:
-        pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+    strategy = resolve_strategy(strategy, n)
     used: list[int] = []
-    try:
+    if strategy == "vectorized":
+        # Each round is one vectorized pass over the pairs of unused points;
+        # no pair table is materialized, so memory stays linear in n.
         for _ in range(k // 2):
-            remaining = pairs
-            if used:
-                gone = ids_literal(used)
-                remaining = pairs.filter(~F.array_contains(gone, F.col("i")) & ~F.array_contains(gone, F.col("j")))
-            best = remaining.agg(F.min(F.struct((-F.col("d2")).alias("nd2"), "i", "j")).alias("b")).first()["b"]
+            remaining = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
+            best = pair_summary(remaining, n - len(used), dim).first()
             used.extend([int(best["i"]), int(best["j"])])
-        if k % 2:
-            free = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
-            used.append(int(free.agg(F.min("id")).first()[0]))
-    finally:
-        if cached:
+    else:
+        pairs = unordered_pairs(points, n, dim, strategy).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for _ in range(k // 2):
+                remaining = pairs
+                if used:
+                    gone = ids_literal(used)
+                    remaining = pairs.filter(~F.array_contains(gone, F.col("i")) & ~F.array_contains(gone, F.col("j")))
+                best = remaining.agg(F.min(F.struct((-F.col("d2")).alias("nd2"), "i", "j")).alias("b")).first()["b"]
+                used.extend([int(best["i"]), int(best["j"])])
+        finally:
             pairs.unpersist()
+    if k % 2:
+        free = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
+        used.append(int(free.agg(F.min("id")).first()[0]))
     return _positions(points, used)
 
 

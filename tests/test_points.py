@@ -200,3 +200,40 @@ def test_greedy_matching_against_brute_force(spark):
     order.append(min(set(range(40)) - used))
     got = [r["id"] for r in O.greedy_matching(pts, k).orderBy("pos").collect()]
     assert got == order
+
+
+# ------------------------------------------------------------------ vectorized block path
+
+
+def test_vectorized_matches_goldens(pts2d):
+    assert one(O.exact_diameter(pts2d, strategy="vectorized", prune=False, blocks=5)) == pytest.approx(
+        0.9998054460743926, abs=1e-12
+    )
+    assert one(O.avg_pairwise_distance(pts2d, strategy="vectorized", blocks=3)) == pytest.approx(
+        0.066801397454, abs=1e-11
+    )
+
+
+def test_vectorized_summary_is_bit_identical_to_rows(spark):
+    pts = T.points(spark, f"{SF}/sf0.001")
+    rows = O.unordered_pairs(pts, 500, 64, "broadcast")
+    want = rows.agg(F.max("d2"), F.count(F.lit(1))).first()
+    got = O.pair_summary(pts, 500, 64, blocks=6).first()
+    assert got["d2"] == want[0] and got["n_pairs"] == want[1] == 500 * 499 // 2
+    top = rows.orderBy(F.desc("d2"), "i", "j").first()
+    assert (got["i"], got["j"]) == (top["i"], top["j"])
+
+
+def test_vectorized_ties_and_empty_blocks(spark):
+    # duplicates create tied farthest pairs; 7 blocks for 6 points leaves some empty
+    coords = [[0.0, 0.0], [3.0, 4.0], [0.0, 0.0], [3.0, 4.0], [1.0, 1.0], [3.0, 4.0]]
+    pts = points_df(spark, coords, ids=[10, 11, 12, 13, 14, 15])
+    got = O.pair_summary(pts, 6, 2, blocks=7).first()
+    assert (got["d2"], got["i"], got["j"], got["n_pairs"]) == (25.0, 10, 11, 15)
+
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_greedy_vectorized_matches_rows(pts2d, k):
+    a = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="vectorized").orderBy("pos").collect()]
+    b = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="broadcast").orderBy("pos").collect()]
+    assert a == b and len(set(a)) == k
