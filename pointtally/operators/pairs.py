@@ -37,7 +37,7 @@ MAX_BLOCK_ROWS = 4096
 
 # Below this many pairs the broadcast join runs as one task (spreading the
 # streamed side would cost more than the distance math it parallelizes).
-SMALL_PAIRS = 200_000
+SMALL_PAIRS = 20_000
 
 # Coordinates inlined into one constant before a known set is split over
 # several passes.
