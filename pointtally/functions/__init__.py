@@ -1,18 +1,11 @@
 """Column-expression helpers shared by the operators.
 
-Everything here returns a ``pyspark.sql.Column`` built from built-in
-functions, so it stays inside whole-stage codegen (no Python UDFs).
+Column helpers return ``pyspark.sql.Column`` objects built from built-in
+functions; :mod:`pointtally.functions.arrow` holds the numpy helpers that run
+on Arrow record batches inside Spark tasks.
 """
 
-from pointtally.functions.distance import (
-    euclid,
-    farthest_sqdist,
-    nearest_sqdist,
-    sqdist,
-    sqdists_to_set,
-    vector_size_stats,
-    vectors_literal,
-)
+from pointtally.functions.distance import euclid, ids_literal, sqdist, vector_size_stats
 from pointtally.functions.hashing import seeded_order_key, stable_bucket
 from pointtally.functions.tokens import (
     java_space_split,
@@ -23,10 +16,7 @@ from pointtally.functions.tokens import (
 __all__ = [
     "sqdist",
     "euclid",
-    "farthest_sqdist",
-    "nearest_sqdist",
-    "sqdists_to_set",
-    "vectors_literal",
+    "ids_literal",
     "vector_size_stats",
     "seeded_order_key",
     "stable_bucket",

@@ -1,27 +1,22 @@
-"""Euclidean distance between ``ARRAY<DOUBLE>`` vectors, as Spark columns.
-
-Two shapes, chosen by measurement (see README, "Distance expressions"):
-
-* **point vs point** (both sides are columns, e.g. after a pair join):
-  :func:`sqdist` unrolls ``(a[0]-b[0])*(a[0]-b[0]) + ...`` when the dimension
-  is known and small, which whole-stage codegen compiles to straight-line
-  arithmetic; above :data:`UNROLL_MAX_DIM` it uses the higher-order
-  ``aggregate(zip_with(...))``.
-* **point vs a known set** (sampled points, chosen centers):
-  :func:`nearest_sqdist` / :func:`farthest_sqdist` take the set as one
-  ``ARRAY<ARRAY<DOUBLE>>`` (a folded constant, or a broadcast column) and
-  reduce ``transform(set, c -> sqdist(v, c))``.  Unrolling ``k`` centers into
-  one expression produces methods past the JVM's 64 KB limit and spends
-  seconds in the compiler, so it is not used for sets.
-
-All forms sum the terms left to right, like ``Vectors.sqdist``.  Taking the
-square root after the min/max gives the same value as comparing roots, since
-``sqrt`` is monotone.
+"""Euclidean distance and point validation as Spark column expressions.
+
+:func:`sqdist` compares two vector *columns* (e.g. after a pair join): with a
+known, small dimension it unrolls ``(a[0]-b[0])*(a[0]-b[0]) + ...`` -- generated
+as SQL text and parsed in one call, since assembling hundreds of ``Column``
+nodes one JVM round trip at a time cost over a second -- and otherwise uses
+the higher-order ``aggregate(zip_with(...))``.  Terms are summed left to right,
+like ``Vectors.sqdist``.
+
+Distances from many points to a known set, and all-pairs work beyond small
+sets, run in numpy over Arrow batches (:mod:`pointtally.functions.arrow`):
+Spark evaluates array arithmetic element by element at several microseconds
+per 64-d distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,67 +54,10 @@ def euclid(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
     return F.sqrt(sqdist(a, b, dim))
 
 
-def _double_sql(x: float) -> str:
-    # repr() is the shortest text that parses back to the same double.
-    return f"{float(x)!r}D"
-
-
-def vector_literal(vector: Sequence[float]) -> Column:
-    """A constant ``ARRAY<DOUBLE>``, built from SQL text in one call."""
-    return F.expr("cast(array(" + ", ".join(_double_sql(x) for x in vector) + ") as array<double>)")
-
-
-def vectors_literal(vectors: Sequence[Sequence[float]]) -> Column:
-    """A constant ``ARRAY<ARRAY<DOUBLE>>`` (folded to one literal by the optimizer).
-
-    Built from SQL text in a single expression call: creating one ``lit`` per
-    coordinate costs a JVM round trip each and dominated small rounds.
-    """
-    return F.expr(vectors_sql(vectors))
-
-
-def vectors_sql(vectors: Sequence[Sequence[float]]) -> str:
-    """SQL text of a constant ``ARRAY<ARRAY<DOUBLE>>``."""
-    inner = ", ".join("array(" + ", ".join(_double_sql(x) for x in vec) + ")" for vec in vectors)
-    return f"cast(array({inner}) as array<array<double>>)"
-
-
-def ids_sql(ids: Sequence[int]) -> str:
-    """SQL text of a constant ``ARRAY<BIGINT>``."""
-    return "cast(array(" + ", ".join(f"{int(i)}L" for i in ids) + ") as array<bigint>)"
-
-
-def nearest_sqdist_sql(v: str, vectors_expr: str) -> str:
-    """SQL text: smallest squared distance from vector ``v`` to a set expression."""
-    return (
-        f"array_min(transform({vectors_expr}, c -> "
-        f"aggregate(zip_with({v}, c, (x, y) -> (x - y) * (x - y)), 0D, (s, t) -> s + t)))"
-    )
-
-
 def ids_literal(ids: Sequence[int]) -> Column:
-    """A constant ``ARRAY<BIGINT>`` of ids (one literal, so plans differing only
-    in the ids share generated code)."""
-    return F.expr(ids_sql(ids))
-
-
-def _set_column(known: Column | Sequence[Sequence[float]]) -> Column:
-    return known if isinstance(known, Column) else vectors_literal(known)
-
-
-def sqdists_to_set(v: Column, known: Column | Sequence[Sequence[float]]) -> Column:
-    """``ARRAY<DOUBLE>``: squared distance from ``v`` to each vector of the set."""
-    return F.transform(_set_column(known), lambda c: _hof_sqdist(v, c))
-
-
-def nearest_sqdist(v: Column, known: Column | Sequence[Sequence[float]]) -> Column:
-    """Smallest squared distance from ``v`` to the set (null for an empty/null set)."""
-    return F.array_min(sqdists_to_set(v, known))
-
-
-def farthest_sqdist(v: Column, known: Column | Sequence[Sequence[float]]) -> Column:
-    """Largest squared distance from ``v`` to the set (null for an empty/null set)."""
-    return F.array_max(sqdists_to_set(v, known))
+    """A constant ``ARRAY<BIGINT>`` of ids, built from SQL text in one call (one
+    literal, so plans differing only in the ids share generated code)."""
+    return F.expr("cast(array(" + ", ".join(f"{int(i)}L" for i in ids) + ") as array<bigint>)")
 
 
 def vector_size_stats(v: Column | str = "v") -> list[Column]:
@@ -129,7 +67,10 @@ def vector_size_stats(v: Column | str = "v") -> list[Column]:
     null or holds a null or NaN coordinate).
     """
     col = F.col(v) if isinstance(v, str) else v
-    bad = col.isNull() | F.exists(col, lambda x: x.isNull() | F.isnan(x))
+    # arrays_overlap(v, [NaN]) is true for a NaN (Spark treats NaN = NaN),
+    # null when v holds a null element, false otherwise -- one codegen'd
+    # scan, several times cheaper than exists(v, x -> ...).
+    bad = col.isNull() | F.coalesce(F.arrays_overlap(col, F.array(F.lit(float("nan")))), F.lit(True))
     return [
         F.count(F.lit(1)).alias("n"),
         F.min(F.size(col)).alias("min_dim"),

@@ -5,21 +5,25 @@ thread.  Here all groups advance together, one Spark job per round:
 
 * each point carries ``md``, its distance to the nearest center of its own
   group chosen so far, and ``taken`` (already a center);
-* a round is ``groupBy(part).agg(min(struct(-md, id, v)))`` over the points
-  not taken: the farthest point of every group, ties to the smallest id.
-  The aggregate is partial per task, so only one row per (task, group) is
-  shuffled and no group is ever gathered into one task -- a group holding a
-  third of all points costs the same as any other;
-* the chosen centers (one per group) come back to the driver; they feed the
-  next round's ``md`` update as inlined literals (one group) or a broadcast
-  table keyed by group (many groups, size checked).
-
-``md`` is not rewritten every round.  A round computes it from the last
-materialized ``md`` and the centers chosen since, and every
-``MATERIALIZE_EVERY`` rounds the state is persisted (and, every
-``CHECKPOINT_EVERY`` materializations, written with ``checkpoint()`` to the
-cluster's checkpoint folder, which also bounds the lineage a lost executor
-replays).
+* a round maps every record batch of the cached points through numpy
+  (``mapInArrow``): ``md`` is brought up to date with the centers chosen since
+  the state was last materialized, and the batch's farthest free point of
+  each group (ties: smallest id) is emitted -- a handful of rows per task;
+* Spark aggregates those partial winners per group
+  (``min(struct(-md, id, v))``), so no group is ever gathered into one task:
+  a group holding a third of all points costs the same as any other;
+* the chosen centers (one per group) come back to the driver and travel to
+  the next round inside the task closure, or as a broadcast variable when
+  there are many groups.
+
+Distances to centers are numpy over the batch's flat coordinate buffer, tens
+of nanoseconds each where a Spark array expression costs microseconds
+(measured), and are summed in the same order as the Spark expressions, so
+results are bit-identical.  ``md`` is not rewritten every round: every
+``MATERIALIZE_EVERY`` rounds the updated state is persisted, and every
+``CHECKPOINT_EVERY`` materializations it is written with ``checkpoint()`` to
+the cluster's checkpoint folder, which bounds the lineage a lost executor
+replays.
 
 The first center of a group is its point with the smallest
 ``md5('<seed>:<id>')``: seeded, the same on a task retry, and reproducible in
@@ -28,26 +32,99 @@ SQL.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+import numpy as np
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import ids_sql, nearest_sqdist_sql, vector_size_stats, vectors_sql
+import pointtally.functions.arrow as arrow_fns
+from pointtally.functions.distance import vector_size_stats
 from pointtally.functions.hashing import seeded_order_key
-from pointtally.operators.pairs import LITERAL_TERMS, nearest_distance
-from pointtally.runtime import broadcast_budget, materialize, point_bytes
+from pointtally.runtime import materialize
 from pointtally.sources.text import validate_points
 
+# The task-side helpers travel by value, so executors need no copy of this
+# package on their path.
+cloudpickle.register_pickle_by_value(arrow_fns)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MATERIALIZE_EVERY = 8
 CHECKPOINT_EVERY = 4
 
-# Coordinates of pending centers inlined into one round's plan; more groups
-# than that switch to a broadcast table of centers joined on the group.
-LITERAL_COORDS = 16384
+# Pending centers larger than this (bytes) go out as a broadcast variable
+# instead of inside every task's closure.
+CLOSURE_BYTES = 1 << 20
 
 CENTERS_SCHEMA = "part bigint, pos bigint, id bigint, v array<double>"
+STATE_SCHEMA = "id bigint, v array<double>, part bigint, md double, taken boolean"
+WINNER_SCHEMA = "part bigint, nmd double, id bigint, v array<double>"
+
+Centers = dict[int, tuple[int, list[float]]]
+
+
+def _apply(batch, payload, dim):
+    """``(ids, part, md, taken, X)`` of a record batch with the pending centers applied."""
+    centers = payload.value if hasattr(payload, "value") else payload
+    ids = batch.column("id").to_numpy(zero_copy_only=False)
+    part = batch.column("part").to_numpy(zero_copy_only=False)
+    md = batch.column("md").to_numpy(zero_copy_only=False).copy()
+    taken = batch.column("taken").to_numpy(zero_copy_only=False).copy()
+    x = arrow_fns.column_matrix(batch.column("v"), dim)
+    for p in np.unique(part):
+        entry = centers.get(int(p))
+        if entry is None:
+            continue
+        cids, cvs = entry
+        sel = slice(None) if len(centers) == 1 else np.nonzero(part == p)[0]
+        md[sel] = np.minimum(md[sel], np.sqrt(arrow_fns.min_sqdist(x[sel], cvs)))
+        taken[sel] |= np.isin(ids[sel], cids)
+    return ids, part, md, taken, x
+
+
+def _winners_fn(payload, dim):
+    """Task function: per batch, the farthest free point of each group."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        schema = pa.schema(
+            [("part", pa.int64()), ("nmd", pa.float64()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))]
+        )
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            ids, part, md, taken, x = _apply(batch, payload, dim)
+            free = ~taken
+            out = {"part": [], "nmd": [], "id": [], "v": []}
+            for p in np.unique(part[free]):
+                sel = np.nonzero(free & (part == p))[0]
+                j = sel[arrow_fns.argmax_first(md[sel], ids[sel])]
+                out["part"].append(int(p))
+                out["nmd"].append(-float(md[j]))
+                out["id"].append(int(ids[j]))
+                out["v"].append(x[j].tolist())
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return run
+
+
+def _rows_fn(payload, dim):
+    """Task function: every row with ``md`` / ``taken`` brought up to date."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            _, _, md, taken, _ = _apply(batch, payload, dim)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(taken)],
+                names=["id", "v", "part", "md", "taken"],
+            )
+
+    return run
 
 
 @dataclass
@@ -56,67 +133,50 @@ class _MinDistState:
 
     base: DataFrame  # id, v, part, md, taken
     dim: int
-    single_group: bool
-    pending: list[dict[int, tuple[int, list[float]]]] = field(default_factory=list)
+    pending: list[Centers] = field(default_factory=list)
     materialized: int = 0
     owned: DataFrame | None = None
 
-    def add(self, centers: dict[int, tuple[int, list[float]]]) -> None:
+    def add(self, centers: Centers) -> None:
         self.pending.append(centers)
         if len(self.pending) >= MATERIALIZE_EVERY:
             self._materialize()
 
-    def frame(self) -> DataFrame:
-        """``(id, v, part, md, taken)`` with every chosen center applied."""
-        if not self.pending:
-            return self.base
+    def _payload(self):
         per_part: dict[int, tuple[list[int], list[list[float]]]] = {}
         for centers in self.pending:
             for p, (cid, cv) in centers.items():
                 ids, vs = per_part.setdefault(p, ([], []))
                 ids.append(cid)
                 vs.append(cv)
-        coords = sum(len(vs) for _, vs in per_part.values()) * max(self.dim, 1)
-        if self.single_group or coords <= LITERAL_COORDS:
-            return self._apply_literals(per_part)
-        return self._apply_broadcast(per_part)
-
-    def _apply_literals(self, per_part) -> DataFrame:
-        """Centers inlined as constants: one projection, no join."""
-        if self.single_group:
-            ids, vs = per_part[0]
-            cvs, cids = vectors_sql(vs), ids_sql(ids)
-        else:
-            cvs = "try_element_at(map(" + ", ".join(
-                f"{p}L, {vectors_sql(vs)}" for p, (_, vs) in sorted(per_part.items())
-            ) + "), part)"
-            cids = "try_element_at(map(" + ", ".join(
-                f"{p}L, {ids_sql(ids)}" for p, (ids, _) in sorted(per_part.items())
-            ) + "), part)"
-        return self.base.selectExpr(
-            "id",
-            "v",
-            "part",
-            f"least(md, sqrt({nearest_sqdist_sql('v', cvs)})) AS md",
-            f"taken OR coalesce(array_contains({cids}, id), false) AS taken",
-        )
+        payload = {
+            p: (np.asarray(ids, dtype=np.int64), np.asarray(vs, dtype=np.float64).reshape(len(ids), self.dim))
+            for p, (ids, vs) in per_part.items()
+        }
+        size = sum(c.nbytes + i.nbytes for i, c in payload.values())
+        if size > CLOSURE_BYTES:
+            return self.base.sparkSession.sparkContext.broadcast(payload)
+        return payload
 
-    def _apply_broadcast(self, per_part) -> DataFrame:
-        """Many groups: the centers travel as a broadcast table keyed by group."""
-        spark = self.base.sparkSession
-        rows = [(p, ids, vs) for p, (ids, vs) in sorted(per_part.items())]
-        table = spark.createDataFrame(rows, "part bigint, cids array<bigint>, cvs array<array<double>>")
-        n_centers = sum(len(ids) for ids, _ in per_part.values())
-        if n_centers * point_bytes(self.dim) <= broadcast_budget(spark):
-            table = F.broadcast(table)
-        joined = self.base.join(table, "part", "left")
-        return joined.selectExpr(
-            "id",
-            "v",
-            "part",
-            f"least(md, sqrt({nearest_sqdist_sql('v', 'cvs')})) AS md",
-            "taken OR coalesce(array_contains(cids, id), false) AS taken",
+    def frame(self) -> DataFrame:
+        """``(id, v, part, md, taken)`` with every chosen center applied."""
+        if not self.pending:
+            return self.base
+        return self.base.mapInArrow(_rows_fn(self._payload(), self.dim), STATE_SCHEMA)
+
+    def farthest(self) -> Centers:
+        """One job: the farthest free point of every group (ties: smallest id)."""
+        if self.pending:
+            partial = self.base.mapInArrow(_winners_fn(self._payload(), self.dim), WINNER_SCHEMA)
+        else:
+            partial = self.base.filter(~F.col("taken")).select("part", (-F.col("md")).alias("nmd"), "id", "v")
+        rows = (
+            partial.groupBy("part")
+            .agg(F.min(F.struct("nmd", "id", "v")).alias("b"))
+            .select("part", "b.id", "b.v")
+            .collect()
         )
+        return _collect_centers(rows)
 
     def _materialize(self) -> None:
         self.materialized += 1
@@ -132,11 +192,11 @@ class _MinDistState:
             self.owned = None
 
 
-def _collect_centers(rows) -> dict[int, tuple[int, list[float]]]:
+def _collect_centers(rows) -> Centers:
     return {int(r["part"]): (int(r["id"]), list(r["v"])) for r in rows if r["id"] is not None}
 
 
-def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, dict[int, tuple[int, list[float]]]]:
+def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, Centers]:
     """One job: validate the points and pick every group's first center.
 
     Returns ``(n, dim, {part: (id, v)})``; the first center of a group is its
@@ -160,15 +220,14 @@ def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, dict[int, t
     return n, int(lo), _collect_centers(rows)
 
 
-def _farthest_remaining(frame: DataFrame, single: bool) -> dict[int, tuple[int, list[float]]]:
-    """The not-yet-taken point with the largest ``md`` of every group (ties: smallest id)."""
-    best = F.min(F.struct((-F.col("md")).alias("nmd"), "id", "v")).alias("b")
-    remaining = frame.filter(~F.col("taken"))
-    if single:
-        rows = remaining.agg(best).select(F.lit(0).alias("part"), "b.id", "b.v").collect()
-    else:
-        rows = remaining.groupBy("part").agg(best).select("part", "b.id", "b.v").collect()
-    return _collect_centers(rows)
+def _state_base(points: DataFrame, part: Column | None) -> DataFrame:
+    return points.select(
+        "id",
+        F.col("v").cast("array<double>").alias("v"),
+        (F.lit(0) if part is None else part).cast("bigint").alias("part"),
+        F.lit(float("inf")).alias("md"),
+        F.lit(False).alias("taken"),
+    )
 
 
 def farthest_first(
@@ -201,16 +260,8 @@ def farthest_first(
     if strict is None:
         strict = part is None
     spark = points.sparkSession
-    single = part is None
-    base = points.select(
-        "id",
-        "v",
-        (F.lit(0) if single else part).cast("bigint").alias("part"),
-        F.lit(float("inf")).alias("md"),
-        F.lit(False).alias("taken"),
-    )
-    cached = base.persist(StorageLevel.MEMORY_AND_DISK)
-    state = _MinDistState(cached, 0, single, owned=cached)
+    cached = _state_base(points, part).persist(StorageLevel.MEMORY_AND_DISK)
+    state = _MinDistState(cached, 0, owned=cached)
     try:
         n, dim, first = _validated_firsts(cached, seed)
         state.dim = dim
@@ -220,7 +271,7 @@ def farthest_first(
         if first:
             state.add(first)
         for pos in range(1, k if first else 1):
-            got = _farthest_remaining(state.frame(), single)
+            got = state.farthest()
             if not got:
                 break
             if strict and len(got) < len(first):
@@ -243,22 +294,17 @@ def farthest_first(
 def nearest_center_distance(points: DataFrame, centers: DataFrame, dim: int | None = None) -> DataFrame:
     """``(id, dist)``: each point's distance to its nearest center.
 
-    ``centers`` is a small ``(id, v)`` set whose rows reach the driver.  Up to
-    :data:`LITERAL_TERMS` coordinates they are one constant in a single
-    projection over the points (no join, no shuffle); a larger set goes
-    through the same chunked min-distance state as the traversal.  ``dim``
-    skips the validation pass when the caller already validated the points.
+    ``centers`` is a small ``(id, v)`` set whose rows reach the driver; they
+    travel with the tasks (or as a broadcast variable when large) and one
+    ``mapInArrow`` pass over the points computes the distances -- no join,
+    no shuffle.  ``dim`` skips the validation pass when the caller already
+    validated the points.
     """
     n, dim = (1, dim) if dim is not None else validate_points(points)
     known = [(int(r["id"]), list(r["v"])) for r in centers.select("id", "v").collect()]
     if n and known and len(known[0][1]) != dim:
         raise ValueError("centers and points differ in dimension")
-    if len(known) * max(dim, 1) <= LITERAL_TERMS:
-        return points.select("id", nearest_distance(F.col("v"), [cv for _, cv in known]).alias("dist"))
-    base = points.select(
-        "id", "v", F.lit(0).cast("bigint").alias("part"), F.lit(float("inf")).alias("md"), F.lit(False).alias("taken")
-    )
-    state = _MinDistState(base, dim, True)
-    for cid, cv in known:
-        state.add({0: (cid, cv)})
-    return state.frame().select("id", F.col("md").alias("dist"))
+    state = _MinDistState(_state_base(points, None), dim)
+    state.pending = [{0: (cid, cv)} for cid, cv in known]
+    md = F.when(F.col("md") == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(F.col("md"))
+    return state.frame().select("id", md.alias("dist"))

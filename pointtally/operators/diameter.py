@@ -6,29 +6,28 @@
   radii ``R_c``; a point with ``min_c(d(p, c) + R_c) < l`` cannot be in a pair
   longer than ``l`` (triangle inequality), so only the survivors are paired.
 * :func:`two_approx_diameter` -- max distance between every point and ``k``
-  sampled points: the sample is inlined as literals, one pass, no join.
+  sampled points: the sample travels with the tasks, one pass, no join.
 * :func:`avg_pairwise_distance` -- mean over all unordered pairs.
 """
 
 from __future__ import annotations
 
 import math
+import sys
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import sqdists_to_set, vector_size_stats, vectors_literal
+import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
-from pointtally.operators.pairs import (
-    LITERAL_TERMS,
-    SMALL_PAIRS,
-    pair_summary,
-    farthest_distance,
-    max_distance_to_set,
-    unordered_pairs,
-)
+from pointtally.operators.pairs import SMALL_PAIRS, pair_summary, unordered_pairs
 from pointtally.sources.text import validate_points
 
+# Task functions defined here travel by value (executors need no copy of the package).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PRUNE_CENTERS = 8
 # Exact pruning is tried from this many points on (its O(k n) passes are then
 # negligible against the O(n^2) pair phase it can remove).
@@ -95,23 +94,66 @@ def exact_diameter(
     return best.select(F.coalesce(F.sqrt("d2"), F.lit(-1.0)).alias("diameter"))
 
 
+def _radii_fn(centers: np.ndarray, dim: int):
+    """Task function: per batch, the largest squared distance to each center."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            d2 = arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers)
+            yield pa.RecordBatch.from_pydict(
+                {"t": list(range(len(centers))), "r2": d2.max(axis=0).tolist()},
+                schema=pa.schema([("t", pa.int64()), ("r2", pa.float64())]),
+            )
+
+    return run
+
+
+def _survivors_fn(centers: np.ndarray, radii: np.ndarray, lower: float, dim: int):
+    """Task function: the points that may still lie on a pair longer than ``lower``."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            d = np.sqrt(arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers))
+            keep = (d + radii[None, :]).min(axis=1) >= lower
+            sub = batch.select(["id", "v"]).filter(keep)
+            if sub.num_rows:
+                yield sub
+
+    return run
+
+
 def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
+    """Exact diameter with triangle-inequality pruning (see module docstring).
+
+    Passes: the farthest-first centers, one for the radii, one that keeps the
+    survivors; then the pair phase over the survivors only.
+    """
     from pointtally.operators.centers import farthest_first
 
     spark = points.sparkSession
-    centers = [list(r["v"]) for r in farthest_first(points, PRUNE_CENTERS).orderBy("pos").collect()]
-    # Lower bound: the exact diameter of the centers, computed with the same
-    # distance expression as every other pair.
-    cpts = spark.createDataFrame([(i, c) for i, c in enumerate(centers)], "id bigint, v array<double>")
-    lower = unordered_pairs(cpts, len(centers), dim, "broadcast").agg(F.sqrt(F.max("d2"))).first()[0] or 0.0
-    cs = vectors_literal(centers)
-    dists = points.select(sqdists_to_set(F.col("v"), cs).alias("ds"))
-    radii = dists.agg(
-        F.array(*[F.sqrt(F.max(F.get(F.col("ds"), t))) for t in range(len(centers))]).alias("r")
-    ).first()["r"]
-    rs = F.array(*[F.lit(float(r)) for r in radii])
-    bound = F.array_min(F.transform(sqdists_to_set(F.col("v"), cs), lambda d2, t: F.sqrt(d2) + F.get(rs, t)))
-    survivors = points.filter(bound >= F.lit(lower * (1.0 - PRUNE_SLACK))).persist()
+    pts = points.select("id", F.col("v").cast("array<double>").alias("v"))
+    rows = farthest_first(pts, PRUNE_CENTERS).orderBy("pos").collect()
+    centers = np.asarray([list(r["v"]) for r in rows], dtype=np.float64).reshape(len(rows), dim)
+    # Lower bound: the exact diameter of the centers (a real pair distance,
+    # computed in the same summation order as every other pair).
+    lower = float(np.sqrt(arrow_fns.sqdists(centers, centers).max())) if len(centers) > 1 else 0.0
+    r2 = dict(
+        (r["t"], r["r2"])
+        for r in pts.mapInArrow(_radii_fn(centers, dim), "t bigint, r2 double")
+        .groupBy("t")
+        .agg(F.max("r2").alias("r2"))
+        .collect()
+    )
+    radii = np.sqrt(np.asarray([r2[t] for t in range(len(centers))]))
+    survivors = pts.mapInArrow(
+        _survivors_fn(centers, radii, lower * (1.0 - PRUNE_SLACK), dim), "id bigint, v array<double>"
+    ).persist()
     try:
         m = survivors.count()
         best = lower
@@ -124,30 +166,64 @@ def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks:
     return _one_value(spark, "diameter", best)
 
 
+def _far_fn(sample: np.ndarray, dim: int):
+    """Task function: per batch, validation counts and the largest squared
+    distance to any sampled point."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        schema = pa.schema(
+            [("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("bad", pa.int64()), ("far", pa.float64())]
+        )
+        for batch in batches:
+            n, lo, hi, bad = arrow_fns.vector_stats(batch.column("v"))
+            if n == 0:
+                continue
+            far = None
+            if not bad and lo == hi == dim:
+                far = float(arrow_fns.max_sqdist(arrow_fns.column_matrix(batch.column("v"), dim), sample).max())
+            yield pa.RecordBatch.from_pydict(
+                {"n": [n], "lo": [lo], "hi": [hi], "bad": [bad], "far": [far]}, schema=schema
+            )
+
+    return run
+
+
 def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``(diameter DOUBLE)``: max distance between any point and ``k`` sampled points.
 
     Lies in ``[D/2, D]``; ``-1`` for ``k = 0``; ``k`` larger than the set fails.
-    Two passes: the seeded top-``k`` sample, then one aggregate that computes
-    the largest distance to the (inlined) sample together with the validation
-    statistics of all points.
+    Two passes: the seeded top-``k`` sample, then one ``mapInArrow`` pass that
+    computes, per record batch, the largest distance to the sample together
+    with the validation counts; Spark reduces the per-batch rows.
     """
     spark = points.sparkSession
     if k < 0:
         raise ValueError(f"sample size must be non-negative, got {k}")
-    sample = [list(r["v"]) for r in sample_points(points, k, seed).collect()] if k else []
-    aggs = vector_size_stats("v")
-    if sample and k * len(sample[0]) <= LITERAL_TERMS:
-        aggs.append(F.max(farthest_distance(F.col("v"), sample)).alias("far"))
-    row = points.agg(*aggs).first()
-    _check_stats(row)
-    if k > row["n"]:
-        raise ValueError(f"cannot sample {k} points from {row['n']}")
     if k == 0:
         return _one_value(spark, "diameter", -1.0)
-    stats = row.asDict()
-    far = stats["far"] if "far" in stats else max_distance_to_set(points, sample, int(row["min_dim"]))
-    return _one_value(spark, "diameter", -1.0 if far is None else far)
+    pts = points.select("id", F.col("v").cast("array<double>").alias("v"))
+    rows = sample_points(pts, k, seed).collect()
+    if len(rows) < k:
+        raise ValueError(f"cannot sample {k} points from {len(rows)}")
+    dim = len(rows[0]["v"] or [])
+    sample = np.asarray([list(r["v"] or []) for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    stats = (
+        pts.mapInArrow(_far_fn(sample, dim), "n bigint, lo bigint, hi bigint, bad bigint, far double")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("lo").alias("min_dim"),
+            F.max("hi").alias("max_dim"),
+            F.sum("bad").alias("n_bad"),
+            F.max("far").alias("far"),
+        )
+        .first()
+    )
+    _check_stats(stats)
+    if stats["min_dim"] != dim:
+        raise ValueError("sampled points and the rest differ in dimension")
+    return _one_value(spark, "diameter", math.sqrt(stats["far"]))
 
 
 def _check_stats(row) -> None:

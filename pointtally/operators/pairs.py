@@ -14,20 +14,17 @@ Pairs (the reference's ``for i, for j > i`` loops) are built one of two ways:
   unique, so no key can be hot.  ``B`` grows with ``n`` so the per-key work
   stays bounded.
 
-Distances to a *small* set of known points (sampled points, centers) never
-join at all: the points' coordinates are inlined as literals into one
-projection (see :func:`nearest_distance`).
+For anything beyond small sets, :func:`pair_summary` never forms pair rows
+at all: Spark shuffles blocks of points and numpy reduces each block pair.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import farthest_sqdist, nearest_sqdist, sqdist
+from pointtally.functions.distance import sqdist
 from pointtally.functions.hashing import stable_bucket
 from pointtally.runtime import fits_broadcast, parallelism, point_bytes
 
@@ -39,10 +36,6 @@ MAX_BLOCK_ROWS = 4096
 # streamed side would cost more than the distance math it parallelizes).
 SMALL_PAIRS = 20_000
 
-# Coordinates inlined into one constant before a known set is split over
-# several passes.
-LITERAL_TERMS = 1 << 16
-
 
 def grid_blocks(spark, n: int) -> int:
     """Number of grid blocks for ``n`` points.
@@ -108,41 +101,6 @@ def unordered_pairs(
     )
 
 
-def _chunks(known: Sequence[Sequence[float]], dim: int) -> list[Sequence[Sequence[float]]]:
-    per = max(1, LITERAL_TERMS // max(dim, 1))
-    return [known[s : s + per] for s in range(0, len(known), per)]
-
-
-def nearest_distance(v: Column, known: Sequence[Sequence[float]]) -> Column:
-    """Distance from ``v`` to the nearest of the known points (null if none)."""
-    if not known:
-        return F.lit(None).cast("double")
-    return F.sqrt(nearest_sqdist(v, known))
-
-
-def farthest_distance(v: Column, known: Sequence[Sequence[float]]) -> Column:
-    """Distance from ``v`` to the farthest of the known points (null if none)."""
-    if not known:
-        return F.lit(None).cast("double")
-    return F.sqrt(farthest_sqdist(v, known))
-
-
-def max_distance_to_set(points: DataFrame, known: Sequence[Sequence[float]], dim: int) -> float | None:
-    """Largest distance from any point to any known point.
-
-    The known points are inlined as one constant per pass (at most
-    :data:`LITERAL_TERMS` coordinates each); each pass is a projection plus a
-    partial ``max``, so one row per task is shuffled.  ``None`` when either
-    side is empty.
-    """
-    best = None
-    for chunk in _chunks(known, dim):
-        got = points.agg(F.max(farthest_distance(F.col("v"), chunk)).alias("m")).first()["m"]
-        if got is not None and (best is None or got > best):
-            best = got
-    return best
-
-
 # ---------------------------------------------------------------- vectorized pair summary
 
 # Points per block for the vectorized path (a group holds two blocks).
