@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.plans import tables as T
+from pointtally.runtime import parallelism, spread
 from pointtally.sources.text import parse_pairs, parse_points, scan_point_tokens, validate_points
 
 # Fixed parameters of the registered queries.
@@ -54,8 +55,17 @@ def q_class_count_rounds(spark, d):
     return O.class_count_rounds(T.labelled_pairs(spark, d), K_GROUPS)
 
 
+def _physical_k(spark) -> int:
+    """K for repartition-based queries: the fixed K, raised to the cluster's
+    parallelism so a large input is never funnelled into K tasks."""
+    return max(K_GROUPS, parallelism(spark))
+
+
 def q_class_count_by_partition(spark, d):
-    return O.class_count_by_partition(T.labelled_pairs(spark, d), K_GROUPS)
+    # The result does not depend on K, so the counts run over the scan's own
+    # partitions (spread over the cores when the file has few splits) and no
+    # extra shuffle of the input is made.
+    return O.class_count_by_partition(spread(T.labelled_pairs(spark, d)))
 
 
 def q_most_frequent_class(spark, d):
@@ -67,7 +77,7 @@ def q_max_partition_size(spark, d):
 
 
 def q_max_partition_size_physical(spark, d):
-    return O.max_partition_size_physical(T.labelled_pairs(spark, d), K_GROUPS)
+    return O.max_partition_size_physical(T.labelled_pairs(spark, d), _physical_k(spark))
 
 
 # ------------------------------------------------------------------ words
