@@ -166,16 +166,21 @@ class _MinDistState:
 
     def farthest(self) -> Centers:
         """One job: the farthest free point of every group (ties: smallest id)."""
-        if self.pending:
-            partial = self.base.mapInArrow(_winners_fn(self._payload(), self.dim), WINNER_SCHEMA)
+        payload = self._payload() if self.pending else None
+        if payload is not None:
+            partial = self.base.mapInArrow(_winners_fn(payload, self.dim), WINNER_SCHEMA)
         else:
             partial = self.base.filter(~F.col("taken")).select("part", (-F.col("md")).alias("nmd"), "id", "v")
-        rows = (
-            partial.groupBy("part")
-            .agg(F.min(F.struct("nmd", "id", "v")).alias("b"))
-            .select("part", "b.id", "b.v")
-            .collect()
-        )
+        try:
+            rows = (
+                partial.groupBy("part")
+                .agg(F.min(F.struct("nmd", "id", "v")).alias("b"))
+                .select("part", "b.id", "b.v")
+                .collect()
+            )
+        finally:
+            if hasattr(payload, "unpersist"):
+                payload.unpersist()
         return _collect_centers(rows)
 
     def _materialize(self) -> None:

@@ -60,11 +60,13 @@ def unordered_pairs(
 
     ``points`` is ``(id, v)`` with unique ids, already validated to ``n``
     points of dimension ``dim``.  ``strategy`` is ``"auto"``, ``"broadcast"``
-    or ``"grid"``.
+    (taken only when the counted set fits the broadcast budget) or ``"grid"``.
     """
     spark = points.sparkSession
     pts = points.select("id", "v")
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
+        # Broadcast only a set whose counted size fits the session's budget;
+        # beyond it the grid is the other way.
         strategy = "broadcast" if fits_broadcast(spark, n, point_bytes(dim)) else "grid"
     if strategy == "broadcast":
         streamed = pts
