@@ -29,20 +29,29 @@ def word_count_stream(docs: DataFrame) -> DataFrame:
 
 
 def run_available(
-    counts: DataFrame, query_name: str, checkpoint_location: str, output_mode: str = "complete"
+    counts: DataFrame,
+    query_name: str,
+    checkpoint_location: str,
+    output_mode: str = "complete",
+    fmt: str = "memory",
+    **options: str,
 ) -> StreamingQuery:
-    """Process everything available now into the memory table ``query_name``.
+    """Process everything available now, then stop.
 
-    ``checkpoint_location`` holds the offsets and the aggregation state, so a
-    restarted query (or a lost executor) resumes without recounting.
+    ``fmt``/``options`` name the sink (``memory`` registers the table
+    ``query_name``, for tests; a cluster writes e.g. ``delta``/``parquet`` or
+    uses ``foreachBatch``).  ``checkpoint_location`` holds the offsets and the
+    aggregation state, so a restarted query (or a lost executor) resumes
+    without recounting.
     """
-    query = (
+    writer = (
         counts.writeStream.outputMode(output_mode)
-        .format("memory")
+        .format(fmt)
         .queryName(query_name)
         .option("checkpointLocation", checkpoint_location)
+        .options(**options)
         .trigger(availableNow=True)
-        .start()
     )
+    query = writer.start()
     query.awaitTermination()
     return query
