@@ -3,7 +3,7 @@
 Spark evaluates array arithmetic element by element (about 10 µs per 64-d
 distance, measured); a record batch's ``ARRAY<DOUBLE>`` column is one flat
 buffer that numpy reads without copying, so the same distances cost tens of
-nanoseconds.  These helpers are used by ``mapInArrow`` / ``applyInPandas``
+nanoseconds.  These helpers are used by ``mapInArrow`` / ``applyInArrow``
 steps whose partitioning, shuffles and final aggregation stay in Spark.
 
 Squared distances are always summed one dimension at a time starting from

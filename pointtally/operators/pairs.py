@@ -21,13 +21,21 @@ at all: Spark shuffles blocks of points and numpy reduces each block pair.
 from __future__ import annotations
 
 import math
+import sys
+
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.distance import sqdist
 from pointtally.functions.hashing import stable_bucket
 from pointtally.runtime import fits_broadcast, parallelism, point_bytes
 
+# Task functions defined here travel by value (executors need no copy of the package).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Points per grid block above which B is raised (bounds a join key's work to
 # about MAX_BLOCK_ROWS**2 distance evaluations).
 MAX_BLOCK_ROWS = 4096
@@ -118,25 +126,24 @@ SUMMARY_SCHEMA = "d2 double, i bigint, j bigint, sum_d double, n_pairs bigint"
 def _block_kernel(dim: int):
     """The per-group function: all pairs between two blocks, reduced in numpy.
 
-    Returns one row: the farthest pair (ties: smallest ``(i, j)``), the sum of
-    pair distances and the number of pairs.  Squared distances are summed one
+    Receives the group's key ``(ki, kj)`` and its rows as an Arrow table (the
+    coordinates arrive as one flat buffer, no per-row objects) and returns one
+    row: the farthest pair (ties: smallest ``(i, j)``), the sum of pair
+    distances and the number of pairs.  Squared distances are summed one
     dimension at a time starting from zero -- the order of the JVM expression
     and of ``Vectors.sqdist`` -- so the values are bit-identical to the
-    row-at-a-time path.  Defined as a closure so Spark ships it by value.
+    row-at-a-time path.
     """
 
-    def kernel(pdf):
-        import numpy as np
-        import pandas as pd
+    def kernel(keys, table):
+        import pyarrow as pa
 
-        ki, kj = int(pdf["ki"].iloc[0]), int(pdf["kj"].iloc[0])
-        ids = pdf["id"].to_numpy(dtype=np.int64)
-        blk = pdf["b"].to_numpy(dtype=np.int64)
-        vecs = np.stack(pdf["v"].to_numpy()).astype(np.float64, copy=False) if len(pdf) else np.empty((0, dim))
-        if vecs.ndim == 1:
-            vecs = vecs.reshape(len(pdf), -1)
+        ki, kj = int(keys[0].as_py()), int(keys[1].as_py())
+        ids = table.column("id").to_numpy()
+        blk = table.column("b").to_numpy()
+        vecs = arrow_fns.column_matrix(table.column("v"), dim)
         diag = ki == kj
-        sel_a = np.ones(len(pdf), dtype=bool) if diag else blk == ki
+        sel_a = np.ones(len(ids), dtype=bool) if diag else blk == ki
         sel_b = sel_a if diag else blk == kj
         ida, idb = ids[sel_a], ids[sel_b]
         at = np.ascontiguousarray(vecs[sel_a].T)
@@ -176,12 +183,13 @@ def _block_kernel(dim: int):
                 cand = (-top, int(pi[order[0]]), int(pj[order[0]]))
                 if best is None or cand < best:
                     best = cand
+        schema = pa.schema(
+            [("d2", pa.float64()), ("i", pa.int64()), ("j", pa.int64()), ("sum_d", pa.float64()), ("n_pairs", pa.int64())]
+        )
         if best is None:
-            return pd.DataFrame({"d2": [None], "i": [None], "j": [None], "sum_d": [0.0], "n_pairs": [0]}).astype(
-                {"d2": "float64", "i": "Int64", "j": "Int64", "sum_d": "float64", "n_pairs": "int64"}
-            )
-        return pd.DataFrame(
-            {"d2": [-best[0]], "i": [best[1]], "j": [best[2]], "sum_d": [total], "n_pairs": [count]}
+            return pa.table({"d2": [None], "i": [None], "j": [None], "sum_d": [0.0], "n_pairs": [0]}, schema=schema)
+        return pa.table(
+            {"d2": [-best[0]], "i": [best[1]], "j": [best[2]], "sum_d": [total], "n_pairs": [count]}, schema=schema
         )
 
     return kernel
@@ -214,7 +222,7 @@ def pair_summary(points: DataFrame, n: int, dim: int, blocks: int | None = None)
         blk.alias("b"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint"))).alias("o"),
     ).select("id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj"))
-    partial = copies.groupBy("ki", "kj").applyInPandas(_block_kernel(dim), SUMMARY_SCHEMA)
+    partial = copies.groupBy("ki", "kj").applyInArrow(_block_kernel(dim), SUMMARY_SCHEMA)
     best = F.min(F.when(F.col("d2").isNotNull(), F.struct((-F.col("d2")).alias("nd2"), "i", "j")))
     return partial.agg(
         best.alias("best"),
