@@ -54,6 +54,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MATERIALIZE_EVERY = 8
 CHECKPOINT_EVERY = 4
 
+# One center per group per round reaches the driver, so the number of groups
+# is bounded (the coreset's L, not a data-sized key).
+MAX_GROUPS = 100_000
+
 # Pending centers larger than this (bytes) go out as a broadcast variable
 # instead of inside every task's closure.
 CLOSURE_BYTES = 1 << 20
@@ -78,7 +82,8 @@ def _apply(batch, payload, dim):
         if entry is None:
             continue
         cids, cvs = entry
-        sel = slice(None) if len(centers) == 1 else np.nonzero(part == p)[0]
+        mask = part == p
+        sel = slice(None) if mask.all() else np.nonzero(mask)[0]
         md[sel] = np.minimum(md[sel], np.sqrt(arrow_fns.min_sqdist(x[sel], cvs)))
         taken[sel] |= np.isin(ids[sel], cids)
     return ids, part, md, taken, x
@@ -211,8 +216,11 @@ def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, Centers]:
         base.groupBy("part")
         .agg(*vector_size_stats("v"), F.min(F.struct(seeded_order_key(seed).alias("h"), "id", "v")).alias("c"))
         .select("part", "n", "min_dim", "max_dim", "n_bad", "c.id", "c.v")
+        .limit(MAX_GROUPS + 1)
         .collect()
     )
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups; use fewer, larger groups")
     n = sum(int(r["n"]) for r in rows)
     if n == 0:
         return 0, 0, {}
