@@ -27,7 +27,8 @@ replays.
 
 The first center of a group is its point with the smallest
 ``md5('<seed>:<id>')``: seeded, the same on a task retry, and reproducible in
-SQL.
+SQL.  It comes from the first job, which also validates the points and fills
+the cache.
 """
 
 from __future__ import annotations
@@ -41,7 +42,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
-from pointtally.functions.distance import vector_size_stats
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.runtime import materialize
 from pointtally.sources.text import validate_points
@@ -206,15 +206,72 @@ def _collect_centers(rows) -> Centers:
     return {int(r["part"]): (int(r["id"]), list(r["v"])) for r in rows if r["id"] is not None}
 
 
+def _firsts_fn():
+    """Task function: per batch and group, validation counts and the point with
+    the smallest ``(h, id)`` -- partial rows for Spark to reduce, no sort."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        schema = pa.schema(
+            [
+                ("part", pa.int64()),
+                ("n", pa.int64()),
+                ("lo", pa.int64()),
+                ("hi", pa.int64()),
+                ("bad", pa.int64()),
+                ("h", pa.string()),
+                ("id", pa.int64()),
+                ("v", pa.list_(pa.float64())),
+            ]
+        )
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            part = batch.column("part").to_numpy(zero_copy_only=False)
+            out = {name: [] for name in schema.names}
+            for p in np.unique(part):
+                mask = part == p
+                sub = batch if mask.all() else batch.filter(pa.array(mask))
+                n, lo, hi, bad = arrow_fns.vector_stats(sub.column("v"))
+                h = sub.column("h")
+                hmin = pc.min(h).as_py()
+                ids = sub.column("id").to_numpy(zero_copy_only=False)
+                cand = np.nonzero(pc.equal(h, hmin).to_numpy(zero_copy_only=False))[0]
+                j = int(cand[np.argmin(ids[cand])])
+                for name, value in (
+                    ("part", int(p)), ("n", n), ("lo", lo), ("hi", hi), ("bad", bad),
+                    ("h", hmin), ("id", int(ids[j])), ("v", sub.column("v")[j].as_py()),
+                ):
+                    out[name].append(value)
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return run
+
+
 def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, Centers]:
     """One job: validate the points and pick every group's first center.
 
     Returns ``(n, dim, {part: (id, v)})``; the first center of a group is its
-    point with the smallest ``md5('<seed>:<id>')`` (ties: id).
+    point with the smallest ``md5('<seed>:<id>')`` (ties: id).  The hash is a
+    Spark expression; an Arrow pass reduces each batch to one partial row per
+    group, so no task sorts its rows (a ``min`` over a struct holding an
+    array would force a sort-based aggregate).
     """
+    keyed = base.select("id", "v", "part", seeded_order_key(seed).alias("h"))
+    partial = keyed.mapInArrow(
+        _firsts_fn(), "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint, v array<double>"
+    )
     rows = (
-        base.groupBy("part")
-        .agg(*vector_size_stats("v"), F.min(F.struct(seeded_order_key(seed).alias("h"), "id", "v")).alias("c"))
+        partial.groupBy("part")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("lo").alias("min_dim"),
+            F.max("hi").alias("max_dim"),
+            F.sum("bad").alias("n_bad"),
+            F.min(F.struct("h", "id", "v")).alias("c"),
+        )
         .select("part", "n", "min_dim", "max_dim", "n_bad", "c.id", "c.v")
         .limit(MAX_GROUPS + 1)
         .collect()
@@ -226,7 +283,7 @@ def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, Centers]:
         return 0, 0, {}
     bad = sum(int(r["n_bad"]) for r in rows)
     if bad:
-        raise ValueError(f"{bad} point(s) have a null or NaN coordinate")
+        raise ValueError(f"{bad} null or NaN coordinate(s) or null point(s)")
     lo, hi = min(r["min_dim"] for r in rows), max(r["max_dim"] for r in rows)
     if lo != hi:
         raise ValueError(f"points of mixed dimension: {lo} to {hi}")
