@@ -78,6 +78,36 @@ def sqdists(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return out
 
 
+def group_segments(keys: np.ndarray):
+    """Yield ``(key, row indices)`` for every distinct key, via one stable sort.
+
+    Costs ``O(n log n)`` per batch whatever the number of keys (a mask per key
+    would cost ``O(n * keys)``).  A batch with a single key yields ``slice(None)``.
+    """
+    n = len(keys)
+    if n == 0:
+        return
+    if keys.min() == keys.max():
+        yield int(keys[0]), slice(None)
+        return
+    order = np.argsort(keys, kind="stable")
+    sk = keys[order]
+    starts = np.flatnonzero(np.r_[True, sk[1:] != sk[:-1]])
+    ends = np.r_[starts[1:], n]
+    for s, e in zip(starts, ends):
+        yield int(sk[s]), order[s:e]
+
+
+def first_per_group(keys: np.ndarray, *order_cols: np.ndarray) -> np.ndarray:
+    """Row index of the first row of every key group, ordered by ``order_cols``
+    (lexicographic, ascending)."""
+    if len(keys) == 0:
+        return np.zeros(0, dtype=np.int64)
+    o = np.lexsort(tuple(reversed(order_cols)) + (keys,))
+    sk = keys[o]
+    return o[np.r_[True, sk[1:] != sk[:-1]]]
+
+
 def argmax_first(values: np.ndarray, ids: np.ndarray) -> int:
     """Index of the largest value, ties to the smallest id."""
     top = values.max()

@@ -77,15 +77,13 @@ def _apply(batch, payload, dim):
     md = batch.column("md").to_numpy(zero_copy_only=False).copy()
     taken = batch.column("taken").to_numpy(zero_copy_only=False).copy()
     x = arrow_fns.column_matrix(batch.column("v"), dim)
-    for p in np.unique(part):
-        entry = centers.get(int(p))
+    for p, rows in arrow_fns.group_segments(part):
+        entry = centers.get(p)
         if entry is None:
             continue
         cids, cvs = entry
-        mask = part == p
-        sel = slice(None) if mask.all() else np.nonzero(mask)[0]
-        md[sel] = np.minimum(md[sel], np.sqrt(arrow_fns.min_sqdist(x[sel], cvs)))
-        taken[sel] |= np.isin(ids[sel], cids)
+        md[rows] = np.minimum(md[rows], np.sqrt(arrow_fns.min_sqdist(x[rows], cvs)))
+        taken[rows] |= np.isin(ids[rows], cids)
     return ids, part, md, taken, x
 
 
@@ -102,15 +100,15 @@ def _winners_fn(payload, dim):
             if batch.num_rows == 0:
                 continue
             ids, part, md, taken, x = _apply(batch, payload, dim)
-            free = ~taken
-            out = {"part": [], "nmd": [], "id": [], "v": []}
-            for p in np.unique(part[free]):
-                sel = np.nonzero(free & (part == p))[0]
-                j = sel[arrow_fns.argmax_first(md[sel], ids[sel])]
-                out["part"].append(int(p))
-                out["nmd"].append(-float(md[j]))
-                out["id"].append(int(ids[j]))
-                out["v"].append(x[j].tolist())
+            free = np.flatnonzero(~taken)
+            # farthest free point per group: order by (-md, id) within group
+            best = free[arrow_fns.first_per_group(part[free], -md[free], ids[free])]
+            out = {
+                "part": part[best].tolist(),
+                "nmd": (-md[best]).tolist(),
+                "id": ids[best].tolist(),
+                "v": [x[j].tolist() for j in best],
+            }
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return run
@@ -231,9 +229,8 @@ def _firsts_fn():
                 continue
             part = batch.column("part").to_numpy(zero_copy_only=False)
             out = {name: [] for name in schema.names}
-            for p in np.unique(part):
-                mask = part == p
-                sub = batch if mask.all() else batch.filter(pa.array(mask))
+            for p, rows in arrow_fns.group_segments(part):
+                sub = batch if isinstance(rows, slice) else batch.take(pa.array(rows))
                 n, lo, hi, bad = arrow_fns.vector_stats(sub.column("v"))
                 h = sub.column("h")
                 hmin = pc.min(h).as_py()
@@ -241,7 +238,7 @@ def _firsts_fn():
                 cand = np.nonzero(pc.equal(h, hmin).to_numpy(zero_copy_only=False))[0]
                 j = int(cand[np.argmin(ids[cand])])
                 for name, value in (
-                    ("part", int(p)), ("n", n), ("lo", lo), ("hi", hi), ("bad", bad),
+                    ("part", p), ("n", n), ("lo", lo), ("hi", hi), ("bad", bad),
                     ("h", hmin), ("id", int(ids[j])), ("v", sub.column("v")[j].as_py()),
                 ):
                     out[name].append(value)

@@ -130,3 +130,14 @@ def test_many_groups_use_broadcast_variable(spark, monkeypatch):
     monkeypatch.setattr(C, "CLOSURE_BYTES", 0)
     got = sorted(map(tuple, O.coreset(df, 4, 6).select("part", "pos", "id").collect()))
     assert got == want
+
+
+def test_many_small_groups_match_brute_force(spark):
+    coords = [[float((i * 37) % 17), float((i * 11) % 7)] for i in range(200)]
+    df = points_df(spark, coords)
+    got = {}
+    for r in O.coreset(df, 3, 50).collect():
+        got.setdefault(r["part"], []).append((r["pos"], r["id"]))
+    for g in range(50):
+        members = {i: coords[i] for i in range(200) if i % 50 == g}
+        assert [i for _, i in sorted(got[g])] == brute_farthest_first(members, 3)
