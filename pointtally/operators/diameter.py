@@ -1,10 +1,11 @@
 """Maximum and average pairwise distance, and seeded point sampling.
 
-* :func:`exact_diameter` -- max over all unordered pairs.  On the grid path
-  (point sets beyond the broadcast budget) it first prunes exactly: a few
-  farthest-first centers give a lower bound ``l`` (a real pair distance) and
-  radii ``R_c``; a point with ``min_c(d(p, c) + R_c) < l`` cannot be in a pair
-  longer than ``l`` (triangle inequality), so only the survivors are paired.
+* :func:`exact_diameter` -- max over all unordered pairs (JVM pair rows for
+  small sets, the vectorized block kernel beyond).  From ``PRUNE_MIN_POINTS``
+  points on it first prunes exactly: a few farthest-first centers give a lower
+  bound ``l`` (a real pair distance) and radii ``R_c``; a point with
+  ``min_c(d(p, c) + R_c) < l`` cannot be in a pair longer than ``l``
+  (triangle inequality), so only the survivors are paired.
 * :func:`two_approx_diameter` -- max distance between every point and ``k``
   sampled points: the sample travels with the tasks, one pass, no join.
 * :func:`avg_pairwise_distance` -- mean over all unordered pairs.
@@ -63,7 +64,7 @@ def resolve_strategy(strategy: str, n: int) -> str:
 
 def _max_d2(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
     if strategy == "vectorized":
-        return pair_summary(points, n, dim, blocks).select("d2")
+        return pair_summary(points, n, dim, blocks, with_sum=False).select("d2")
     return unordered_pairs(points, n, dim, strategy, blocks).agg(F.max("d2").alias("d2"))
 
 

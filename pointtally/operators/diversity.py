@@ -57,7 +57,7 @@ def greedy_matching(
         # no pair table is materialized, so memory stays linear in n.
         for _ in range(k // 2):
             remaining = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
-            best = pair_summary(remaining, n - len(used), dim).first()
+            best = pair_summary(remaining, n - len(used), dim, with_sum=False).first()
             used.extend([int(best["i"]), int(best["j"])])
     else:
         pairs = unordered_pairs(points, n, dim, strategy).persist(StorageLevel.MEMORY_AND_DISK)

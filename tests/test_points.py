@@ -237,3 +237,13 @@ def test_greedy_vectorized_matches_rows(pts2d, k):
     a = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="vectorized").orderBy("pos").collect()]
     b = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="broadcast").orderBy("pos").collect()]
     assert a == b and len(set(a)) == k
+
+
+def test_balanced_block_placement_same_result(spark, monkeypatch):
+    from pointtally.operators import pairs as P
+
+    pts = T.points(spark, f"{SF}/sf0.001")
+    want = tuple(O.pair_summary(pts, 500, 64, blocks=4).first())
+    monkeypatch.setattr(P, "BALANCE_PAIRS", 0)
+    got = tuple(O.pair_summary(pts, 500, 64, blocks=4).first())
+    assert got == want
