@@ -21,3 +21,19 @@ def test_class_count_stream_matches_batch(spark, tmp_path):
     got = sorted(map(tuple, spark.table("pt_counts").collect()))
     want = sorted(map(tuple, O.class_count(T.labelled_pairs(spark, f"{SF}/sf0.001")).collect()))
     assert got == want
+
+
+def test_word_count_stream_matches_batch(spark, tmp_path):
+    from pointtally.streaming import word_count_stream
+
+    docs = T.table(spark, f"{SF}/sf0.001", "documents").select("doc_id", "text")
+    stream_dir, ckpt = str(tmp_path / "docs"), str(tmp_path / "ckpt")
+    docs.filter("doc_id % 2 = 0").coalesce(1).write.mode("append").parquet(stream_dir)
+    stream = spark.readStream.schema(docs.schema).parquet(stream_dir)
+    run_available(word_count_stream(stream), "pt_words", ckpt)
+    docs.filter("doc_id % 2 = 1").coalesce(1).write.mode("append").parquet(stream_dir)
+    stream = spark.readStream.schema(docs.schema).parquet(stream_dir)
+    run_available(word_count_stream(stream), "pt_words", ckpt)
+    got = spark.table("pt_words")
+    want = O.word_count(T.tokens(spark, f"{SF}/sf0.001"))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
