@@ -1,6 +1,8 @@
-"""Unordered point pairs and distances to a small known point set.
+"""Unordered point pairs (the reference's ``for i, for j > i`` loops).
 
-Pairs (the reference's ``for i, for j > i`` loops) are built one of two ways:
+:func:`unordered_pairs` returns the pairs as rows ``(i, j, d2)`` -- the form
+used for small sets (at most ``SMALL_PAIRS`` pairs, e.g. a coreset) -- built
+one of two ways:
 
 * **broadcast** — when the counted point set fits the session's broadcast
   budget, one copy is broadcast and the other is spread over the cluster; the
@@ -40,8 +42,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # about MAX_BLOCK_ROWS**2 distance evaluations).
 MAX_BLOCK_ROWS = 4096
 
-# Below this many pairs the broadcast join runs as one task (spreading the
-# streamed side would cost more than the distance math it parallelizes).
+# Up to this many pairs the operators use pair rows (and the broadcast join
+# runs as one task: spreading it would cost more than the math); beyond it
+# they use the vectorized block summary.
 SMALL_PAIRS = 20_000
 
 
