@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointtally.functions.distance import ids_literal
-from pointtally.operators.centers import farthest_first
+from pointtally.operators.centers import CHECKPOINT_EVERY, farthest_first
 from pointtally.operators.diameter import avg_pairwise_distance
 from pointtally.operators.diameter import resolve_strategy
-from pointtally.operators.pairs import pair_summary, unordered_pairs
+from pointtally.operators.pairs import best_pair, kernel_blocks, pair_groups, unordered_pairs
+from pointtally.runtime import materialize
 from pointtally.sources.text import validate_points
 
 RESULT_SCHEMA = "pos bigint, id bigint"
@@ -53,12 +54,7 @@ def greedy_matching(
     strategy = resolve_strategy(strategy, n)
     used: list[int] = []
     if strategy == "vectorized":
-        # Each round is one vectorized pass over the pairs of unused points;
-        # no pair table is materialized, so memory stays linear in n.
-        for _ in range(k // 2):
-            remaining = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
-            best = pair_summary(remaining, n - len(used), dim, with_sum=False).first()
-            used.extend([int(best["i"]), int(best["j"])])
+        used = _greedy_by_blocks(points, n, dim, k)
     else:
         pairs = unordered_pairs(points, n, dim, strategy).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -77,6 +73,48 @@ def greedy_matching(
     return _positions(points, used)
 
 
+def _greedy_by_blocks(points: DataFrame, n: int, dim: int, k: int) -> list[int]:
+    """Greedy rounds over block pairs, recomputing only what a round changes.
+
+    Round 1 reduces every block pair to its farthest pair (one pass over all
+    pairs, kept as one small row per block pair).  Once a pair is chosen, a
+    block pair's best changes only if that best touches a used point: its
+    remaining pairs are a subset that still holds the old best, and ties
+    break the same way.  So each later round recomputes just the block pairs
+    whose best was hit (excluding every used point), instead of all pairs.
+    """
+    if k < 2:
+        return []
+    nb = kernel_blocks(points.sparkSession, n)
+    bests = materialize(pair_groups(points, n, dim, nb, with_sum=False).select("ki", "kj", "d2", "i", "j"), False)
+    used: list[int] = []
+    try:
+        for r in range(k // 2):
+            best = bests.agg(best_pair().alias("b")).first()["b"]
+            used.extend([int(best["i"]), int(best["j"])])
+            if r == k // 2 - 1:
+                break
+            gone = ids_literal(used)
+            hit = [
+                (int(row["ki"]), int(row["kj"]))
+                for row in bests.filter(F.array_contains(gone, F.col("i")) | F.array_contains(gone, F.col("j")))
+                .select("ki", "kj")
+                .collect()
+            ]
+            remaining = points.filter(~F.array_contains(gone, F.col("id")))
+            fresh = pair_groups(remaining, n - len(used), dim, nb, with_sum=False, only=hit)
+            keys = points.sparkSession.createDataFrame(hit, "ki bigint, kj bigint")
+            updated = bests.join(F.broadcast(keys), ["ki", "kj"], "left_anti").unionByName(
+                fresh.select("ki", "kj", "d2", "i", "j")
+            )
+            updated = materialize(updated, (r + 1) % CHECKPOINT_EVERY == 0)
+            bests.unpersist()
+            bests = updated
+    finally:
+        bests.unpersist()
+    return used
+
+
 def coreset(
     points: DataFrame,
     k: int,

@@ -27,7 +27,7 @@ import sys
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
@@ -123,7 +123,7 @@ KERNEL_BLOCK_ROWS = 16384
 # Rows of one block processed at a time (keeps the working arrays in cache).
 KERNEL_CHUNK = 64
 
-SUMMARY_SCHEMA = "d2 double, i bigint, j bigint, sum_d double, n_pairs bigint"
+GROUP_SCHEMA = "ki bigint, kj bigint, d2 double, i bigint, j bigint, sum_d double, n_pairs bigint"
 
 # From this many pairs on, each block pair gets its own task.
 BALANCE_PAIRS = 50_000_000
@@ -206,12 +206,22 @@ def _block_kernel(dim: int, with_sum: bool):
                 if best is None or cand < best:
                     best = cand
         schema = pa.schema(
-            [("d2", pa.float64()), ("i", pa.int64()), ("j", pa.int64()), ("sum_d", pa.float64()), ("n_pairs", pa.int64())]
+            [
+                ("ki", pa.int64()),
+                ("kj", pa.int64()),
+                ("d2", pa.float64()),
+                ("i", pa.int64()),
+                ("j", pa.int64()),
+                ("sum_d", pa.float64()),
+                ("n_pairs", pa.int64()),
+            ]
         )
         if best is None:
-            return pa.table({"d2": [None], "i": [None], "j": [None], "sum_d": [0.0], "n_pairs": [0]}, schema=schema)
+            best = (None, None, None)
+        d2_out = None if best[0] is None else -best[0]
         return pa.table(
-            {"d2": [-best[0]], "i": [best[1]], "j": [best[2]], "sum_d": [total], "n_pairs": [count]}, schema=schema
+            {"ki": [ki], "kj": [kj], "d2": [d2_out], "i": [best[1]], "j": [best[2]], "sum_d": [total], "n_pairs": [count]},
+            schema=schema,
         )
 
     return kernel
@@ -224,19 +234,23 @@ def kernel_blocks(spark, n: int) -> int:
     return max(1, min(by_tasks, n), math.ceil(n / KERNEL_BLOCK_ROWS))
 
 
-def pair_summary(
-    points: DataFrame, n: int, dim: int, blocks: int | None = None, with_sum: bool = True
+def pair_groups(
+    points: DataFrame,
+    n: int,
+    dim: int,
+    blocks: int | None = None,
+    with_sum: bool = True,
+    only: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """One row over all unordered pairs: ``(d2, i, j, sum_d, n_pairs)``.
+    """One row per block pair: ``(ki, kj, d2, i, j, sum_d, n_pairs)``.
 
-    ``d2, i, j`` is the farthest pair (squared distance; ties to the smallest
-    ``(i, j)``), ``sum_d`` the sum of distances (0 unless ``with_sum``),
-    ``n_pairs`` their number.
     Spark hashes the points into ``B`` blocks and sends each point to the
     ``B`` keys ``(min(b, o), max(b, o))``; every key's group holds two blocks
-    (bounded size: ids are unique, so no block is hot), numpy reduces the
-    block pair, and only one partial row per group is aggregated.  No pair
-    ever exists as a Spark row.
+    (bounded size: ids are unique, so no block is hot) and numpy reduces the
+    block pair to its farthest pair (ties: smallest ``(i, j)``), the sum of
+    its distances (0 unless ``with_sum``) and its number of pairs.  No pair
+    ever exists as a Spark row.  ``only`` restricts the work to the listed
+    keys (the same ``blocks`` must then be passed again).
     """
     spark = points.sparkSession
     nb = blocks or kernel_blocks(spark, n)
@@ -247,17 +261,38 @@ def pair_summary(
         blk.alias("b"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint"))).alias("o"),
     ).select("id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj"))
-    if n * (n - 1) // 2 >= BALANCE_PAIRS:
+    groups = nb * (nb + 1) // 2
+    if only is not None:
+        codes = sorted({int(a) * nb + int(b) for a, b in only})
+        copies = copies.filter((F.col("ki") * F.lit(nb) + F.col("kj")).isin(codes))
+        groups = len(codes)
+    if groups and n * (n - 1) // 2 * groups // (nb * (nb + 1) // 2) >= BALANCE_PAIRS:
         # One block pair per task: a range partitioning on the key gives every
         # group its own partition (hashing B(B+1)/2 keys into the shuffle
         # partitions leaves some tasks with several groups and others idle;
         # 1.8x slower measured).  Its sampling pass is cheap next to the pairs.
-        groups = nb * (nb + 1) // 2
         copies = copies.repartitionByRange(groups, "ki", "kj")
-    partial = copies.groupBy("ki", "kj").applyInArrow(_block_kernel(dim, with_sum), SUMMARY_SCHEMA)
-    best = F.min(F.when(F.col("d2").isNotNull(), F.struct((-F.col("d2")).alias("nd2"), "i", "j")))
+    return copies.groupBy("ki", "kj").applyInArrow(_block_kernel(dim, with_sum), GROUP_SCHEMA)
+
+
+def best_pair() -> Column:
+    """Aggregate: ``struct(-d2, i, j)`` of the farthest pair over group rows."""
+    return F.min(F.when(F.col("d2").isNotNull(), F.struct((-F.col("d2")).alias("nd2"), "i", "j")))
+
+
+def pair_summary(
+    points: DataFrame, n: int, dim: int, blocks: int | None = None, with_sum: bool = True
+) -> DataFrame:
+    """One row over all unordered pairs: ``(d2, i, j, sum_d, n_pairs)``.
+
+    ``d2, i, j`` is the farthest pair (squared distance; ties to the smallest
+    ``(i, j)``), ``sum_d`` the sum of distances (0 unless ``with_sum``),
+    ``n_pairs`` their number -- the block-pair rows of :func:`pair_groups`
+    reduced by one small aggregate.
+    """
+    partial = pair_groups(points, n, dim, blocks, with_sum)
     return partial.agg(
-        best.alias("best"),
+        best_pair().alias("best"),
         F.sum("sum_d").alias("sum_d"),
         F.sum("n_pairs").cast("bigint").alias("n_pairs"),
     ).select(

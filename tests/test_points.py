@@ -232,7 +232,7 @@ def test_vectorized_ties_and_empty_blocks(spark):
     assert (got["d2"], got["i"], got["j"], got["n_pairs"]) == (25.0, 10, 11, 15)
 
 
-@pytest.mark.parametrize("k", [4, 5])
+@pytest.mark.parametrize("k", [4, 5, 9])
 def test_greedy_vectorized_matches_rows(pts2d, k):
     a = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="vectorized").orderBy("pos").collect()]
     b = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="broadcast").orderBy("pos").collect()]
