@@ -1,12 +1,14 @@
 """Diversity maximization: coreset, greedy matching, and their composition.
 
 :func:`greedy_matching` is the sequential remote-clique 2-approximation of the
-reference re-aimed at DataFrames: the unordered pairs of the input (with
-squared distances, as the reference compares them) are built once; each of
-the ``k // 2`` rounds is one aggregate ``min(struct(-d2, i, j))`` over the
-pairs whose ends are both unused, i.e. the farthest remaining pair with ties
-to the first ``(i, j)``; for odd ``k`` the smallest unused id is added.  Only
-the chosen ids (at most ``k``) ever reach the driver.
+reference re-aimed at DataFrames: each of the ``k // 2`` rounds takes the
+farthest pair whose ends are both unused (squared distances, as the reference
+compares them; ties to the first ``(i, j)``), and for odd ``k`` the smallest
+unused id is added.  Small sets cache their pair rows and run each round as
+one aggregate ``min(struct(-d2, i, j))``; large sets keep one best pair per
+block pair and recompute, per round, only the block pairs that round touched
+(:func:`_greedy_by_blocks`).  Only the chosen ids (at most ``k``) ever reach
+the driver.
 
 :func:`diversity_maximization` is the reference's two-round MapReduce: the
 per-group farthest-first coreset (``k`` centers of each of ``L`` groups), then
@@ -21,8 +23,7 @@ from pyspark.sql import functions as F
 
 from pointtally.functions.distance import ids_literal
 from pointtally.operators.centers import CHECKPOINT_EVERY, farthest_first
-from pointtally.operators.diameter import avg_pairwise_distance
-from pointtally.operators.diameter import resolve_strategy
+from pointtally.operators.diameter import avg_pairwise_distance, resolve_strategy
 from pointtally.operators.pairs import best_pair, kernel_blocks, pair_groups, unordered_pairs
 from pointtally.runtime import materialize
 from pointtally.sources.text import validate_points
