@@ -69,8 +69,11 @@ def unordered_pairs(
 ) -> DataFrame:
     """Every unordered pair of distinct points once: ``(i, j, d2)`` with ``i < j``.
 
-    ``points`` is ``(id, v)`` with unique ids, already validated to ``n``
-    points of dimension ``dim``.  ``strategy`` is ``"auto"``, ``"broadcast"``
+    This emits ``n(n-1)/2`` rows, so the operators use it only for small sets
+    (``SMALL_PAIRS``); for large sets use :func:`pair_summary` /
+    :func:`pair_groups`, which reduce pairs inside tasks and emit one row per
+    block pair.  ``points`` is ``(id, v)`` with unique ids, already validated
+    to ``n`` points of dimension ``dim``.  ``strategy`` is ``"auto"``, ``"broadcast"``
     (taken only when the counted set fits the broadcast budget) or ``"grid"``.
     """
     spark = points.sparkSession
