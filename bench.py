@@ -46,16 +46,23 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     for name, query in QUERIES.items():
         if warm_dir and (not only or name in only):
-            query(spark, warm_dir).write.format("noop").mode("overwrite").save()
+            try:
+                query(spark, warm_dir).write.format("noop").mode("overwrite").save()
+            except Exception:  # the timed run reports it
+                pass
     spark.catalog.clearCache()
 
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
     for name, query in QUERIES.items():
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        query(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # keep benchmarking; report the failure
+            timings[name] = None
+            print(f"bench: {name} failed: {type(exc).__name__}: {exc}", file=sys.stderr)
         spark.catalog.clearCache()
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
@@ -63,7 +70,7 @@ def main() -> None:
         json.dumps(
             {
                 "metric": "total_query_seconds",
-                "value": round(sum(timings.values()), 3),
+                "value": round(sum(t for t in timings.values() if t is not None), 3),
                 "unit": "sec",
                 "queries": timings,
                 "sf": float(m.group(1)) if m else sf_dir,
