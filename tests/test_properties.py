@@ -141,3 +141,61 @@ def test_many_small_groups_match_brute_force(spark):
     for g in range(50):
         members = {i: coords[i] for i in range(200) if i % 50 == g}
         assert [i for _, i in sorted(got[g])] == brute_farthest_first(members, 3)
+
+
+def scanner_points(text: str) -> list[list[float]]:
+    """``Scanner.next()`` tokens (any whitespace) each split on ``,`` into doubles."""
+    out = []
+    for tok in text.split():
+        fields = tok.split(",")
+        while fields and fields[-1] == "":
+            fields.pop()
+        out.append([float(f) for f in fields])
+    return out
+
+
+point_token = st.lists(st.integers(min_value=-9, max_value=9), min_size=2, max_size=2).map(
+    lambda xy: f"{xy[0]},{xy[1]}.5"
+)
+separator = st.sampled_from([" ", "  ", "\t", "\n", " \n\t", "\r\n"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(point_token, separator), min_size=1, max_size=12), separator)
+def test_token_scan_matches_scanner(spark, tmp_path_factory, items, lead):
+    from pointtally.sources import read_point_tokens
+
+    text = lead + "".join(tok + sep for tok, sep in items)
+    path = tmp_path_factory.mktemp("scan") / "points.txt"
+    path.write_text(text, encoding="utf-8", newline="")
+    got = [r["v"] for r in read_point_tokens(spark, str(path)).orderBy("id").collect()]
+    assert got == scanner_points(text)
+
+
+pair_line = st.one_of(
+    st.tuples(st.integers(min_value=-50, max_value=50), st.sampled_from(["a", "bb", "c d", " e", ""])).map(
+        lambda t: f"{t[0]} {t[1]}"
+    ),
+)
+
+
+@SETTINGS
+@given(st.lists(pair_line, min_size=1, max_size=10))
+def test_pair_parse_matches_java(spark, lines):
+    from pointtally.sources import parse_pairs
+
+    def java(line):
+        toks = java_split(line)
+        if len(toks) < 2:
+            return None
+        return int(toks[0]), toks[1]
+
+    want = [java(line) for line in lines]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
+    if any(w is None for w in want):
+        try:
+            parse_pairs(df).collect()
+        except Exception:
+            return
+        raise AssertionError("expected the parse to fail")
+    assert [tuple(r) for r in parse_pairs(df).collect()] == want
