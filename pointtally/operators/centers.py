@@ -305,6 +305,7 @@ def farthest_first(
     strict: bool | None = None,
     with_state: bool = False,
     with_shape: bool = False,
+    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
 ):
     """Farthest-first traversal: ``k`` centers per group, in order of choice.
 
@@ -320,15 +321,21 @@ def farthest_first(
     must ``release()``; with ``with_shape`` also ``(number of centers, dim)``.
 
     Jobs: one that validates and picks the first centers (and fills the
-    cache), then one per further center.
+    cache), then one per further center.  ``storage_level`` caches the points
+    for those passes; ``None`` re-reads the source every round instead (for
+    inputs far beyond cluster memory, where a cache would only spill to local
+    disk) -- the state starts as constants and the pending centers are
+    applied inside each pass, so nothing needs caching before the first
+    materialization.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, got {k}")
     if strict is None:
         strict = part is None
     spark = points.sparkSession
-    cached = _state_base(points, part).persist(StorageLevel.MEMORY_AND_DISK)
-    state = _MinDistState(cached, 0, owned=cached)
+    base = _state_base(points, part)
+    cached = base.persist(storage_level) if storage_level is not None else base
+    state = _MinDistState(cached, 0, owned=cached if storage_level is not None else None)
     try:
         n, dim, first = _validated_firsts(cached, seed)
         state.dim = dim

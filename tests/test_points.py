@@ -247,3 +247,13 @@ def test_balanced_block_placement_same_result(spark, monkeypatch):
     monkeypatch.setattr(P, "BALANCE_PAIRS", 0)
     got = tuple(O.pair_summary(pts, 500, 64, blocks=4).first())
     assert got == want
+
+
+def test_farthest_first_without_cache_matches(spark, monkeypatch):
+    pts = T.points(spark, f"{SF}/sf0.001")
+    want = [tuple(r) for r in O.coreset(pts, 5, 3).select("part", "pos", "id").collect()]
+    got = [tuple(r) for r in O.farthest_first(pts, 5, part=F.col("id") % 3, strict=False, storage_level=None).select("part", "pos", "id").collect()]
+    assert got == want
+    monkeypatch.setattr(C, "MATERIALIZE_EVERY", 2)
+    again = [tuple(r) for r in O.farthest_first(pts, 5, part=F.col("id") % 3, strict=False, storage_level=None).select("part", "pos", "id").collect()]
+    assert again == want
