@@ -86,7 +86,7 @@ def _greedy_by_blocks(points: DataFrame, n: int, dim: int, k: int) -> list[int]:
     """
     if k < 2:
         return []
-    nb = kernel_blocks(points.sparkSession, n)
+    nb = kernel_blocks(points.sparkSession, n, dim)
     bests = materialize(pair_groups(points, n, dim, nb, with_sum=False).select("ki", "kj", "d2", "i", "j"), False)
     used: list[int] = []
     try:

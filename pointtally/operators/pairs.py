@@ -123,6 +123,9 @@ def unordered_pairs(
 # 16 MB of 64-d coordinates).  Each point is shuffled B = n / KERNEL_BLOCK_ROWS
 # times, so larger blocks mean proportionally less shuffle at scale.
 KERNEL_BLOCK_ROWS = 16384
+# Coordinate bytes per block (two blocks plus their transposed copies make a
+# group's working set, about 4x this).
+KERNEL_BLOCK_BYTES = 64 << 20
 # Rows of one block processed at a time (keeps the working arrays in cache).
 KERNEL_CHUNK = 64
 
@@ -230,11 +233,14 @@ def _block_kernel(dim: int, with_sum: bool):
     return kernel
 
 
-def kernel_blocks(spark, n: int) -> int:
+def kernel_blocks(spark, n: int, dim: int = 64) -> int:
     """Blocks for the vectorized path: about four groups per core, at most
-    ``KERNEL_BLOCK_ROWS`` points per block."""
+    ``KERNEL_BLOCK_ROWS`` points per block and at most ``KERNEL_BLOCK_BYTES``
+    of coordinates per block (so a group's memory is bounded for any
+    dimension)."""
+    rows = max(512, min(KERNEL_BLOCK_ROWS, KERNEL_BLOCK_BYTES // (8 * max(dim, 1))))
     by_tasks = math.ceil(math.sqrt(8 * parallelism(spark)))
-    return max(1, min(by_tasks, n), math.ceil(n / KERNEL_BLOCK_ROWS))
+    return max(1, min(by_tasks, n), math.ceil(n / rows))
 
 
 def pair_groups(
@@ -256,7 +262,7 @@ def pair_groups(
     keys (the same ``blocks`` must then be passed again).
     """
     spark = points.sparkSession
-    nb = blocks or kernel_blocks(spark, n)
+    nb = blocks or kernel_blocks(spark, n, dim)
     blk = stable_bucket(nb, "id")
     copies = points.select(
         "id",
