@@ -199,3 +199,16 @@ def test_pair_parse_matches_java(spark, lines):
             return
         raise AssertionError("expected the parse to fail")
     assert [tuple(r) for r in parse_pairs(df).collect()] == want
+
+
+def test_nearest_distance_with_broadcast_payload(spark, monkeypatch):
+    coords = [[float((i * 7) % 13), float((i * 5) % 11)] for i in range(80)]
+    df = points_df(spark, coords)
+    centers = O.farthest_first(df, 6).select("id", "v")
+    want = sorted(map(tuple, O.nearest_center_distance(df, centers).collect()))
+    monkeypatch.setattr(C, "CLOSURE_BYTES", 0)
+    got = sorted(map(tuple, O.nearest_center_distance(df, centers).collect()))
+    assert got == want
+    ids = [r["id"] for r in centers.collect()]
+    brute = {i: min(dist(coords[i], coords[c]) for c in ids) for i in range(80)}
+    assert all(abs(d - brute[i]) == 0.0 for i, d in got)
