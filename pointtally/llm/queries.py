@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import urls
+from pointtally.llm import fingerprints, urls
 
 
 def _table(spark, sf_dir, name):
@@ -13,8 +13,13 @@ def op7_url_filters(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op7_url_filters": op7_url_filters,
+    "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
