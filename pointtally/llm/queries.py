@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, urls
+from pointtally.llm import fingerprints, urls, warc
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_warc(spark, sf_dir):
+    index = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.read_warc(index, with_payload=False).drop("url", "payload")
+
+
 def op7_url_filters(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -18,10 +23,12 @@ def op10_fingerprints(spark, sf_dir):
 
 
 QUERIES = {
+    "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
     "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
+    "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),
 }
