@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, urls, warc
+from pointtally.llm import fingerprints, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files.read_tokens(token_files.write_tokens(_table(spark, sf_dir, "documents"), path))
+
+
 def op6_warc(spark, sf_dir):
     index = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.read_warc(index, with_payload=False).drop("url", "payload")
@@ -23,6 +30,7 @@ def op10_fingerprints(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
     "op10_fingerprints": op10_fingerprints,
