@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, token_files, urls, warc
+from pointtally.llm import fingerprints, preferences, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -25,6 +25,10 @@ def op7_url_filters(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op9_preferences(spark, sf_dir):
+    return preferences.format_preferences(_table(spark, sf_dir, "conversations"))
+
+
 def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -33,10 +37,12 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
+    "op9_preferences": op9_preferences,
     "op10_fingerprints": op10_fingerprints,
 }
 
 ORACLE = {
     "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),
+    "op9_preferences": preferences.ORACLE,
 }
