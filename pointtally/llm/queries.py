@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, preferences, token_files, urls, warc
+from pointtally.llm import fingerprints, packing, preferences, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,10 @@ def op2_token_files(spark, sf_dir):
     return token_files.read_tokens(token_files.write_tokens(_table(spark, sf_dir, "documents"), path))
 
 
+def op3_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     index = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.read_warc(index, with_payload=False).drop("url", "payload")
@@ -35,6 +39,7 @@ def op10_fingerprints(spark, sf_dir):
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op3_packing": op3_packing,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
     "op9_preferences": op9_preferences,
