@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, packing, preferences, token_files, urls, warc
+from pointtally.llm import fingerprints, packing, preferences, quality, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -29,6 +29,10 @@ def op7_url_filters(spark, sf_dir):
     return urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op8_quality(spark, sf_dir):
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_preferences(spark, sf_dir):
     return preferences.format_preferences(_table(spark, sf_dir, "conversations"))
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
+    "op8_quality": op8_quality,
     "op9_preferences": op9_preferences,
     "op10_fingerprints": op10_fingerprints,
 }
