@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, packing, preferences, quality, token_files, urls, warc
+from pointtally.llm import fingerprints, html_text, packing, preferences, quality, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -20,6 +20,10 @@ def op3_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark, sf_dir):
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_warc(spark, sf_dir):
     index = warc.write_warc(_table(spark, sf_dir, "pages"))
     return warc.read_warc(index, with_payload=False).drop("url", "payload")
@@ -44,6 +48,7 @@ def op10_fingerprints(spark, sf_dir):
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
+    "op5_html_text": op5_html_text,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
     "op8_quality": op8_quality,
