@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import fingerprints, html_text, packing, preferences, quality, token_files, urls, warc
+from pointtally.llm import decontaminate, fingerprints, html_text, packing, preferences, quality, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -20,6 +20,12 @@ def op3_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.find_contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    ).drop("spans")
+
+
 def op5_html_text(spark, sf_dir):
     return html_text.extract_text(_table(spark, sf_dir, "pages"))
 
@@ -48,6 +54,7 @@ def op10_fingerprints(spark, sf_dir):
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,
     "op6_warc": op6_warc,
     "op7_url_filters": op7_url_filters,
@@ -57,6 +64,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op4_decontaminate": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),
     "op9_preferences": preferences.ORACLE,
