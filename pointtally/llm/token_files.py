@@ -38,7 +38,7 @@ BLOCK = 4096
 PERCENTILE = 99.0
 RANGE_BYTES = 32 << 20
 END_ID = 0
-CACHE_PIECES = 400_000
+CACHE_PIECES = 1_000_000
 
 
 # ------------------------------------------------------------------ blocks
@@ -189,7 +189,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.plain = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()))
+        added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        self.plain = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        # An added token between two chunks keeps them apart, as two texts are.
+        self.between = next(((c, i) for c, i in sorted(added.items())), None)
         self.limit = cache_pieces
         self._clear()
 
@@ -203,14 +206,23 @@ class Encoder:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.tok.encode_batch(new, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        if self.between is None:
+            got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
+            lens = np.fromiter(map(len, got), np.int64, len(got))
+            ids = np.array([i for x in got for i in x], np.uint32)
+        else:
+            mark, mark_id = self.between
+            runs = [mark.join(new[k : k + 2000]) + mark for k in range(0, len(new), 2000)]
+            got = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(runs, add_special_tokens=False)]
+            ids = np.concatenate(got)
+            ends = np.flatnonzero(ids == mark_id)
+            lens = np.diff(ends, prepend=-1) - 1
+            ids = np.delete(ids, ends)
         base = len(self.known)
         self.known.update(zip(new, range(base, base + len(new))))
-        offs = len(self.flat) + np.concatenate([[0], np.cumsum(lens)[:-1]])
-        self.offs = np.concatenate([self.offs, offs])
+        self.offs = np.concatenate([self.offs, len(self.flat) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
+        self.flat = np.concatenate([self.flat, ids])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, number of ids of each)``."""
@@ -225,7 +237,7 @@ class Encoder:
             got = _CHUNK.findall(t)
             pieces += got
             counts.append(len(got))
-        new = list(dict.fromkeys(p for p in set(pieces) if p not in self.known))
+        new = [p for p in set(pieces) if p not in self.known]
         if new:
             self._learn(new)
         codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
@@ -243,6 +255,18 @@ class Encoder:
         return ids, per
 
 
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this Python worker, kept between its tasks (its cache is bounded)."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_llm_worker_kept", types.ModuleType("_llm_worker_kept"))
+    encoders = kept.__dict__.setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
+
+
 def _write_fn(folder: str, tokenizer: str, block: int, percentile: float, end_id: int, batch_chars: int):
     def run(batches):
         import os
@@ -251,7 +275,7 @@ def _write_fn(folder: str, tokenizer: str, block: int, percentile: float, end_id
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         fs, root = open_fs(folder)
-        encoder = Encoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         writer, bucket, name = None, None, ""
 
         def begin():
