@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pointtally.llm import decontaminate, fingerprints, html_text, packing, preferences, quality, token_files, urls, warc
+from pointtally.llm import decontaminate, fingerprints, html_text, jaccard, packing, preferences, quality, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard(spark, sf_dir):
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_files(spark, sf_dir):
     import public_tokenizers
 
@@ -52,6 +56,7 @@ def op10_fingerprints(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_jaccard": op1_jaccard,
     "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
