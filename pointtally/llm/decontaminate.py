@@ -31,6 +31,8 @@ SHARD_WORDS = 1 << 20
 SHARD_DOCS = 100_000
 CHUNK_BYTES = 2 << 20
 LOCATE_ROWS = 1 << 20
+# Text a task holds while it filters whole rows.
+HELD_BYTES = 32 << 20
 MAX_BENCHMARK_BYTES = 64 << 20
 
 
@@ -294,6 +296,52 @@ def _find_fn(windows: Windows):
     return run
 
 
+def _clean_fn(windows: Windows, text_at: int, held_bytes: int):
+    """Task function: the rows of its batches, all columns, that are not contaminated."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        shard = Shard(windows)
+        held, size = [], 0
+
+        def flush():
+            n_words, n_hit, _, _ = shard.results()
+            clean = (n_hit == 0) | (20 * n_hit < n_words)
+            shard.clear()
+            at = 0
+            for part in held:
+                yield part.filter(pa.array(clean[at : at + part.num_rows]))
+                at += part.num_rows
+
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
+                shard.add([None] * (hi - lo), [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]])
+                held.append(batch.slice(lo, hi - lo))
+                size += sum(len(t) for t in texts[lo:hi])
+                if shard.full() or size > held_bytes:
+                    yield from flush()
+                    held, size = [], 0
+        yield from flush()
+
+    return run
+
+
+def _windows(benchmark: DataFrame, window: int) -> Windows:
+    size = benchmark.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()["b"] or 0
+    if size > MAX_BENCHMARK_BYTES:
+        raise ValueError(f"benchmark texts of {size} bytes exceed the {MAX_BENCHMARK_BYTES} that travel with the tasks")
+    items = [tuple(r) for r in benchmark.select("item_id", F.col("text").cast("string")).collect()]
+    return Windows(items, window)
+
+
+def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that :func:`find_contamination` does not flag."""
+    run = _clean_fn(_windows(benchmark, window), documents.columns.index("text"), HELD_BYTES)
+    return documents.mapInArrow(run, documents.schema)
+
+
 def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``SCHEMA`` rows, one per row of ``documents``: hit words, items found and merged word spans.
 
@@ -305,14 +353,10 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     rows.  A document is contaminated when a twentieth of its words or more
     are hit.
     """
-    size = benchmark.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()["b"] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"benchmark texts of {size} bytes exceed the {MAX_BENCHMARK_BYTES} that travel with the tasks")
-    items = [tuple(r) for r in benchmark.select("item_id", F.col("text").cast("string")).collect()]
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    return docs.mapInArrow(_find_fn(Windows(items, window)), SCHEMA)
+    return docs.mapInArrow(_find_fn(_windows(benchmark, window)), SCHEMA)
 
 
 ORACLE = f"""

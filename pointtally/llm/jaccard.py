@@ -717,3 +717,24 @@ def jaccard_components(
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
     )
+
+
+def keep_one(documents: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The rows of ``documents``, with all their columns, less all but one of every component.
+
+    The document of the component's smallest id stays.  Rows that repeat both
+    id and text are one document; a row without an id stays.
+    """
+    marked = jaccard_components(documents, words, num, den).filter("n_shingles > 0")
+    ids = stored(
+        marked.groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__gone"), F.count(F.lit(1)).alias("__rows"))
+        .filter("__id is not null and (__gone or __rows > 1)"),
+        "not-kept",
+    )
+    out = documents.join(ids.filter("__gone").select("__id"), documents["doc_id"] == F.col("__id"), "left_anti")
+    repeated = ids.filter("not __gone").select("__id")
+    if repeated.isEmpty():
+        return out
+    again = out.join(repeated, out["doc_id"] == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return out.join(repeated, out["doc_id"] == F.col("__id"), "left_anti").unionAll(again)

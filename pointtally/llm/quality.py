@@ -310,3 +310,26 @@ def classify(documents: DataFrame, labels: DataFrame | None = None, sample_rows:
     without any vote everything is kept.
     """
     return score(documents, fit(documents, labels, sample_rows))
+
+
+def _keep_fn(weights: np.ndarray, text_at: int):
+    """Task function: the rows of its batches, all columns, whose text the scorer keeps."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        dim = 1 << FEATURE_BITS
+        known: dict = {}
+        for batch in batches:
+            z = np.empty((batch.num_rows, 2))
+            for i, t in enumerate(batch.column(text_at).to_pylist()):
+                z[i] = weights[features(t or "", known)].sum(axis=0) + weights[dim]
+            yield batch.filter(pa.array((z < 0).all(axis=1)))
+
+    return run
+
+
+def keep_documents(documents: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that :func:`classify` keeps."""
+    weights = fit(documents, labels, sample_rows)
+    return documents.mapInArrow(_keep_fn(weights, documents.columns.index("text")), documents.schema)
