@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointtally.llm.common import byte_slices, stored
+from pointtally.llm.words import NON_ALNUM, WordHasher, mix
 
 # Insults that make a toxicity labeller fire; two overlapping labellers.
 INSULTS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "pathetic", "worthless", "disgusting", "clown")
@@ -28,10 +29,12 @@ SLURS = INSULTS + ("dumb", "fool", "jerk", "imbecile", "vermin", "filthy", "cowa
 SAMPLE_ROWS = 4_000
 FEATURE_BITS = 18
 SHAPE_BINS = 10
-# Lengths of the word beginnings that are features, beside the whole word.
+UNKNOWN_WEIGHT = 0.1
+# Lengths (bytes) of the word beginnings that are features, beside the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7)
+CHUNK_BYTES = 1 << 20
 # L1 strength of each aspect's scorer: low quality shows in few shape features, toxicity in many words.
-L1 = (1e-3, 3e-4)
+L1 = (1e-3, 1e-4)
 
 # Labellers of each aspect, in the order of their vote bits.
 QUALITY_LABELLERS = ("pipes", "symbols", "capitals", "shouts", "repeats", "variety", "lines")
@@ -41,7 +44,7 @@ THRESHOLDS = {
     "pipes": 0.1, "symbols": 0.15, "capitals": 0.3, "shouts": 0.1, "repeats": 0.15, "variety": 0.3, "lines": 0.3,
 }
 
-_WORD = re.compile(r"\w+")
+_SLURS = re.compile(rf"\b(?:{'|'.join(SLURS)})\b")
 _SYMBOLS = re.compile(r"([#$%&*@^~=+_<>])\1\1")
 
 
@@ -68,10 +71,10 @@ def votes(text: str) -> tuple[int, int]:
     for k, name in enumerate(QUALITY_LABELLERS):
         fires = s[name] <= THRESHOLDS[name] if name == "variety" else s[name] >= THRESHOLDS[name]
         q |= fires << k
-    words = _WORD.findall(text.lower())
-    hits = sum(w in INSULTS for w in words)
-    slurs = any(w in SLURS for w in words)
-    return q, (hits > 0) | (hits >= 0.005 * max(1, len(words)) and hits > 0) << 1 | slurs << 2
+    low = text.lower()
+    found = _SLURS.findall(low) if any(w in low for w in SLURS) else []
+    hits = sum(w in INSULTS for w in found)
+    return q, (hits > 0) | (hits > 0 and hits >= 0.005 * len(text.split())) << 1 | bool(found) << 2
 
 
 def _votes_fn():
@@ -103,7 +106,7 @@ def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trus
     the class and outside it.  Only firing counts as evidence, so heuristics
     for different kinds of documents do not speak against each other.  The
     known label's accuracy has a prior at ``trust`` that weighs as much as all
-    its votes.  Returns ``(posterior per pattern, rates (labellers, 2), known
+    its votes; where it abstains a document counts ``UNKNOWN_WEIGHT`` for the rates.  Returns ``(posterior per pattern, rates (labellers, 2), known
     label's accuracy, class prior)``; a rate row is (outside, inside).
     """
     bits, known, counts = (np.asarray(x) for x in (bits, known, counts))
@@ -111,6 +114,7 @@ def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trus
     seen = known >= 0
     n_known = float((counts * seen).sum())
     weighed = counts * (seen if n_known else 1)
+    heard = counts * np.where(seen | (n_known == 0), 1.0, UNKNOWN_WEIGHT)
     rates = np.tile((0.02, 0.3), (n_labellers, 1))
     right, prior = trust, 0.1
     post = np.zeros(len(counts))
@@ -122,7 +126,7 @@ def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trus
         post = fresh
         if done:
             break
-        for y, w in ((0, counts * (1 - post)), (1, counts * post)):
+        for y, w in ((0, heard * (1 - post)), (1, heard * post)):
             rates[:, y] = (w @ fired + 2 * (0.02, 0.3)[y]) / (w.sum() + 2)
         rates = rates.clip(1e-6, 1 - 1e-6)
         agreed = (weighed * seen * np.where(known == 1, post, 1 - post)).sum()
@@ -134,49 +138,72 @@ def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trus
 # ------------------------------------------------------------------ scorer
 
 
-def features(text: str, known: dict) -> list[int]:
-    """Distinct hashed features of a text: words, word beginnings, shape buckets, fired shapes."""
+def feature_rows(hasher: WordHasher, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``(text number, feature)`` of the distinct hashed features of texts, in text order.
+
+    Features are words, word beginnings of ``BEGINNINGS`` bytes, buckets of the
+    shape measures and the shapes that fire.
+    """
+    buf, starts, ends, first = hasher.split([t.encode("utf-8", "surrogatepass") for t in texts])
+    doc = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(first))
+    shift = np.uint64(64 - FEATURE_BITS)
+    keys = [doc << FEATURE_BITS | (hasher.hashes(buf, starts, ends) >> shift).astype(np.int64)]
+    for k in BEGINNINGS:
+        longer = np.flatnonzero(ends - starts > k)
+        h = hasher.hashes(buf, starts[longer], starts[longer] + k)
+        keys.append(doc[longer] << FEATURE_BITS | (mix(h + np.uint64(k)) >> shift).astype(np.int64))
     mask = (1 << FEATURE_BITS) - 1
-    out = set()
-    for w in set(_WORD.findall(text.lower())):
-        pair = known.get(w)
-        if pair is None:
-            if len(known) > 500_000:
-                known.clear()
-            names = ["w:" + w, *("p:" + w[:k] for k in BEGINNINGS if len(w) > k)]
-            pair = known[w] = tuple(zlib.crc32(x.encode("utf-8", "surrogatepass")) & mask for x in names)
-        out.update(pair)
-    for name, v in shapes(text).items():
-        if name != "variety" and v >= THRESHOLDS[name]:
-            out.add(zlib.crc32(f"f:{name}".encode()) & mask)
-        out.add(zlib.crc32(f"s:{name}:{min(int(v * SHAPE_BINS), SHAPE_BINS - 1)}:{v > 0}".encode()) & mask)
-    return sorted(out)
+    own = []
+    for i, t in enumerate(texts):
+        for name, v in shapes(t).items():
+            if name != "variety" and v >= THRESHOLDS[name]:
+                own.append(i << FEATURE_BITS | zlib.crc32(f"f:{name}".encode()) & mask)
+            own.append(
+                i << FEATURE_BITS
+                | zlib.crc32(f"s:{name}:{min(int(v * SHAPE_BINS), SHAPE_BINS - 1)}:{v > 0}".encode()) & mask
+            )
+    keys.append(np.array(own, np.int64))
+    distinct = np.unique(np.concatenate(keys))
+    return distinct >> FEATURE_BITS, distinct & mask
 
 
 def _features_fn():
     def run(batches):
         import pyarrow as pa
 
-        known: dict = {}
+        hasher = WordHasher(NON_ALNUM)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for lo, hi in byte_slices([len(t) for t in texts], 4 << 20):
+            for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
+                doc, feature = feature_rows(hasher, texts[lo:hi])
+                ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": batch.column(0).slice(lo, hi - lo),
-                        "f": pa.array([features(t, known) for t in texts[lo:hi]], pa.list_(pa.int32())),
+                        "f": pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32))),
                     }
                 )
 
     return run
 
 
-def fit_scorer(indices, indptr, target, weight, rounds: int = 300, rate: float = 0.5, l1: float = 1e-3):
-    """Logistic weights by proximal AdaGrad on presence features; the last one is the intercept."""
-    dim = 1 << FEATURE_BITS
-    w, g2 = np.zeros(dim + 1), np.full(dim + 1, 1e-8)
-    rows = np.repeat(np.arange(len(target)), np.diff(indptr))
+def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float = 0.5, l1: float = 1e-3):
+    """Logistic weights by proximal AdaGrad on presence features; the last one is the intercept.
+
+    A feature's gradient is at most the weight of the documents that have it;
+    where that does not exceed ``l1`` its weight never leaves zero, so those
+    features are left out beforehand.
+    """
     weight = weight / weight.sum()
+    rows = np.repeat(np.arange(len(target)), np.diff(indptr))
+    reach = np.bincount(indices, weights=weight[rows], minlength=1 << FEATURE_BITS)
+    used = np.flatnonzero(reach > l1)
+    number = np.full(1 << FEATURE_BITS, -1, np.int64)
+    number[used] = np.arange(len(used))
+    kept = number[indices] >= 0
+    indices, rows = number[indices[kept]], rows[kept]
+    dim = len(used)
+    w, g2 = np.zeros(dim + 1), np.full(dim + 1, 1e-8)
     for _ in range(rounds):
         z = np.bincount(rows, weights=w[indices], minlength=len(target)) + w[dim]
         err = weight * (1 / (1 + np.exp(-z.clip(-500, 500))) - target)
@@ -185,26 +212,35 @@ def fit_scorer(indices, indptr, target, weight, rounds: int = 300, rate: float =
         step = rate / np.sqrt(g2)
         w -= step * g
         w[:dim] = np.sign(w[:dim]) * np.maximum(np.abs(w[:dim]) - step[:dim] * l1, 0)
-    return w
+    out = np.zeros((1 << FEATURE_BITS) + 1)
+    out[used], out[-1] = w[:dim], w[dim]
+    return out
+
+
+def scores(hasher: WordHasher, weights: np.ndarray, texts: list[str]) -> np.ndarray:
+    """``(n, 2)`` log odds of texts being of low quality and toxic."""
+    z = np.tile(weights[-1], (len(texts), 1))
+    for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
+        doc, feature = feature_rows(hasher, texts[lo:hi])
+        for aspect in (0, 1):
+            z[lo:hi, aspect] += np.bincount(doc, weights=weights[feature, aspect], minlength=hi - lo)
+    return z
 
 
 def _score_fn(weights: np.ndarray):
     def run(batches):
         import pyarrow as pa
 
-        dim = 1 << FEATURE_BITS
-        known: dict = {}
+        hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            z = np.empty((batch.num_rows, 2))
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                z[i] = weights[features(t, known)].sum(axis=0) + weights[dim]
+            z = scores(hasher, weights, batch.column(1).to_pylist())
             p = 1 / (1 + np.exp(-z.clip(-500, 500)))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
                     "p_low": pa.array(p[:, 0], pa.float64()),
                     "p_toxic": pa.array(p[:, 1], pa.float64()),
-                    "keep": pa.array((p < 0.5).all(axis=1)),
+                    "keep": pa.array((z < 0).all(axis=1)),
                 }
             )
 
@@ -318,12 +354,9 @@ def _keep_fn(weights: np.ndarray, text_at: int):
     def run(batches):
         import pyarrow as pa
 
-        dim = 1 << FEATURE_BITS
-        known: dict = {}
+        hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            z = np.empty((batch.num_rows, 2))
-            for i, t in enumerate(batch.column(text_at).to_pylist()):
-                z[i] = weights[features(t or "", known)].sum(axis=0) + weights[dim]
+            z = scores(hasher, weights, [t or "" for t in batch.column(text_at).to_pylist()])
             yield batch.filter(pa.array((z < 0).all(axis=1)))
 
     return run
