@@ -41,7 +41,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-", dir="/tmp"))
+        spark.sparkContext.setCheckpointDir(os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-ckpt-"))
 
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     for name, query in QUERIES.items():

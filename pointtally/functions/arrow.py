@@ -35,69 +35,50 @@ def column_matrix(col, dim: int) -> np.ndarray:
     return flat.astype(np.float64, copy=False).reshape(n, dim)
 
 
-def min_sqdist(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Per point, the smallest squared distance to any row of ``centers``."""
-    best = np.full(points.shape[0], np.inf)
-    acc = np.empty(points.shape[0])
-    tmp = np.empty(points.shape[0])
-    for c in centers:
-        acc.fill(0.0)
-        for k in range(points.shape[1]):
-            np.subtract(points[:, k], c[k], out=tmp)
-            np.multiply(tmp, tmp, out=tmp)
-            acc += tmp
-        np.minimum(best, acc, out=best)
-    return best
+def columns_of(points: np.ndarray) -> np.ndarray:
+    """The ``(n, dim)`` matrix as contiguous coordinate rows ``(dim, n)``.
+
+    Distances walk one coordinate at a time; on contiguous rows that is several
+    times faster, with the same values in the same order.
+    """
+    return np.ascontiguousarray(points.T)
+
+
+def sqdist_to(cols: np.ndarray, center: np.ndarray) -> np.ndarray:
+    """Squared distances of all points (``columns_of`` form) to ``center``.
+
+    ``center`` is one vector, or one per point as ``(dim, n)``.
+    """
+    acc = np.zeros(cols.shape[1])
+    tmp = np.empty(cols.shape[1])
+    for k in range(cols.shape[0]):
+        np.subtract(cols[k], center[k], out=tmp)
+        np.multiply(tmp, tmp, out=tmp)
+        acc += tmp
+    return acc
 
 
 def max_sqdist(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Per point, the largest squared distance to any row of ``centers``."""
+    """Per point, the largest squared distance to any row of ``centers``.
+
+    A NaN distance is no candidate; ``-inf`` where there is none.
+    """
     best = np.full(points.shape[0], -np.inf)
-    acc = np.empty(points.shape[0])
-    tmp = np.empty(points.shape[0])
+    cols = columns_of(points)
     for c in centers:
-        acc.fill(0.0)
-        for k in range(points.shape[1]):
-            np.subtract(points[:, k], c[k], out=tmp)
-            np.multiply(tmp, tmp, out=tmp)
-            acc += tmp
-        np.maximum(best, acc, out=best)
+        np.fmax(best, sqdist_to(cols, c), out=best)
     return best
 
 
 def sqdists(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """``(n, k)`` squared distances from every point to every center."""
-    out = np.zeros((points.shape[0], centers.shape[0]))
-    tmp = np.empty(points.shape[0])
+    cols = columns_of(points)
+    out = np.empty((points.shape[0], centers.shape[0]))
     for t, c in enumerate(centers):
-        col = out[:, t]
-        for k in range(points.shape[1]):
-            np.subtract(points[:, k], c[k], out=tmp)
-            np.multiply(tmp, tmp, out=tmp)
-            col += tmp
+        out[:, t] = sqdist_to(cols, c)
     return out
 
 
-def group_segments(keys: np.ndarray):
-    """Yield ``(key, row indices)`` for every distinct key, via one stable sort.
-
-    Costs ``O(n log n)`` per batch whatever the number of keys (a mask per key
-    would cost ``O(n * keys)``).  A batch with a single key yields ``slice(None)``.
-    """
-    n = len(keys)
-    if n == 0:
-        return
-    if keys.min() == keys.max():
-        yield int(keys[0]), slice(None)
-        return
-    order = np.argsort(keys, kind="stable")
-    sk = keys[order]
-    starts = np.flatnonzero(np.r_[True, sk[1:] != sk[:-1]])
-    ends = np.r_[starts[1:], n]
-    for s, e in zip(starts, ends):
-        yield int(sk[s]), order[s:e]
-
-
 def first_per_group(keys: np.ndarray, *order_cols: np.ndarray) -> np.ndarray:
     """Row index of the first row of every key group, ordered by ``order_cols``
     (lexicographic, ascending)."""
@@ -108,13 +89,6 @@ def first_per_group(keys: np.ndarray, *order_cols: np.ndarray) -> np.ndarray:
     return o[np.r_[True, sk[1:] != sk[:-1]]]
 
 
-def argmax_first(values: np.ndarray, ids: np.ndarray) -> int:
-    """Index of the largest value, ties to the smallest id."""
-    top = values.max()
-    cand = np.nonzero(values == top)[0]
-    return int(cand[np.argmin(ids[cand])])
-
-
 def vector_stats(col) -> tuple[int, int, int, int]:
     """``(rows, min length, max length, bad)`` of a ``list<double>`` column.
 

@@ -1,64 +1,15 @@
-"""Euclidean distance and point validation as Spark column expressions.
+"""Point validation as Spark column expressions.
 
-:func:`sqdist` compares two vector *columns* (e.g. after a pair join): with a
-known, small dimension it unrolls ``(a[0]-b[0])*(a[0]-b[0]) + ...`` -- generated
-as SQL text and parsed in one call, since assembling hundreds of ``Column``
-nodes one JVM round trip at a time cost over a second -- and otherwise uses
-the higher-order ``aggregate(zip_with(...))``.  Terms are summed left to right,
-like ``Vectors.sqdist``.
-
-Distances from many points to a known set, and all-pairs work beyond small
-sets, run in numpy over Arrow batches (:mod:`pointtally.functions.arrow`):
+Distances run in numpy over Arrow batches (:mod:`pointtally.functions.arrow`):
 Spark evaluates array arithmetic element by element at several microseconds
 per 64-d distance.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNROLL_MAX_DIM = 128
-
-
-def _hof_sqdist(a: Column, b: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)),
-        F.lit(0.0).cast("double"),
-        lambda acc, t: acc + t,
-    )
-
-
-def sqdist(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
-    """Squared Euclidean distance of two vector columns of dimension ``dim``.
-
-    ``a`` and ``b`` are columns or SQL references (``"a.v"``).  The unrolled
-    form is generated as SQL text and parsed in one call: assembling its
-    hundreds of nodes one ``Column`` operation at a time costs a JVM round
-    trip each (over a second for 64 dimensions).
-    """
-    if dim == 0:
-        return F.lit(0.0)
-    if dim is not None and dim <= UNROLL_MAX_DIM and isinstance(a, str) and isinstance(b, str):
-        terms = " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(dim))
-        return F.expr(terms)
-    ca = F.col(a) if isinstance(a, str) else a
-    cb = F.col(b) if isinstance(b, str) else b
-    return _hof_sqdist(ca, cb)
-
-
-def euclid(a: Column | str, b: Column | str, dim: int | None = None) -> Column:
-    """Euclidean distance ``sqrt(sqdist(a, b))``."""
-    return F.sqrt(sqdist(a, b, dim))
-
-
-def ids_literal(ids: Sequence[int]) -> Column:
-    """A constant ``ARRAY<BIGINT>`` of ids, built from SQL text in one call (one
-    literal, so plans differing only in the ids share generated code)."""
-    return F.expr("cast(array(" + ", ".join(f"{int(i)}L" for i in ids) + ") as array<bigint>)")
-
 
 def vector_size_stats(v: Column | str = "v") -> list[Column]:
     """Aggregates that validate a point column in one pass.

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Line terminators recognised by a Hadoop text scan.
 LINE_BREAK_PATTERN = r"\r\n|\r|\n"
 
-# An integer literal as java.lang.Integer.parseInt accepts it
-# (optional sign, ASCII digits, nothing else; no surrounding whitespace).
+# An integer literal (optional sign, ASCII digits, nothing else; no
+# surrounding whitespace).
 INT_PATTERN = r"^[+-]?[0-9]+$"
 
 
@@ -30,15 +30,21 @@ def java_space_split(text: Column) -> Column:
 
 
 def split_lines(text: Column) -> Column:
-    """Lines of a multi-line text cell (``\\n``, ``\\r\\n`` or ``\\r`` breaks)."""
-    return F.split(text, LINE_BREAK_PATTERN)
+    """Lines of a multi-line text cell (``\\n``, ``\\r\\n`` or ``\\r`` breaks), as a text scan reads them.
+
+    A final break ends the last line and opens no further one; an empty text
+    has no line.
+    """
+    pieces = F.split(text, LINE_BREAK_PATTERN)
+    last_empty = F.element_at(pieces, -1) == F.lit("")
+    return F.when(last_empty, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
 
 
 def strict_int(token: Column, what: str = "index") -> Column:
-    """Token → BIGINT, failing the job on anything ``Integer.parseInt`` rejects.
+    """Token → BIGINT, failing the job on anything but an optional sign and ASCII digits.
 
-    Spark's cast trims whitespace and ANSI mode already rejects garbage, but
-    Java does not trim, so the token is checked against :data:`INT_PATTERN`.
+    Stricter than Spark's cast, which trims white space; wider than Java's
+    ``parseInt`` in range (64 bits) and narrower in digits (ASCII only).
     """
     return F.when(token.rlike(INT_PATTERN), token.cast("bigint")).otherwise(
         F.raise_error(F.concat(F.lit(f"malformed {what}: "), F.coalesce(token, F.lit("<missing>"))))

@@ -7,6 +7,7 @@ from pointtally.operators.counting import (
     class_count_rounds,
     class_partial_counts,
     class_partition_counts,
+    class_totals,
     max_partition_size,
     max_partition_size_physical,
     most_frequent_class,
@@ -19,7 +20,7 @@ from pointtally.operators.diameter import (
     two_approx_diameter,
 )
 from pointtally.operators.diversity import coreset, diversity_maximization, greedy_matching
-from pointtally.operators.pairs import pair_summary, unordered_pairs
+from pointtally.operators.pairs import pair_groups, pair_summary
 from pointtally.operators.words import (
     avg_word_length,
     distinct_words,
@@ -36,6 +37,7 @@ __all__ = [
     "class_count_by_partition",
     "class_count_rounds",
     "class_partial_counts",
+    "class_totals",
     "class_partition_counts",
     "coreset",
     "distinct_words",
@@ -49,10 +51,10 @@ __all__ = [
     "most_frequent_class",
     "nearest_center_distance",
     "pair_count",
+    "pair_groups",
     "pair_summary",
     "sample_points",
     "two_approx_diameter",
-    "unordered_pairs",
     "word_count",
     "word_count_partitioned",
     "word_count_salted",

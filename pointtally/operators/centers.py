@@ -1,40 +1,34 @@
 """Farthest-first traversal (k-center) over a whole point set or per group.
 
 The reference loads a partition into a list and runs the traversal in one
-thread.  Here all groups advance together, one Spark job per round:
+thread.  Here all groups advance together, one round per center:
 
 * each point carries ``md``, its distance to the nearest center of its own
-  group chosen so far, and ``taken`` (already a center);
-* a round maps every record batch of the cached points through numpy
-  (``mapInArrow``): ``md`` is brought up to date with the centers chosen since
-  the state was last materialized, and the batch's farthest free point of
-  each group (ties: smallest id) is emitted -- a handful of rows per task;
-* Spark aggregates those partial winners per group
-  (``min(struct(-md, id, v))``), so no group is ever gathered into one task:
-  a group holding a third of all points costs the same as any other;
-* the chosen centers (one per group) come back to the driver and travel to
-  the next round inside the task closure, or as a broadcast variable when
-  there are many groups.
-
-Distances to centers are numpy over the batch's flat coordinate buffer, tens
-of nanoseconds each where a Spark array expression costs microseconds
-(measured), and are summed in the same order as the Spark expressions, so
-results are bit-identical.  ``md`` is not rewritten every round: every
-``MATERIALIZE_EVERY`` rounds the updated state is persisted, and every
-``CHECKPOINT_EVERY`` materializations it is written with ``checkpoint()`` to
-the cluster's checkpoint folder, which bounds the lineage a lost executor
-replays.
+  group so far, and ``taken`` (already a center);
+* a round maps every record batch through numpy (``mapInArrow``): ``md`` is
+  brought up to date with the centers chosen since the state was last written,
+  and the task's farthest free point of each group (ties: smallest id) is kept
+  -- one ``(part, -md, id)`` row per task and group, however many batches;
+* Spark reduces those rows per group, so no group is ever gathered into one
+  task: a group holding a third of all points costs the same as any other.
+
+Where the groups are few their centers travel to the tasks from the driver
+(size-checked); where they are many the centers stay a DataFrame that is joined
+to the points by group, and nothing is collected.  Both give the same result.
+
+Rules of the reference on every path: the first center sets ``md``, later ones
+lower it only where their distance is smaller; a NaN distance is never smaller
+and never the farthest.
 
 The first center of a group is its point with the smallest
 ``md5('<seed>:<id>')``: seeded, the same on a task retry, and reproducible in
-SQL.  It comes from the first job, which also validates the points and fills
-the cache.
+SQL.  It comes from the first job, which also validates the points.
 """
 
 from __future__ import annotations
 
 import sys
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark import StorageLevel, cloudpickle
@@ -43,7 +37,7 @@ from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
-from pointtally.runtime import materialize
+from pointtally.runtime import broadcast_budget, materialize, point_bytes
 from pointtally.sources.text import validate_points
 
 # The task-side helpers travel by value, so executors need no copy of this
@@ -51,12 +45,12 @@ from pointtally.sources.text import validate_points
 cloudpickle.register_pickle_by_value(arrow_fns)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Rounds after which the state of a cached traversal is written anew.
 MATERIALIZE_EVERY = 8
-CHECKPOINT_EVERY = 4
 
-# One center per group per round reaches the driver, so the number of groups
-# is bounded (the coreset's L, not a data-sized key).
-MAX_GROUPS = 100_000
+# Groups up to which centers go through the driver, if their size fits the
+# broadcast budget too; beyond it they stay a DataFrame.
+DRIVER_GROUPS = 1_000
 
 # Pending centers larger than this (bytes) go out as a broadcast variable
 # instead of inside every task's closure.
@@ -64,52 +58,56 @@ CLOSURE_BYTES = 1 << 20
 
 CENTERS_SCHEMA = "part bigint, pos bigint, id bigint, v array<double>"
 STATE_SCHEMA = "id bigint, v array<double>, part bigint, md double, taken boolean"
-WINNER_SCHEMA = "part bigint, nmd double, id bigint, v array<double>"
+WINNER_SCHEMA = "part bigint, nmd double, id bigint"
+FIRSTS_SCHEMA = "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint"
 
-Centers = dict[int, tuple[int, list[float]]]
+
+def _lower(md: np.ndarray, d: np.ndarray, first: bool) -> np.ndarray:
+    """``md`` after a center at distances ``d``: the first one's sets it, others lower it."""
+    return d if first else np.where(d < md, d, md)
 
 
 def _apply(batch, payload, dim):
-    """``(ids, part, md, taken, X)`` of a record batch with the pending centers applied."""
-    centers = payload.value if hasattr(payload, "value") else payload
+    """``(ids, part, md, taken)`` of a record batch with the pending rounds applied.
+
+    ``payload`` is a list of rounds ``(first, parts, ids, cols)``: one center
+    per group, groups ascending, coordinates ``(dim, groups)``.
+    """
+    rounds = payload.value if hasattr(payload, "value") else payload
     ids = batch.column("id").to_numpy(zero_copy_only=False)
     part = batch.column("part").to_numpy(zero_copy_only=False)
-    md = batch.column("md").to_numpy(zero_copy_only=False).copy()
-    taken = batch.column("taken").to_numpy(zero_copy_only=False).copy()
-    x = arrow_fns.column_matrix(batch.column("v"), dim)
-    for p, rows in arrow_fns.group_segments(part):
-        entry = centers.get(p)
-        if entry is None:
-            continue
-        cids, cvs = entry
-        md[rows] = np.minimum(md[rows], np.sqrt(arrow_fns.min_sqdist(x[rows], cvs)))
-        taken[rows] |= np.isin(ids[rows], cids)
-    return ids, part, md, taken, x
+    md = batch.column("md").to_numpy(zero_copy_only=False)
+    taken = batch.column("taken").to_numpy(zero_copy_only=False)
+    if rounds:
+        cols = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v"), dim))
+        for first, parts, cids, centers in rounds:
+            at = np.searchsorted(parts, part)
+            at[at == len(parts)] = 0
+            own = parts[at] == part
+            chosen = centers[:, 0] if len(parts) == 1 else centers[:, at]
+            d = np.sqrt(arrow_fns.sqdist_to(cols, chosen))
+            md = np.where(own, _lower(md, d, first), md)
+            taken = taken | (own & (cids[at] == ids))
+    return ids, part, md, taken
 
 
 def _winners_fn(payload, dim):
-    """Task function: per batch, the farthest free point of each group."""
+    """Task function: the farthest free point of each group among the task's rows."""
 
     def run(batches):
         import pyarrow as pa
 
-        schema = pa.schema(
-            [("part", pa.int64()), ("nmd", pa.float64()), ("id", pa.int64()), ("v", pa.list_(pa.float64()))]
-        )
+        best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ids, part, md, taken, x = _apply(batch, payload, dim)
-            free = np.flatnonzero(~taken)
-            # farthest free point per group: order by (-md, id) within group
-            best = free[arrow_fns.first_per_group(part[free], -md[free], ids[free])]
-            out = {
-                "part": part[best].tolist(),
-                "nmd": (-md[best]).tolist(),
-                "id": ids[best].tolist(),
-                "v": [x[j].tolist() for j in best],
-            }
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            ids, part, md, taken = _apply(batch, payload, dim)
+            free = np.flatnonzero(~taken & ~np.isnan(md))
+            rows = [np.concatenate(x) for x in zip(best, (part[free], -md[free], ids[free]))]
+            first = arrow_fns.first_per_group(rows[0], rows[1], rows[2])
+            best = tuple(x[first] for x in rows)
+        if len(best[0]):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["part", "nmd", "id"])
 
     return run
 
@@ -121,7 +119,7 @@ def _rows_fn(payload, dim):
         import pyarrow as pa
 
         for batch in batches:
-            _, _, md, taken, _ = _apply(batch, payload, dim)
+            _, _, md, taken = _apply(batch, payload, dim)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(taken)],
                 names=["id", "v", "part", "md", "taken"],
@@ -130,161 +128,103 @@ def _rows_fn(payload, dim):
     return run
 
 
-@dataclass
-class _MinDistState:
-    """Per-point distance to the nearest chosen center of its group."""
-
-    base: DataFrame  # id, v, part, md, taken
-    dim: int
-    pending: list[Centers] = field(default_factory=list)
-    materialized: int = 0
-    owned: DataFrame | None = None
-
-    def add(self, centers: Centers) -> None:
-        self.pending.append(centers)
-        if len(self.pending) >= MATERIALIZE_EVERY:
-            self._materialize()
-
-    def _payload(self):
-        per_part: dict[int, tuple[list[int], list[list[float]]]] = {}
-        for centers in self.pending:
-            for p, (cid, cv) in centers.items():
-                ids, vs = per_part.setdefault(p, ([], []))
-                ids.append(cid)
-                vs.append(cv)
-        payload = {
-            p: (np.asarray(ids, dtype=np.int64), np.asarray(vs, dtype=np.float64).reshape(len(ids), self.dim))
-            for p, (ids, vs) in per_part.items()
-        }
-        size = sum(c.nbytes + i.nbytes for i, c in payload.values())
-        if size > CLOSURE_BYTES:
-            return self.base.sparkSession.sparkContext.broadcast(payload)
-        return payload
-
-    def frame(self) -> DataFrame:
-        """``(id, v, part, md, taken)`` with every chosen center applied."""
-        if not self.pending:
-            return self.base
-        return self.base.mapInArrow(_rows_fn(self._payload(), self.dim), STATE_SCHEMA)
-
-    def farthest(self) -> Centers:
-        """One job: the farthest free point of every group (ties: smallest id)."""
-        payload = self._payload() if self.pending else None
-        if payload is not None:
-            partial = self.base.mapInArrow(_winners_fn(payload, self.dim), WINNER_SCHEMA)
-        else:
-            partial = self.base.filter(~F.col("taken")).select("part", (-F.col("md")).alias("nmd"), "id", "v")
-        try:
-            rows = (
-                partial.groupBy("part")
-                .agg(F.min(F.struct("nmd", "id", "v")).alias("b"))
-                .select("part", "b.id", "b.v")
-                .collect()
-            )
-        finally:
-            if hasattr(payload, "unpersist"):
-                payload.unpersist()
-        return _collect_centers(rows)
+def _joined_rows_fn(dim: int, first: bool):
+    """Task function over state rows joined with their group's newest center ``(c_id, c_v)``."""
 
-    def _materialize(self) -> None:
-        self.materialized += 1
-        reliable = self.materialized % CHECKPOINT_EVERY == 0
-        fresh = materialize(self.frame(), reliable)
-        if self.owned is not None:
-            self.owned.unpersist()
-        self.base, self.owned, self.pending = fresh, fresh, []
+    def run(batches):
+        import pyarrow as pa
 
-    def release(self) -> None:
-        if self.owned is not None:
-            self.owned.unpersist()
-            self.owned = None
+        for batch in batches:
+            has = np.asarray(batch.column("c_id").is_valid())
+            md = batch.column("md").to_numpy(zero_copy_only=False)
+            taken = batch.column("taken").to_numpy(zero_copy_only=False)
+            if has.any():
+                rows = pa.array(has)
+                x = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v").filter(rows), dim))
+                c = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("c_v").filter(rows), dim))
+                md, taken = md.copy(), taken.copy()
+                md[has] = _lower(md[has], np.sqrt(arrow_fns.sqdist_to(x, c)), first)
+                same = batch.column("id").filter(rows).to_numpy() == batch.column("c_id").filter(rows).to_numpy()
+                taken[has] |= same
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(taken)],
+                names=["id", "v", "part", "md", "taken"],
+            )
 
+    return run
 
-def _collect_centers(rows) -> Centers:
-    return {int(r["part"]): (int(r["id"]), list(r["v"])) for r in rows if r["id"] is not None}
+
+def _farthest(state: DataFrame, payload, dim: int) -> DataFrame:
+    """``(part, id)``: the farthest free point of every group, one partial row per task and group."""
+    partial = state.mapInArrow(_winners_fn(payload, dim), WINNER_SCHEMA)
+    return (
+        partial.groupBy("part").agg(F.min(F.struct("nmd", "id")).alias("b")).select("part", F.col("b.id").alias("id"))
+    )
 
 
 def _firsts_fn():
-    """Task function: per batch and group, validation counts and the point with
-    the smallest ``(h, id)`` -- partial rows for Spark to reduce, no sort."""
+    """Task function: per group of the task's rows, validation counts and the
+    point with the smallest ``(h, id)``."""
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
-
-        schema = pa.schema(
-            [
-                ("part", pa.int64()),
-                ("n", pa.int64()),
-                ("lo", pa.int64()),
-                ("hi", pa.int64()),
-                ("bad", pa.int64()),
-                ("h", pa.string()),
-                ("id", pa.int64()),
-                ("v", pa.list_(pa.float64())),
-            ]
-        )
+
+        keys = [np.zeros(0, np.int64)] + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
+        stats = np.zeros((0, 4), np.int64)  # n, lo, hi, bad
         for batch in batches:
-            if batch.num_rows == 0:
+            m = batch.num_rows
+            if m == 0:
                 continue
+            v = batch.column("v")
+            lens = v.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = v.flatten()
+            wrong = np.isnan(flat.to_numpy(zero_copy_only=False)).astype(np.int64)  # null coordinates read as NaN
+            run_sum = np.concatenate([[0], np.cumsum(wrong)])
+            ends = np.cumsum(lens)
+            bad = run_sum[ends] - run_sum[ends - lens] + np.asarray(v.is_null()).astype(np.int64)
+            h = np.frombuffer(bytes.fromhex("".join(batch.column("h").to_pylist())), ">u8").reshape(m, 2)
             part = batch.column("part").to_numpy(zero_copy_only=False)
-            out = {name: [] for name in schema.names}
-            for p, rows in arrow_fns.group_segments(part):
-                sub = batch if isinstance(rows, slice) else batch.take(pa.array(rows))
-                n, lo, hi, bad = arrow_fns.vector_stats(sub.column("v"))
-                h = sub.column("h")
-                hmin = pc.min(h).as_py()
-                ids = sub.column("id").to_numpy(zero_copy_only=False)
-                cand = np.nonzero(pc.equal(h, hmin).to_numpy(zero_copy_only=False))[0]
-                j = int(cand[np.argmin(ids[cand])])
-                for name, value in (
-                    ("part", p), ("n", n), ("lo", lo), ("hi", hi), ("bad", bad),
-                    ("h", hmin), ("id", int(ids[j])), ("v", sub.column("v")[j].as_py()),
-                ):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            keys = [np.concatenate(x) for x in zip(keys, (part, h[:, 0].astype(np.uint64), h[:, 1].astype(np.uint64), ids))]
+            stats = np.concatenate([stats, np.column_stack([np.ones(m, np.int64), lens, lens, bad])])
+            order = np.lexsort(tuple(reversed(keys)))
+            keys, stats = [k[order] for k in keys], stats[order]
+            at = np.flatnonzero(np.append(True, keys[0][1:] != keys[0][:-1]))
+            stats = np.column_stack(
+                [f.reduceat(stats[:, c], at) for c, f in enumerate((np.add, np.minimum, np.maximum, np.add))]
+            )
+            keys = [k[at] for k in keys]
+        if len(keys[0]):
+            hexes = [f"{a:016x}{b:016x}" for a, b in zip(keys[1].tolist(), keys[2].tolist())]
+            cols = [pa.array(keys[0]), *(pa.array(stats[:, c]) for c in range(4)), pa.array(hexes), pa.array(keys[3])]
+            yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "lo", "hi", "bad", "h", "id"])
 
     return run
 
 
-def _validated_firsts(base: DataFrame, seed: int) -> tuple[int, int, Centers]:
-    """One job: validate the points and pick every group's first center.
-
-    Returns ``(n, dim, {part: (id, v)})``; the first center of a group is its
-    point with the smallest ``md5('<seed>:<id>')`` (ties: id).  The hash is a
-    Spark expression; an Arrow pass reduces each batch to one partial row per
-    group, so no task sorts its rows (a ``min`` over a struct holding an
-    array would force a sort-based aggregate).
-    """
+def _firsts(base: DataFrame, seed: int) -> DataFrame:
+    """Per group: validation counts and the id of its first center."""
     keyed = base.select("id", "v", "part", seeded_order_key(seed).alias("h"))
-    partial = keyed.mapInArrow(
-        _firsts_fn(), "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint, v array<double>"
-    )
-    rows = (
-        partial.groupBy("part")
+    return (
+        keyed.mapInArrow(_firsts_fn(), FIRSTS_SCHEMA)
+        .groupBy("part")
         .agg(
             F.sum("n").alias("n"),
-            F.min("lo").alias("min_dim"),
-            F.max("hi").alias("max_dim"),
-            F.sum("bad").alias("n_bad"),
-            F.min(F.struct("h", "id", "v")).alias("c"),
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.sum("bad").alias("bad"),
+            F.min(F.struct("h", "id")).alias("c"),
         )
-        .select("part", "n", "min_dim", "max_dim", "n_bad", "c.id", "c.v")
-        .limit(MAX_GROUPS + 1)
-        .collect()
+        .select("part", "n", "lo", "hi", "bad", F.col("c.id").alias("id"))
     )
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; use fewer, larger groups")
-    n = sum(int(r["n"]) for r in rows)
-    if n == 0:
-        return 0, 0, {}
-    bad = sum(int(r["n_bad"]) for r in rows)
+
+
+def _checked(n: int, lo: int, hi: int, bad: int) -> int:
     if bad:
         raise ValueError(f"{bad} null or NaN coordinate(s) or null point(s)")
-    lo, hi = min(r["min_dim"] for r in rows), max(r["max_dim"] for r in rows)
-    if lo != hi:
+    if n and lo != hi:
         raise ValueError(f"points of mixed dimension: {lo} to {hi}")
-    return n, int(lo), _collect_centers(rows)
+    return int(lo or 0)
 
 
 def _state_base(points: DataFrame, part: Column | None) -> DataFrame:
@@ -297,36 +237,113 @@ def _state_base(points: DataFrame, part: Column | None) -> DataFrame:
     )
 
 
+def _packed(rows: Sequence, first: bool, dim: int):
+    """A round's centers ``(part, id, v)`` as a payload entry."""
+    rows = sorted(rows, key=lambda r: r[0])
+    cols = np.asarray([r[2] for r in rows], np.float64).reshape(len(rows), dim).T
+    return (
+        first,
+        np.asarray([r[0] for r in rows], np.int64),
+        np.asarray([r[1] for r in rows], np.int64),
+        np.ascontiguousarray(cols),
+    )
+
+
+class _Payload:
+    """Pending rounds for the tasks: inside the closure, or as a broadcast variable that is released."""
+
+    def __init__(self, spark, rounds: list):
+        self.shared = None
+        self.rounds = rounds
+        if sum(c.nbytes for _, _, _, c in rounds) > CLOSURE_BYTES:
+            self.shared = spark.sparkContext.broadcast(rounds)
+
+    def __enter__(self):
+        return self.rounds if self.shared is None else self.shared
+
+    def __exit__(self, *exc):
+        if self.shared is not None:
+            self.shared.destroy()
+
+
+def _few_groups(base: DataFrame, k: int, firsts: list, dim: int, cached: bool) -> list[tuple]:
+    """``(part, pos, id, v)`` of all centers; they travel from the driver to the tasks."""
+    spark = base.sparkSession
+    state, owned, pending, written = base, None, [], 0
+
+    def vectors(rows):
+        where = {int(r["id"]): int(r["part"]) for r in rows}
+        got = base.filter(F.col("id").isin(list(where))).select("id", "v").collect()
+        return [(where[int(r["id"])], int(r["id"]), list(r["v"])) for r in got]
+
+    try:
+        chosen = [(p, 0, i, v) for p, i, v in vectors(firsts)]
+        pending.append(_packed([(p, i, v) for p, _, i, v in chosen], True, dim))
+        for pos in range(1, k):
+            if cached and len(pending) >= MATERIALIZE_EVERY:
+                with _Payload(spark, pending) as payload:
+                    fresh = materialize(state.mapInArrow(_rows_fn(payload, dim), STATE_SCHEMA), "farthest")
+                if owned is not None:
+                    owned.unpersist()
+                state = owned = fresh
+                pending, written = [], written + 1
+            with _Payload(spark, pending) as payload:
+                rows = _farthest(state, payload, dim).collect()
+            if not rows:
+                break
+            got = vectors(rows)
+            chosen += [(p, pos, i, v) for p, i, v in got]
+            pending.append(_packed(got, False, dim))
+        return chosen
+    finally:
+        if owned is not None:
+            owned.unpersist()
+
+
+def _many_groups(base: DataFrame, k: int, firsts: DataFrame, dim: int) -> DataFrame:
+    """``CENTERS_SCHEMA`` rows; the centers stay a DataFrame and are joined to the points by group."""
+    state = base
+    ids = firsts.select("part", "id")
+    out = None
+    for pos in range(k):
+        at = ids.select(F.col("id").alias("w_id"))
+        newest = materialize(state.join(at, F.col("id") == F.col("w_id"), "left_semi").select("part", "id", "v"), "centers")
+        rows = newest.select("part", F.lit(pos).cast("bigint").alias("pos"), "id", "v")
+        out = rows if out is None else out.unionAll(rows)
+        if pos == k - 1:
+            break
+        centers = newest.select(F.col("part").alias("c_part"), F.col("id").alias("c_id"), F.col("v").alias("c_v"))
+        joined = state.join(centers, F.col("part") == F.col("c_part"), "left").drop("c_part")
+        state = materialize(joined.mapInArrow(_joined_rows_fn(dim, pos == 0), STATE_SCHEMA), "farthest")
+        ids = _farthest(state, [], dim)
+    return out
+
+
 def farthest_first(
     points: DataFrame,
     k: int,
     part: Column | None = None,
     seed: int = 42,
     strict: bool | None = None,
-    with_state: bool = False,
     with_shape: bool = False,
     storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    driver_groups: int = DRIVER_GROUPS,
 ):
     """Farthest-first traversal: ``k`` centers per group, in order of choice.
 
     ``points`` is ``(id, v)``.  Without ``part`` the whole set is one group
     (the reference's k-center); with ``part`` (a column over the points, e.g.
-    ``id % L``) every group gets its own ``k`` centers (the coreset round).
-    ``strict`` (default: whole set only) raises when a group has fewer than
-    ``k`` points; otherwise such a group returns all its points.
+    ``pmod(id, L)``) every group gets its own ``k`` centers (the coreset
+    round).  ``strict`` (default: whole set only) raises when a group has fewer
+    than ``k`` points to choose; otherwise such a group returns all of them.
 
-    Returns ``(part, pos, id, v)``; with ``with_state`` also the final
-    min-distance state (``frame()`` gives ``(id, v, part, md, taken)``, ``md``
-    = distance to the nearest center of the point's group), which the caller
-    must ``release()``; with ``with_shape`` also ``(number of centers, dim)``.
+    Returns ``(part, pos, id, v)``; with ``with_shape`` also ``(number of
+    centers, dim)``.
 
     Jobs: one that validates and picks the first centers (and fills the
-    cache), then one per further center.  ``storage_level`` caches the points
-    for those passes; ``None`` re-reads the source every round instead (for
-    inputs far beyond cluster memory, where a cache would only spill to local
-    disk) -- the state starts as constants and the pending centers are
-    applied inside each pass, so nothing needs caching before the first
-    materialization.
+    cache), then a round per further center.  ``storage_level`` caches the
+    points for those passes; ``None`` re-reads the source every round instead,
+    for inputs beyond cluster memory: with few groups nothing is cached then.
     """
     if k < 1:
         raise ValueError(f"k must be at least 1, got {k}")
@@ -334,51 +351,92 @@ def farthest_first(
         strict = part is None
     spark = points.sparkSession
     base = _state_base(points, part)
-    cached = base.persist(storage_level) if storage_level is not None else base
-    state = _MinDistState(cached, 0, owned=cached if storage_level is not None else None)
+    if storage_level is not None:
+        base = base.persist(storage_level)
     try:
-        n, dim, first = _validated_firsts(cached, seed)
-        state.dim = dim
-        if strict and k > n:
-            raise ValueError(f"cannot choose {k} centers from {n} points")
-        chosen: list[tuple[int, int, int, list[float]]] = [(p, 0, cid, cv) for p, (cid, cv) in first.items()]
-        if first:
-            state.add(first)
-        for pos in range(1, k if first else 1):
-            got = state.farthest()
-            if not got:
-                break
-            if strict and len(got) < len(first):
-                raise ValueError(f"a group has fewer than {k} points")
-            chosen.extend((p, pos, cid, cv) for p, (cid, cv) in got.items())
-            state.add(got)
-        chosen.sort(key=lambda t: (t[0], t[1]))
-        out = spark.createDataFrame(chosen, CENTERS_SCHEMA)
-    except BaseException:
-        state.release()
-        raise
-    if with_state:
-        return out, state
-    state.release()
-    if with_shape:
-        return out, (len(chosen), dim)
-    return out
+        firsts = _firsts(base, seed)
+        rows = firsts.limit(driver_groups + 1).collect()
+        few = len(rows) <= driver_groups
+        if not few:
+            firsts = materialize(firsts, "firsts")
+            s = firsts.agg(F.sum("n"), F.min("lo"), F.max("hi"), F.sum("bad"), F.min("n"), F.count(F.lit(1))).first()
+            n, lo, hi, bad, least, groups = s
+        else:
+            groups = len(rows)
+            n = sum(r["n"] for r in rows)
+            lo, hi = min((r["lo"] for r in rows), default=0), max((r["hi"] for r in rows), default=0)
+            bad, least = sum(r["bad"] for r in rows), min((r["n"] for r in rows), default=0)
+        dim = _checked(n, lo, hi, bad)
+        if strict and k > least:
+            raise ValueError(f"cannot choose {k} centers from {least} points")
+        few = few and groups * point_bytes(dim) * min(k, MATERIALIZE_EVERY) <= max(broadcast_budget(spark), CLOSURE_BYTES)
+        if few:
+            chosen = _few_groups(base, k, rows, dim, storage_level is not None) if rows else []
+            chosen.sort(key=lambda t: (t[0], t[1]))
+            count = len(chosen)
+            out = spark.createDataFrame(chosen, CENTERS_SCHEMA)
+        else:
+            out = _many_groups(base, k, firsts, dim)
+            count = out.count() if strict or with_shape else None
+        if strict and count < k * groups:
+            raise ValueError(f"a group has fewer than {k} points to choose")
+    finally:
+        if storage_level is not None:
+            base.unpersist()
+    return (out, (count, dim)) if with_shape else out
 
 
 def nearest_center_distance(points: DataFrame, centers: DataFrame, dim: int | None = None) -> DataFrame:
-    """``(id, dist)``: each point's distance to its nearest center.
+    """``(id, dist)``: each point's distance to its nearest center, null without centers.
 
-    ``centers`` is a small ``(id, v)`` set whose rows reach the driver; they
-    travel with the tasks (or as a broadcast variable when large) and one
-    ``mapInArrow`` pass over the points computes the distances -- no join,
-    no shuffle.  ``dim`` skips the validation pass when the caller already
-    validated the points.
+    Centers travel to the tasks in blocks that fit the broadcast budget; one
+    block is one pass over the points without a shuffle, and between blocks the
+    distances so far are written.  A NaN distance is never the nearest; where
+    all are NaN the result is NaN.  ``dim`` skips the validation pass when the
+    caller already validated the points.
     """
+    spark = points.sparkSession
     n, dim = (1, dim) if dim is not None else validate_points(points)
-    known = [(int(r["id"]), list(r["v"])) for r in centers.select("id", "v").collect()]
-    if n and known and len(known[0][1]) != dim:
-        raise ValueError("centers and points differ in dimension")
-    state = _MinDistState(_state_base(points, None), dim)
-    state.pending = [{0: (cid, cv)} for cid, cv in known]
-    md = F.when(F.col("md") == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(F.col("md"))
-    return state.frame().select("id", md.alias("dist"))
+    per_block = max(1, max(broadcast_budget(spark), CLOSURE_BYTES) // point_bytes(dim))
+    total = centers.count()
+    blocks = -(-total // per_block)
+    centers = centers.select("id", F.col("v").cast("array<double>").alias("v"))
+    state = _state_base(points, None)
+    if blocks > 1:
+        centers = materialize(centers.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(2 * blocks))), "centers")
+        blocks *= 2  # hashed blocks vary in size
+    for b in range(blocks):
+        rows = (centers if blocks == 1 else centers.filter(F.col("block") == b)).select("id", "v").collect()
+        if n and rows and len(rows[0]["v"]) != dim:
+            raise ValueError("centers and points differ in dimension")
+        packed = [_packed([(0, r["id"], r["v"])], False, dim) for r in rows]
+        state = state.mapInArrow(_nearest_fn(packed, dim), STATE_SCHEMA)
+        if b < blocks - 1:
+            state = materialize(state, "nearest")
+    dist = F.when(F.lit(total) == 0, F.lit(None).cast("double")).otherwise(
+        F.when(F.col("taken") | (F.col("md") < float("inf")), F.col("md")).otherwise(F.lit(float("nan")))
+    )
+    return state.select("id", dist.alias("dist"))
+
+
+def _nearest_fn(rounds, dim):
+    """Task function: ``md`` lowered by the centers; ``taken`` marks rows with any distance that is not NaN."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            md = batch.column("md").to_numpy(zero_copy_only=False)
+            known = batch.column("taken").to_numpy(zero_copy_only=False)
+            if batch.num_rows:
+                cols = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v"), dim))
+                for _, _, _, center in rounds:
+                    d = np.sqrt(arrow_fns.sqdist_to(cols, center[:, 0]))
+                    md = np.where(d < md, d, md)
+                    known = known | ~np.isnan(d)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(known)],
+                names=["id", "v", "part", "md", "taken"],
+            )
+
+    return run

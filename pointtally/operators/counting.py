@@ -26,7 +26,12 @@ def pair_count(pairs: DataFrame) -> DataFrame:
 
 def class_count(pairs: DataFrame) -> DataFrame:
     """``(class, n)`` for every class, ascending by class."""
-    return pairs.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy("class")
+    return class_totals(pairs).orderBy("class")
+
+
+def class_totals(pairs: DataFrame) -> DataFrame:
+    """``(class, n)`` for every class, in no order."""
+    return pairs.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_partial_counts(pairs: DataFrame, k: int) -> DataFrame:
@@ -52,10 +57,14 @@ def class_count_rounds(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def _physical(pairs: DataFrame, num_partitions: int | None) -> DataFrame:
-    """Rows tagged with the physical partition they live in after ``repartition``."""
+    """Rows tagged with the physical partition they live in.
+
+    With ``num_partitions`` the rows are placed first, row ``id`` in partition
+    ``pmod(id, num_partitions)``: the caller's number, whatever the cluster.
+    """
     if num_partitions is not None:
         _check_groups(num_partitions)
-        pairs = pairs.repartition(num_partitions)
+        pairs = pairs.repartitionById(num_partitions, F.pmod(F.col("id"), F.lit(num_partitions)).cast("int"))
     return pairs.withColumn("part", F.spark_partition_id().cast("bigint"))
 
 
@@ -82,10 +91,11 @@ def max_partition_size(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def max_partition_size_physical(pairs: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Largest physical partition after ``repartition(num_partitions)``; 0 for no rows.
+    """Largest physical partition, ``(max_partition_size BIGINT)``; 0 for no rows.
 
-    Partition sizes come from one partial aggregate per task; only one row per
-    partition is shuffled.
+    With ``num_partitions`` rows are placed by :func:`_physical`.  Partition
+    sizes come from one partial aggregate per task; only one row per partition
+    is shuffled.
     """
     sizes = _physical(pairs, num_partitions).groupBy("part").agg(F.count(F.lit(1)).alias("size"))
     return sizes.agg(F.coalesce(F.max("size"), F.lit(0)).cast("bigint").alias("max_partition_size"))

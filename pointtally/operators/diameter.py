@@ -1,14 +1,15 @@
 """Maximum and average pairwise distance, and seeded point sampling.
 
-* :func:`exact_diameter` -- max over all unordered pairs (JVM pair rows for
-  small sets, the vectorized block kernel beyond).  From ``PRUNE_MIN_POINTS``
-  points on it first prunes exactly: a few farthest-first centers give a lower
-  bound ``l`` (a real pair distance) and radii ``R_c``; a point with
-  ``min_c(d(p, c) + R_c) < l`` cannot be in a pair longer than ``l``
-  (triangle inequality), so only the survivors are paired.
+* :func:`exact_diameter` -- max over all unordered pairs (the block kernel).
+  For large sets it first prunes exactly: a few farthest-first centers give a
+  lower bound ``l`` (a real pair distance) and radii ``R_c``; a point with
+  ``min_c(d(p, c) + R_c) < l`` cannot be in a pair longer than ``l`` (triangle
+  inequality), so only the survivors are paired.
 * :func:`two_approx_diameter` -- max distance between every point and ``k``
   sampled points: the sample travels with the tasks, one pass, no join.
 * :func:`avg_pairwise_distance` -- mean over all unordered pairs.
+
+A NaN distance is never the largest on any path; an average over one is NaN.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ import math
 import sys
 
 import numpy as np
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel, cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
-from pointtally.operators.pairs import SMALL_PAIRS, pair_summary, unordered_pairs
+from pointtally.functions.ranges import with_start
+from pointtally.operators.pairs import pair_summary
+from pointtally.runtime import broadcast_budget, materialize, point_bytes
 from pointtally.sources.text import validate_points
 
 # Task functions defined here travel by value (executors need no copy of the package).
@@ -31,10 +34,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PRUNE_CENTERS = 8
 # Exact pruning is tried from this many points on (its O(k n) passes are then
-# negligible against the O(n^2) pair phase it can remove).
+# negligible against the O(n^2) pair phase); the result is the same either way.
 PRUNE_MIN_POINTS = 100_000
 # Relative slack for floating-point error in the triangle inequality.
 PRUNE_SLACK = 1e-9
+# Sample sizes up to which one task holds the sample while it is ordered.
+SAMPLE_TASK_ROWS = 100_000
 
 
 def _one_value(spark, name: str, value: float) -> DataFrame:
@@ -44,44 +49,36 @@ def _one_value(spark, name: str, value: float) -> DataFrame:
 def sample_points(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``k`` points without replacement, seeded: ``(pos, id, v)`` in draw order.
 
-    The draw order is ``md5('<seed>:<id>')`` (ties on id); every task keeps its
-    own top ``k`` and only those are merged (TakeOrderedAndProject).
+    The draw order is ``md5('<seed>:<id>')`` (ties on id).  Every task keeps
+    its own top ``k`` and those are merged; a sample too large for one task is
+    taken by rank over ranges of the key instead.
     """
     if k < 0:
         raise ValueError(f"sample size must be non-negative, got {k}")
     keyed = points.select("id", "v", seeded_order_key(seed).alias("h"))
-    top = keyed.orderBy("h", "id").limit(k)
-    pos = (F.row_number().over(Window.orderBy("h", "id")) - 1).cast("bigint")
-    return top.select(pos.alias("pos"), "id", "v")
-
+    if k <= SAMPLE_TASK_ROWS:
+        # One ordered partition: the position in it is the draw order.
+        top = keyed.orderBy("h", "id").limit(k)
+        return top.select(F.monotonically_increasing_id().alias("pos"), "id", "v")
+    rank = F.conv(F.substring("h", 1, 15), 16, 10).cast("bigint")
+    return with_start(keyed, "pos", rank, ["h", "id"]).filter(F.col("pos") < k).select("pos", "id", "v")
 
-def resolve_strategy(strategy: str, n: int) -> str:
-    """``auto`` → JVM pair rows for small sets, the vectorized block kernel above."""
-    if strategy != "auto":
-        return strategy
-    return "broadcast" if n * (n - 1) // 2 <= SMALL_PAIRS else "vectorized"
 
-
-def _max_d2(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
-    if strategy == "vectorized":
-        return pair_summary(points, n, dim, blocks, with_sum=False).select("d2")
-    return unordered_pairs(points, n, dim, strategy, blocks).agg(F.max("d2").alias("d2"))
+def _max_d2(points: DataFrame, n: int, dim: int, blocks: int | None) -> DataFrame:
+    return pair_summary(points, n, dim, blocks, with_sum=False).select("d2")
 
 
 def exact_diameter(
     points: DataFrame,
-    strategy: str = "auto",
     prune: bool | None = None,
     shape: tuple[int, int] | None = None,
     blocks: int | None = None,
 ) -> DataFrame:
-    """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` below two points.
+    """``(diameter DOUBLE)``: the largest pairwise distance, ``-1`` where there is none.
 
-    ``strategy`` is ``auto``, ``broadcast`` / ``grid`` (pair rows, see
-    :func:`~pointtally.operators.pairs.unordered_pairs`) or ``vectorized``
-    (:func:`~pointtally.operators.pairs.pair_summary`); ``prune`` forces the
-    exact triangle-inequality pruning on or off (default: on above
-    ``PRUNE_MIN_POINTS`` points, where the quadratic phase dominates).
+    There is none below two points, or where every distance is NaN.  ``prune``
+    forces the exact triangle-inequality pruning on or off (default: on from
+    ``PRUNE_MIN_POINTS`` points).
     """
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
@@ -90,25 +87,28 @@ def exact_diameter(
     if prune is None:
         prune = n >= PRUNE_MIN_POINTS
     if prune and n > 2 * PRUNE_CENTERS:
-        return _pruned_diameter(points, n, dim, strategy, blocks)
-    best = _max_d2(points, n, dim, resolve_strategy(strategy, n), blocks)
-    return best.select(F.coalesce(F.sqrt("d2"), F.lit(-1.0)).alias("diameter"))
+        return _pruned_diameter(points, n, dim, blocks)
+    return _max_d2(points, n, dim, blocks).select(F.coalesce(F.sqrt("d2"), F.lit(-1.0)).alias("diameter"))
 
 
 def _radii_fn(centers: np.ndarray, dim: int):
-    """Task function: per batch, the largest squared distance to each center."""
+    """Task function: the largest squared distance of the task's points to each center.
+
+    A NaN distance counts as infinite here, so that its point excludes nothing.
+    """
 
     def run(batches):
         import pyarrow as pa
 
+        far = np.zeros(len(centers))
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            d2 = arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers)
-            yield pa.RecordBatch.from_pydict(
-                {"t": list(range(len(centers))), "r2": d2.max(axis=0).tolist()},
-                schema=pa.schema([("t", pa.int64()), ("r2", pa.float64())]),
-            )
+            if batch.num_rows:
+                d2 = arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers)
+                far = np.maximum(far, np.where(np.isnan(d2), np.inf, d2).max(axis=0))
+        yield pa.RecordBatch.from_pydict(
+            {"t": list(range(len(centers))), "r2": far.tolist()},
+            schema=pa.schema([("t", pa.int64()), ("r2", pa.float64())]),
+        )
 
     return run
 
@@ -117,75 +117,87 @@ def _survivors_fn(centers: np.ndarray, radii: np.ndarray, lower: float, dim: int
     """Task function: the points that may still lie on a pair longer than ``lower``."""
 
     def run(batches):
+        import pyarrow as pa
+
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             d = np.sqrt(arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers))
-            keep = (d + radii[None, :]).min(axis=1) >= lower
-            sub = batch.select(["id", "v"]).filter(keep)
+            bound = np.where(np.isnan(d), np.inf, d) + radii[None, :]
+            sub = batch.select(["id", "v"]).filter(pa.array(bound.min(axis=1) >= lower))
             if sub.num_rows:
                 yield sub
 
     return run
 
 
-def _pruned_diameter(points: DataFrame, n: int, dim: int, strategy: str, blocks: int | None) -> DataFrame:
+def _pruned_diameter(points: DataFrame, n: int, dim: int, blocks: int | None) -> DataFrame:
     """Exact diameter with triangle-inequality pruning (see module docstring).
 
-    Passes: the farthest-first centers, one for the radii, one that keeps the
-    survivors; then the pair phase over the survivors only.
+    Passes over one cache of the points: the farthest-first centers, one for
+    the radii, one that keeps the survivors; then the pair phase over those.
     """
     from pointtally.operators.centers import farthest_first
 
     spark = points.sparkSession
-    pts = points.select("id", F.col("v").cast("array<double>").alias("v"))
-    rows = farthest_first(pts, PRUNE_CENTERS).orderBy("pos").collect()
-    centers = np.asarray([list(r["v"]) for r in rows], dtype=np.float64).reshape(len(rows), dim)
-    # Lower bound: the exact diameter of the centers (a real pair distance,
-    # computed in the same summation order as every other pair).
-    lower = float(np.sqrt(arrow_fns.sqdists(centers, centers).max())) if len(centers) > 1 else 0.0
-    r2 = dict(
-        (r["t"], r["r2"])
-        for r in pts.mapInArrow(_radii_fn(centers, dim), "t bigint, r2 double")
-        .groupBy("t")
-        .agg(F.max("r2").alias("r2"))
-        .collect()
-    )
-    radii = np.sqrt(np.asarray([r2[t] for t in range(len(centers))]))
-    survivors = pts.mapInArrow(
-        _survivors_fn(centers, radii, lower * (1.0 - PRUNE_SLACK), dim), "id bigint, v array<double>"
-    ).persist()
+    pts = points.select("id", F.col("v").cast("array<double>").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        rows = farthest_first(pts, PRUNE_CENTERS, strict=False, storage_level=None).orderBy("pos").collect()
+        centers = np.asarray([list(r["v"]) for r in rows], dtype=np.float64).reshape(len(rows), dim)
+        # Lower bound: the exact diameter of the centers (a real pair distance,
+        # computed in the same summation order as every other pair).
+        between = arrow_fns.sqdists(centers, centers)
+        np.fill_diagonal(between, np.nan)
+        lower = math.sqrt(np.nanmax(between)) if (~np.isnan(between)).any() else -1.0
+        r2 = dict(
+            (r["t"], r["r2"])
+            for r in pts.mapInArrow(_radii_fn(centers, dim), "t bigint, r2 double")
+            .groupBy("t")
+            .agg(F.max("r2").alias("r2"))
+            .collect()
+        )
+        radii = np.sqrt(np.asarray([r2[t] for t in range(len(centers))]))
+        survivors = materialize(
+            pts.mapInArrow(
+                _survivors_fn(centers, radii, lower * (1.0 - PRUNE_SLACK), dim), "id bigint, v array<double>"
+            ),
+            "survivors",
+        )
         m = survivors.count()
         best = lower
         if m >= 2:
-            got = _max_d2(survivors, m, dim, resolve_strategy(strategy, m), blocks).first()["d2"]
-            if got is not None and math.sqrt(got) > best:
-                best = math.sqrt(got)
-    finally:
+            got = _max_d2(survivors, m, dim, blocks).first()["d2"]
+            if got is not None:
+                best = max(best, math.sqrt(got))
         survivors.unpersist()
+    finally:
+        pts.unpersist()
     return _one_value(spark, "diameter", best)
 
 
-def _far_fn(sample: np.ndarray, dim: int):
-    """Task function: per batch, validation counts and the largest squared
-    distance to any sampled point."""
+def _far_fn(sample, dim: int):
+    """Task function: validation counts and the largest squared distance to any sampled point."""
 
     def run(batches):
         import pyarrow as pa
 
-        schema = pa.schema(
-            [("n", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("bad", pa.int64()), ("far", pa.float64())]
-        )
+        centers = sample.value if hasattr(sample, "value") else sample
+        total = None
         for batch in batches:
             n, lo, hi, bad = arrow_fns.vector_stats(batch.column("v"))
             if n == 0:
                 continue
-            far = None
+            far = -np.inf
             if not bad and lo == hi == dim:
-                far = float(arrow_fns.max_sqdist(arrow_fns.column_matrix(batch.column("v"), dim), sample).max())
-            yield pa.RecordBatch.from_pydict(
-                {"n": [n], "lo": [lo], "hi": [hi], "bad": [bad], "far": [far]}, schema=schema
+                far = float(arrow_fns.max_sqdist(arrow_fns.column_matrix(batch.column("v"), dim), centers).max())
+            row = (n, lo, hi, bad, far)
+            total = row if total is None else (
+                total[0] + n, min(total[1], lo), max(total[2], hi), total[3] + bad, max(total[4], far)
+            )
+        if total is not None:
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip(total, types)], names=["n", "lo", "hi", "bad", "far"]
             )
 
     return run
@@ -194,10 +206,10 @@ def _far_fn(sample: np.ndarray, dim: int):
 def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``(diameter DOUBLE)``: max distance between any point and ``k`` sampled points.
 
-    Lies in ``[D/2, D]``; ``-1`` for ``k = 0``; ``k`` larger than the set fails.
-    Two passes: the seeded top-``k`` sample, then one ``mapInArrow`` pass that
-    computes, per record batch, the largest distance to the sample together
-    with the validation counts; Spark reduces the per-batch rows.
+    Lies in ``[D/2, D]``; ``-1`` for ``k = 0`` or where every distance is NaN;
+    ``k`` larger than the set fails.  The seeded sample travels to the tasks in
+    parts that fit the broadcast budget; each part is one ``mapInArrow`` pass
+    that also validates the points.
     """
     spark = points.sparkSession
     if k < 0:
@@ -205,26 +217,39 @@ def two_approx_diameter(points: DataFrame, k: int, seed: int = 42) -> DataFrame:
     if k == 0:
         return _one_value(spark, "diameter", -1.0)
     pts = points.select("id", F.col("v").cast("array<double>").alias("v"))
-    rows = sample_points(pts, k, seed).collect()
-    if len(rows) < k:
-        raise ValueError(f"cannot sample {k} points from {len(rows)}")
-    dim = len(rows[0]["v"] or [])
-    sample = np.asarray([list(r["v"] or []) for r in rows], dtype=np.float64).reshape(len(rows), -1)
-    stats = (
-        pts.mapInArrow(_far_fn(sample, dim), "n bigint, lo bigint, hi bigint, bad bigint, far double")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("lo").alias("min_dim"),
-            F.max("hi").alias("max_dim"),
-            F.sum("bad").alias("n_bad"),
-            F.max("far").alias("far"),
-        )
-        .first()
-    )
-    _check_stats(stats)
-    if stats["min_dim"] != dim:
-        raise ValueError("sampled points and the rest differ in dimension")
-    return _one_value(spark, "diameter", math.sqrt(stats["far"]))
+    dim = len((pts.select("v").first() or [[]])[0] or [])
+    per_part = max(1, broadcast_budget(spark) // point_bytes(dim))
+    drawn = sample_points(pts, k, seed)
+    if k > per_part:
+        drawn = materialize(drawn, "sample")
+    best, seen = -math.inf, 0
+    for start in range(0, k, per_part):
+        rows = (drawn if k <= per_part else drawn.filter(F.col("pos").between(start, start + per_part - 1))).collect()
+        seen += len(rows)
+        if not rows or len(rows) < min(per_part, k - start):
+            raise ValueError(f"cannot sample {k} points from {seen}")
+        dims = {len(r["v"] or []) for r in rows}
+        if dims != {dim}:
+            raise ValueError(f"points of mixed dimension: {min(dims | {dim})} to {max(dims | {dim})}")
+        sample = np.asarray([list(r["v"]) for r in rows], dtype=np.float64).reshape(len(rows), dim)
+        shared = spark.sparkContext.broadcast(sample)
+        try:
+            stats = (
+                pts.mapInArrow(_far_fn(shared, dim), "n bigint, lo bigint, hi bigint, bad bigint, far double")
+                .agg(
+                    F.sum("n").alias("n"),
+                    F.min("lo").alias("min_dim"),
+                    F.max("hi").alias("max_dim"),
+                    F.sum("bad").alias("n_bad"),
+                    F.max("far").alias("far"),
+                )
+                .first()
+            )
+        finally:
+            shared.destroy()
+        _check_stats(stats)
+        best = max(best, stats["far"])
+    return _one_value(spark, "diameter", math.sqrt(best) if best >= 0 else -1.0)
 
 
 def _check_stats(row) -> None:
@@ -235,24 +260,16 @@ def _check_stats(row) -> None:
 
 
 def avg_pairwise_distance(
-    points: DataFrame,
-    strategy: str = "auto",
-    shape: tuple[int, int] | None = None,
-    blocks: int | None = None,
+    points: DataFrame, shape: tuple[int, int] | None = None, blocks: int | None = None
 ) -> DataFrame:
     """``(avg_distance DOUBLE)``: mean distance over unordered pairs; NaN below two points."""
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
     if n < 2:
         return _one_value(spark, "avg_distance", float("nan"))
-    strategy = resolve_strategy(strategy, n)
-    if strategy == "vectorized":
-        summary = pair_summary(points, n, dim, blocks)
-        return summary.select(
-            F.coalesce(F.col("sum_d") / F.col("n_pairs"), F.lit(float("nan"))).alias("avg_distance")
-        )
-    pairs = unordered_pairs(points, n, dim, strategy, blocks)
-    return pairs.agg(F.coalesce(F.avg(F.sqrt("d2")), F.lit(float("nan"))).alias("avg_distance"))
+    return pair_summary(points, n, dim, blocks).select(
+        F.coalesce(F.col("sum_d") / F.col("n_pairs"), F.lit(float("nan"))).alias("avg_distance")
+    )
 
 
 __all__ = [

@@ -4,11 +4,9 @@
 reference re-aimed at DataFrames: each of the ``k // 2`` rounds takes the
 farthest pair whose ends are both unused (squared distances, as the reference
 compares them; ties to the first ``(i, j)``), and for odd ``k`` the smallest
-unused id is added.  Small sets cache their pair rows and run each round as
-one aggregate ``min(struct(-d2, i, j))``; large sets keep one best pair per
-block pair and recompute, per round, only the block pairs that round touched
-(:func:`_greedy_by_blocks`).  Only the chosen ids (at most ``k``) ever reach
-the driver.
+unused id is added.  One best pair is kept per block pair; a round recomputes
+only the block pairs whose best it touched.  Only the chosen ids (at most
+``k``) ever reach the driver.
 
 :func:`diversity_maximization` is the reference's two-round MapReduce: the
 per-group farthest-first coreset (``k`` centers of each of ``L`` groups), then
@@ -17,14 +15,13 @@ greedy matching on the coreset, then the average distance of the result.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.functions.distance import ids_literal
-from pointtally.operators.centers import CHECKPOINT_EVERY, farthest_first
-from pointtally.operators.diameter import avg_pairwise_distance, resolve_strategy
-from pointtally.operators.pairs import best_pair, kernel_blocks, pair_groups, unordered_pairs
+from pointtally.functions.ranges import with_start
+from pointtally.operators.centers import farthest_first
+from pointtally.operators.diameter import avg_pairwise_distance
+from pointtally.operators.pairs import best_pair, kernel_blocks, pair_groups
 from pointtally.runtime import materialize
 from pointtally.sources.text import validate_points
 
@@ -34,81 +31,65 @@ RESULT_SCHEMA = "pos bigint, id bigint"
 def _positions(points: DataFrame, order: list[int]) -> DataFrame:
     spark = points.sparkSession
     pos = spark.createDataFrame([(p, i) for p, i in enumerate(order)], RESULT_SCHEMA)
-    return points.join(F.broadcast(pos), "id").select("pos", "id", "v")
+    return points.join(pos.withColumnRenamed("id", "p_id"), F.col("id") == F.col("p_id")).select("pos", "id", "v")
 
 
-def greedy_matching(
-    points: DataFrame, k: int, strategy: str = "auto", shape: tuple[int, int] | None = None
-) -> DataFrame:
+def _without(points: DataFrame, used: list[int], *columns: str) -> DataFrame:
+    """Rows none of whose ``columns`` holds a used id."""
+    if not used:
+        return points
+    gone = points.sparkSession.createDataFrame([(i,) for i in used], "u_id bigint")
+    for c in columns:
+        points = points.join(gone, F.col(c) == F.col("u_id"), "left_anti")
+    return points
+
+
+def greedy_matching(points: DataFrame, k: int, shape: tuple[int, int] | None = None) -> DataFrame:
     """``k`` points chosen by greedy farthest-pair matching: ``(pos, id, v)``.
 
-    With ``k >= n`` every point is returned (in id order).  When all remaining
-    pairs are at distance 0 the first two remaining ids are taken (the
-    reference would repeat a point there).
+    With ``k >= n`` every point is returned (in id order).  Where no remaining
+    pair has a distance above 0 (all are 0 or NaN) the first two remaining ids
+    are taken (the reference would repeat a point there).
     """
     if k < 0:
         raise ValueError(f"k must be non-negative, got {k}")
     n, dim = validate_points(points, shape=shape)
     if k >= n:
-        ids = [r["id"] for r in points.select("id").orderBy("id").collect()]
-        return _positions(points, ids)
-    strategy = resolve_strategy(strategy, n)
-    used: list[int] = []
-    if strategy == "vectorized":
-        used = _greedy_by_blocks(points, n, dim, k)
-    else:
-        pairs = unordered_pairs(points, n, dim, strategy).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for _ in range(k // 2):
-                remaining = pairs
-                if used:
-                    gone = ids_literal(used)
-                    remaining = pairs.filter(~F.array_contains(gone, F.col("i")) & ~F.array_contains(gone, F.col("j")))
-                best = remaining.agg(F.min(F.struct((-F.col("d2")).alias("nd2"), "i", "j")).alias("b")).first()["b"]
-                used.extend([int(best["i"]), int(best["j"])])
-        finally:
-            pairs.unpersist()
+        return with_start(points, "pos", F.col("id"), ["id"]).select("pos", "id", "v")
+    used = _greedy_pairs(points, n, dim, k // 2) if k >= 2 else []
     if k % 2:
-        free = points.filter(~F.array_contains(ids_literal(used), F.col("id"))) if used else points
-        used.append(int(free.agg(F.min("id")).first()[0]))
+        used.append(int(_without(points, used, "id").agg(F.min("id")).first()[0]))
     return _positions(points, used)
 
 
-def _greedy_by_blocks(points: DataFrame, n: int, dim: int, k: int) -> list[int]:
+def _greedy_pairs(points: DataFrame, n: int, dim: int, rounds: int) -> list[int]:
     """Greedy rounds over block pairs, recomputing only what a round changes.
 
     Round 1 reduces every block pair to its farthest pair (one pass over all
     pairs, kept as one small row per block pair).  Once a pair is chosen, a
     block pair's best changes only if that best touches a used point: its
-    remaining pairs are a subset that still holds the old best, and ties
-    break the same way.  So each later round recomputes just the block pairs
-    whose best was hit (excluding every used point), instead of all pairs.
+    remaining pairs are a subset that still holds the old best, and ties break
+    the same way.  So each later round recomputes just the block pairs whose
+    best was hit; their keys stay a DataFrame that is joined to the points.
     """
-    if k < 2:
-        return []
     nb = kernel_blocks(points.sparkSession, n, dim)
-    bests = materialize(pair_groups(points, n, dim, nb, with_sum=False).select("ki", "kj", "d2", "i", "j"), False)
+    keep = ["ki", "kj", "d2", "i", "j"]
+    bests = materialize(pair_groups(points, n, dim, nb, with_sum=False).select(*keep), "bests")
     used: list[int] = []
     try:
-        for r in range(k // 2):
-            best = bests.agg(best_pair().alias("b")).first()["b"]
-            used.extend([int(best["i"]), int(best["j"])])
-            if r == k // 2 - 1:
+        for r in range(rounds):
+            best = bests.filter("d2 > 0").agg(best_pair().alias("b")).first()["b"]
+            if best is None:
+                pair = [row["id"] for row in _without(points.select("id"), used, "id").orderBy("id").limit(2).collect()]
+            else:
+                pair = [best["i"], best["j"]]
+            used.extend(int(i) for i in pair)
+            if r == rounds - 1:
                 break
-            gone = ids_literal(used)
-            hit = [
-                (int(row["ki"]), int(row["kj"]))
-                for row in bests.filter(F.array_contains(gone, F.col("i")) | F.array_contains(gone, F.col("j")))
-                .select("ki", "kj")
-                .collect()
-            ]
-            remaining = points.filter(~F.array_contains(gone, F.col("id")))
-            fresh = pair_groups(remaining, n - len(used), dim, nb, with_sum=False, only=hit)
-            keys = points.sparkSession.createDataFrame(hit, "ki bigint, kj bigint")
-            updated = bests.join(F.broadcast(keys), ["ki", "kj"], "left_anti").unionByName(
-                fresh.select("ki", "kj", "d2", "i", "j")
-            )
-            updated = materialize(updated, (r + 1) % CHECKPOINT_EVERY == 0)
+            gone = F.col("i").isin(pair) | F.col("j").isin(pair)
+            hit = bests.filter(gone)
+            fresh = pair_groups(_without(points, used, "id"), n, dim, nb, with_sum=False, only=hit.select("ki", "kj"))
+            updated = materialize(bests.filter(~F.coalesce(gone, F.lit(False))).unionByName(fresh.select(*keep)), "bests")
             bests.unpersist()
             bests = updated
     finally:
@@ -126,13 +107,14 @@ def coreset(
 ):
     """Round 1: ``k`` farthest-first centers of each group, ``(part, pos, id, v)``.
 
-    Groups default to ``id % groups``.  A group with fewer than ``k`` points
-    contributes all of them; an empty group contributes nothing.
+    Groups default to ``pmod(id, groups)``: exactly ``groups`` of them, whatever
+    the sign of the ids.  A group with fewer than ``k`` points contributes all
+    of them; an empty group contributes nothing.
     """
     if groups <= 0:
         raise ValueError(f"number of groups must be positive, got {groups}")
     if part is None:
-        part = F.col("id") % F.lit(groups)
+        part = F.pmod(F.col("id"), F.lit(groups))
     return farthest_first(points, k, part=part, seed=seed, strict=False, with_shape=with_shape)
 
 
@@ -141,7 +123,7 @@ def diversity_maximization(
 ) -> tuple[DataFrame, DataFrame]:
     """Both rounds: ``(chosen (pos, id, v), value (avg_distance))``.
 
-    Round 1 runs over all points (one job per center); round 2 and the value
+    Round 1 runs over all points (one round per center); round 2 and the value
     only ever touch the ``k * groups`` coreset points.
     """
     core, (m, dim) = coreset(points, k, groups, part, seed, with_shape=True)

@@ -1,23 +1,13 @@
-"""Unordered point pairs (the reference's ``for i, for j > i`` loops).
-
-:func:`unordered_pairs` returns the pairs as rows ``(i, j, d2)`` -- the form
-used for small sets (at most ``SMALL_PAIRS`` pairs, e.g. a coreset) -- built
-one of two ways:
-
-* **broadcast** — when the counted point set fits the session's broadcast
-  budget, one copy is broadcast and the other is spread over the cluster; the
-  ``a.id < b.id`` condition makes a BroadcastNestedLoopJoin.
-* **grid** — otherwise points are hashed into ``B`` blocks.  A point of block
-  ``b`` is sent left to keys ``(b, j)`` for ``j >= b`` and right to keys
-  ``(i, b)`` for ``i <= b``; an equi-join on the key then meets every
-  unordered pair exactly once (on a diagonal key only ``a.id < b.id`` is
-  kept).  Nothing is broadcast, each point is shuffled ``B + 1`` times and
-  every key holds about ``n / B`` points per side, whatever the data: ids are
-  unique, so no key can be hot.  ``B`` grows with ``n`` so the per-key work
-  stays bounded.
-
-For anything beyond small sets, :func:`pair_summary` never forms pair rows
-at all: Spark shuffles blocks of points and numpy reduces each block pair.
+"""All unordered point pairs (the reference's ``for i, for j > i`` loops), reduced in blocks.
+
+No pair ever exists as a Spark row.  Points are hashed into ``B`` blocks; a
+point of block ``b`` is copied to the block pairs ``(min(b, o), max(b, o))``
+for every ``o``, Spark shuffles the copies, and numpy reduces each block pair
+to one row: its farthest pair, its number of pairs and, on request, the sum of
+their distances.  Ids are unique, so no block is hot.
+
+One rule holds on every path: a distance that is NaN (two infinite coordinates
+of one sign) is never the farthest, and makes a sum of distances NaN.
 """
 
 from __future__ import annotations
@@ -31,216 +21,129 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
-from pointtally.functions.distance import sqdist
 from pointtally.functions.hashing import stable_bucket
-from pointtally.runtime import fits_broadcast, parallelism, point_bytes
+from pointtally.runtime import parallelism
 
 # Task functions defined here travel by value (executors need no copy of the package).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Points per grid block above which B is raised (bounds a join key's work to
-# about MAX_BLOCK_ROWS**2 distance evaluations).
-MAX_BLOCK_ROWS = 4096
-
-# Up to this many pairs the operators use pair rows (and the broadcast join
-# runs as one task: spreading it would cost more than the math); beyond it
-# they use the vectorized block summary.
-SMALL_PAIRS = 20_000
-
-
-def grid_blocks(spark, n: int) -> int:
-    """Number of grid blocks for ``n`` points.
-
-    At least about four join keys per task slot (``B(B+1)/2 >= 4 * cores``) so
-    hash placement of keys evens out, and at most ``MAX_BLOCK_ROWS`` points per
-    block so one key's work stays bounded as ``n`` grows.
-    """
-    by_tasks = math.ceil(math.sqrt(8 * parallelism(spark)))
-    by_size = math.ceil(n / MAX_BLOCK_ROWS)
-    return max(1, by_tasks, by_size)
-
-
-def unordered_pairs(
-    points: DataFrame,
-    n: int,
-    dim: int,
-    strategy: str = "auto",
-    blocks: int | None = None,
-) -> DataFrame:
-    """Every unordered pair of distinct points once: ``(i, j, d2)`` with ``i < j``.
-
-    This emits ``n(n-1)/2`` rows, so the operators use it only for small sets
-    (``SMALL_PAIRS``); for large sets use :func:`pair_summary` /
-    :func:`pair_groups`, which reduce pairs inside tasks and emit one row per
-    block pair.  ``points`` is ``(id, v)`` with unique ids, already validated
-    to ``n`` points of dimension ``dim``.  ``strategy`` is ``"auto"``, ``"broadcast"``
-    (taken only when the counted set fits the broadcast budget) or ``"grid"``.
-    """
-    spark = points.sparkSession
-    pts = points.select("id", "v")
-    if strategy in ("auto", "broadcast"):
-        # Broadcast only a set whose counted size fits the session's budget;
-        # beyond it the grid is the other way.
-        strategy = "broadcast" if fits_broadcast(spark, n, point_bytes(dim)) else "grid"
-    if strategy == "broadcast":
-        streamed = pts
-        if n * (n - 1) // 2 > SMALL_PAIRS:
-            streamed = pts.repartition(max(1, min(parallelism(spark), n)))
-        a, b = streamed.alias("a"), F.broadcast(pts).alias("b")
-        joined = a.join(b, F.col("a.id") < F.col("b.id"))
-    elif strategy == "grid":
-        nb = blocks or grid_blocks(spark, n)
-        blk = stable_bucket(nb, "id")
-        left = pts.select(
-            "id", "v", blk.alias("bi"), F.explode(F.sequence(blk, F.lit(nb - 1).cast("bigint"))).alias("bj")
-        )
-        right = pts.select(
-            "id", "v", blk.alias("bj"), F.explode(F.sequence(F.lit(0).cast("bigint"), blk)).alias("bi")
-        )
-        # A shuffle join on the block key: the build side of a key is one
-        # block (at most about MAX_BLOCK_ROWS points), so per-task memory is
-        # bounded; the hint keeps the optimizer from broadcasting the
-        # replicated side, whose size estimate ignores the explode.
-        a, b = left.alias("a"), right.hint("shuffle_hash").alias("b")
-        joined = a.join(
-            b,
-            (F.col("a.bi") == F.col("b.bi"))
-            & (F.col("a.bj") == F.col("b.bj"))
-            & ((F.col("a.bi") != F.col("a.bj")) | (F.col("a.id") < F.col("b.id"))),
-        )
-    else:
-        raise ValueError(f"unknown pair strategy {strategy!r}")
-    return joined.select(
-        F.least(F.col("a.id"), F.col("b.id")).alias("i"),
-        F.greatest(F.col("a.id"), F.col("b.id")).alias("j"),
-        sqdist("a.v", "b.v", dim).alias("d2"),
-    )
-
-
-# ---------------------------------------------------------------- vectorized pair summary
-
-# Points per block for the vectorized path (a group holds two blocks, about
-# 16 MB of 64-d coordinates).  Each point is shuffled B = n / KERNEL_BLOCK_ROWS
-# times, so larger blocks mean proportionally less shuffle at scale.
-KERNEL_BLOCK_ROWS = 16384
-# Coordinate bytes per block (two blocks plus their transposed copies make a
-# group's working set, about 4x this).
+# Coordinate bytes per block: a block pair's working set is about four times
+# this.  Each point is shuffled B = n / (rows per block) times, so blocks are as
+# large as memory allows.
 KERNEL_BLOCK_BYTES = 64 << 20
-# Rows of one block processed at a time (keeps the working arrays in cache).
-KERNEL_CHUNK = 64
+# Rows and columns of a tile of the distance matrix (the working arrays stay in cache).
+TILE_ROWS, TILE_COLS = 64, 4096
+# Partitions of the block pairs, per task slot.
+PARTITIONS_PER_SLOT = 8
 
 GROUP_SCHEMA = "ki bigint, kj bigint, d2 double, i bigint, j bigint, sum_d double, n_pairs bigint"
 
-# From this many pairs on, each block pair gets its own task.
-BALANCE_PAIRS = 50_000_000
-
 
-def _block_kernel(dim: int, with_sum: bool):
-    """The per-group function: all pairs between two blocks, reduced in numpy.
+def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool):
+    """``(d2, i, j, sum, pairs)`` over all pairs of two blocks (``(dim, n)`` coordinates).
 
-    Receives the group's key ``(ki, kj)`` and its rows as an Arrow table (the
-    coordinates arrive as one flat buffer, no per-row objects) and returns one
-    row: the farthest pair (ties: smallest ``(i, j)``), the number of pairs
-    and, with ``with_sum``, the sum of pair distances.  On a diagonal key
-    (both sides the same block) rows are sorted by id and only the upper
-    triangle is computed.  Squared distances are summed one dimension at a
-    time starting from zero -- the order of the JVM expression and of
-    ``Vectors.sqdist`` -- so the values are bit-identical to the row path.
+    With ``diag`` both are the same block in id order, of which the upper
+    triangle is taken.  Squared distances are summed one dimension at a time
+    from zero, the order of ``Vectors.sqdist``; ties go to the smallest
+    ``(i, j)``; ``d2`` is None where every distance is NaN.
     """
-
-    def kernel(keys, table):
+    best, total, count = None, 0.0, 0
+    na, nb = len(ida), len(idb)
+    acc, tmp = np.empty((TILE_ROWS, TILE_COLS)), np.empty((TILE_ROWS, TILE_COLS))
+    for r0 in range(0, na, TILE_ROWS):
+        m = min(TILE_ROWS, na - r0)
+        for c0 in range(r0 if diag else 0, nb, TILE_COLS):
+            w = min(TILE_COLS, nb - c0)
+            dd, tt = acc[:m, :w], tmp[:m, :w]
+            dd.fill(0.0)
+            for k in range(at.shape[0]):
+                np.subtract.outer(at[k, r0 : r0 + m], bt[k, c0 : c0 + w], out=tt)
+                np.multiply(tt, tt, out=tt)
+                dd += tt
+            valid = None
+            if diag and c0 < r0 + m:  # the tile crosses the diagonal
+                valid = np.arange(c0, c0 + w)[None, :] > np.arange(r0, r0 + m)[:, None]
+            vals = dd if valid is None else dd[valid]
+            if not vals.size:
+                continue
+            count += int(vals.size)
+            if with_sum:
+                total += float(np.sqrt(vals).sum())
+            known = ~np.isnan(vals)
+            if not known.any():
+                continue
+            top = float(vals[known].max())
+            if best is not None and top < -best[0]:
+                continue
+            hit = dd == top
+            rows, cols = np.nonzero(hit if valid is None else hit & valid)
+            pi = np.minimum(ida[r0 + rows], idb[c0 + cols])
+            pj = np.maximum(ida[r0 + rows], idb[c0 + cols])
+            first = np.lexsort((pj, pi))[0]
+            cand = (-top, int(pi[first]), int(pj[first]))
+            if best is None or cand < best:
+                best = cand
+    d2, i, j = (None, None, None) if best is None else (-best[0], best[1], best[2])
+    return d2, i, j, total, count
+
+
+def _kernel_fn(dim: int, with_sum: bool):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``: one row per block pair."""
+
+    def run(batches):
         import pyarrow as pa
 
-        ki, kj = int(keys[0].as_py()), int(keys[1].as_py())
-        ids = table.column("id").to_numpy()
-        blk = table.column("b").to_numpy()
-        vecs = arrow_fns.column_matrix(table.column("v"), dim)
-        diag = ki == kj
-        if diag:
-            order = np.argsort(ids, kind="stable")
-            ida = idb = ids[order]
-            at = bt = np.ascontiguousarray(vecs[order].T)
-        else:
-            sel_a, sel_b = blk == ki, blk == kj
-            ida, idb = ids[sel_a], ids[sel_b]
-            at = np.ascontiguousarray(vecs[sel_a].T)
-            bt = np.ascontiguousarray(vecs[sel_b].T)
-        na, nb = len(ida), len(idb)
-        best = None  # (-d2, i, j)
-        total, count = 0.0, 0
-        if na and nb:
-            d2 = np.empty((min(KERNEL_CHUNK, na), nb))
-            tmp = np.empty_like(d2)
-            for r0 in range(0, na, KERNEL_CHUNK):
-                m = min(KERNEL_CHUNK, na - r0)
-                c0 = r0 if diag else 0  # upper triangle only on the diagonal
-                width = nb - c0
-                if width <= 0:
-                    break
-                dd, tt = d2[:m, :width], tmp[:m, :width]
-                dd.fill(0.0)
-                for k in range(at.shape[0]):
-                    np.subtract.outer(at[k, r0 : r0 + m], bt[k, c0:], out=tt)
-                    np.multiply(tt, tt, out=tt)
-                    dd += tt
-                if diag:
-                    # pair (r0 + a, r0 + c) is valid for c > a
-                    valid = np.arange(width)[None, :] > np.arange(m)[:, None]
-                    if not valid.any():
-                        continue
-                    vals = dd[valid]
-                    count += int(vals.size)
-                    if with_sum:
-                        total += float(np.sqrt(vals).sum())
-                    top = float(vals.max())
-                    if best is not None and -top > best[0]:
-                        continue
-                    hit = valid & (dd == top)
-                else:
-                    count += dd.size
-                    if with_sum:
-                        total += float(np.sqrt(dd).sum())
-                    top = float(dd.max())
-                    if best is not None and -top > best[0]:
-                        continue
-                    hit = dd == top
-                rows, cols = np.nonzero(hit)
-                pi = np.minimum(ida[r0 + rows], idb[c0 + cols])
-                pj = np.maximum(ida[r0 + rows], idb[c0 + cols])
-                first = np.lexsort((pj, pi))[0]
-                cand = (-top, int(pi[first]), int(pj[first]))
-                if best is None or cand < best:
-                    best = cand
-        schema = pa.schema(
-            [
-                ("ki", pa.int64()),
-                ("kj", pa.int64()),
-                ("d2", pa.float64()),
-                ("i", pa.int64()),
-                ("j", pa.int64()),
-                ("sum_d", pa.float64()),
-                ("n_pairs", pa.int64()),
-            ]
-        )
-        if best is None:
-            best = (None, None, None)
-        d2_out = None if best[0] is None else -best[0]
-        return pa.table(
-            {"ki": [ki], "kj": [kj], "d2": [d2_out], "i": [best[1]], "j": [best[2]], "sum_d": [total], "n_pairs": [count]},
-            schema=schema,
-        )
-
-    return kernel
-
-
-def kernel_blocks(spark, n: int, dim: int = 64) -> int:
-    """Blocks for the vectorized path: about four groups per core, at most
-    ``KERNEL_BLOCK_ROWS`` points per block and at most ``KERNEL_BLOCK_BYTES``
-    of coordinates per block (so a group's memory is bounded for any
-    dimension)."""
-    rows = max(512, min(KERNEL_BLOCK_ROWS, KERNEL_BLOCK_BYTES // (8 * max(dim, 1))))
-    by_tasks = math.ceil(math.sqrt(8 * parallelism(spark)))
-    return max(1, min(by_tasks, n), math.ceil(n / rows))
+        def solve(key, parts):
+            table = pa.Table.from_batches(parts)
+            ids = table.column("id").to_numpy()
+            blk = table.column("b").to_numpy()
+            vecs = arrow_fns.column_matrix(table.column("v"), dim)
+            ki, kj = key
+            sides = []
+            for side in (blk == ki, blk == kj):
+                rows = np.flatnonzero(side)
+                rows = rows[np.argsort(ids[rows], kind="stable")]
+                sides += [ids[rows], arrow_fns.columns_of(vecs[rows])]
+            return (ki, kj, *_block_pair(*sides, ki == kj, with_sum))
+
+        def out(rows):
+            names = [c.split()[0] for c in GROUP_SCHEMA.split(", ")]
+            types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+
+        key, parts = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ki, kj = batch.column("ki").to_numpy(), batch.column("kj").to_numpy()
+            cuts = np.flatnonzero((ki[1:] != ki[:-1]) | (kj[1:] != kj[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                here = (int(ki[a]), int(kj[a]))
+                if here != key:
+                    if parts:
+                        yield out([solve(key, parts)])
+                    key, parts = here, []
+                parts.append(batch.slice(a, b - a))
+        if parts:
+            yield out([solve(key, parts)])
+
+    return run
+
+
+def block_rows(dim: int) -> int:
+    """Points per block at most: ``KERNEL_BLOCK_BYTES`` of coordinates."""
+    return max(1, KERNEL_BLOCK_BYTES // (8 * max(dim, 1)))
+
+
+def kernel_blocks(spark, n: int, dim: int) -> int:
+    """Blocks for ``n`` points: as few as memory allows, but several block pairs per task slot."""
+    by_tasks = math.ceil(math.sqrt(2 * PARTITIONS_PER_SLOT * parallelism(spark) / 2))
+    return max(1, min(by_tasks, math.ceil(n / 256)), math.ceil(n / block_rows(dim)))
+
+
+def kernel_partitions(spark, nb: int) -> int:
+    """Partitions of ``nb (nb + 1) / 2`` block pairs: a bounded multiple of the slots."""
+    return max(1, min(nb * (nb + 1) // 2, PARTITIONS_PER_SLOT * parallelism(spark)))
 
 
 def pair_groups(
@@ -249,39 +152,34 @@ def pair_groups(
     dim: int,
     blocks: int | None = None,
     with_sum: bool = True,
-    only: list[tuple[int, int]] | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """One row per block pair: ``(ki, kj, d2, i, j, sum_d, n_pairs)``.
 
-    Spark hashes the points into ``B`` blocks and sends each point to the
-    ``B`` keys ``(min(b, o), max(b, o))``; every key's group holds two blocks
-    (bounded size: ids are unique, so no block is hot) and numpy reduces the
-    block pair to its farthest pair (ties: smallest ``(i, j)``), the sum of
-    its distances (0 unless ``with_sum``) and its number of pairs.  No pair
-    ever exists as a Spark row.  ``only`` restricts the work to the listed
-    keys (the same ``blocks`` must then be passed again).
+    ``d2, i, j`` is the farthest pair (ties: smallest ``(i, j)``; null where
+    every distance is NaN), ``sum_d`` the sum of distances (0 unless
+    ``with_sum``).  ``only`` restricts the work to its keys ``(ki, kj)`` (the
+    same ``blocks`` must then be passed again); they are joined to the points'
+    blocks before any copy is made.
     """
     spark = points.sparkSession
     nb = blocks or kernel_blocks(spark, n, dim)
-    blk = stable_bucket(nb, "id")
-    copies = points.select(
-        "id",
-        "v",
-        blk.alias("b"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint"))).alias("o"),
-    ).select("id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj"))
-    groups = nb * (nb + 1) // 2
-    if only is not None:
-        codes = sorted({int(a) * nb + int(b) for a, b in only})
-        copies = copies.filter((F.col("ki") * F.lit(nb) + F.col("kj")).isin(codes))
-        groups = len(codes)
-    if groups and n * (n - 1) // 2 * groups // (nb * (nb + 1) // 2) >= BALANCE_PAIRS:
-        # One block pair per task: a range partitioning on the key gives every
-        # group its own partition (hashing B(B+1)/2 keys into the shuffle
-        # partitions leaves some tasks with several groups and others idle;
-        # 1.8x slower measured).  Its sampling pass is cheap next to the pairs.
-        copies = copies.repartitionByRange(groups, "ki", "kj")
-    return copies.groupBy("ki", "kj").applyInArrow(_block_kernel(dim, with_sum), GROUP_SCHEMA)
+    placed = points.select(F.col("id").cast("bigint").alias("id"), "v", stable_bucket(nb, "id").alias("b"))
+    if only is None:
+        others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint")))
+        copies = placed.select("id", "v", "b", others.alias("o")).select(
+            "id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj")
+        )
+    else:
+        wanted = only.select("ki", "kj", F.explode(F.array_distinct(F.array("ki", "kj"))).alias("kb"))
+        copies = placed.join(wanted, F.col("b") == F.col("kb")).select("id", "v", "b", "ki", "kj")
+    parts = kernel_partitions(spark, nb)
+    code = F.col("ki") * F.lit(nb) - F.expr("ki * (ki - 1) div 2") + F.col("kj") - F.col("ki")  # 0, 1, 2, ... row by row
+    return (
+        copies.repartitionById(parts, F.pmod(code, F.lit(parts)).cast("int"))
+        .sortWithinPartitions("ki", "kj", "b")
+        .mapInArrow(_kernel_fn(dim, with_sum), GROUP_SCHEMA)
+    )
 
 
 def best_pair() -> Column:
@@ -292,18 +190,12 @@ def best_pair() -> Column:
 def pair_summary(
     points: DataFrame, n: int, dim: int, blocks: int | None = None, with_sum: bool = True
 ) -> DataFrame:
-    """One row over all unordered pairs: ``(d2, i, j, sum_d, n_pairs)``.
-
-    ``d2, i, j`` is the farthest pair (squared distance; ties to the smallest
-    ``(i, j)``), ``sum_d`` the sum of distances (0 unless ``with_sum``),
-    ``n_pairs`` their number -- the block-pair rows of :func:`pair_groups`
-    reduced by one small aggregate.
-    """
+    """One row over all unordered pairs: ``(d2, i, j, sum_d, n_pairs)``, see :func:`pair_groups`."""
     partial = pair_groups(points, n, dim, blocks, with_sum)
     return partial.agg(
         best_pair().alias("best"),
         F.sum("sum_d").alias("sum_d"),
-        F.sum("n_pairs").cast("bigint").alias("n_pairs"),
+        F.coalesce(F.sum("n_pairs"), F.lit(0)).cast("bigint").alias("n_pairs"),
     ).select(
         (-F.col("best.nd2")).alias("d2"),
         F.col("best.i").alias("i"),

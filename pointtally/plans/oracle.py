@@ -17,7 +17,11 @@ PAIRS = "pr AS (SELECT a.id AS i, b.id AS j, list_sum(list_transform(list_zip(a.
 
 CLASS_COUNT = "SELECT event_type AS class, count(*)::BIGINT AS n FROM events GROUP BY event_type"
 
-LINES = r"lines AS (SELECT doc_id, unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents)"
+# A final line break ends the last line and opens no further one.
+LINES = (
+    r"pieces AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS p FROM documents), "
+    "lines AS (SELECT doc_id, unnest(CASE WHEN p[-1] = '' THEN p[:-2] ELSE p END) AS line FROM pieces)"
+)
 TOKENS = (
     "toks AS (SELECT unnest(CASE WHEN line = '' THEN [''] "
     "WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[] "
@@ -47,7 +51,7 @@ KCENTER = f"""ff(pos, chosen) AS (
 centers AS (SELECT pos, chosen[pos + 1] AS id FROM ff),
 cp AS (SELECT p.id, p.v FROM p JOIN centers USING (id))"""
 
-CORESET = f"""pp AS (SELECT id, v, id % {L_GROUPS} AS part FROM p),
+CORESET = f"""pp AS (SELECT id, v, ((id % {L_GROUPS}) + {L_GROUPS}) % {L_GROUPS} AS part FROM p),
 cs(part, pos, chosen) AS (
   SELECT part, 0, [arg_min(id, md5('{SEED}:' || id))] FROM pp GROUP BY part
   UNION ALL
@@ -108,6 +112,10 @@ ORACLE: dict[str, str] = {
         "SELECT coalesce(max(c), 0)::BIGINT AS max_partition_size "
         f"FROM (SELECT count(*) AS c FROM events GROUP BY event_id % {K_GROUPS})"
     ),
+    "max_partition_size_physical": (
+        "SELECT coalesce(max(c), 0)::BIGINT AS max_partition_size "
+        f"FROM (SELECT count(*) AS c FROM events GROUP BY ((event_id % {K_GROUPS}) + {K_GROUPS}) % {K_GROUPS})"
+    ),
     "document_count": f"WITH {LINES} SELECT count(*)::BIGINT AS document_count FROM lines",
     "word_count": WORD_COUNT,
     "word_count_salted": WORD_COUNT,

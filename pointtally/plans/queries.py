@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.plans import tables as T
-from pointtally.runtime import parallelism, spread
 from pointtally.sources.text import parse_pairs, parse_points, scan_point_tokens
 
 # Fixed parameters of the registered queries.
@@ -55,21 +54,14 @@ def q_class_count_rounds(spark, d):
     return O.class_count_rounds(T.labelled_pairs(spark, d), K_GROUPS)
 
 
-def _physical_k(spark) -> int:
-    """K for repartition-based queries: the fixed K, raised to the cluster's
-    parallelism so a large input is never funnelled into K tasks."""
-    return max(K_GROUPS, parallelism(spark))
-
-
 def q_class_count_by_partition(spark, d):
     # The result does not depend on K, so the counts run over the scan's own
-    # partitions (spread over the cores when the file has few splits) and no
-    # extra shuffle of the input is made.
-    return O.class_count_by_partition(spread(T.labelled_pairs(spark, d)))
+    # partitions and no shuffle of the input is made.
+    return O.class_count_by_partition(T.labelled_pairs(spark, d))
 
 
 def q_most_frequent_class(spark, d):
-    return O.most_frequent_class(O.class_count(T.labelled_pairs(spark, d)))
+    return O.most_frequent_class(O.class_totals(T.labelled_pairs(spark, d)))
 
 
 def q_max_partition_size(spark, d):
@@ -77,14 +69,14 @@ def q_max_partition_size(spark, d):
 
 
 def q_max_partition_size_physical(spark, d):
-    return O.max_partition_size_physical(T.labelled_pairs(spark, d), _physical_k(spark))
+    return O.max_partition_size_physical(T.labelled_pairs(spark, d), K_GROUPS)
 
 
 # ------------------------------------------------------------------ words
 
 
 def q_document_count(spark, d):
-    return O.document_count(T.lines(spark, d))
+    return O.document_count(T.lines(spark, d, False))
 
 
 def q_word_count(spark, d):
@@ -127,7 +119,7 @@ def q_points_parse(spark, d):
 
 
 def q_points_scan(spark, d):
-    return _coords(scan_point_tokens(T.part_point_text(spark, d), order_by=["p_partkey"]))
+    return _coords(scan_point_tokens(T.part_point_text(spark, d), order_by="p_partkey"))
 
 
 def q_point_count(spark, d):

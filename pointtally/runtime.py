@@ -8,6 +8,9 @@ when it is unset.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,14 +20,21 @@ DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 POINT_ROW_OVERHEAD = 48
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def parse_bytes(text: str) -> int:
+    """A size as Spark writes it (``10485760``, ``100MB``, ``1g``, ``-1``) in bytes."""
+    found = re.fullmatch(r"\s*(-?[0-9]+)\s*([kmgtp]?)(i?b)?\s*", str(text).lower())
+    if not found:
+        raise ValueError(f"not a size in bytes: {text!r}")
+    return int(found[1]) * _UNITS[found[2]]
+
+
 def broadcast_budget(spark: SparkSession) -> int:
-    """Largest build side (bytes) we broadcast: the session's auto-broadcast threshold."""
+    """Largest build side (bytes) we broadcast: the session's auto-broadcast threshold, 0 where it is off."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_BROADCAST_BYTES))
-    try:
-        value = int(str(raw).strip().lower().rstrip("b"))
-    except ValueError:
-        value = DEFAULT_BROADCAST_BYTES
-    return max(value, 0)
+    return max(parse_bytes(raw), 0)
 
 
 def point_bytes(dim: int) -> int:
@@ -56,36 +66,40 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
-def materialize(df: DataFrame, reliable: bool) -> DataFrame:
-    """Persist ``df`` and run it once.
+def materialize(df: DataFrame, name: str = "state") -> DataFrame:
+    """Run ``df`` once and cut its lineage.
 
-    With ``reliable`` and a configured checkpoint folder the result is written
-    there with ``checkpoint()``, which also cuts the lineage, so a lost executor
-    costs a re-read and not a replay of every earlier round.  Otherwise the
-    rows are cached (memory, spilling to disk); a lost block is then rebuilt
-    from lineage, which every operator here keeps deterministic.
+    With a checkpoint folder (``spark.checkpoint.dir`` on a cluster) the rows
+    are written there as Parquet and read back, so a lost executor costs a
+    re-read.  Where none is configured they are cached, and a lost block is
+    rebuilt from the lineage, which every operator here keeps deterministic.
     """
-    if reliable and checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
+    folder = checkpoint_dir(df.sparkSession)
+    if folder is not None:
+        path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     return out
 
 
+# Input up to this size (bytes) is spread by a shuffle where its scan has too few splits.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster when its scan yields too few splits.
+    """Deal a small input to all slots before CPU-heavy work.
 
-    A small input (one file, one row group) is one task; the CPU-heavy steps
-    after it (tokenizing, distance math) would then run single-threaded.  When
-    the plan has fewer partitions than the session's parallelism, one cheap
-    shuffle spreads it.  A large input already has many splits and is returned
-    unchanged, so no extra shuffle happens at scale.
+    A small input (one file, one row group) is one task, and tokenizing it
+    would run single-threaded; one cheap shuffle spreads it.  Inputs above
+    ``SPREAD_BYTES`` (the plan's size estimate), and those with splits enough,
+    are left alone: nothing large is ever shuffled for this.
     """
     target = min_partitions or parallelism(df.sparkSession)
     try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         have = df.rdd.getNumPartitions()
-    except Exception:  # RDD view unavailable: leave the plan alone
+    except Exception:  # no classic session: leave the plan alone
         return df
-    if have < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(target) if have < target and size <= SPREAD_BYTES else df

@@ -11,13 +11,13 @@ rows get an explicit 0-based ``id`` in scan order from :func:`with_row_index`
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointtally.functions.distance import vector_size_stats
+from pointtally.functions.ranges import with_start
 from pointtally.functions.tokens import java_space_split, split_lines, strict_int
+from pointtally.runtime import fits_broadcast
 
 # The token separator of java.util.Scanner (any Java whitespace).
 SCANNER_DELIMITER = r"\p{javaWhitespace}+"
@@ -26,22 +26,16 @@ _PID = "__pt_pid"
 _MID = "__pt_mid"
 
 
-def with_row_index(df: DataFrame, name: str = "id", order_by: Sequence[str] | None = None) -> DataFrame:
-    """Add a dense 0-based BIGINT ``name`` in partition order (or ``order_by`` order).
+def with_row_index(df: DataFrame, name: str = "id") -> DataFrame:
+    """Add a dense 0-based BIGINT ``name`` in scan order.
 
     One small job counts rows per partition (one row per partition reaches the
-    driver), the prefix sums become a broadcast table of offsets, and each row's
+    driver), the prefix sums become a small table of offsets, and each row's
     index is ``offset[partition] + position in partition``.  Nothing is
-    collected per row and no single task sees all rows.
-
-    Without ``order_by`` the order is the scan order of ``df``, which must be
-    deterministic (a file scan is).  With ``order_by`` the rows are range
-    partitioned and sorted first; that sorted copy is persisted so the counting
-    job and the final job see the same partitions.
+    collected per row and no single task sees all rows.  The scan order of
+    ``df`` must be deterministic (a file scan is).
     """
     spark = df.sparkSession
-    if order_by:
-        df = df.orderBy(*order_by).persist()
     tagged = df.withColumn(_PID, F.spark_partition_id()).withColumn(_MID, F.monotonically_increasing_id())
     counts = sorted(
         (r[0], r[1]) for r in tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("c")).collect()
@@ -54,8 +48,12 @@ def with_row_index(df: DataFrame, name: str = "id", order_by: Sequence[str] | No
         return df.withColumn(name, F.lit(None).cast("bigint")).limit(0)
     off = spark.createDataFrame(offsets, f"{_PID} int, __pt_off bigint")
     first_in_part = F.shiftleft(F.col(_PID).cast("bigint"), 33)
+    if not fits_broadcast(spark, len(offsets), 24):
+        off = off.hint("shuffle_hash")
+    else:
+        off = F.broadcast(off)
     return (
-        tagged.join(F.broadcast(off), _PID)
+        tagged.join(off, _PID)
         .withColumn(name, F.col("__pt_off") + (F.col(_MID) - first_in_part))
         .drop(_PID, _MID, "__pt_off")
     )
@@ -147,23 +145,25 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
     return parse_points(read_text_lines(spark, path))
 
 
-def scan_point_tokens(
-    lines: DataFrame, value: str = "value", order_by: Sequence[str] | None = None
-) -> DataFrame:
+def scan_point_tokens(lines: DataFrame, value: str = "value", order_by: str | None = None) -> DataFrame:
     """Whitespace-separated point tokens anywhere in the text → ``(id, v)``.
 
     This is the reference's ``Scanner``-based CSV reader: tokens are split on
     any Java whitespace (newlines included), empty tokens do not exist, and
     each token is a comma-separated point.  ``id`` is the token's 0-based
-    position in ``order_by`` order (default: scan order, then position in line).
+    position in the order of the integer column ``order_by`` (default: scan
+    order), then in the row.  With ``order_by`` each row's first position comes
+    from running token counts; no token is sorted and nothing is cached.
     """
-    toks = lines.select(
-        *(order_by or []),
-        F.posexplode(F.split(F.col(value), SCANNER_DELIMITER)).alias("__pt_pos", "__pt_tok"),
-    ).filter(F.col("__pt_tok") != F.lit(""))
-    order = [*order_by, "__pt_pos"] if order_by else None
-    indexed = with_row_index(toks, "id", order_by=order)
-    return indexed.select("id", parse_point_line(F.col("__pt_tok")).alias("v"))
+    toks = F.filter(F.split(F.col(value), SCANNER_DELIMITER), lambda t: t != F.lit(""))
+    if order_by is None:
+        one = lines.select(F.explode(toks).alias("__pt_tok"))
+        return with_row_index(one, "id").select("id", parse_point_line(F.col("__pt_tok")).alias("v"))
+    rows = lines.select(order_by, toks.alias("__pt_toks")).filter(F.size("__pt_toks") > 0)
+    started = with_start(rows, "__pt_start", F.col(order_by), [order_by], F.size("__pt_toks"))
+    return started.select("__pt_start", F.posexplode("__pt_toks").alias("__pt_pos", "__pt_tok")).select(
+        (F.col("__pt_start") + F.col("__pt_pos")).alias("id"), parse_point_line(F.col("__pt_tok")).alias("v")
+    )
 
 
 def read_point_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -8,7 +8,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-DATA = os.path.join(os.path.dirname(os.path.abspath(__file__)), "data")
 SF = "/root/testdata"
 
 
@@ -27,7 +26,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     if session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pt-ckpt-", dir="/tmp"))
+        session.sparkContext.setCheckpointDir(os.environ.get("TEST_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="pt-ckpt-"))
     yield session
     session.stop()
 

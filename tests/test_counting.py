@@ -1,22 +1,18 @@
-"""Class counting: goldens from the reference's sample input, equivalences, edges."""
+"""Class counting: invented pairs counted in plain Python, equivalences, edges."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 from pointtally import operators as O
 from pointtally.sources import read_pairs
 
-# The reference's 20-line labelled-pair sample (no final newline).
-EXAMPLE = "\n".join(
-    f"{i} {c}"
-    for i, c in enumerate(
-        "Fantasy Western Fantasy Western Action Western Western Western Western Western "
-        "Action Western Fantasy Western Western Western Western Thriller Animation Fantasy".split()
-    )
-)
-
-EXPECTED = [("Action", 2), ("Animation", 1), ("Fantasy", 4), ("Thriller", 1), ("Western", 12)]
+# Invented pairs, one per line, no final newline: three hues in unequal numbers.
+HUES = ["amber" if i % 7 == 3 else "teal" if i % 3 else "plum" for i in range(23)]
+EXAMPLE = "\n".join(f"{i} {c}" for i, c in enumerate(HUES))
+EXPECTED = sorted(Counter(HUES).items())
 
 
 @pytest.fixture()
@@ -33,9 +29,9 @@ def rows(df):
 
 
 def test_example_counts(example):
-    assert rows(O.pair_count(example)) == [(20,)]
+    assert rows(O.pair_count(example)) == [(23,)]
     assert rows(O.class_count(example)) == EXPECTED
-    assert rows(O.most_frequent_class(O.class_count(example))) == [("Western", 12)]
+    assert rows(O.most_frequent_class(O.class_count(example))) == [("teal", Counter(HUES)["teal"])]
     assert rows(O.max_partition_size(example, 8)) == [(3,)]
 
 
@@ -47,21 +43,23 @@ def test_two_round_forms_equal_plain_count(example, k):
 
 def test_partial_counts_sum_per_group(example):
     partial = rows(O.class_partial_counts(example, 8))
-    assert sum(n for _, _, n in partial) == 20
+    assert sum(n for _, _, n in partial) == 23
     assert {p for p, _, _ in partial} <= set(range(8))
 
 
-def test_physical_partition_size_bounds(example):
+def test_physical_partition_size(spark, example):
     for k in (1, 3, 8):
-        (size,) = rows(O.max_partition_size_physical(example, k))[0]
-        assert -(-20 // k) <= size <= 20
+        want = max(Counter(i % k for i in range(23)).values())
+        assert rows(O.max_partition_size_physical(example, k)) == [(want,)]
+    # The caller's K holds whatever the number of input partitions or cores.
+    for parts in (1, 5):
+        pairs = spark.range(10000).selectExpr("id - 5000 AS id", "'x' AS class").repartition(parts)
+        assert rows(O.max_partition_size_physical(pairs, 8)) == [(1250,)]
 
 
-def test_physical_partition_size_balanced(spark):
-    # Round-robin from one input partition: sizes differ by at most one row.
-    pairs = spark.range(10000).selectExpr("id", "'x' AS class").coalesce(1)
-    (size,) = rows(O.max_partition_size_physical(pairs, 8))[0]
-    assert 1250 <= size <= 1251
+def test_most_frequent_class_does_not_sort_all_classes(example):
+    plan = O.most_frequent_class(O.class_totals(example))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
 
 
 def test_empty_input(spark):
@@ -83,9 +81,9 @@ def test_negative_ids_keep_java_sign(spark):
 
 
 def test_marker_named_class_is_an_ordinary_class(spark):
-    pairs = _pairs(spark, [(0, "maxPartitionSize"), (1, "maxPartitionSize"), (2, "a")])
-    assert rows(O.class_count_by_partition(pairs, 2)) == [("a", 1), ("maxPartitionSize", 2)]
-    assert rows(O.most_frequent_class(O.class_count(pairs))) == [("maxPartitionSize", 2)]
+    pairs = _pairs(spark, [(0, "largest"), (1, "largest"), (2, "a")])
+    assert rows(O.class_count_by_partition(pairs, 2)) == [("a", 1), ("largest", 2)]
+    assert rows(O.most_frequent_class(O.class_count(pairs))) == [("largest", 2)]
 
 
 def test_hot_class_is_combined_map_side(spark):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.operators import centers as C
+from pointtally.operators import pairs as P
 from pointtally.plans import tables as T
 
 from conftest import SF
@@ -29,37 +30,53 @@ def test_word_count_reads_only_text_and_aggregates_partially(spark):
     assert "partial_count" in p
 
 
-def test_pair_summary_shuffles_blocks_and_never_broadcasts(spark):
-    pts = T.points(spark, D)
-    p = plan(O.pair_summary(pts, 500, 64))
-    assert "FlatMapGroupsInArrow" in p
-    assert "Exchange hashpartitioning(ki" in p
-    assert "Broadcast" not in p
+def test_pair_kernel_shuffles_blocks_and_never_broadcasts(spark):
+    p = plan(O.pair_summary(T.points(spark, D), 500, 64))
+    assert "MapInArrow" in p and "Broadcast" not in p and "rangepartitioning" not in p
 
 
-def test_row_grid_uses_a_shuffle_join(spark):
-    pts = T.points(spark, D)
-    p = plan(O.unordered_pairs(pts, 500, 64, "grid"))
-    assert "ShuffledHashJoin" in p and "Broadcast" not in p
+def test_pair_partitions_are_bounded(spark):
+    slots = spark.sparkContext.defaultParallelism
+    for n in (10**6, 10**8):
+        nb = P.kernel_blocks(spark, n, 64)
+        assert nb <= -(-n * 8 * 64 // P.KERNEL_BLOCK_BYTES) + 1
+        pairs = O.pair_groups(T.points(spark, D), n, 64)
+        assert pairs.rdd.getNumPartitions() <= P.PARTITIONS_PER_SLOT * slots
+    assert P.block_rows(10**6) * 8 * 10**6 <= P.KERNEL_BLOCK_BYTES
 
 
-def test_first_center_job_does_not_sort_the_points(spark):
-    base = C._state_base(T.points(spark, D), F.col("id") % 4)
-    from pointtally.functions.hashing import seeded_order_key
+def test_hit_block_pairs_are_joined_before_copies_are_made(spark):
+    hit = spark.createDataFrame([(0, 1), (2, 2)], "ki bigint, kj bigint")
+    p = plan(O.pair_groups(T.points(spark, D), 500, 64, blocks=4, only=hit))
+    assert "sequence" not in p  # no copy to every other block
+
 
-    keyed = base.select("id", "v", "part", seeded_order_key(42).alias("h"))
-    partial = keyed.mapInArrow(C._firsts_fn(), "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint, v array<double>")
-    p = plan(partial.groupBy("part").agg(F.min(F.struct("h", "id", "v"))))
+def test_first_center_job_does_not_sort_the_points(spark):
+    p = plan(C._firsts(C._state_base(T.points(spark, D), F.col("id") % 4), 42))
     below_map = p[p.index("MapInArrow") :]
     assert "Sort" not in below_map
 
 
-def test_round_maps_batches_before_aggregating(spark):
+def test_rounds_do_not_sort_the_points(spark):
     base = C._state_base(T.points(spark, D), F.col("id") % 4).cache()
-    state = C._MinDistState(base, 64)
-    state.pending = [{0: (1, [0.0] * 64), 1: (2, [1.0] * 64)}]
-    partial = base.mapInArrow(C._winners_fn(state._payload(), 64), C.WINNER_SCHEMA)
-    p = plan(partial.groupBy("part").agg(F.min(F.struct("nmd", "id", "v"))))
-    below_map = p[p.index("MapInArrow") :]
-    assert "InMemoryTableScan" in below_map and "Sort" not in below_map
+    center = C._packed([(0, 1, [0.0] * 64), (1, 2, [1.0] * 64)], True, 64)
+    for pending in ([center], []):
+        p = plan(C._farthest(base, pending, 64))
+        below_map = p[p.index("MapInArrow") :]
+        assert "InMemoryTableScan" in below_map and "Sort" not in below_map
+        # the rows that leave a task hold no vectors
+        assert "array" not in p[: p.index("MapInArrow")]
     base.unpersist()
+
+
+def test_document_count_does_not_shuffle_texts(spark):
+    p = plan(O.document_count(T.lines(spark, D, False)))
+    assert "RoundRobin" not in p and p.count("Exchange") == 1
+
+
+def test_sizes_with_units(spark):
+    from pointtally.runtime import parse_bytes
+
+    assert [parse_bytes(x) for x in ("100", "100b", "100MB", "1g", "-1", "2KiB")] == [
+        100, 100, 100 << 20, 1 << 30, -1, 2048,
+    ]

@@ -1,26 +1,36 @@
-"""Point-set operators: goldens on the reference's sample CSV, bounds, strategies, edges."""
+"""Point-set operators against plain-Python brute force: generated points, bounds, edges, NaN rule."""
 
 from __future__ import annotations
 
 import math
-import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.operators import centers as C
+from pointtally.operators import diameter as D
+from pointtally.operators import pairs as P
 from pointtally.plans import tables as T
 from pointtally.sources import read_point_tokens, read_points
 
-from conftest import DATA, SF, points_df
+from brute import average, diameter, dist, farthest_first, greedy, sample, sqd
+from conftest import SF, points_df
 
-POINTS_2D = os.path.join(DATA, "points_2d.csv")
+
+def generated(n: int, dim: int, seed: int) -> list[list[float]]:
+    """Seeded points on a grid fine enough for few ties, in three clusters."""
+    rng = random.Random(seed)
+    return [[rng.choice((0, 40, 90)) + rng.randrange(1000) / 64 for _ in range(dim)] for _ in range(n)]
+
+
+COORDS = generated(700, 2, 7)
 
 
 @pytest.fixture(scope="module")
 def pts2d(spark):
-    pts = read_points(spark, POINTS_2D).cache()
+    pts = points_df(spark, COORDS).repartition(5).cache()
     yield pts
     pts.unpersist()
 
@@ -29,105 +39,190 @@ def one(df):
     return df.first()[0]
 
 
-def test_2d_count_and_token_scan_agree(spark, pts2d):
-    assert pts2d.count() == 1012
-    scanned = read_point_tokens(spark, POINTS_2D)
-    assert scanned.exceptAll(pts2d).count() == 0 and pts2d.exceptAll(scanned).count() == 0
+def ids(df):
+    return [r["id"] for r in df.orderBy("pos").collect()]
+
 
+def test_csv_reads_agree(spark, text_file):
+    path = text_file("\n".join(f"{x},{y}" for x, y in COORDS))
+    lines, scanned = read_points(spark, path), read_point_tokens(spark, path)
+    assert lines.count() == len(COORDS)
+    assert scanned.exceptAll(lines).count() == 0 and lines.exceptAll(scanned).count() == 0
 
-def test_2d_exact_diameter(pts2d):
-    assert one(O.exact_diameter(pts2d)) == pytest.approx(0.9998054460743926, abs=1e-12)
 
+@pytest.mark.parametrize("prune,blocks", [(False, None), (True, None), (False, 5), (True, 3)])
+def test_exact_diameter(pts2d, prune, blocks):
+    assert one(O.exact_diameter(pts2d, prune=prune, blocks=blocks)) == diameter(COORDS)
 
-@pytest.mark.parametrize("strategy,prune", [("grid", False), ("grid", True), ("broadcast", True)])
-def test_exact_diameter_strategies_agree(pts2d, strategy, prune):
-    assert one(O.exact_diameter(pts2d, strategy=strategy, prune=prune)) == pytest.approx(
-        0.9998054460743926, abs=1e-12
-    )
 
+@pytest.mark.parametrize("blocks", [None, 1, 4])
+def test_average(pts2d, blocks):
+    assert one(O.avg_pairwise_distance(pts2d, blocks=blocks)) == pytest.approx(average(COORDS), abs=1e-10)
 
-def test_2d_avg_pairwise(pts2d):
-    assert one(O.avg_pairwise_distance(pts2d)) == pytest.approx(0.066801397454, abs=1e-11)
-    assert one(O.avg_pairwise_distance(pts2d, strategy="grid")) == pytest.approx(0.066801397454, abs=1e-11)
 
+def test_sample_and_two_approx(pts2d, monkeypatch):
+    want = sample(range(len(COORDS)), 9)
+    assert ids(O.sample_points(pts2d, 9)) == want
+    far = max(dist(p, COORDS[s]) for p in COORDS for s in want)
+    assert one(O.two_approx_diameter(pts2d, 9)) == far
+    monkeypatch.setattr(D, "SAMPLE_TASK_ROWS", 0)  # by rank over ranges
+    assert ids(O.sample_points(pts2d, 9)) == want
 
-def test_2d_sample_and_two_approx(pts2d):
-    assert [r["id"] for r in O.sample_points(pts2d, 5).orderBy("pos").collect()] == [897, 47, 530, 19, 139]
-    assert one(O.two_approx_diameter(pts2d, 5)) == pytest.approx(0.620192752296, abs=1e-11)
 
+def test_two_approx_in_parts(spark, pts2d):
+    want = one(O.two_approx_diameter(pts2d, 9))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "200b")
+        assert one(O.two_approx_diameter(pts2d, 9)) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
-def test_2d_kcenter(pts2d):
-    centers = O.farthest_first(pts2d, 5).orderBy("pos")
-    assert [r["id"] for r in centers.collect()] == [897, 427, 391, 25, 632]
-    assert one(O.exact_diameter(centers.select("id", "v"))) == pytest.approx(0.9998054460743926, abs=1e-12)
-    dist = O.nearest_center_distance(pts2d, centers.select("id", "v"))
-    assert dist.count() == 1012
-    assert one(dist.agg(F.max("dist"))) == pytest.approx(0.228861639424, abs=1e-11)
 
+def test_kcenter_and_nearest(pts2d):
+    points = dict(enumerate(COORDS))
+    centers = O.farthest_first(pts2d, 6)
+    want = farthest_first(points, 6)
+    assert ids(centers) == want
+    got = dict(map(tuple, O.nearest_center_distance(pts2d, centers.select("id", "v")).collect()))
+    assert got == {i: min(dist(p, COORDS[c]) for c in want) for i, p in points.items()}
 
-def test_2d_coreset_and_diversity(pts2d):
-    core = O.coreset(pts2d, 5, 4)
-    assert sorted(r["id"] for r in core.collect()) == [
-        25, 27, 47, 62, 140, 374, 391, 427, 476, 530, 534, 542, 632, 737, 740, 749, 805, 843, 852, 897,
-    ]
+
+def test_coreset_and_diversity(pts2d):
+    points = dict(enumerate(COORDS))
+    core = []
+    for g in range(4):
+        core += farthest_first({i: p for i, p in points.items() if i % 4 == g}, 5)
+    assert sorted(r["id"] for r in O.coreset(pts2d, 5, 4).collect()) == sorted(core)
+    want = greedy({i: points[i] for i in core}, 5)
     chosen, value = O.diversity_maximization(pts2d, 5, 4)
-    assert [r["id"] for r in chosen.orderBy("pos").collect()] == [391, 427, 374, 740, 25]
-    assert one(value) == pytest.approx(0.579489418321, abs=1e-11)
+    assert ids(chosen) == want
+    assert one(value) == pytest.approx(average([points[i] for i in want]), abs=1e-10)
 
 
 def test_bounds_on_embeddings(spark):
     pts = T.points(spark, f"{SF}/sf0.001").cache()
     d = one(O.exact_diameter(pts))
-    for k in (1, 3, 5):
+    assert one(O.exact_diameter(pts, prune=True)) == d
+    for k in (1, 3):
         assert d / 2 - 1e-12 <= one(O.two_approx_diameter(pts, k)) <= d + 1e-12
-    for k in (2, 5):
-        centers = O.farthest_first(pts, k).select("id", "v")
-        assert d / 2 - 1e-12 <= one(O.exact_diameter(centers)) <= d + 1e-12
-    radii = []
-    for k in (1, 3, 6):
-        centers = O.farthest_first(pts, k).select("id", "v")
-        radii.append(one(O.nearest_center_distance(pts, centers).agg(F.max("dist"))))
-    assert radii[0] >= radii[1] >= radii[2]
-    chosen, value = O.diversity_maximization(pts, 5, 4)
-    assert one(value) <= d + 1e-12
+    centers = O.farthest_first(pts, 5).select("id", "v")
+    assert d / 2 - 1e-12 <= one(O.exact_diameter(centers)) <= d + 1e-12
     pts.unpersist()
 
 
-def test_grid_and_broadcast_pairs_agree(spark):
-    pts = T.points(spark, f"{SF}/sf0.001")
-    a = O.unordered_pairs(pts, 500, 64, "broadcast")
-    b = O.unordered_pairs(pts, 500, 64, "grid", blocks=5)
-    assert a.count() == b.count() == 500 * 499 // 2
-    assert a.select("i", "j").exceptAll(b.select("i", "j")).count() == 0
+@pytest.mark.parametrize("k", [4, 5, 9])
+def test_greedy_matching(pts2d, k):
+    assert ids(O.greedy_matching(pts2d, k)) == greedy(dict(enumerate(COORDS)), k)
+
+
+# ------------------------------------------------------------------ rounds, groups
 
 
-def test_many_rounds_materialize_and_checkpoint(spark, monkeypatch):
+def test_many_rounds(spark, pts2d, monkeypatch):
+    want = farthest_first(dict(enumerate(COORDS)), 11)
+    assert ids(O.farthest_first(pts2d, 11)) == want
     monkeypatch.setattr(C, "MATERIALIZE_EVERY", 2)
-    monkeypatch.setattr(C, "CHECKPOINT_EVERY", 2)
-    pts = T.points(spark, f"{SF}/sf0.001")
-    got = [r["id"] for r in O.farthest_first(pts, 9).orderBy("pos").collect()]
-    monkeypatch.setattr(C, "MATERIALIZE_EVERY", 100)
-    want = [r["id"] for r in O.farthest_first(pts, 9).orderBy("pos").collect()]
-    assert got == want and len(set(got)) == 9
+    assert ids(O.farthest_first(pts2d, 11)) == want
+    assert ids(O.farthest_first(pts2d, 11, storage_level=None)) == want
+
+
+def test_no_state_is_written_after_the_last_center(spark, pts2d, monkeypatch):
+    calls = []
+    real = C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, name="": calls.append(name) or real(df, name))
+    O.farthest_first(pts2d, C.MATERIALIZE_EVERY)
+    O.farthest_first(pts2d, 3 * C.MATERIALIZE_EVERY, storage_level=None)
+    assert calls == []
+    O.farthest_first(pts2d, C.MATERIALIZE_EVERY + 2)
+    assert calls == ["farthest"]
+
+
+def test_nothing_stays_cached(spark, pts2d):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    O.farthest_first(pts2d, 4)
+    O.coreset(pts2d, 3, 4).collect()
+    O.exact_diameter(pts2d, prune=True).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+@pytest.mark.parametrize("groups", [3, 60])
+def test_driver_and_joined_centers_agree(spark, groups):
+    coords = generated(240, 3, 11)
+    pts = points_df(spark, coords, ids=range(-120, 120)).repartition(4)
+    part = F.pmod(F.col("id"), F.lit(groups))
+    points = {i - 120: c for i, c in enumerate(coords)}
+    want = set()
+    for g in range(groups):
+        members = {i: p for i, p in points.items() if i % groups == g}
+        want |= {(g, pos, i) for pos, i in enumerate(farthest_first(members, 3))}
+    for driver_groups in (1000, 1):
+        got = O.farthest_first(pts, 3, part=part, strict=False, driver_groups=driver_groups)
+        assert {(r["part"], r["pos"], r["id"]) for r in got.collect()} == want
+
+
+def test_negative_ids_make_exactly_the_groups(spark):
+    pts = points_df(spark, generated(80, 2, 3), ids=range(-40, 40))
+    assert {r["part"] for r in O.coreset(pts, 2, 4).collect()} == {0, 1, 2, 3}
+
+
+def test_more_groups_than_any_cap(spark):
+    pts = spark.range(3000).selectExpr("id", "array(double(id), 1.0D) AS v")
+    got = O.farthest_first(pts, 2, part=F.col("id"), strict=False)
+    assert got.count() == 3000
+
+
+# ------------------------------------------------------------------ non-finite distances
+
+INF = float("inf")
+
+
+def infinite_sets(n):
+    base = generated(n, 2, 5)
+    one_inf = [list(p) for p in base]
+    one_inf[3][0] = INF
+    two_inf = [list(p) for p in one_inf]
+    two_inf[7][0] = INF
+    opposite = [list(p) for p in one_inf]
+    opposite[7][0] = -INF
+    return [one_inf, two_inf, opposite]
+
+
+@pytest.mark.parametrize("n", [10, 300])
+@pytest.mark.parametrize("which", [0, 1, 2])
+def test_nan_distances_are_never_the_farthest(spark, n, which):
+    coords = infinite_sets(n)[which]
+    pts = points_df(spark, coords).repartition(3).cache()
+    points = dict(enumerate(coords))
+    for prune in (False, True):
+        assert one(O.exact_diameter(pts, prune=prune)) == diameter(coords) == INF
+    drawn = sample(points, 4)
+    far = max((d for p in coords for s in drawn if not math.isnan(d := dist(p, coords[s]))), default=-1.0)
+    assert one(O.two_approx_diameter(pts, 4)) == far
+    avg, want = one(O.avg_pairwise_distance(pts)), average(coords)
+    assert (math.isnan(avg) and math.isnan(want)) or avg == want
+    assert ids(O.greedy_matching(pts, 5)) == greedy(points, 5)
+    for storage in (None, C.StorageLevel.MEMORY_AND_DISK):
+        got = O.farthest_first(pts, 4, strict=False, storage_level=storage)
+        assert ids(got) == farthest_first(points, 4)
+    assert ids(O.farthest_first(pts, 4, strict=False, driver_groups=0)) == farthest_first(points, 4)
+    pts.unpersist()
 
 
-def test_per_group_rounds_match_separate_runs(spark):
-    pts = T.points(spark, f"{SF}/sf0.001")
-    core = O.coreset(pts, 4, 3)
-    for g in range(3):
-        alone = O.farthest_first(pts.filter(F.col("id") % 3 == g), 4)
-        want = [r["id"] for r in alone.orderBy("pos").collect()]
-        got = [r["id"] for r in core.filter(F.col("part") == g).orderBy("pos").collect()]
-        assert got == want
+def test_all_distances_nan(spark):
+    pts = points_df(spark, [[INF], [INF], [INF]])
+    assert one(O.exact_diameter(pts)) == one(O.exact_diameter(pts, prune=True)) == -1.0
+    assert one(O.two_approx_diameter(pts, 2)) == -1.0
+    assert ids(O.greedy_matching(pts, 2)) == [0, 1]
+    with pytest.raises(ValueError):
+        O.farthest_first(pts, 2)
 
 
 # ------------------------------------------------------------------ edges
 
 
 def test_zero_and_one_point(spark):
-    empty = points_df(spark, [])
-    single = points_df(spark, [[1.0, 2.0]])
-    for pts in (empty, single):
+    for pts in (points_df(spark, []), points_df(spark, [[1.0, 2.0]])):
         assert one(O.exact_diameter(pts)) == -1.0
         assert math.isnan(one(O.avg_pairwise_distance(pts)))
 
@@ -135,14 +230,13 @@ def test_zero_and_one_point(spark):
 def test_all_points_equal(spark):
     pts = points_df(spark, [[1.0, 1.0]] * 6)
     assert one(O.exact_diameter(pts)) == 0.0
-    chosen = [r["id"] for r in O.greedy_matching(pts, 5).orderBy("pos").collect()]
-    assert chosen == [0, 1, 2, 3, 4]
-    assert [r["id"] for r in O.farthest_first(pts, 5).orderBy("pos").collect()] != []
+    assert ids(O.greedy_matching(pts, 5)) == [0, 1, 2, 3, 4]
+    assert len(ids(O.farthest_first(pts, 5))) == 5
 
 
 def test_fewer_points_than_k(spark):
-    pts = points_df(spark, [[0.0], [1.0], [3.0]])
-    assert sorted(r["id"] for r in O.greedy_matching(pts, 5).collect()) == [0, 1, 2]
+    pts = points_df(spark, [[0.0], [1.0], [3.0]], ids=[5, 2, 9])
+    assert ids(O.greedy_matching(pts, 5)) == [2, 5, 9]
     with pytest.raises(ValueError):
         O.farthest_first(pts, 5)
     with pytest.raises(ValueError):
@@ -153,107 +247,56 @@ def test_fewer_points_than_k(spark):
 def test_small_group_keeps_all_points(spark):
     pts = points_df(spark, [[float(i), 0.0] for i in range(12)], ids=list(range(10)) + [100, 104])
     core = O.coreset(pts, 5, 1, part=F.when(F.col("id") >= 100, 1).otherwise(0))
-    got = core.filter(F.col("part") == 1).collect()
-    assert sorted(r["id"] for r in got) == [100, 104]
+    assert sorted(r["id"] for r in core.filter(F.col("part") == 1).collect()) == [100, 104]
     assert core.filter(F.col("part") == 0).count() == 5
 
 
+def test_no_centers(spark):
+    pts = points_df(spark, [[0.0], [1.0]])
+    got = O.nearest_center_distance(pts, points_df(spark, [])).collect()
+    assert [r["dist"] for r in got] == [None, None]
+
+
+def test_nearest_center_in_blocks(spark):
+    coords = generated(90, 2, 9)
+    pts, centers = points_df(spark, coords), points_df(spark, coords[:30])
+    want = sorted(map(tuple, O.nearest_center_distance(pts, centers).collect()))
+    old, closure = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), C.CLOSURE_BYTES
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+        C.CLOSURE_BYTES = 0
+        assert sorted(map(tuple, O.nearest_center_distance(pts, centers).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        C.CLOSURE_BYTES = closure
+
+
 def test_mixed_dimension_and_nan_rejected(spark):
-    mixed = points_df(spark, [[0.0, 1.0], [1.0]])
     with pytest.raises(ValueError):
-        O.exact_diameter(mixed)
-    nan = points_df(spark, [[0.0, float("nan")], [1.0, 1.0]])
+        O.exact_diameter(points_df(spark, [[0.0, 1.0], [1.0]]))
     with pytest.raises(ValueError):
-        O.farthest_first(nan, 1)
+        O.farthest_first(points_df(spark, [[0.0, 1.0], [1.0]]), 1)
+    with pytest.raises(ValueError):
+        O.farthest_first(points_df(spark, [[0.0, float("nan")], [1.0, 1.0]]), 1)
 
 
 @pytest.mark.parametrize("dim", [1, 3, 64, 300])
 def test_any_dimension(spark, dim):
-    coords = [[float((i * 7 + j * 3) % 11) for j in range(dim)] for i in range(12)]
-    pts = points_df(spark, coords)
-    brute = max(
-        math.sqrt(sum((a - b) ** 2 for a, b in zip(coords[i], coords[j])))
-        for i in range(12)
-        for j in range(i + 1, 12)
-    )
-    assert one(O.exact_diameter(pts)) == pytest.approx(brute)
-    assert one(O.exact_diameter(pts, strategy="grid", blocks=3)) == pytest.approx(brute)
-    assert len(O.farthest_first(pts, 4).collect()) == 4
-
-
-def test_greedy_matching_against_brute_force(spark):
-    coords = [[float((i * 37) % 101), float((i * 53) % 97)] for i in range(40)]
+    coords = generated(12, dim, dim)
     pts = points_df(spark, coords)
-    k = 7
-    used, order = set(), []
-    for _ in range(k // 2):
-        best = None
-        for i in range(40):
-            for j in range(i + 1, 40):
-                if i in used or j in used:
-                    continue
-                d = sum((a - b) ** 2 for a, b in zip(coords[i], coords[j]))
-                if best is None or d > best[0]:
-                    best = (d, i, j)
-        used |= {best[1], best[2]}
-        order += [best[1], best[2]]
-    order.append(min(set(range(40)) - used))
-    got = [r["id"] for r in O.greedy_matching(pts, k).orderBy("pos").collect()]
-    assert got == order
-
-
-# ------------------------------------------------------------------ vectorized block path
-
-
-def test_vectorized_matches_goldens(pts2d):
-    assert one(O.exact_diameter(pts2d, strategy="vectorized", prune=False, blocks=5)) == pytest.approx(
-        0.9998054460743926, abs=1e-12
-    )
-    assert one(O.avg_pairwise_distance(pts2d, strategy="vectorized", blocks=3)) == pytest.approx(
-        0.066801397454, abs=1e-11
-    )
-
-
-def test_vectorized_summary_is_bit_identical_to_rows(spark):
-    pts = T.points(spark, f"{SF}/sf0.001")
-    rows = O.unordered_pairs(pts, 500, 64, "broadcast")
-    want = rows.agg(F.max("d2"), F.count(F.lit(1))).first()
-    got = O.pair_summary(pts, 500, 64, blocks=6).first()
-    assert got["d2"] == want[0] and got["n_pairs"] == want[1] == 500 * 499 // 2
-    top = rows.orderBy(F.desc("d2"), "i", "j").first()
-    assert (got["i"], got["j"]) == (top["i"], top["j"])
-
-
-def test_vectorized_ties_and_empty_blocks(spark):
-    # duplicates create tied farthest pairs; 7 blocks for 6 points leaves some empty
-    coords = [[0.0, 0.0], [3.0, 4.0], [0.0, 0.0], [3.0, 4.0], [1.0, 1.0], [3.0, 4.0]]
-    pts = points_df(spark, coords, ids=[10, 11, 12, 13, 14, 15])
-    got = O.pair_summary(pts, 6, 2, blocks=7).first()
-    assert (got["d2"], got["i"], got["j"], got["n_pairs"]) == (25.0, 10, 11, 15)
-
-
-@pytest.mark.parametrize("k", [4, 5, 9])
-def test_greedy_vectorized_matches_rows(pts2d, k):
-    a = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="vectorized").orderBy("pos").collect()]
-    b = [r["id"] for r in O.greedy_matching(pts2d, k, strategy="broadcast").orderBy("pos").collect()]
-    assert a == b and len(set(a)) == k
+    assert one(O.exact_diameter(pts)) == one(O.exact_diameter(pts, blocks=3)) == diameter(coords)
+    assert ids(O.farthest_first(pts, 4)) == farthest_first(dict(enumerate(coords)), 4)
 
 
-def test_balanced_block_placement_same_result(spark, monkeypatch):
-    from pointtally.operators import pairs as P
-
-    pts = T.points(spark, f"{SF}/sf0.001")
-    want = tuple(O.pair_summary(pts, 500, 64, blocks=4).first())
-    monkeypatch.setattr(P, "BALANCE_PAIRS", 0)
-    got = tuple(O.pair_summary(pts, 500, 64, blocks=4).first())
-    assert got == want
-
-
-def test_farthest_first_without_cache_matches(spark, monkeypatch):
-    pts = T.points(spark, f"{SF}/sf0.001")
-    want = [tuple(r) for r in O.coreset(pts, 5, 3).select("part", "pos", "id").collect()]
-    got = [tuple(r) for r in O.farthest_first(pts, 5, part=F.col("id") % 3, strict=False, storage_level=None).select("part", "pos", "id").collect()]
-    assert got == want
-    monkeypatch.setattr(C, "MATERIALIZE_EVERY", 2)
-    again = [tuple(r) for r in O.farthest_first(pts, 5, part=F.col("id") % 3, strict=False, storage_level=None).select("part", "pos", "id").collect()]
-    assert again == want
+def test_pair_kernel_tiles_ties_and_empty_blocks(spark, monkeypatch):
+    monkeypatch.setattr(P, "TILE_ROWS", 3)
+    monkeypatch.setattr(P, "TILE_COLS", 4)
+    # duplicates create tied farthest pairs; 7 blocks for 6 points leaves some empty
+    coords = [[0.0, 0.0], [3.0, 4.0], [0.0, 0.0], [3.0, 4.0], [1.0, 1.0], [3.0, 4.0]]
+    for blocks in (1, 2, 7):
+        got = O.pair_summary(points_df(spark, coords, ids=range(10, 16)), 6, 2, blocks=blocks).first()
+        assert (got["d2"], got["i"], got["j"], got["n_pairs"]) == (25.0, 10, 11, 15)
+    many = generated(50, 2, 1)
+    got = O.pair_summary(points_df(spark, many), 50, 2, blocks=3).first()
+    want = min((-sqd(many[a], many[b]), a, b) for a in range(50) for b in range(a + 1, 50))
+    assert (-got["d2"], got["i"], got["j"], got["n_pairs"]) == (*want, 50 * 49 // 2)

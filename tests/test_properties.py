@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 from hypothesis import HealthCheck, given, settings
@@ -13,6 +12,7 @@ from pointtally import operators as O
 from pointtally.functions import java_space_split
 from pointtally.operators import centers as C
 
+from brute import dist, farthest_first, greedy, sqd
 from conftest import points_df
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
@@ -28,54 +28,6 @@ def java_split(text: str) -> list[str]:
     return parts
 
 
-def sqd(a, b) -> float:
-    """Squared distance, summed left to right from zero like ``Vectors.sqdist``."""
-    acc = 0.0
-    for x, y in zip(a, b):
-        acc = acc + (x - y) * (x - y)
-    return acc
-
-
-def dist(a, b) -> float:
-    return math.sqrt(sqd(a, b))
-
-
-def brute_farthest_first(points: dict[int, list[float]], k: int, seed: int = 42) -> list[int]:
-    ids = sorted(points)
-    first = min(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
-    chosen = [first]
-    md = {i: dist(points[i], points[first]) for i in ids}
-    for _ in range(k - 1):
-        free = [i for i in ids if i not in chosen]
-        if not free:
-            break
-        best = max(free, key=lambda i: (md[i], -i))
-        chosen.append(best)
-        for i in ids:
-            md[i] = min(md[i], dist(points[i], points[best]))
-    return chosen
-
-
-def brute_greedy(points: dict[int, list[float]], k: int) -> list[int]:
-    ids = sorted(points)
-    if k >= len(ids):
-        return ids
-    used: list[int] = []
-    for _ in range(k // 2):
-        best = None
-        for a in ids:
-            for b in ids:
-                if a < b and a not in used and b not in used:
-                    d2 = sqd(points[a], points[b])
-                    key = (-d2, a, b)
-                    if best is None or key < best:
-                        best = key
-        used += [best[1], best[2]]
-    if k % 2:
-        used.append(min(i for i in ids if i not in used))
-    return used
-
-
 # Coordinates on a coarse grid so that duplicate points and tied distances occur.
 coords = st.lists(st.integers(min_value=-3, max_value=3), min_size=2, max_size=2)
 point_sets = st.lists(coords, min_size=6, max_size=24)
@@ -96,7 +48,7 @@ def test_farthest_first_matches_brute_force(spark, pts, k):
     points = {i * 3 + 1: [float(x) for x in p] for i, p in enumerate(pts)}
     df = points_df(spark, list(points.values()), ids=list(points))
     got = [r["id"] for r in O.farthest_first(df, k).orderBy("pos").collect()]
-    assert got == brute_farthest_first(points, k)
+    assert got == farthest_first(points, k)
 
 
 @SETTINGS
@@ -104,10 +56,9 @@ def test_farthest_first_matches_brute_force(spark, pts, k):
 def test_greedy_matching_matches_brute_force(spark, pts, k):
     points = {i: [float(x) for x in p] for i, p in enumerate(pts)}
     df = points_df(spark, list(points.values()), ids=list(points))
-    want = brute_greedy(points, k)
-    for strategy in ("broadcast", "vectorized"):
-        got = [r["id"] for r in O.greedy_matching(df, k, strategy=strategy).orderBy("pos").collect()]
-        assert got == want
+    want = greedy(points, k)
+    got = [r["id"] for r in O.greedy_matching(df, k).orderBy("pos").collect()]
+    assert got == want
 
 
 @SETTINGS
@@ -140,7 +91,7 @@ def test_many_small_groups_match_brute_force(spark):
         got.setdefault(r["part"], []).append((r["pos"], r["id"]))
     for g in range(50):
         members = {i: coords[i] for i in range(200) if i % 50 == g}
-        assert [i for _, i in sorted(got[g])] == brute_farthest_first(members, 3)
+        assert [i for _, i in sorted(got[g])] == farthest_first(members, 3)
 
 
 def scanner_points(text: str) -> list[list[float]]:

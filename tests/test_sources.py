@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
 from pointtally.functions import java_space_split
+from pointtally.functions.ranges import range_bucket, with_start
 from pointtally.sources import (
     document_lines,
     document_tokens,
@@ -16,6 +17,7 @@ from pointtally.sources import (
     read_point_tokens,
     read_points,
     read_text_lines,
+    scan_point_tokens,
     validate_points,
     with_row_index,
 )
@@ -38,12 +40,12 @@ def test_java_split_keeps_tabs_in_tokens(spark):
 
 
 def test_parse_pairs_good_and_extra_tokens(spark):
-    lines = spark.createDataFrame([("0 Fantasy extra",), ("-3 Western",), ("7  Action",)], "value string")
+    lines = spark.createDataFrame([("0 amber extra",), ("-3 teal",), ("7  plum",)], "value string")
     got = [tuple(r) for r in parse_pairs(lines).collect()]
-    assert got == [(0, "Fantasy"), (-3, "Western"), (7, "")]
+    assert got == [(0, "amber"), (-3, "teal"), (7, "")]
 
 
-@pytest.mark.parametrize("bad", ["x Fantasy", "7", "7 ", " 7 Fantasy", "7\t Fantasy", "1.5 A"])
+@pytest.mark.parametrize("bad", ["x amber", "7", "7 ", " 7 amber", "7\t amber", "1.5 A"])
 def test_parse_pairs_rejects(spark, bad):
     lines = spark.createDataFrame([(bad,)], "value string")
     with pytest.raises(FAILS):
@@ -63,10 +65,41 @@ def test_with_row_index_dense_over_many_partitions(spark):
     assert all(r["x"] == 3 * r["rid"] for r in got)
 
 
-def test_with_row_index_ordered(spark):
+def test_with_start_sums_in_key_order(spark):
     df = spark.range(0, 500, 1, numPartitions=5).select(((F.col("id") * 7) % 500).alias("x"))
-    got = with_row_index(df, "rid", order_by=["x"]).collect()
-    assert all(r["rid"] == r["x"] for r in got)
+    got = with_start(df, "at", F.col("x"), ["x"], F.col("x") % 3, ranges=9).collect()
+    want, total = {}, 0
+    for x in range(500):
+        want[x] = total
+        total += x % 3
+    assert {r["x"]: r["at"] for r in got} == want
+    assert with_start(df.limit(0), "at", F.col("x"), ["x"]).count() == 0
+
+
+def test_range_bucket(spark):
+    bounds = [3, 5, 8, 13, 21, 34, 55]
+    got = spark.range(-2, 60).select("id", range_bucket(F.col("id"), bounds).alias("b")).collect()
+    assert all(r["b"] == sum(b <= r["id"] for b in bounds) for r in got)
+
+
+@pytest.mark.parametrize("breaks", ["\n", "\r\n", "\r"])
+def test_lines_are_those_of_a_text_scan(spark, tmp_path, breaks):
+    for k, text in enumerate(["a b", "a b\n", "\n", "\n\n", "", "a\n\nb \n", " \n x"]):
+        text = text.replace("\n", breaks)
+        path = tmp_path / f"t{k}.txt"
+        path.write_bytes(text.encode())
+        want = sorted(r["value"] for r in spark.read.text(str(path)).collect())
+        docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        assert sorted(r["line"] for r in document_lines(docs).collect()) == want
+
+
+def test_scan_in_key_order_leaves_no_cache(spark):
+    rows = [(3, " 1,2\t3,4\n"), (1, "5,6"), (2, " \n"), (7, "7,8 9,10  11,12")]
+    df = spark.createDataFrame(rows, "k bigint, value string").repartition(3)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    got = [(r["id"], r["v"]) for r in scan_point_tokens(df, order_by="k").orderBy("id").collect()]
+    assert got == [(i, [float(2 * j + 1), float(2 * j + 2)]) for i, j in enumerate([2, 0, 1, 3, 4, 5])]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
 def test_document_lines_and_tokens(spark):
@@ -76,10 +109,9 @@ def test_document_lines_and_tokens(spark):
         (1, 0, "a b"),
         (1, 1, "c  d"),
         (1, 2, "e"),
-        (2, 0, ""),
     ]
     words = sorted(r["word"] for r in document_tokens(lines).collect())
-    assert words == ["", "", "a", "b", "c", "d", "e"]
+    assert words == ["", "a", "b", "c", "d", "e"]
 
 
 def _parse(spark, values):

@@ -1,7 +1,9 @@
-"""Word counting: goldens from the reference's sample documents and equivalences."""
+"""Word counting: invented documents counted in plain Python, equivalences, plans."""
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 from pointtally import operators as O
@@ -10,16 +12,18 @@ from pointtally.sources import document_lines, document_tokens, read_documents
 
 from conftest import SF
 
-# The reference's five-document sample (one document per line, no final newline).
+# Six invented documents, one per line, no final newline.
 DATASET = "\n".join(
     [
-        "test dataset for TemplateHW1",
-        "dataset contains five documents",
-        "run TemplateHW1 using dataset",
-        "TemplateHW1 prints number documents dataset",
-        "TemplateHW1 also prints number distinct words average length words dataset",
+        "the heron waits by the river",
+        "river stones  warm slowly",
+        "a heron and a stone",
+        "slowly the river turns",
+        " reeds",
+        "stones and reeds and reeds",
     ]
 )
+WORDS = [w for line in DATASET.split("\n") for w in line.split(" ")]
 
 
 @pytest.fixture()
@@ -27,20 +31,32 @@ def tokens(spark, text_file):
     return document_tokens(document_lines(read_documents(spark, text_file(DATASET))))
 
 
-def test_dataset_goldens(tokens):
-    assert tokens.count() == 27
+def test_dataset_counts(tokens):
+    assert tokens.count() == len(WORDS) == 27
     counts = dict((r["word"], r["n"]) for r in O.word_count(tokens).collect())
-    assert len(counts) == 16
-    assert counts["dataset"] == 5 and counts["TemplateHW1"] == 4
-    assert all(counts[w] == 2 for w in ["documents", "number", "prints", "words"])
-    assert sum(1 for n in counts.values() if n == 1) == 10
-    assert O.distinct_words(O.word_count(tokens)).first()[0] == 16
-    assert O.avg_word_length(O.word_count(tokens)).first()[0] == 6
+    assert counts == Counter(WORDS)
+    assert counts[""] == 2 and counts["reeds"] == 3
+    distinct = set(WORDS)
+    assert O.distinct_words(O.word_count(tokens)).first()[0] == len(distinct)
+    assert O.avg_word_length(O.word_count(tokens)).first()[0] == sum(map(len, distinct)) // len(distinct)
 
 
 def test_document_count(spark, text_file):
     docs = read_documents(spark, text_file(DATASET))
-    assert O.document_count(docs).first()[0] == 5
+    assert O.document_count(docs).first()[0] == 6
+
+
+def test_partitioned_count_shuffles_words_once(tokens):
+    plan = O.word_count_partitioned(tokens)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_partitioned_count_hands_on_full_tables(tokens, monkeypatch):
+    from pointtally.operators import words
+
+    base = sorted(map(tuple, O.word_count(tokens).collect()))
+    monkeypatch.setattr(words, "TASK_WORDS", 1)
+    assert sorted(map(tuple, O.word_count_partitioned(tokens, 2).collect())) == base
 
 
 @pytest.mark.parametrize("k", [1, 8, 1000])
