@@ -48,7 +48,7 @@ def test_document_count(spark, text_file):
 
 def test_partitioned_count_shuffles_words_once(tokens):
     plan = O.word_count_partitioned(tokens)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+    assert plan.count("Exchange hashpartitioning") == 1 and "RoundRobin" not in plan
 
 
 def test_partitioned_count_hands_on_full_tables(tokens, monkeypatch):
