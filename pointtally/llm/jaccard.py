@@ -17,7 +17,9 @@ approximate.
     Clusters are the cells of the search: a cell holds the sets of its cluster,
     and of the classes of smaller clusters that share a list with it.  Large
     cells are cut into blocks and searched pair of blocks by pair of blocks.
-4.  In a cell runs the T-occurrence search by DivideSkip: the query's shorter
+4.  Histograms of the sets (an upper bound of any overlap) tell which classes of
+    a cell may link at all; only those send their sets.  In a cell runs the
+    T-occurrence search by DivideSkip: the query's shorter
     inverted lists are merged, candidates that reach the overlap less the
     number of long lists go on, and the long lists are probed by binary search
     until a candidate is lost or reaches the required overlap.
@@ -110,7 +112,18 @@ def _batches_of_sets(batches, words):
             yield ids[lo:hi], shingle_sets(hasher, run, words)
 
 
-SUMMARY_SCHEMA = "doc_id bigint, n bigint, cls bigint, check bigint, chunk int, counts binary"
+def histogram(shingles: np.ndarray) -> bytes | None:
+    """Counts of a set's shingles by their leading bits, about four to a bucket, one byte each.
+
+    Two sets share at most the sum of their buckets' minima.  None where a
+    count does not fit a byte (such a set is never left out by its histogram).
+    """
+    bits = max(4, (len(shingles) // 4).bit_length())
+    counts = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+SUMMARY_SCHEMA = "doc_id bigint, n bigint, cls bigint, check bigint, hist binary, chunk int, counts binary"
 
 
 def _summary_fn(words: int, seed: int, bits: int):
@@ -132,6 +145,7 @@ def _summary_fn(words: int, seed: int, bits: int):
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "cls": pa.array(d1.view(np.int64)),
                     "check": pa.array(d2.view(np.int64)),
+                    "hist": pa.array([histogram(s) if len(s) else None for s in sets], pa.binary()),
                     "chunk": pa.nulls(n, pa.int32()),
                     "counts": pa.nulls(n, pa.binary()),
                 }
@@ -142,6 +156,7 @@ def _summary_fn(words: int, seed: int, bits: int):
         yield pa.RecordBatch.from_pydict(
             {
                 **{c: pa.nulls(m, pa.int64()) for c in ("doc_id", "n", "cls", "check")},
+                "hist": pa.nulls(m, pa.binary()),
                 "chunk": pa.array([k for k, _ in parts], pa.int32()),
                 "counts": pa.array([p for _, p in parts], pa.binary()),
             }
@@ -429,6 +444,95 @@ def search_cell(sets, mult, asks, within: bool, num: int = NUM, den: int = DEN):
     return links, [root(i) for i in range(n)]
 
 
+SEAT_SCHEMA = "x bigint, i int, j int, p int, cls bigint, mult bigint, asks int, rep bigint"
+
+
+def may_link(sizes, hists, asks, within: bool, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """Which rows of a cell may link with one they are compared with, by sizes and histograms.
+
+    Rows are compared as in :func:`search_cell`.  A pair stays unless the sum
+    of its bucket minima, at the coarser of its two resolutions, is below the
+    required overlap; no linked pair is lost.
+    """
+    n = len(sizes)
+    alive = np.zeros(n, bool)
+    if any(h is None for h in hists):
+        return np.ones(n, bool)
+    rows = np.flatnonzero(~asks)
+    rows = rows[np.argsort(sizes[rows], kind="stable")]
+    by_size = sizes[rows]
+    widths = np.array([len(hists[i]) for i in rows], np.int64)
+    levels = {}  # members of one resolution: their places in size order, their histograms, those folded once
+    for w in np.unique(widths):
+        at = np.flatnonzero(widths == w)
+        h = np.frombuffer(b"".join(hists[i] for i in rows[at]), np.uint8).reshape(len(at), w)
+        levels[int(w)] = (at, h, h[:, 0::2].astype(np.uint16) + h[:, 1::2])
+    place = {int(i): k for k, i in enumerate(rows)}
+    for i in ([*rows.tolist()] if within else []) + np.flatnonzero(asks).tolist():
+        size = int(sizes[i])
+        own = np.frombuffer(hists[i], np.uint8)
+        folded = own[0::2].astype(np.uint16) + own[1::2]
+        after = place[i] + 1 if not asks[i] else 0
+        low = max(after, int(np.searchsorted(by_size, -(-num * size // den))))
+        high = int(np.searchsorted(by_size, den * size // num, side="right"))
+        for w in (len(own) // 2, len(own), 2 * len(own)):
+            if w not in levels:
+                continue
+            at, h, half = levels[w]
+            a, b = np.searchsorted(at, (low, high))
+            if a >= b:
+                continue
+            ours, theirs = (folded, h[a:b]) if w < len(own) else (own, h[a:b] if w == len(own) else half[a:b])
+            most = np.minimum(theirs, ours).sum(axis=1, dtype=np.int64)
+            hit = most >= required_overlap(size, by_size[at[a:b]], num, den)
+            if hit.any():
+                alive[i] = True
+                alive[rows[at[a:b][hit]]] = True
+    return alive
+
+
+def _alive_fn(num, den):
+    """Task function over seats with ``(n, hist)``, sorted by cell: the seats that may link in their cell."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        names = [c.split()[0] for c in SEAT_SCHEMA.split(", ")]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+
+        def solve(rows):
+            rows = list({r[4]: r for r in rows}.values())  # a class may come from several rows of one id
+            _, i, j, p = rows[0][:4]
+            asks = np.array([r[6] for r in rows]) == 1
+            alive = may_link(
+                np.array([r[8] for r in rows], np.int64), [r[9] for r in rows], asks, i == j and p == 0, num, den
+            )
+            return [r[:8] for r, a in zip(rows, alive) if a]
+
+        def out(rows):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names
+            )
+
+        cell, rows, found = None, [], []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns)):
+                if r[:4] != cell:
+                    if rows:
+                        found += solve(rows)
+                        if len(found) > 10_000:
+                            yield out(found)
+                            found = []
+                    cell, rows = r[:4], []
+                rows.append(r)
+        if rows:
+            found += solve(rows)
+        if found:
+            yield out(found)
+
+    return run
+
+
 CELL_SCHEMA = "cls bigint, root bigint, links bigint"
 
 
@@ -580,7 +684,7 @@ def jaccard_components(
     )
     for seed in range(8):
         summary = stored(docs.mapInArrow(_summary_fn(words, seed, sketch_bits), SUMMARY_SCHEMA), "sets")
-        own = summary.filter("chunk is null").select("doc_id", "n", "cls", "check")
+        own = summary.filter("chunk is null").select("doc_id", "n", "cls", "check", "hist")
         classes = stored(
             own.filter("n > 0")
             .groupBy("cls")
@@ -671,7 +775,19 @@ def jaccard_components(
             "rep",
         )
     )
-    seats = stored(same.select(keep).unionAll(more.select(keep)).unionAll(come.select(keep)), "seats")
+    seats = same.select(keep).unionAll(more.select(keep)).unionAll(come.select(keep))
+    # Sets are many bytes; histograms tell, without loss, which classes need not send theirs.
+    hists = own.filter("n > 0").select(
+        F.col("doc_id").alias("h_id"), F.col("cls").alias("h_cls"), F.col("n").alias("h_n"), "hist"
+    )
+    cell = ["x", "i", "j", "p"]
+    held = (
+        seats.join(hists, F.col("rep").eqNullSafe(F.col("h_id")) & (F.col("cls") == F.col("h_cls")))
+        .select(*keep, "h_n", "hist")
+        .repartition(partitions_for(spark, totals["n"] or 0, BUCKET_BYTES), *cell)
+        .sortWithinPartitions(*cell)
+    )
+    seats = stored(held.mapInArrow(_alive_fn(num, den), SEAT_SCHEMA), "seats")
     # A bit map of the ids that are needed, of fixed size, spares the other documents their way through the join.
     mask = (1 << FILTER_BITS) - 1
     bit = F.xxhash64("rep").bitwiseAND(F.lit(mask)) + 1  # buckets count from 1
@@ -692,8 +808,8 @@ def jaccard_components(
     cells = (
         seats.join(sets, F.col("rep").eqNullSafe(F.col("s_id")) & (F.col("cls") == F.col("s_cls")))
         .select("x", "i", "j", "p", "cls", "mult", "asks", "shingles")
-        .repartition(partitions_for(spark, 2 * (totals["n"] or 0), BUCKET_BYTES), "x", "i", "j", "p")
-        .sortWithinPartitions("x", "i", "j", "p")
+        .repartition(partitions_for(spark, 2 * (totals["n"] or 0), BUCKET_BYTES), *cell)
+        .sortWithinPartitions(*cell)
     )
     found = stored(cells.mapInArrow(_cells_fn(num, den), CELL_SCHEMA), "links")
     comps = components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))
