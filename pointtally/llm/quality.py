@@ -34,7 +34,9 @@ UNKNOWN_WEIGHT = 0.1
 BEGINNINGS = (3, 4, 5, 6, 7)
 CHUNK_BYTES = 1 << 20
 # L1 strength of each aspect's scorer: low quality shows in few shape features, toxicity in many words.
+# At least MIN_DOCUMENTS sampled documents must show a feature, so small samples are not learnt by heart.
 L1 = (1e-3, 1e-4)
+MIN_DOCUMENTS = 2.5
 
 # Labellers of each aspect, in the order of their vote bits.
 QUALITY_LABELLERS = ("pipes", "symbols", "capitals", "shouts", "repeats", "variety", "lines")
@@ -325,7 +327,7 @@ def fit(documents: DataFrame, labels: DataFrame | None = None, sample_rows: int
         rows_, y = np.array([r for r, _ in own]), np.array([v for _, v in own])
         indices = np.concatenate([flat[at[r] : at[r + 1]] for r in rows_])
         indptr = np.concatenate([[0], np.cumsum(lens[rows_])])
-        weights[:, aspect] = fit_scorer(indices, indptr, y, np.ones(len(y)), l1=L1[aspect])
+        weights[:, aspect] = fit_scorer(indices, indptr, y, np.ones(len(y)), l1=max(L1[aspect], MIN_DOCUMENTS / len(y)))
     return weights
 
 
