@@ -23,7 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import byte_slices, partitions_for, range_bucket
+from pointtally.functions.ranges import range_bucket
+from pointtally.llm.common import byte_slices, partitions_for
 
 BUCKETS = 128
 BOUND = 400

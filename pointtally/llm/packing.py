@@ -54,9 +54,12 @@ def best_fit(lengths: np.ndarray, costs: dict[int, float]) -> tuple[np.ndarray,
     rooms: dict[int, list[int]] = {}
     mask = 0
     size, used = [], []
+    full = -1  # a bin without room, for items without length
     for i, length in enumerate(map(int, lengths)):
         above = mask >> length
-        if above:
+        if length == 0 and full >= 0:
+            b, room = full, 0
+        elif above:
             room = (above & -above).bit_length() - 1 + length
             b = rooms[room].pop()
             if not rooms[room]:
@@ -80,6 +83,8 @@ def best_fit(lengths: np.ndarray, costs: dict[int, float]) -> tuple[np.ndarray,
         if room:
             rooms.setdefault(room, []).append(b)
             mask |= 1 << room
+        else:
+            full = b
     shrunk = np.array(caps, np.int64)[np.searchsorted(caps, used)] if used else np.zeros(0, np.int64)
     return bin_of, offset, shrunk[bin_of] if n else shrunk
 

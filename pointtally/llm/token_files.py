@@ -29,7 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import fresh_path, open_fs, partitions_for, range_bucket, stored
+from pointtally.functions.ranges import range_bucket
+from pointtally.llm.common import fresh_path, open_fs, partitions_for, stored
 
 MAGIC, END_MAGIC, VERSION = b"TOKP", b"TOKE", 1
 HEADER, BLOCK_HEAD, FOOTER = "<4sII", "<IBII", "<QQQ4s"
@@ -282,7 +283,7 @@ def _write_fn(folder: str, tokenizer: str, block: int, percentile: float, end_id
             nonlocal writer, name
             name = f"tokens-{bucket:06d}-{uuid.uuid4().hex}.tokp"
             fs.create_dir(root, recursive=True)
-            writer = FileWriter(fs.open_output_stream(f"{root}/{name}"), block, percentile)
+            writer = FileWriter(fs.open_output_stream(f"{root}/{name}", compression=None), block, percentile)
 
         def put(ids_, texts):
             ids, lens = encoder.encode(texts)

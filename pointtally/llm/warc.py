@@ -107,7 +107,7 @@ def _write_fn(folder: str, dict_bytes: int, sample_bytes: int, level: int):
             data = train_dictionary(held, dict_bytes)
             dict_size = len(data)
             fs.create_dir(root, recursive=True)
-            out = fs.open_output_stream(f"{root}/{name}")
+            out = fs.open_output_stream(f"{root}/{name}", compression=None)
             out.write(struct.pack("<II", DICT_MAGIC, len(data)) + data)
             cctx = zstandard.ZstdCompressor(level=level, dict_data=_load_dictionary(data))
             for rec in held:
@@ -246,7 +246,7 @@ def _read_fn(with_payload: bool):
             for file in batch.column(0).to_pylist():
                 fs, path = open_fs(file)
                 rows, held = [], 0
-                with fs.open_input_stream(path) as stream:
+                with fs.open_input_stream(path, compression=None) as stream:
                     for rec in parse_archive(stream):
                         if rec[6] is not None and (
                             len(rec[6]) != rec[1] or hashlib.sha256(rec[6]).hexdigest() != rec[2]
