@@ -52,6 +52,11 @@ BOILERPLATE_WORDS = frozenset(
     "subscription signup login social share sharing related recommended recommendations pagination pager comment "
     "comments commentlist commentform disqus respond replies reply discussion skip toolbar".split()
 )
+# Beginnings and ends of longer class words of the same kind.
+BOILERPLATE_STEMS = (
+    ("advert", "sponsor", "sidebar", "breadcrumb", "newsletter", "cookie", "navbar", "navigation", "subscri", "promo"),
+    ("footer", "sidebar", "navbar", "menu", "banner", "comments", "adbox", "popup"),
+)
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split()
 )
@@ -88,7 +93,9 @@ def _boilerplate(tag: str, attrs: str, in_article: bool, by_words: bool) -> bool
         if name == "role" and value.lower() in BOILERPLATE_ROLES and not (in_article and value.lower() in ARTICLE_PARTS):
             return True
         if by_words and name in ("class", "id") and tag not in HEADINGS:
-            found = {w.lower() for w in _WORDS.findall(value)} & BOILERPLATE_WORDS
+            words = {w.lower() for w in _WORDS.findall(value)}
+            found = words & BOILERPLATE_WORDS
+            found |= {w for w in words if w.startswith(BOILERPLATE_STEMS[0]) or w.endswith(BOILERPLATE_STEMS[1])}
             if tag == "article":  # one of its own only where it is a reader's comment
                 found &= COMMENT_WORDS
             if found - ARTICLE_PARTS or (found and not in_article):

@@ -85,6 +85,8 @@ BOILERPLATE = [
     "<section id=comments><article class=comment><p>First, I say, no, yes.</p></article></section>",
     "<ul class=menu><li><a>One</a><li><a>Two</a><li><a>Three</a></ul>",
     "<div hidden><p>Hidden, all of it, every word.</p></div>",
+    "<div class='advertising-slot'>Wares, goods, things, all on sale.</div>",
+    "<div id=siteFooter><p>Rights, all of them, are reserved, always.</p></div>",
 ]
 
 
