@@ -66,3 +66,12 @@ def byte_slices(sizes, limit: int):
         held += s
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def text_runs(column, limit: int):
+    """Runs of an Arrow text column of at most about ``limit`` bytes: ``(start, end, texts)``, null as empty."""
+    import pyarrow.compute as pc
+
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for lo, hi in byte_slices(sizes, limit):
+        yield lo, hi, [t or "" for t in column.slice(lo, hi - lo).to_pylist()]

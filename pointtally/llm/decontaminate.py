@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import byte_slices
+from pointtally.llm.common import byte_slices, text_runs
 from pointtally.llm.words import NON_ALNUM, WordHasher
 
 WINDOW = 13
@@ -285,9 +285,9 @@ def _find_fn(windows: Windows):
             shard.clear()
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
-                shard.add(ids[lo:hi], [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]])
+            ids = batch.column(0).to_pylist()
+            for lo, hi, texts in text_runs(batch.column(1), CHUNK_BYTES):
+                shard.add(ids[lo:hi], [t.encode("utf-8", "surrogatepass") for t in texts])
                 if shard.full():
                     yield from flush()
         if shard.ids:
@@ -315,11 +315,10 @@ def _clean_fn(windows: Windows, text_at: int, held_bytes: int):
                 at += part.num_rows
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
-            for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
-                shard.add([None] * (hi - lo), [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]])
+            for lo, hi, texts in text_runs(batch.column(text_at), CHUNK_BYTES):
+                shard.add([None] * (hi - lo), [t.encode("utf-8", "surrogatepass") for t in texts])
                 held.append(batch.slice(lo, hi - lo))
-                size += sum(len(t) for t in texts[lo:hi])
+                size += sum(map(len, texts))
                 if shard.full() or size > held_bytes:
                     yield from flush()
                     held, size = [], 0

@@ -39,7 +39,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import byte_slices, partitions_for, stored
+from pointtally.llm.common import partitions_for, stored, text_runs
 from pointtally.llm.words import SPACES, WordHasher, mix
 
 WORDS = 5
@@ -106,10 +106,9 @@ def _batches_of_sets(batches, words):
     """``(ids, sets)`` of the rows of Arrow batches, in runs of bounded bytes."""
     hasher = WordHasher(SPACES)
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
-            run = [t.encode("utf-8", "surrogatepass") for t in texts[lo:hi]]
-            yield ids[lo:hi], shingle_sets(hasher, run, words)
+        ids = batch.column(0).to_pylist()
+        for lo, hi, texts in text_runs(batch.column(1), CHUNK_BYTES):
+            yield ids[lo:hi], shingle_sets(hasher, [t.encode("utf-8", "surrogatepass") for t in texts], words)
 
 
 def histogram(shingles: np.ndarray) -> bytes | None:

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import byte_slices, stored
+from pointtally.llm.common import stored, text_runs
 from pointtally.llm.words import NON_ALNUM, WordHasher, mix
 
 # Insults that make a toxicity labeller fire; two overlapping labellers.
@@ -37,6 +37,7 @@ CHUNK_BYTES = 1 << 20
 # At least MIN_DOCUMENTS sampled documents must show a feature, so small samples are not learnt by heart.
 L1 = (1e-3, 1e-4)
 MIN_DOCUMENTS = 2.5
+RUN_FEATURES = 500_000
 
 # Labellers of each aspect, in the order of their vote bits.
 QUALITY_LABELLERS = ("pipes", "symbols", "capitals", "shouts", "repeats", "variety", "lines")
@@ -84,7 +85,7 @@ def _votes_fn():
         import pyarrow as pa
 
         for batch in batches:
-            got = [votes(t) for t in batch.column(1).to_pylist()]
+            got = [votes(t) for _, _, texts in text_runs(batch.column(1), CHUNK_BYTES) for t in texts]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
@@ -175,9 +176,8 @@ def _features_fn():
 
         hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
-                doc, feature = feature_rows(hasher, texts[lo:hi])
+            for lo, hi, texts in text_runs(batch.column(1), CHUNK_BYTES):
+                doc, feature = feature_rows(hasher, texts)
                 ends = np.searchsorted(doc, np.arange(hi - lo + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -197,19 +197,29 @@ def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float =
     features are left out beforehand.
     """
     weight = weight / weight.sum()
-    rows = np.repeat(np.arange(len(target)), np.diff(indptr))
-    reach = np.bincount(indices, weights=weight[rows], minlength=1 << FEATURE_BITS)
+    n = np.diff(indptr)
+    reach = np.bincount(indices, weights=np.repeat(weight, n), minlength=1 << FEATURE_BITS)
     used = np.flatnonzero(reach > l1)
-    number = np.full(1 << FEATURE_BITS, -1, np.int64)
+    number = np.full(1 << FEATURE_BITS, -1, np.int32)
     number[used] = np.arange(len(used))
     kept = number[indices] >= 0
-    indices, rows = number[indices[kept]], rows[kept]
+    indices = number[indices[kept]]
+    ends = np.concatenate([[0], np.cumsum(kept)])[indptr]
     dim = len(used)
     w, g2 = np.zeros(dim + 1), np.full(dim + 1, 1e-8)
+    # Documents in runs of bounded size keep the working arrays small.
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, ends[-1], RUN_FEATURES)), len(target)))
+    runs = [
+        (a, b, indices[ends[a] : ends[b]], np.repeat(np.arange(b - a, dtype=np.int32), np.diff(ends[a : b + 1])))
+        for a, b in zip(cuts[:-1], cuts[1:])
+    ]
     for _ in range(rounds):
-        z = np.bincount(rows, weights=w[indices], minlength=len(target)) + w[dim]
-        err = weight * (1 / (1 + np.exp(-z.clip(-500, 500))) - target)
-        g = np.append(np.bincount(indices, weights=err[rows], minlength=dim), err.sum())
+        g = np.zeros(dim + 1)
+        for a, b, features, rows in runs:
+            z = np.bincount(rows, weights=w[features], minlength=b - a) + w[dim]
+            err = weight[a:b] * (1 / (1 + np.exp(-z.clip(-500, 500))) - target[a:b])
+            g[:dim] += np.bincount(features, weights=err[rows], minlength=dim)
+            g[dim] += err.sum()
         g2 += g * g
         step = rate / np.sqrt(g2)
         w -= step * g
@@ -219,11 +229,11 @@ def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float =
     return out
 
 
-def scores(hasher: WordHasher, weights: np.ndarray, texts: list[str]) -> np.ndarray:
-    """``(n, 2)`` log odds of texts being of low quality and toxic."""
-    z = np.tile(weights[-1], (len(texts), 1))
-    for lo, hi in byte_slices([len(t) for t in texts], CHUNK_BYTES):
-        doc, feature = feature_rows(hasher, texts[lo:hi])
+def scores(hasher: WordHasher, weights: np.ndarray, column) -> np.ndarray:
+    """``(n, 2)`` log odds of an Arrow column's texts being of low quality and toxic."""
+    z = np.tile(weights[-1], (len(column), 1))
+    for lo, hi, texts in text_runs(column, CHUNK_BYTES):
+        doc, feature = feature_rows(hasher, texts)
         for aspect in (0, 1):
             z[lo:hi, aspect] += np.bincount(doc, weights=weights[feature, aspect], minlength=hi - lo)
     return z
@@ -235,7 +245,7 @@ def _score_fn(weights: np.ndarray):
 
         hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            z = scores(hasher, weights, batch.column(1).to_pylist())
+            z = scores(hasher, weights, batch.column(1))
             p = 1 / (1 + np.exp(-z.clip(-500, 500)))
             yield pa.RecordBatch.from_pydict(
                 {
@@ -315,10 +325,11 @@ def fit(documents: DataFrame, labels: DataFrame | None = None, sample_rows: int
         .orderBy("doc_id")
         .toArrow()
     )
-    lens = got.column("f").combine_chunks().value_lengths().to_numpy()
-    flat = got.column("f").combine_chunks().flatten().to_numpy()
-    at = np.concatenate([[0], np.cumsum(lens)])
     row_of = {d: i for i, d in enumerate(got.column("doc_id").to_pylist())}
+    held = got.column("f").combine_chunks()
+    del got
+    lens, flat = held.value_lengths().to_numpy(), held.flatten().to_numpy()
+    at = np.concatenate([[0], np.cumsum(lens)])
     for aspect in (0, 1):
         own = {r["doc_id"]: r["y"] for r in sample if r["aspect"] == aspect}
         own = sorted((row_of[d], y) for d, y in own.items() if d in row_of)
@@ -358,7 +369,7 @@ def _keep_fn(weights: np.ndarray, text_at: int):
 
         hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            z = scores(hasher, weights, [t or "" for t in batch.column(text_at).to_pylist()])
+            z = scores(hasher, weights, batch.column(text_at))
             yield batch.filter(pa.array((z < 0).all(axis=1)))
 
     return run
