@@ -40,6 +40,18 @@ def split_lines(text: Column) -> Column:
     return F.when(last_empty, F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
 
 
+def line_count(text: Column) -> Column:
+    """Number of :func:`split_lines` lines, counted without splitting."""
+
+    def occurrences(piece: str) -> Column:
+        without = F.length(F.replace(text, F.lit(piece), F.lit("")))
+        return ((F.length(text) - without) / F.lit(len(piece))).cast("bigint")
+
+    breaks = occurrences("\n") + occurrences("\r") - occurrences("\r\n")
+    open_end = (text != F.lit("")) & ~text.endswith("\n") & ~text.endswith("\r")
+    return breaks + open_end.cast("bigint")
+
+
 def strict_int(token: Column, what: str = "index") -> Column:
     """Token → BIGINT, failing the job on anything but an optional sign and ASCII digits.
 

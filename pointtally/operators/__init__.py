@@ -25,6 +25,7 @@ from pointtally.operators.words import (
     avg_word_length,
     distinct_words,
     document_count,
+    text_document_count,
     word_count,
     word_count_partitioned,
     word_count_salted,
@@ -54,6 +55,7 @@ __all__ = [
     "pair_groups",
     "pair_summary",
     "sample_points",
+    "text_document_count",
     "two_approx_diameter",
     "word_count",
     "word_count_partitioned",

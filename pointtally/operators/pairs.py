@@ -33,6 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 KERNEL_BLOCK_BYTES = 64 << 20
 # Rows and columns of a tile of the distance matrix (the working arrays stay in cache).
 TILE_ROWS, TILE_COLS = 64, 4096
+# Blocks smaller than this cost more in tasks than they gain.
+MIN_BLOCK_ROWS = 1024
 # Partitions of the block pairs, per task slot.
 PARTITIONS_PER_SLOT = 8
 
@@ -137,8 +139,8 @@ def block_rows(dim: int) -> int:
 
 def kernel_blocks(spark, n: int, dim: int) -> int:
     """Blocks for ``n`` points: as few as memory allows, but several block pairs per task slot."""
-    by_tasks = math.ceil(math.sqrt(2 * PARTITIONS_PER_SLOT * parallelism(spark) / 2))
-    return max(1, min(by_tasks, math.ceil(n / 256)), math.ceil(n / block_rows(dim)))
+    by_tasks = math.ceil(math.sqrt(PARTITIONS_PER_SLOT * parallelism(spark)))
+    return max(1, min(by_tasks, math.ceil(n / MIN_BLOCK_ROWS)), math.ceil(n / block_rows(dim)))
 
 
 def kernel_partitions(spark, nb: int) -> int:

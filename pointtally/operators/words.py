@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointtally.functions.hashing import stable_bucket
+from pointtally.functions.tokens import line_count
 
 # Task functions defined here travel by value (executors need no copy of the package).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,6 +28,11 @@ def document_count(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("document_count"))
 
 
+def text_document_count(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The same over multi-line texts, without making a row per line; null texts have no lines."""
+    return docs.agg(F.coalesce(F.sum(line_count(F.col(text))), F.lit(0)).cast("bigint").alias("document_count"))
+
+
 def word_count(tokens: DataFrame) -> DataFrame:
     """``(word, n)``: occurrences of each word, one shuffle."""
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

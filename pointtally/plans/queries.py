@@ -76,7 +76,7 @@ def q_max_partition_size_physical(spark, d):
 
 
 def q_document_count(spark, d):
-    return O.document_count(T.lines(spark, d, False))
+    return O.text_document_count(T.table(spark, d, "documents"))
 
 
 def q_word_count(spark, d):

@@ -24,10 +24,9 @@ def pair_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.concat_ws(" ", F.col("event_id").cast("string"), F.col("event_type")).alias("value"))
 
 
-def lines(spark: SparkSession, sf_dir: str, heavy: bool = True) -> DataFrame:
-    """``documents`` split into lines (one reference document per line), small inputs spread for ``heavy`` work."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return document_lines(spread(docs) if heavy else docs)
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` split into lines (one reference document per line), small inputs spread over the slots."""
+    return document_lines(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ def test_rounds_do_not_sort_the_points(spark):
 
 
 def test_document_count_does_not_shuffle_texts(spark):
-    p = plan(O.document_count(T.lines(spark, D, False)))
+    p = plan(O.text_document_count(T.table(spark, D, "documents")))
     assert "RoundRobin" not in p and p.count("Exchange") == 1
 
 

@@ -9,6 +9,7 @@ from py4j.protocol import Py4JJavaError
 
 from pointtally.functions import java_space_split
 from pointtally.functions.ranges import range_bucket, with_start
+from pointtally.operators import text_document_count
 from pointtally.sources import (
     document_lines,
     document_tokens,
@@ -91,6 +92,7 @@ def test_lines_are_those_of_a_text_scan(spark, tmp_path, breaks):
         want = sorted(r["value"] for r in spark.read.text(str(path)).collect())
         docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
         assert sorted(r["line"] for r in document_lines(docs).collect()) == want
+        assert text_document_count(docs).first()[0] == len(want)
 
 
 def test_scan_in_key_order_leaves_no_cache(spark):
