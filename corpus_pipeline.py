@@ -29,8 +29,10 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places of the documents' pieces in sequences of the permitted lengths."""
-    return packing.pack(docs)
+    """Places of the documents' pieces in sequences of the permitted lengths, in tokens."""
+    import public_tokenizers
+
+    return packing.pack(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

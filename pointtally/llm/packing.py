@@ -10,6 +10,9 @@ the smallest permitted length that holds its contents.
 
 Items are dealt round-robin to shards of bounded size that are packed on their
 own (only ids and lengths travel), so no key can make a shard large.
+
+Lengths are tokens: :func:`token_lengths` encodes every whole text in one pass
+and passes on ids and lengths only.
 """
 
 from __future__ import annotations
@@ -20,10 +23,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pointtally.llm.common import text_runs
+from pointtally.llm.token_files import worker_encoder
+
 # Permitted lengths and their costs: the tokens computed, and a fixed part per sequence.
 CAPACITIES = (512, 1024, 2048, 4096)
 SEQUENCE_COST = 32
 SHARD_ITEMS = 50_000
+CHUNK_BYTES = 1 << 20
 
 SCHEMA = (
     "doc_id bigint, piece bigint, start bigint, length bigint, shard bigint, bin bigint, capacity bigint, offset bigint"
@@ -39,6 +46,32 @@ def word_tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint") + 1
 
 
+def _lengths_fn(tokenizer: str):
+    def run(batches):
+        import os
+
+        import pyarrow as pa
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        encoder = worker_encoder(tokenizer)
+        for batch in batches:
+            for lo, hi, texts in text_runs(batch.column(1), CHUNK_BYTES):
+                lengths = pa.array(encoder.lengths(texts) + 1, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lengths], ["doc_id", "length"])
+
+    return run
+
+
+def token_lengths(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """``(doc_id, length)`` of every row: the ids of its whole text and one end id.
+
+    One pass, no shuffle.  A null text has the end id only.  ``tokenizer`` is
+    the path of a tokenizers file, present on every executor.
+    """
+    rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_lengths_fn(tokenizer), "doc_id bigint, length bigint")
+
+
 def best_fit(lengths: np.ndarray, costs: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(bin, offset, capacity)`` of every item; ``lengths`` descend and none exceeds the largest capacity.
 
@@ -132,11 +165,13 @@ def pack(
     length: Column | None = None,
     costs: dict[int, float] | None = None,
     shard_items: int = SHARD_ITEMS,
+    tokenizer: str | None = None,
 ) -> DataFrame:
     """Place every document: ``SCHEMA`` rows, one per piece, ``start`` and ``length`` in tokens of the document.
 
     A bin is ``(shard, bin)`` with its final ``capacity``; a piece stands at
-    ``offset`` in it.  ``length`` is a column over ``documents`` (default:
+    ``offset`` in it.  With ``tokenizer`` lengths are :func:`token_lengths`;
+    otherwise ``length`` is a column over ``documents`` (default:
     :func:`word_tokens` of ``text``); null and negative lengths count as 0, and
     a document of length 0 is one piece of length 0.  Repeated rows and null
     ids are placed like any other row; ties go by ``doc_id``; other columns are
@@ -145,9 +180,13 @@ def pack(
     costs = {int(c): float(v) for c, v in (costs or default_costs()).items()}
     if not costs or min(costs) < 1:
         raise ValueError("capacities must be positive")
-    if length is None:
-        length = word_tokens(F.col("text"))
+    if length is not None and tokenizer is not None:
+        raise ValueError("either a length or a tokenizer")
     shards = max(1, math.ceil(documents.count() / shard_items))
+    if tokenizer is not None:
+        documents, length = token_lengths(documents, tokenizer), F.col("length")
+    elif length is None:
+        length = word_tokens(F.col("text"))
     items = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)).alias("length"),

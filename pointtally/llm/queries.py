@@ -21,7 +21,10 @@ def op2_token_files(spark, sf_dir):
 
 
 def op3_packing(spark, sf_dir):
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer=path)
 
 
 def op4_decontaminate(spark, sf_dir):

@@ -40,6 +40,8 @@ PERCENTILE = 99.0
 RANGE_BYTES = 32 << 20
 END_ID = 0
 CACHE_PIECES = 1_000_000
+# Lengths: a text with a longer chunk is encoded whole, so that the cache holds words only.
+LONGEST_CHUNK = 256
 
 
 # ------------------------------------------------------------------ blocks
@@ -255,6 +257,26 @@ class Encoder:
             return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
         return ids, per
 
+    def lengths(self, texts: list[str]) -> np.ndarray:
+        """Number of ids of each text, as :meth:`encode` counts them."""
+        if len(self.known) > self.limit:
+            self._clear()
+        pieces, counts, whole = [], [], {}
+        for k, t in enumerate(texts):
+            got = [] if _OTHER_SPACE.search(t) or self.plain.search(t) else _CHUNK.findall(t)
+            if t and (not got or max(map(len, got)) > LONGEST_CHUNK):
+                whole[k], got = len(self._whole(t)), []
+            pieces += got
+            counts.append(len(got))
+        new = [p for p in set(pieces) if p not in self.known]
+        if new:
+            self._learn(new)
+        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        ends = np.concatenate([[0], np.cumsum(self.lens[codes])])
+        per = np.diff(ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])])
+        per[list(whole)] = list(whole.values())
+        return per
+
 
 def worker_encoder(path: str) -> Encoder:
     """The encoder of this Python worker, kept between its tasks (its cache is bounded)."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import hashlib
 import io
 import random
@@ -10,6 +11,8 @@ import zlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
+from pointtally.llm import queries
 from pointtally.llm import token_files as TF
 from pointtally.llm import warc as W
 
@@ -81,6 +84,26 @@ def test_encoder_equals_the_tokenizer():
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_packed_lengths_are_tokens(spark, monkeypatch):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgxyzé日本語,.'") for _ in range(rng.randint(1, 12)))
+    texts = [" ".join(word() for _ in range(rng.choice([3, 40, 900]))) for _ in range(40)]
+    texts += ["日本語のとても長い文章です。" * 700, "x1" * 3000, "a\tb\r\nc", "\u3000全角 x", "  two  \n\n lines \n", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tok = TF.Encoder(PATH).tok
+    want = {i: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    assert want[40] > 4096  # no white space, and more than the longest sequence
+    assert TF.Encoder(PATH, cache_pieces=50).lengths([t or "" for t in texts]).tolist() == [want[i] - 1 for i in want]
+    monkeypatch.setattr(queries, "_table", lambda *a: df)
+    for rows in (queries.op3_packing(spark, "").collect(), corpus_pipeline.pack(spark, df, "").collect()):
+        total, used = collections.Counter(), collections.Counter()
+        for r in rows:
+            total[r["doc_id"]] += r["length"]
+            used[(r["shard"], r["bin"], r["capacity"])] += r["length"]
+        assert total == want
+        assert all(n <= capacity for (_, _, capacity), n in used.items())
+
+
 def test_token_files(spark):
     from tokenizers import Tokenizer
 
