@@ -146,7 +146,7 @@ class FmIndex:
 
     def search(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(pattern, first row, end row)`` of the patterns that occur, by backward search."""
-        top = len(self.before) - 2
+        top = len(self.before) - 3  # the largest symbol of the sequence: the wavelet matrix has no bits for others
         which = np.arange(len(lengths))
         last = symbols[which, lengths - 1]
         which = which[last <= top]

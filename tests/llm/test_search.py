@@ -258,6 +258,14 @@ def test_suffix_array_and_ranks():
 # ------------------------------------------------------------------ fingerprints
 
 
+@pytest.mark.parametrize("seq, window", [([3, 7, 0], [8, 3]), ([3, 7, 0], [3, 8]), ([1, 3, 0, 3, 0], [4, 1]), ([1, 0], [2, 1])])
+def test_windows_above_the_largest_symbol_of_a_shard(seq, window):
+    index = D.FmIndex(np.array(seq))
+    which, lo, hi = index.search(np.array([window, seq[:2]]), np.array([2, 1]))
+    assert [index.locate(np.arange(a, b)).tolist() for w, a, b in zip(which, lo, hi) if w == 0] == []
+    assert which.tolist() == [1] and int(hi[0] - lo[0]) == seq.count(seq[0])
+
+
 def test_fingerprints(spark):
     rng = random.Random(6)
     docs = [(k * 3 - 60, "".join(rng.choice("abcdé \n") for _ in range(rng.randrange(400)))) for k in range(60)]
