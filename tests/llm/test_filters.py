@@ -125,6 +125,19 @@ def test_main_text_corners():
     assert H.extract("<" * 5000 + "a" + "<b " * 2000).endswith("a" + "<b " * 1999 + "<b")
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    ["href='/hidden-gems'", "title='The hidden cost'", "data-hidden=false", "data-id='comment-12'", "href='?id=comments'",
+     "data-x='a' data-class=sidebar", "href=/a/id=comments", "title='class=ad style=display:none'", "x-role=menu aria-hidden=false"],
+)
+def test_only_whole_attribute_names_count(attrs):
+    page = f"<body><article><p>One, two.</p><div {attrs}><p>Three, <a {attrs}>four</a>.</p></div></article><p>(c)</p></body>"
+    assert H.extract(page) == "One, two.\nThree, four."
+    assert H.extract(f"<body><article {attrs}><p>One, two, three, four.</p></article><p>(c)</p></body>") == "One, two, three, four."
+    for real in ("hidden", "HIDDEN=''", "data-a=1 Hidden", "class = 'x ad'", "title='a'id=comments", "style='display: none'"):
+        assert H.extract(f"<article><p>One.</p><div {attrs} {real}><p>Two.</p></div></article>") == "One."
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", "<p>Hello, world</p>"), (1, "u", "<p>Hello, world</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
