@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pointtally.llm.common import byte_slices
 
 # Element names of HTML, by how they are treated.
-RAW_TEXT = "script|style|noscript|iframe|textarea|title|xmp|noembed|noframes|template|svg|select|object|canvas"
+RAW_TEXT = "script|style|noscript|iframe|textarea|title|xmp|noembed|noframes|template"
+EMBEDDED = frozenset("svg select object canvas".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -75,11 +76,14 @@ _TOKENS = re.compile(
 )
 # One attribute after the other: the whole name, and a quoted or bare value.
 _ATTR = re.compile(r"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_EMBEDS = re.compile(r"<(?:svg|select|object|canvas)\b", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def _boilerplate(tag: str, attrs: str, in_article: bool, by_words: bool) -> bool:
+    if tag in EMBEDDED:
+        return True
     if tag in DROPPED_TAGS or (tag == "header" and not in_article):
         return tag != "form" or by_words
     if not attrs or tag in ROOTS - {"article"}:
@@ -104,6 +108,30 @@ def _boilerplate(tag: str, attrs: str, in_article: bool, by_words: bool) -> bool
     return False
 
 
+def _embedded_ends(tokens: list) -> dict[int, int]:
+    """Token of the end tag of every embedded element that is closed before the block around it is."""
+    ends: dict[int, int] = {}
+    opened: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+    for k, m in enumerate(tokens):
+        tag = (m[3] or "").lower()
+        if tag not in EMBEDDED and tag not in BLOCKS:
+            continue
+        if not m[2]:
+            if tag in BLOCKS or not m[4].endswith("/"):
+                opened.append((tag, k))
+                count[tag] = count.get(tag, 0) + 1
+        elif count.get(tag):
+            while True:
+                name, at = opened.pop()
+                count[name] -= 1
+                if name == tag:
+                    break
+            if tag in EMBEDDED:
+                ends[at] = k
+    return ends
+
+
 class _Page:
     """Tree of block elements (``parent``, ``tag``) and text blocks ``(element, text, link characters)``."""
 
@@ -115,11 +143,20 @@ class _Page:
         self.pieces: list[str] = []
         self.links = 0
         at = 0
-        for m in _TOKENS.finditer(source):
+        tokens = list(_TOKENS.finditer(source))
+        ends = _embedded_ends(tokens) if _EMBEDS.search(source) else {}
+        skip = -1
+        for k, m in enumerate(tokens):
+            if k <= skip:
+                at = m.end()
+                continue
             if m.start() > at:
                 self._text(source[at : m.start()])
             at = m.end()
+            skip = ends.get(k, -1)
             tag = m[3]
+            if skip >= 0:
+                continue
             if tag is None:
                 continue
             tag = tag.lower()
@@ -168,6 +205,8 @@ class _Page:
             elif not self.open[-1][2]:
                 self.pieces.append(" " if tag == "br" else "")
             return
+        if tag in BLOCKS:  # an embedded element that is never closed ends where a block begins
+            self._close(EMBEDDED, BLOCKS)
         if tag in CLOSED_BY:
             self._close(*CLOSED_BY[tag])
         elif tag in BLOCKS:

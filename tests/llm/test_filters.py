@@ -138,6 +138,16 @@ def test_only_whole_attribute_names_count(attrs):
         assert H.extract(f"<article><p>One.</p><div {attrs} {real}><p>Two.</p></div></article>") == "One."
 
 
+def test_embedded_elements_end():
+    text = "<p>One, two.</p><p>Three, four.</p>"
+    for icon in ("<svg class='i'/>", "<svg class=i />", "<SVG/>", "<svg><path d=''/><text>no</text></svg>", "<select><option>no</select>",
+                 "<select><option>no", "<object data=x>", "<canvas>no", "<svg><g>no", "<canvas><div><p>no</div></canvas>",
+                 "<object><object>no</object><p>no</object>", "<p><canvas><p>no</p></canvas></p>"):
+        assert H.extract(f"<body><article>{icon}{text}</article><p>(c)</p></body>") == "One, two.\nThree, four."
+        assert H.extract(f"<article><p>Nil.</p><div>{icon}</div>{text}</article><svg>x</svg>") == "Nil.\nOne, two.\nThree, four."
+    assert H.extract("<p>One <svg class=i/>two <canvas>no</canvas>three</p>") == "One two three"
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", "<p>Hello, world</p>"), (1, "u", "<p>Hello, world</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
