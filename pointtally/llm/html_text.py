@@ -7,7 +7,8 @@ points, discounted by its own link density, is kept with those siblings that
 score near it, and, inside ``article`` or ``main``, the whole of that element.
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments
 are left out by element, role and class words before scoring; lists that are
-almost all links are menus too.
+almost all links are menus too, but not inside ``article`` or ``main`` nor
+after prose of the container they stand in.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ BLOCKS = frozenset(
 )
 PARAGRAPHS = frozenset("p pre li td th dd dt blockquote figcaption caption summary address legend".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = frozenset("p blockquote pre".split())
 LISTS = frozenset("ul ol dl menu dir table".split())
 DROPPED_TAGS = frozenset("nav aside footer form menu dialog head button".split())
 SCOPES = frozenset("table td th caption html body article section div".split())
@@ -244,8 +246,14 @@ def _chosen(page: _Page) -> list[str]:
     size, links = [0.0] * n, [0.0] * n
     points = [0.0] * n
     items = [0] * n
+    article_of = [False] * n
+    for k in range(1, n):
+        article_of[k] = tag[k] in KEPT_WHOLE or article_of[parent[k]]
+    prose_at: dict[int, int] = {}  # the first node with prose in a container
     for node, text, linked in blocks:
         length = len(text)
+        if tag[node] in PROSE and linked < 0.25 * length:
+            prose_at.setdefault(parent[node], node)
         at = node
         while at >= 0:
             size[at] += length
@@ -260,8 +268,11 @@ def _chosen(page: _Page) -> list[str]:
             points[at] += gain / (1 if level == 0 else 2 if level == 1 else 3 * level)
             at, level = parent[at], level + 1
     menu = [
-        tag[k] in LISTS and items[k] >= MENU_ITEMS and links[k] >= MENU_LINKS * size[k] for k in range(n)
+        tag[k] in LISTS and items[k] >= MENU_ITEMS and links[k] >= MENU_LINKS * size[k] and not article_of[k] for k in range(n)
     ]
+    for k in range(n):  # a list among the prose of its container belongs to it
+        if menu[k] and prose_at.get(parent[k], k) < k:
+            menu[k] = False
     score = [points[k] * (1 - links[k] / size[k]) if size[k] else 0.0 for k in range(n)]
     best = max(range(n), key=lambda k: (score[k], -k))
     kept = {best}
@@ -283,7 +294,7 @@ def _chosen(page: _Page) -> list[str]:
                     continue
                 share = links[k] / size[k]
                 near = score[k] >= SIBLING_SHARE * score[best]
-                prose = tag[k] in ("p", "blockquote", "pre") and share < 0.25
+                prose = tag[k] in PROSE and share < 0.25
                 title = tag[k] in HEADINGS and k < best and share < 0.5
                 if near or prose or title:
                     kept.add(k)

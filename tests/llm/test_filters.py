@@ -148,6 +148,19 @@ def test_embedded_elements_end():
     assert H.extract("<p>One <svg class=i/>two <canvas>no</canvas>three</p>") == "One two three"
 
 
+def test_linked_lists_of_an_article_stay():
+    links = "".join(f"<li><a href=/{k}>Linked work {k}</a></li>" for k in range(4))
+    rows = "".join(f"<tr><td><a href=/{k}>Linked name {k}</a></td></tr>" for k in range(4))
+    text = "<p>" + "Prose, of some length, with commas. " * 8 + "</p>"
+    for shell in ("<article>{}</article>", "<main><div>{}</div></main>", "<div class=content>{}</div>"):
+        for block in (f"<ul>{links}</ul>", f"<ol>{links}</ol>", f"<table>{rows}</table>"):
+            page = f"<body><ul>{links}</ul>{shell.format(text + block + text)}<ul>{links}</ul></body>"
+            assert H.extract(page).count("Linked") == 4, page
+            assert H.extract(page).count("Prose") == 16
+    assert H.extract(f"<body><p>Short</p><main><h1>Names</h1><ul>{links}</ul></main></body>").count("Linked") == 4
+    assert "Linked" not in H.extract(f"<div><ul>{links}</ul>{text}</div>")
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", "<p>Hello, world</p>"), (1, "u", "<p>Hello, world</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
