@@ -6,7 +6,11 @@ the parent, half to the next, then ever less.  The container with the most
 points, discounted by its own link density, is kept with those siblings that
 score near it, and, inside ``article`` or ``main``, the whole of that element.
 Menus, headers, footers, sidebars, notices, adverts, forms and reader comments
-are left out by element, role and class words before scoring; lists that are
+are left out by element, role and class words before scoring.  Class words and
+forms are judged by what they hold, measured in a first pass: an element around
+``article``, ``main`` or most of the page's prose stays, at a lower score where
+other text could be meant, and inside ``article`` or ``main`` only a whole
+boilerplate name or a share of links drops one.  Lists that are
 almost all links are menus too, but not inside ``article`` or ``main`` nor
 after prose of the container they stand in.
 """
@@ -64,11 +68,25 @@ BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split()
 )
 COMMENT_WORDS = frozenset("comment comments reply replies respond".split())
+# Words that make no other thing of a boilerplate word beside them, words that
+# deny or attach what follows them, and words that may name a section's subject.
+NEUTRAL_WORDS = frozenset(
+    "area bar block body box button buttons col container content group inner item items link links list panel post posts "
+    "section slot unit wrap wrapper articles entries icons".split()
+)
+QUALIFIERS = frozenset("has no with without".split())
+SUBJECT_WORDS = frozenset(["discussion"])
 # Of the above, those that may name a part of the article itself when inside it.
 ARTICLE_PARTS = frozenset("header masthead banner".split())
 
 SIBLING_SHARE = 0.2
 MENU_LINKS = 0.8
+# Links of an element inside an article that only partly has a boilerplate name;
+# prose of a page that makes an element its main part, and its text for certain;
+# and what the points of a doubtful element count.
+NAMED_LINKS = 0.5
+MOST_PROSE, NEARLY_ALL = 0.5, 0.75
+DOUBTFUL = 0.25
 MENU_ITEMS = 3
 
 _TOKENS = re.compile(
@@ -83,31 +101,99 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _boilerplate(tag: str, attrs: str, in_article: bool, by_words: bool) -> bool:
-    if tag in EMBEDDED:
-        return True
-    if tag in DROPPED_TAGS or (tag == "header" and not in_article):
-        return tag != "form" or by_words
-    if not attrs or tag in ROOTS - {"article"}:
-        return False
+# How a class or id names boilerplate: not, in part, wholly, or as reader comments.
+PART, WHOLE, COMMENTS = 1, 2, 3
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    out: dict[str, str] = {}
     for m in _ATTR.finditer(attrs):
-        name = m[1].lower()
-        value = m[2] or m[3] or m[4] or ""
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "style" and _HIDDEN.search(value):
-            return True
-        if name == "role" and value.lower() in BOILERPLATE_ROLES and not (in_article and value.lower() in ARTICLE_PARTS):
-            return True
-        if by_words and name in ("class", "id") and tag not in HEADINGS:
-            words = {w.lower() for w in _WORDS.findall(value)}
-            found = words & BOILERPLATE_WORDS
-            found |= {w for w in words if w.startswith(BOILERPLATE_STEMS[0]) or w.endswith(BOILERPLATE_STEMS[1])}
-            if tag == "article":  # one of its own only where it is a reader's comment
-                found &= COMMENT_WORDS
-            if found - ARTICLE_PARTS or (found and not in_article):
-                return True
-    return False
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _name(value: str, tag: str, in_article: bool) -> int:
+    """Which of the above a class or id value is, at most."""
+    kind = 0
+    for token in value.split():
+        words = [w.lower() for w in _WORDS.findall(token)]
+        words = words[: next((k for k, w in enumerate(words) if w in QUALIFIERS), len(words))]
+        found = {
+            w for w in words
+            if w in BOILERPLATE_WORDS
+            or w.startswith(BOILERPLATE_STEMS[0])
+            or (w.endswith(BOILERPLATE_STEMS[1]) and not w.startswith(("no", "has", "with")))
+        }
+        if tag == "article":  # one of its own only where it is a reader's comment
+            found &= COMMENT_WORDS
+        if in_article:
+            found -= ARTICLE_PARTS
+        if found:
+            whole = found - SUBJECT_WORDS and all(w in found or w in NEUTRAL_WORDS for w in words)
+            kind = max(kind, (COMMENTS if found & COMMENT_WORDS else WHOLE) if whole else PART)
+    return kind
+
+
+def _boilerplate(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
+    """Whether the element is dropped whatever it holds, and how it is named (a form: wholly)."""
+    if tag in EMBEDDED or (tag in DROPPED_TAGS and tag != "form") or (tag == "header" and not in_article):
+        return True, 0
+    if not attrs or tag in ROOTS - {"article"}:
+        return False, WHOLE if tag == "form" else 0
+    found = _attributes(attrs)
+    role = found.get("role", "").lower()
+    if (
+        "hidden" in found
+        or found.get("aria-hidden", "").lower() == "true"
+        or _HIDDEN.search(found.get("style", ""))
+        or (role in BOILERPLATE_ROLES and not (in_article and role in ARTICLE_PARTS) and not (tag == "form" and role == "form"))
+    ):
+        return True, 0
+    if tag == "form":
+        return False, WHOLE
+    if tag in HEADINGS:
+        return False, 0
+    return False, max(_name(found.get(name, ""), tag, in_article) for name in ("class", "id"))
+
+
+# Short attribute strings recur from page to page: their judgements are kept, up to a number.
+KEPT_ATTRS, KEPT_JUDGEMENTS = 256, 8192
+_judged: dict[tuple[str, str, bool], tuple[bool, int]] = {}
+
+
+def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, int]:
+    if len(attrs) > KEPT_ATTRS:
+        return _boilerplate(tag, attrs, in_article)
+    key = (tag, attrs, in_article)
+    if key not in _judged:
+        if len(_judged) >= KEPT_JUDGEMENTS:
+            _judged.clear()
+        _judged[key] = _boilerplate(*key)
+    return _judged[key]
+
+
+class _Named:
+    """An element with a boilerplate name, and what it holds."""
+
+    def __init__(self, token: int, node: int, tag: str, kind: int, in_article: bool, outer: int, before: tuple):
+        self.token, self.node, self.tag, self.kind = token, node, tag, kind
+        self.in_article, self.outer, self.before = in_article, outer, before
+        self.chars = self.links = self.wholes = 0
+        self.may_be_text = tag in KEPT_WHOLE and kind != COMMENTS
+
+    def verdict(self, page: _Page) -> str:
+        """``drop``, ``doubt`` or ``keep``."""
+        prose, total = self.chars - self.links, page.chars - page.linked
+        itself = self.may_be_text and prose > 0
+        elsewhere = page.wholes - self.wholes - self.outer - itself > 0
+        if self.wholes:
+            return "doubt" if elsewhere and self.tag != "form" else "keep"
+        if prose > MOST_PROSE * total and not elsewhere:
+            sure = self.tag == "form" or (prose > NEARLY_ALL * total and self.kind != COMMENTS)
+            return "keep" if sure else "doubt"
+        if self.in_article and self.kind == PART and self.links < NAMED_LINKS * self.chars:
+            return "keep"
+        return "drop"
 
 
 def _embedded_ends(tokens: list) -> dict[int, int]:
@@ -135,13 +221,22 @@ def _embedded_ends(tokens: list) -> dict[int, int]:
 
 
 class _Page:
-    """Tree of block elements (``parent``, ``tag``) and text blocks ``(element, text, link characters)``."""
+    """Tree of block elements (``parent``, ``tag``) and text blocks ``(element, text, link characters)``.
+
+    The tokens of ``dropped`` start elements that are left out; without it the
+    elements with boilerplate names are measured (``named``).
+    """
 
-    def __init__(self, source: str, by_words: bool):
+    def __init__(self, source: str, dropped: frozenset | None = None):
+        self.dropped = dropped
+        self.named: list[_Named] = []
+        self.chars = self.linked = 0  # of the text so far
+        self.outer = 0  # open article and main elements, comments aside
+        self.wholes = 0  # closed article and main elements with prose, comments aside
         self.parent, self.tag = [-1], ["#root"]
         self.blocks: list[tuple[int, str, int]] = []
-        # Open elements: (tag, node or -1 for inline, dropped, inside article, inside a link)
-        self.open = [("#root", 0, False, False, False)]
+        # Open elements: (tag, node or -1 for inline, dropped, inside article, inside a link, measured or None)
+        self.open = [("#root", 0, False, False, False, None)]
         self.pieces: list[str] = []
         self.links = 0
         at = 0
@@ -165,17 +260,22 @@ class _Page:
             if m[2]:
                 self._end(tag)
             else:
-                self._start(tag, m[4], by_words)
+                self._start(tag, m[4], k)
         if at < len(source):
             self._text(source[at:])
+        self._pop_to(1)
         self._flush()
 
     def _text(self, text: str) -> None:
         top = self.open[-1]
         if not top[2]:
             self.pieces.append(text)
-            if top[4]:
-                self.links += len(" ".join(text.split()))
+            if top[4] or self.dropped is None:
+                length = len(" ".join(text.split()))
+                self.chars += length
+                if top[4]:
+                    self.links += length
+                    self.linked += length
 
     def _flush(self) -> None:
         if self.pieces:
@@ -189,6 +289,13 @@ class _Page:
     def _pop_to(self, depth: int) -> None:
         if any(o[1] >= 0 for o in self.open[depth:]):
             self._flush()
+        for o in reversed(self.open[depth:]):
+            got = o[5]
+            if got is not None:
+                chars, linked, wholes = got.before
+                got.chars, got.links, got.wholes = self.chars - chars, self.linked - linked, self.wholes - wholes
+                self.outer -= got.may_be_text
+                self.wholes += got.may_be_text and got.chars > got.links
         del self.open[depth:]
 
     def _close(self, names: frozenset, scopes: frozenset) -> None:
@@ -200,7 +307,7 @@ class _Page:
             if name in scopes:
                 return None
 
-    def _start(self, tag: str, attrs: str, by_words: bool) -> None:
+    def _start(self, tag: str, attrs: str, token: int) -> None:
         if tag == "br" or tag == "hr" or tag in VOID:
             if tag == "hr":
                 self._flush()
@@ -217,8 +324,11 @@ class _Page:
             self._close(frozenset(["a"]), SCOPES)
         if attrs.endswith("/") and tag not in BLOCKS and tag != "a":
             return
-        _, _, dropped, in_article, in_link = self.open[-1]
-        drop = dropped or _boilerplate(tag, attrs, in_article, by_words)
+        _, _, dropped, in_article, in_link, _ = self.open[-1]
+        removed, kind = True, 0
+        if not dropped:
+            removed, kind = _judge(tag, attrs, in_article)
+        drop = removed or (self.dropped is not None and token in self.dropped)
         node = -1
         if tag in BLOCKS:
             self._flush()
@@ -227,7 +337,13 @@ class _Page:
             self.tag.append(tag)
         elif drop and not dropped:
             self.pieces.append(" ")
-        self.open.append((tag, node, drop, in_article or tag in KEPT_WHOLE, in_link or tag == "a"))
+        got = None
+        if self.dropped is None and not drop and (kind or tag in KEPT_WHOLE):
+            got = _Named(token, node, tag, kind, in_article, self.outer, (self.chars, self.linked, self.wholes))
+            self.outer += got.may_be_text
+            if kind:
+                self.named.append(got)
+        self.open.append((tag, node, drop, in_article or tag in KEPT_WHOLE, in_link or tag == "a", got))
 
     def _end(self, tag: str) -> None:
         if tag == "br" or tag in VOID:
@@ -239,8 +355,12 @@ class _Page:
                 return
 
 
-def _chosen(page: _Page) -> list[str]:
-    """Texts of the blocks in the best container and the siblings kept with it."""
+def _chosen(page: _Page, doubt: frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks in the best container and the siblings kept with it.
+
+    Points under a node of ``doubt`` count less, and its text is left out where
+    the best container lies elsewhere and has prose of its own.
+    """
     parent, tag, blocks = page.parent, page.tag, page.blocks
     n = len(tag)
     size, links = [0.0] * n, [0.0] * n
@@ -249,6 +369,9 @@ def _chosen(page: _Page) -> list[str]:
     article_of = [False] * n
     for k in range(1, n):
         article_of[k] = tag[k] in KEPT_WHOLE or article_of[parent[k]]
+    doubtful = [False] * n
+    for k in range(1, n if doubt else 1):
+        doubtful[k] = k in doubt or doubtful[parent[k]]
     prose_at: dict[int, int] = {}  # the first node with prose in a container
     for node, text, linked in blocks:
         length = len(text)
@@ -263,6 +386,7 @@ def _chosen(page: _Page) -> list[str]:
         if tag[node] in HEADINGS:
             continue
         gain = (1 + text.count(",") + min(length / 100, 3)) * (1 - linked / length)
+        gain *= DOUBTFUL if doubtful[node] else 1
         at, level = (parent[node] if tag[node] in PARAGRAPHS else node), 0
         while at >= 0:
             points[at] += gain / (1 if level == 0 else 2 if level == 1 else 3 * level)
@@ -290,7 +414,7 @@ def _chosen(page: _Page) -> list[str]:
             kept = {article}
         elif parent[best] >= 0:
             for k in range(n):
-                if parent[k] != parent[best] or not size[k] or k == best:
+                if parent[k] != parent[best] or not size[k] or k == best or k in doubt:
                     continue
                 share = links[k] / size[k]
                 near = score[k] >= SIBLING_SHARE * score[best]
@@ -301,11 +425,18 @@ def _chosen(page: _Page) -> list[str]:
             for node, text, linked in blocks:  # text that stands loose beside it
                 if node == parent[best] and linked < 0.25 * len(text):
                     kept.add(-1 - node)
+    around = set()  # the best container and what it stands in
+    at = best
+    while at >= 0:
+        around.add(at)
+        at = parent[at]
+    prose = sum(size[k] - links[k] for k in kept if k >= 0)
+    left_out = {k for k in doubt if k not in around and size[k] - links[k] <= NEARLY_ALL * prose}
     out = []
     for node, text, _ in blocks:
         at, inside, dropped = node, (-1 - node) in kept, False
         while at >= 0:
-            if menu[at]:
+            if menu[at] or at in left_out:
                 dropped = True
             if at in kept:
                 inside = True
@@ -320,9 +451,13 @@ def extract(source: str | None) -> str:
     """Main text of one page: blocks in page order joined by a line break; empty where there is none."""
     if not source:
         return ""
-    out = _chosen(_Page(source, True))
+    page = _Page(source)
+    verdicts = [(named, named.verdict(page)) for named in page.named]
+    dropped = frozenset(named.token for named, v in verdicts if v == "drop")
+    doubt = frozenset(named.node for named, v in verdicts if v == "doubt" and named.node >= 0)
+    out = _chosen(_Page(source, dropped) if dropped else page, doubt)
     if not out:  # everything stood under a boilerplate word or a form: trust the elements alone
-        out = _chosen(_Page(source, False))
+        out = _chosen(page)
     return "\n".join(out)
 
 

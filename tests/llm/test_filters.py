@@ -161,6 +161,45 @@ def test_linked_lists_of_an_article_stay():
     assert "Linked" not in H.extract(f"<div><ul>{links}</ul>{text}</div>")
 
 
+TEXT = "".join(f"<p>Words of the text, part {k}, with commas, and some more of them, as prose has.</p>" for k in range(6))
+BELOW = "<p>Copyright, all rights, reserved.</p>"
+
+
+@pytest.mark.parametrize(
+    "shell",
+    ["<div class='layout has-sidebar'>{}</div>", "<div class='page no-sidebar'>{}</div>", "<div class='with-banner'>{}</div>",
+     "<div class='sidebar-layout'>{}</div>", "<div id=widgetPage>{}</div>", "<form id=aspnet>{}</form>",
+     "<form><div class='cookies-on'>{}</div></form>", "<span class=social>{}</span>"],
+)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "<article class='post has-comments'>{}</article>"])
+def test_names_around_the_text_do_not_drop_it(shell, inner):
+    side = "<div class='sidebar'><p>Side, words, of it.</p></div><div id=comments><p>First, I say.</p></div>"
+    got = H.extract(f"<body>{shell.format(inner.format(TEXT) + side)}{BELOW}</body>")
+    assert got.count("Words of the text") == 6
+    assert "Side" not in got and "First" not in got
+
+
+@pytest.mark.parametrize("name", ["discussion", "related-work", "social-impact", "cookie-recipe"])
+def test_sections_of_an_article_stay(name):
+    links = "<p>" + "".join(f"<a href=/{k}>Go {k}</a> " for k in range(5)) + "</p>"
+    page = f"<article>{TEXT}<section id={name}><p>What it means, in short.</p></section>{{}}</article>{BELOW}"
+    for drop in ("<div class=ad>Buy.</div>", "<div id=comments>Ho.</div>", "<div class=related-posts>More.</div>", f"<div class=social-impact>{links}</div>"):
+        got = H.extract(page.format(drop))
+        assert got.endswith("as prose has.\nWhat it means, in short."), drop
+
+
+def test_named_elements_beside_the_text_are_dropped():
+    rows = "".join(f"<li class=comment><article class=comment-body>{TEXT}</article></li>" for _ in range(3))
+    cards = "".join(f"<article class=card><p>Teaser, of more, {k}.</p></article>" for k in range(3))
+    for page in (
+        f"<main><article>{TEXT}</article><section id=comments><ol class=comment-list>{rows}</ol></section></main>",
+        f"<article>{TEXT}</article><div class=related>{cards}</div>",
+        f"<body><div class=content>{TEXT}</div><div id=comments>{TEXT}{TEXT}</div></body>",
+        f"<body><div class=content>{TEXT}</div><form><p>Name, please, here.</p></form><div class=sidebar>{TEXT[:90]}</div></body>",
+    ):
+        assert H.extract(page).count("\n") == 5, page
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", "<p>Hello, world</p>"), (1, "u", "<p>Hello, world</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
