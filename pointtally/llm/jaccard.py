@@ -38,6 +38,7 @@ import zlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pointtally.llm.common import partitions_for, stored, text_runs
 from pointtally.llm.words import SPACES, WordHasher, mix
@@ -677,6 +678,19 @@ def jaccard_components(
     other; a null ``doc_id`` takes part, and is the component's id only where
     all its ids are null; an empty table gives no rows.
     """
+    return _classified(documents, words, num, den, sketch_bits)[0].select(
+        "doc_id", "n_shingles", "component_id", "n_links"
+    )
+
+
+def _classified(
+    documents: DataFrame, words: int, num: int, den: int, sketch_bits: int = SKETCH_BITS
+) -> tuple[DataFrame, int]:
+    """Rows of :func:`jaccard_components` with ``cls`` and ``first``, and the seed of the classes.
+
+    ``first`` marks the rows of one class and one id in every component: the
+    smallest id, of the classes that hold it the smallest; null ids come last.
+    """
     spark = documents.sparkSession
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
@@ -816,40 +830,78 @@ def jaccard_components(
     classes_in = classes.join(comps.withColumnRenamed("v", "c_v"), F.col("cls") == F.col("c_v"), "left").select(
         "cls", "rep", "mult", F.coalesce("comp", "cls").alias("comp")
     )
-    smallest = classes_in.groupBy("comp").agg(F.min("rep").alias("component"))
+    smallest = classes_in.groupBy("comp").agg(
+        F.min("rep").alias("component"), F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "cls")).alias("least")
+    )
     result = (
         classes_in.join(smallest, "comp")
         .join(degree.withColumnRenamed("cls", "d_cls"), F.col("cls") == F.col("d_cls"), "left")
         .select(
             F.col("cls").alias("r_cls"),
             "component",
+            "rep",
+            (F.col("cls") == F.col("least.cls")).alias("wins"),
             (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    return own.join(result, (F.col("n") > 0) & (F.col("cls") == F.col("r_cls")), "left").select(
+    rows = own.join(result, (F.col("n") > 0) & (F.col("cls") == F.col("r_cls")), "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        "cls",
+        (F.col("wins") & F.col("doc_id").eqNullSafe(F.col("rep"))).alias("first"),
     )
+    return rows, seed
+
+
+def _class_fn(words: int, seed: int, text_at: int):
+    """Task function: the rows of its batches, all columns, with size and class of their sets."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        hasher = WordHasher(SPACES)
+        for batch in batches:
+            for lo, hi, texts in text_runs(batch.column(text_at), CHUNK_BYTES):
+                sets = shingle_sets(hasher, [t.encode("utf-8", "surrogatepass") for t in texts], words)
+                more = [pa.array([len(s) for s in sets], pa.int64()), pa.array(set_digests(sets, seed)[0].view(np.int64))]
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "__n", "__cls"])
+
+    return run
 
 
 def keep_one(documents: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of ``documents``, with all their columns, less all but one of every component.
 
-    The document of the component's smallest id stays.  Rows that repeat both
-    id and text are one document; a row without an id stays.
+    A row of the component's smallest id stays; a row without an id only where
+    the component has no other.  Rows of one id with different texts are judged
+    each by its own component.  A text without words stays.
     """
-    marked = jaccard_components(documents, words, num, den).filter("n_shingles > 0")
+    rows, seed = _classified(documents, words, num, den)
     ids = stored(
-        marked.groupBy(F.col("doc_id").alias("__id"))
-        .agg(F.max(F.col("doc_id") != F.col("component_id")).alias("__gone"), F.count(F.lit(1)).alias("__rows"))
-        .filter("__id is not null and (__gone or __rows > 1)"),
+        rows.groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.max((F.col("n_shingles") > 0) & ~F.col("first")).alias("__gone"), F.count(F.lit(1)).alias("__rows"))
+        .filter("__id is null or __gone or __rows > 1"),
         "not-kept",
     )
-    out = documents.join(ids.filter("__gone").select("__id"), documents["doc_id"] == F.col("__id"), "left_anti")
-    repeated = ids.filter("not __gone").select("__id")
-    if repeated.isEmpty():
+    # An id that stands for one row decides on it; rows of other ids are told apart by their classes.
+    listed = ids.filter("__id is not null").select("__id")
+    out = documents.join(listed, documents["doc_id"] == F.col("__id"), "left_anti")
+    unclear = ids.filter("__id is null or __rows > 1").select("__id")
+    if unclear.isEmpty():
         return out
-    again = out.join(repeated, out["doc_id"] == F.col("__id"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return out.join(repeated, out["doc_id"] == F.col("__id"), "left_anti").unionAll(again)
+    out = out.filter(F.col("doc_id").isNotNull())
+    again = documents.join(unclear, documents["doc_id"] == F.col("__id"), "left_semi").unionAll(
+        documents.filter(F.col("doc_id").isNull())
+    )
+    schema = StructType([*documents.schema.fields, StructField("__n", LongType()), StructField("__cls", LongType())])
+    told = again.mapInArrow(_class_fn(words, seed, documents.columns.index("text")), schema)
+    first = rows.filter("n_shingles > 0 and first").select(F.col("doc_id").alias("__first"), F.col("cls").alias("__c")).distinct()
+    chosen = (
+        told.filter("__n > 0")
+        .dropDuplicates(["doc_id", "__cls"])
+        .join(first, (F.col("__cls") == F.col("__c")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("__first")), "left_semi")
+    )
+    return out.unionAll(told.filter("__n = 0").unionAll(chosen).select(documents.columns))

@@ -126,6 +126,24 @@ def test_keep_one(spark):
     assert rows(J.keep_one(df), "doc_id", "lang") == [(3, "q"), (4, "s"), (6, "t")]
 
 
+def test_keep_one_judges_rows(spark):
+    long = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    own = "one two three four five six seven eight nine ten"
+    docs = [
+        (1, long, "stays"), (2, long, "gone"), (2, own, "stays"), (2, None, "stays"),  # one id, three texts
+        (5, "n " + own + " x", "stays"), (5, "p p p p p p", "stays"), (5, "p p p p p p", "stays"),  # copies: one stays
+        (7, long + " zz", "gone"), (8, "q q2 q3 q4 q5 q6 q7 q8 q9 q10 q11", "stays"), (8, "q q2 q3 q4 q5 q6 q7 q8 q9 q10 q11 q12", "stays"),
+        (None, long, "gone"), (None, "m m2 m3 m4 m5 m6", "stays"), (None, "m m2 m3 m4 m5 m6", "stays"), (None, "lone words", "stays"),
+        (None, None, "stays"), (None, "", "stays"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    kept = J.keep_one(df)
+    got = rows(kept, "doc_id", "lang")
+    want = [(1, "stays"), (2, "stays"), (2, "stays"), (5, "stays"), (5, "stays"), (8, "stays")] + [(None, "stays")] * 4
+    assert got == sorted(want, key=repr) and kept.columns == df.columns
+    assert J.jaccard_components(kept).filter("n_links > 0").count() == 0
+
+
 def test_cell_search_matches_counting():
     rng = np.random.RandomState(0)
     pool = rng.randint(0, 2**62, 400).astype(np.uint64)
