@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import decontaminate, fingerprints, html_text, jaccard, packing, preferences, quality, token_files, urls, warc
+from pointtally.llm import decontaminate, fingerprints, html_text, jaccard, merkle, packing, preferences, quality, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -58,6 +58,10 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle(spark, sf_dir):
+    return merkle.document_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_jaccard": op1_jaccard,
     "op2_token_files": op2_token_files,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_preferences": op9_preferences,
     "op10_fingerprints": op10_fingerprints,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLE = {
@@ -76,4 +81,5 @@ ORACLE = {
     "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),
     "op9_preferences": preferences.ORACLE,
+    "op13_merkle": merkle.ORACLE,
 }
