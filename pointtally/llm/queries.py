@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pointtally.llm import decontaminate, fingerprints, html_text, jaccard, merkle, packing, preferences, quality, thresholds, token_files, urls, warc
+from pointtally.llm import collocations, decontaminate, fingerprints, html_text, jaccard, merkle, packing, preferences, quality, thresholds, token_files, urls, warc
 
 
 def _table(spark, sf_dir, name):
@@ -58,6 +58,10 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_thresholds(spark, sf_dir):
     return thresholds.judge(_table(spark, sf_dir, "documents")).drop("limits_of")
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_preferences": op9_preferences,
     "op10_fingerprints": op10_fingerprints,
+    "op11_collocations": op11_collocations,
     "op12_thresholds": op12_thresholds,
     "op13_merkle": op13_merkle,
 }
@@ -86,6 +91,7 @@ ORACLE = {
     "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),
     "op9_preferences": preferences.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_thresholds": thresholds.oracle(),
     "op13_merkle": merkle.ORACLE,
 }
