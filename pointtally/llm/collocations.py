@@ -45,10 +45,13 @@ TOP = 2000
 UNKNOWN = "und"
 SHARD_WORDS = 2_000_000
 RUN_BYTES = 4 << 20
-RANGE_BYTES = 8 << 20
-PARTITION_BYTES = 64 << 20
+RANGE_BYTES = 2 << 20
+# Prefix ranges a shard is split into at most; more are reached in further rounds.
+FAN = 2048
+# Ranges are read one by one, so a partition's size does not decide the memory of its task.
+PARTITION_BYTES, MOST_PARTITIONS = 16 << 20, 100_000
 # Phrases that are united at once.
-UNION_PHRASES = 2_000_000
+UNION_PHRASES = 1_000_000
 RANK_SALTS = 64
 
 _LOWER = bytes(b + 32 if 0x41 <= b < 0x5B else b for b in range(256))
@@ -97,10 +100,10 @@ def load(data: bytes) -> list[np.ndarray]:
 
 def words_to_arrays(words) -> tuple[np.ndarray, np.ndarray]:
     """An Arrow binary array as ``(lengths, bytes)``."""
-    import pyarrow.compute as pc
-
-    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.uint32)
-    return lengths, np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    _, at, data = words.buffers()
+    offsets = np.frombuffer(at, np.int64)[words.offset : words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return np.diff(offsets).astype(np.uint32), data[offsets[0] : offsets[-1]]
 
 
 def arrays_to_words(lengths: np.ndarray, data: np.ndarray):
@@ -145,6 +148,16 @@ class Phrases:
         return len(self.uw) + len(self.bw) + len(self.tw)
 
 
+def _signatures(starts: np.ndarray, counts: np.ndarray, arcs: tuple) -> np.ndarray:
+    """A 64-bit sum per state over a mixture of its arcs; equal states have equal ones."""
+    mixed = np.zeros(len(arcs[0]), np.uint64)
+    for a in arcs:
+        mixed = (mixed ^ a.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
+    return run[starts + counts] - run[starts] + counts.astype(np.uint64)
+
+
 def _register(starts: np.ndarray, counts: np.ndarray, *arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Share equal states: ``(state of each segment, representative segment of each state)``.
 
@@ -154,13 +167,7 @@ def _register(starts: np.ndarray, counts: np.ndarray, *arcs: np.ndarray) -> tupl
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    mixed = np.zeros(len(arcs[0]), np.uint64)
-    for a in arcs:
-        mixed = (mixed ^ a.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(29)
-    run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
-    signature = run[starts + counts] - run[starts] + counts.astype(np.uint64)
-    _, first, group = np.unique(signature, return_index=True, return_inverse=True)
+    _, first, group = np.unique(_signatures(starts, counts, arcs), return_index=True, return_inverse=True)
     rep = first[group]
     same = counts == counts[rep]
     rows = np.flatnonzero(same & (counts > 0))
@@ -358,8 +365,8 @@ class Shard:
         self.n += len(starts)
         return starts
 
-    def phrases(self) -> tuple[Phrases, list[tuple[str, int]]]:
-        """All phrases of the shard with their counts, and the words of each language."""
+    def phrases(self) -> Phrases:
+        """All phrases of the shard with their counts."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -382,9 +389,7 @@ class Shard:
         bc, b, bf = np.unique(u[follows] * m + u[follows + 1], return_inverse=True, return_counts=True)
         twice = np.flatnonzero(np.diff(follows) == 1)
         tc, tf = np.unique(b[twice] * m + u[follows[twice] + 2], return_counts=True)
-        totals = np.bincount(lang, minlength=len(langs)).tolist()
-        got = Phrases(langs, words, uc // w, uw, uf, bc // m, uw[bc % m], bf, tc // m, uw[tc % m], tf)
-        return got, list(zip(langs, totals))
+        return Phrases(langs, words, uc // w, uw, uf, bc // m, uw[bc % m], bf, tc // m, uw[tc % m], tf)
 
 
 @dataclass(frozen=True)
@@ -401,6 +406,18 @@ class Ranges:
         return self.of_word(places1) + (places2 * np.uint64(self.second) >> np.uint64(32)).astype(np.int64)
 
 
+def range_rounds(wanted: int) -> list[Ranges]:
+    """Ranges of every round: each divides those of the round before, by ``FAN`` at most; the last are ``wanted`` or more."""
+    rounds = [math.isqrt(max(wanted - 1, 0)) + 1]  # ranges of first words, and as many of second words
+    step = math.isqrt(FAN)
+    while rounds[0] > step:
+        coarse = -(-rounds[0] // step)
+        rounds.insert(0, coarse)
+    for k in range(1, len(rounds)):
+        rounds[k] = rounds[k - 1] * -(-rounds[k] // rounds[k - 1])
+    return [Ranges(n, n) for n in rounds]
+
+
 def split_phrases(p: Phrases, ranges: Ranges):
     """``(range, phrases)`` of every prefix range that holds any."""
     places = word_places(p.words)
@@ -425,7 +442,7 @@ def split_phrases(p: Phrases, ranges: Ranges):
         )
 
 
-SHARD_SCHEMA = "place bigint, data binary, lang string, n bigint"
+SHARD_SCHEMA = "place bigint, data binary"
 
 
 def _shard_fn(ranges: Ranges, shard_words: int):
@@ -434,19 +451,13 @@ def _shard_fn(ranges: Ranges, shard_words: int):
 
         shard = Shard()
 
-        def row(place, data, lang, n):
-            arrays = [pa.array([place], pa.int64()), pa.array([data], pa.binary())]
-            arrays += [pa.array([lang], pa.string()), pa.array([n], pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["place", "data", "lang", "n"])
-
         def flush():
             if shard.n:
-                phrases, totals = shard.phrases()
+                phrases = shard.phrases()
                 shard.clear()
                 for r, part in split_phrases(phrases, ranges):
-                    yield row(r, Transducer.build(part), None, len(part))
-                for lang, n in totals:
-                    yield row(None, None, lang, n)
+                    arrays = [pa.array([r], pa.int64()), pa.array([Transducer.build(part)], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["place", "data"])
 
         for batch in batches:
             sizes = batch.column(1).cast(pa.large_binary())
@@ -471,11 +482,16 @@ def _shard_fn(ranges: Ranges, shard_words: int):
 def _by_place(batches, *columns):
     """Rows of a sorted stream, as tuples."""
     for batch in batches:
-        yield from zip(*(batch.column(c).to_pylist() for c in columns))
+        cols = [batch.column(c) for c in columns]
+        for k in range(batch.num_rows):
+            yield tuple(c[k].as_py() for c in cols)
 
 
-def _union_fn(least: int):
-    """Task function over shard transducers sorted by place: one transducer per place."""
+TOTAL_SCHEMA = "place bigint, data binary, lang string, n bigint"
+
+
+def _pieces_fn(finer: Ranges):
+    """Task function over transducers sorted by place: unions of some of them at a time, cut by ``finer`` ranges."""
 
     def run(batches):
         import pyarrow as pa
@@ -483,23 +499,54 @@ def _union_fn(least: int):
         place, held, size = None, [], 0
 
         def out():
-            total = united(held, least)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([place], pa.int64()), pa.array([Transducer.build(total)], pa.binary())], names=["place", "data"]
-            )
+            for where, phrases in split_phrases(united(held), finer):
+                arrays = [pa.array([where], pa.int64()), pa.array([Transducer.build(phrases)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["place", "data"])
 
         for here, data in _by_place(batches, "place", "data"):
-            if here != place:
-                if held:
-                    yield out()
-                place, held, size = here, [], 0
+            if held and (here != place or size > UNION_PHRASES):
+                yield from out()
+                held, size = [], 0
+            place = here
             held.append(Transducer.expand(data))
             size += len(held[-1])
+        if held:
+            yield from out()
+
+    return run
+
+
+def _union_fn(least: int):
+    """Task function over transducers sorted by place: one per place, and the words of each language (without a place)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        place, held, size = None, [], 0
+        words: dict[str, int] = {}
+
+        def row(*values):
+            types = (pa.int64(), pa.binary(), pa.string(), pa.int64())
+            names = [c.split()[0] for c in TOTAL_SCHEMA.split(", ")]
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names=names)
+
+        for here, data in _by_place(batches, "place", "data"):
+            if held and here != place:
+                yield row(place, Transducer.build(united(held, least)), None, None)
+                held, size = [], 0
+            place = here
+            p = Transducer.expand(data)
+            for lang, n in zip(p.langs, sum_by(p.ul, p.uf)[1].tolist()):
+                words[lang] = words.get(lang, 0) + n
+            held.append(p)
+            size += len(p)
             if size > UNION_PHRASES and len(held) > 1:
                 held = [united(held)]
                 size = len(held[0])
         if held:
-            yield out()
+            yield row(place, Transducer.build(united(held, least)), None, None)
+        for lang, n in words.items():
+            yield row(None, None, lang, n)
 
     return run
 
@@ -753,25 +800,23 @@ def collocations(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    wanted = max(4, math.ceil(size / range_bytes))
-    second = math.isqrt(wanted)
-    ranges = Ranges(-(-wanted // second), second)
-    parts = max(parallelism(spark), math.ceil(size / PARTITION_BYTES))
-    shards = stored(texts.mapInArrow(_shard_fn(ranges, shard_words), SHARD_SCHEMA), "phrase-shards")
-
+    rounds = range_rounds(max(4, math.ceil(size / range_bytes)))
+    ranges = rounds[-1]
+    parts = max(parallelism(spark), min(MOST_PARTITIONS, math.ceil(size / PARTITION_BYTES)))
     def dealt(df: DataFrame, *order: str) -> DataFrame:
         return df.repartition(parts, "place").sortWithinPartitions("place", *order)
 
-    totals = dealt(shards.filter("place IS NOT NULL").select("place", "data")).mapInArrow(
-        _union_fn(least), "place bigint, data binary"
-    )
-    totals = stored(totals, "phrase-totals")
+    pieces = texts.mapInArrow(_shard_fn(rounds[0], shard_words), SHARD_SCHEMA)
+    for finer in rounds[1:]:
+        pieces = stored(dealt(pieces).mapInArrow(_pieces_fn(finer), SHARD_SCHEMA), "phrase-pieces")
+    sums = stored(dealt(pieces).mapInArrow(_union_fn(least), TOTAL_SCHEMA), "phrase-totals")
+    totals = sums.filter("place IS NOT NULL").select("place", "data")
     own = totals.select("place", F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("other"), "data")
     asked = totals.mapInArrow(_ask_fn(ranges), LINK_SCHEMA)
     answers = dealt(own.unionAll(asked), "kind", "other").mapInArrow(_answer_fn(), LINK_SCHEMA)
     answers = stored(answers, "phrase-answers")
     scored = dealt(own.unionAll(answers), "kind", "other").mapInArrow(_score_fn(ranges, share, top), SCORE_SCHEMA)
-    n = shards.filter("place IS NULL").groupBy(F.col("lang").alias("n_lang")).agg(F.sum("n").alias("n"))
+    n = sums.filter("place IS NULL").groupBy(F.col("lang").alias("n_lang")).agg(F.sum("n").alias("n"))
     if top is None:
         ranked = scored.withColumn("rank", F.lit(None).cast("bigint"))
     else:
