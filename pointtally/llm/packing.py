@@ -24,13 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pointtally.llm.common import text_runs
-from pointtally.llm.token_files import worker_encoder
+from pointtally.llm.token_files import BATCH_BYTES, worker_encoder
 
 # Permitted lengths and their costs: the tokens computed, and a fixed part per sequence.
 CAPACITIES = (512, 1024, 2048, 4096)
 SEQUENCE_COST = 32
 SHARD_ITEMS = 50_000
-CHUNK_BYTES = 1 << 20
 
 SCHEMA = (
     "doc_id bigint, piece bigint, start bigint, length bigint, shard bigint, bin bigint, capacity bigint, offset bigint"
@@ -55,7 +54,7 @@ def _lengths_fn(tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = worker_encoder(tokenizer)
         for batch in batches:
-            for lo, hi, texts in text_runs(batch.column(1), CHUNK_BYTES):
+            for lo, hi, texts in text_runs(batch.column(1), BATCH_BYTES):
                 lengths = pa.array(encoder.lengths(texts) + 1, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lengths], ["doc_id", "length"])
 

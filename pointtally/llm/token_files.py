@@ -39,9 +39,11 @@ BLOCK = 4096
 PERCENTILE = 99.0
 RANGE_BYTES = 32 << 20
 END_ID = 0
-CACHE_PIECES = 1_000_000
-# Lengths: a text with a longer chunk is encoded whole, so that the cache holds words only.
-LONGEST_CHUNK = 256
+# Cached chunks and their ids, per Python worker; a longer chunk is not kept.
+CACHE_BYTES = 32 << 20
+LONGEST_CHUNK = 64
+# New chunks are encoded in runs, texts in batches of about this size.
+RUN_BYTES, BATCH_BYTES = 64 << 10, 4 << 20
 
 
 # ------------------------------------------------------------------ blocks
@@ -173,108 +175,235 @@ class FileReader:
 
 # ------------------------------------------------------------------ encoding
 
-# Encoding splits at a space or line break that follows another character:
-# byte-level pieces never end in white space that a word follows, so the ids of
-# such a chunk do not depend on its neighbours.  Texts with any other white
-# space are encoded whole.
-_CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# Byte-level pieces never join a word with the white space that follows it, nor
+# a letter or digit with the mark after it.  So the ids of a chunk (white space
+# and the word after it; the points and commas that end a word) do not depend
+# on its neighbours, and the ids of joined chunks are those of the chunks.
+# Texts with any other white space are encoded whole.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_SPLIT, _BREAK = b"\xff", 10  # no byte of UTF-8; the line break set between chunks without white space of their own
+
+
+def splits_at_words(tokenizer: dict) -> bool:
+    """Whether a tokenizer file's ids of a text are those of its chunks: byte-level pre-tokenizing, and nothing around it."""
+    pre = tokenizer.get("pre_tokenizer") or {}
+    model = tokenizer.get("model") or {}
+    return (
+        pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space")
+        and tokenizer.get("normalizer") is None
+        and (tokenizer.get("post_processor") or {"type": "ByteLevel"})["type"] == "ByteLevel"
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "unk_token"))
+    )
+
+
+def chunk_edges(buf: np.ndarray) -> np.ndarray:
+    """Starts of the chunks of texts that each end with ``_SPLIT`` (a chunk of its own)."""
+    space, split = (buf == 0x20) | (buf == 0x0A), buf == _SPLIT[0]
+    mark = (buf == ord(".")) | (buf == ord(","))
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[0] = True
+    edge[1:-1] = (space[1:] & ~space[:-1]) | split[1:] | split[:-1]
+    runs = np.flatnonzero(np.diff(mark.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    first, after = runs[0::2], runs[1::2]
+    ends_word = _ALNUM[buf[first - 1]] & (first > 0) & (space | split)[np.minimum(after, len(buf) - 1)]
+    edge[first[ends_word]] = True
+    return np.flatnonzero(edge[:-1])
+
+
+_ALNUM = np.array([chr(b).isalnum() and b < 0x80 for b in range(256)])
+
+
+def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of runs ``start .. start + count``, one after the other."""
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - counts), counts) + np.arange(total)
+
+
+class _Kept:
+    """Chunks and their ids, appended to; arrays double as they grow."""
+
+    def __init__(self):
+        self.words: list = []
+        self.n = self.n_ids = self.word_bytes = 0
+        self.lens, self.offs = np.zeros(1024, np.int32), np.zeros(1024, np.int64)
+        self.ids = np.zeros(4096, np.uint32)
+
+    @property
+    def nbytes(self) -> int:
+        return self.word_bytes + self.lens.nbytes + self.offs.nbytes + self.ids.nbytes
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        if n <= len(a):
+            return a
+        out = np.zeros(max(n, 2 * len(a)), a.dtype)
+        out[: len(a)] = a
+        return out
+
+    def add(self, words, lens: np.ndarray, ids: np.ndarray) -> None:
+        if not len(words):
+            return
+        n, m = self.n + len(words), self.n_ids + len(ids)
+        self.lens, self.offs, self.ids = self._room(self.lens, n), self._room(self.offs, n), self._room(self.ids, m)
+        self.lens[self.n : n] = lens
+        self.offs[self.n : n] = self.n_ids + np.cumsum(lens) - lens
+        self.ids[self.n_ids : m] = ids
+        self.n, self.n_ids = n, m
+        self.words.append(words)
+        self.word_bytes += words.nbytes
+
+    def find(self, words) -> np.ndarray:
+        """Index of every word, -1 where unknown."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self.n:
+            return np.full(len(words), -1, np.int64)
+        known = pa.chunked_array(self.words)
+        return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 class Encoder:
     """Ids of whole texts, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    Chunks seen before come from a bounded cache; new ones go to the tokenizer
-    in one batch.
+    Texts are cut into chunks; the ids of chunks seen before come from a cache,
+    the distinct new ones are joined and encoded in one go, and the ids' byte
+    lengths tell which are whose.  The cache holds two generations of
+    ``cache_bytes / 2`` each: a full one becomes the old one, and chunks found
+    in the old one move to the new, so what is not met again is forgotten.
+    Chunks above ``LONGEST_CHUNK`` bytes are never kept.  Where the tokenizer
+    is of another kind (see :func:`splits_at_words`) every text is encoded whole.
     """
 
-    def __init__(self, path: str, cache_pieces: int = CACHE_PIECES):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        import json
+
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        added = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        self.plain = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        # An added token between two chunks keeps them apart, as two texts are.
-        self.between = next(((c, i) for c, i in sorted(added.items())), None)
-        self.limit = cache_pieces
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.lens = np.zeros(0, np.int64)
-        self.offs = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        with open(path, encoding="utf-8") as f:
+            self.by_chunk = splits_at_words(json.load(f))
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        vocabulary = self.tok.get_vocab(with_added_tokens=False)
+        self.width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)  # a byte-level token has a character per byte
+        self.limit = cache_bytes // 2
+        self.young, self.old = _Kept(), _Kept()
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, new: list[str]) -> None:
-        if self.between is None:
-            got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-            lens = np.fromiter(map(len, got), np.int64, len(got))
-            ids = np.array([i for x in got for i in x], np.uint32)
-        else:
-            mark, mark_id = self.between
-            runs = [mark.join(new[k : k + 2000]) + mark for k in range(0, len(new), 2000)]
-            got = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(runs, add_special_tokens=False)]
-            ids = np.concatenate(got)
-            ends = np.flatnonzero(ids == mark_id)
-            lens = np.diff(ends, prepend=-1) - 1
-            ids = np.delete(ids, ends)
-        base = len(self.known)
-        self.known.update(zip(new, range(base, base + len(new))))
-        self.offs = np.concatenate([self.offs, len(self.flat) + np.cumsum(lens) - lens])
-        self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, ids])
+    def _learn(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """``(number of ids of each chunk, ids)`` of distinct new chunks, by the tokenizer."""
+        offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2], np.uint8)
+        size = np.diff(offsets)
+        lead, last = data[offsets[:-1]], data[offsets[1:] - 1]
+        blank = (last == 0x20) | (last == 0x0A)  # white space that ends a text: only right on its own
+        lens = np.zeros(len(words), np.int64)
+        parts: dict[int, np.ndarray] = {k: self._whole(words[k].as_py().decode()) for k in np.flatnonzero(blank).tolist()}
+        rows = np.flatnonzero(~blank)
+        apart = (lead[rows] != 0x20) & (lead[rows] != 0x0A)
+        # Every chunk without white space of its own follows a line break.
+        ends = np.cumsum(size[rows] + apart)
+        joined = np.full(int(ends[-1]) if len(rows) else 0, _BREAK, np.uint8)
+        joined[_gather(ends - size[rows], size[rows])] = data[_gather(offsets[rows], size[rows])]
+        ids = np.zeros(0, np.uint32)
+        if len(rows):
+            cuts = [0, *(np.flatnonzero(np.diff(ends // RUN_BYTES)) + 1).tolist(), len(rows)]
+            marks = [0, *ends[np.array(cuts[1:]) - 1].tolist()]
+            runs = [joined[a:b].tobytes().decode() for a, b in zip(marks, marks[1:])]
+            got = self.tok.encode_batch_fast(runs, add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
+            upto = np.concatenate([[0], np.cumsum(self.width[ids])])
+            first, end = np.searchsorted(upto, ends - size[rows]), np.searchsorted(upto, ends)
+            if (upto[first] != ends - size[rows]).any() or (upto[np.minimum(end, len(ids))] != ends).any():
+                raise ValueError("the tokenizer joins chunks")
+            lens[rows] = end - first
+            ids = ids[_gather(first, end - first)]
+        if parts:
+            for k, x in parts.items():
+                lens[k] = len(x)
+            at = np.cumsum(lens) - lens
+            whole = np.zeros(int(lens.sum()), np.uint32)
+            whole[_gather(at[rows], lens[rows])] = ids
+            for k, x in parts.items():
+                whole[at[k] : at[k] + len(x)] = x
+            ids = whole
+        return lens, ids
+
+    def _distinct(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """``(number of ids of each chunk, ids)`` of distinct chunks, known or new."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        short = np.asarray(pc.less_equal(pc.binary_length(words), LONGEST_CHUNK))
+        young = self.young.find(words)
+        old = np.where(young < 0, self.old.find(words), -1)
+        split = np.asarray(pc.equal(words, _SPLIT))
+        new = np.flatnonzero((young < 0) & (old < 0) & ~split)
+        lens = np.zeros(len(words), np.int64)
+        new_lens, new_ids = self._learn(words.take(pa.array(new))) if len(new) else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        at_young, at_old = np.flatnonzero(young >= 0), np.flatnonzero(old >= 0)
+        lens[at_young], lens[at_old], lens[new] = self.young.lens[young[at_young]], self.old.lens[old[at_old]], new_lens
+        start = np.cumsum(lens) - lens
+        ids = np.empty(int(lens.sum()), np.uint32)
+        for kept, where, index in ((self.young, at_young, young[at_young]), (self.old, at_old, old[at_old])):
+            ids[_gather(start[where], lens[where])] = kept.ids[_gather(kept.offs[index], lens[where])]
+        ids[_gather(start[new], lens[new])] = new_ids
+        fresh = np.flatnonzero((young < 0) & short & ~split)
+        self.young.add(words.take(pa.array(fresh)), lens[fresh], ids[_gather(start[fresh], lens[fresh])])
+        if self.young.nbytes > self.limit:
+            self.old, self.young = self.young, _Kept()
+        return lens, ids
+
+    def _coded(self, texts: list[str]):
+        """Whole texts' ids by index; of the others the chunk codes, their number per text, and the chunks' ids."""
+        import pyarrow as pa
+
+        whole, raw = {}, []
+        for k, t in enumerate(texts):
+            if not self.by_chunk or _OTHER_SPACE.search(t) or self.added.search(t):
+                whole[k] = t
+                raw.append(b"")
+            else:
+                raw.append(t.encode())
+        buf = np.frombuffer(_SPLIT.join(raw) + _SPLIT, np.uint8)
+        edges = chunk_edges(buf)
+        offsets = np.append(edges, len(buf)).astype(np.int64)
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(edges), [None, pa.py_buffer(offsets), pa.py_buffer(buf)])
+        coded = chunks.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        ends = np.flatnonzero(buf[edges] == _SPLIT[0]) + 1
+        return whole, codes, ends, *self._distinct(coded.dictionary)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, number of ids of each)``."""
-        if len(self.known) > self.limit:
-            self._clear()
-        pieces, counts, whole = [], [], {}
-        for k, t in enumerate(texts):
-            if _OTHER_SPACE.search(t) or self.plain.search(t):
-                whole[k] = self._whole(t)
-                counts.append(0)
-                continue
-            got = _CHUNK.findall(t)
-            pieces += got
-            counts.append(len(got))
-        new = [p for p in set(pieces) if p not in self.known]
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        lens = self.lens[codes]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        take = np.repeat(self.offs[codes] - (ends - lens), lens) + np.arange(total)
-        ids = self.flat[take]
-        cuts = np.cumsum(counts)
-        at = np.concatenate([[0], ends])[np.concatenate([[0], cuts])]
-        per = np.diff(at)
-        if whole:
-            parts = [whole[k] if k in whole else ids[at[k] : at[k + 1]] for k in range(len(texts))]
-            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
-        return ids, per
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        whole, codes, ends, lens, flat = self._coded(texts)
+        n = lens[codes]
+        ids = flat[_gather((np.cumsum(lens) - lens)[codes], n)]
+        at = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])]
+        if not whole:
+            return ids, np.diff(at)
+        parts = [self._whole(whole[k]) if k in whole else ids[at[k] : at[k + 1]] for k in range(len(texts))]
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
     def lengths(self, texts: list[str]) -> np.ndarray:
         """Number of ids of each text, as :meth:`encode` counts them."""
-        if len(self.known) > self.limit:
-            self._clear()
-        pieces, counts, whole = [], [], {}
-        for k, t in enumerate(texts):
-            got = [] if _OTHER_SPACE.search(t) or self.plain.search(t) else _CHUNK.findall(t)
-            if t and (not got or max(map(len, got)) > LONGEST_CHUNK):
-                whole[k], got = len(self._whole(t)), []
-            pieces += got
-            counts.append(len(got))
-        new = [p for p in set(pieces) if p not in self.known]
-        if new:
-            self._learn(new)
-        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
-        ends = np.concatenate([[0], np.cumsum(self.lens[codes])])
-        per = np.diff(ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])])
-        per[list(whole)] = list(whole.values())
+        if not texts:
+            return np.zeros(0, np.int64)
+        whole, codes, ends, lens, _ = self._coded(texts)
+        per = np.diff(np.concatenate([[0], np.cumsum(lens[codes])])[np.concatenate([[0], ends])])
+        for k, t in whole.items():
+            per[k] = len(self._whole(t))
         return per
 
 
@@ -380,7 +509,7 @@ def write_tokens(
         .sortWithinPartitions("b", F.col("doc_id").asc_nulls_first(), "text")
     )
     folder = fresh_path(spark, "tokens")
-    run = _write_fn(folder, tokenizer, block, percentile, end_id, 1 << 20)
+    run = _write_fn(folder, tokenizer, block, percentile, end_id, BATCH_BYTES)
     return stored(rows.mapInArrow(run, INDEX_SCHEMA), "token-index")
 
 

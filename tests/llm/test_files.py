@@ -74,9 +74,9 @@ def test_encoder_equals_the_tokenizer():
 
     tok = Tokenizer.from_file(PATH)
     rng = random.Random(9)
-    pieces = ["the", "Of", "x1", "é", ",", ".", "'s", "'", "\n", "\t", "  ", " ", " ", "東", "!!", "12", "\r\n", "\x85"]
+    pieces = ["the", "Of", "x1", "é", ",", ".", "...", ".,", "(a)", "²", "a" * 70, "'s", "'", "\n", "\t", "  ", " ", " ", "東", "!!", "12", "\r\n", "\x85"]
     texts = [t or "" for t in TEXTS] + ["".join(rng.choice(pieces) for _ in range(rng.randrange(60))) for _ in range(300)]
-    encoder = TF.Encoder(PATH, cache_pieces=50)
+    encoder = TF.Encoder(PATH, cache_bytes=4000)
     for a in range(0, len(texts), 40):
         ids, lens = encoder.encode(texts[a : a + 40])
         want = [tok.encode(t, add_special_tokens=False).ids for t in texts[a : a + 40]]
@@ -84,6 +84,29 @@ def test_encoder_equals_the_tokenizer():
         assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_encoder_cache_is_bounded_in_bytes():
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    encoder = TF.Encoder(PATH, cache_bytes=200_000)
+    for _ in range(30):
+        encoder.encode([" ".join(word(8) for _ in range(500)) + " " + word(5000)])
+        assert encoder.young.nbytes + encoder.old.nbytes <= 400_000
+        assert all(len(w) <= TF.LONGEST_CHUNK for a in encoder.young.words for w in a.to_pylist())
+    assert encoder.old.n
+
+
+def test_encoder_leaves_other_tokenizers_whole():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, tok = TF.Encoder(path), Tokenizer.from_file(path)
+    texts = ["Two words.", "", "a  b\nC", "x" * 300]
+    ids, lens = encoder.encode(texts)
+    want = [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not encoder.by_chunk and ids.tolist() == [i for w in want for i in w]
+    assert lens.tolist() == encoder.lengths(texts).tolist() == [len(w) for w in want]
+
+
 def test_packed_lengths_are_tokens(spark, monkeypatch):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefgxyzé日本語,.'") for _ in range(rng.randint(1, 12)))
@@ -93,7 +116,7 @@ def test_packed_lengths_are_tokens(spark, monkeypatch):
     tok = TF.Encoder(PATH).tok
     want = {i: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
     assert want[40] > 4096  # no white space, and more than the longest sequence
-    assert TF.Encoder(PATH, cache_pieces=50).lengths([t or "" for t in texts]).tolist() == [want[i] - 1 for i in want]
+    assert TF.Encoder(PATH, cache_bytes=4000).lengths([t or "" for t in texts]).tolist() == [want[i] - 1 for i in want]
     monkeypatch.setattr(queries, "_table", lambda *a: df)
     for rows in (queries.op3_packing(spark, "").collect(), corpus_pipeline.pack(spark, df, "").collect()):
         total, used = collections.Counter(), collections.Counter()
