@@ -1,10 +1,11 @@
 """Maximum and average pairwise distance, and seeded point sampling.
 
 * :func:`exact_diameter` -- max over all unordered pairs (the block kernel).
-  For large sets it first prunes exactly: a few farthest-first centers give a
-  lower bound ``l`` (a real pair distance) and radii ``R_c``; a point with
-  ``min_c(d(p, c) + R_c) < l`` cannot be in a pair longer than ``l`` (triangle
-  inequality), so only the survivors are paired.
+  For large sets it is a branch and bound (:func:`diameter_search`): points are
+  dealt to the nearest of some pivots, every block knows how far it reaches
+  from each pivot and its bounding box, and block pairs are computed in
+  descending order of the bound these give until it falls below the longest
+  distance found.
 * :func:`two_approx_diameter` -- max distance between every point and ``k``
   sampled points: the sample travels with the tasks, one pass, no join.
 * :func:`avg_pairwise_distance` -- mean over all unordered pairs.
@@ -25,14 +26,16 @@ from pyspark.sql import functions as F
 import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.functions.ranges import with_start
-from pointtally.operators.pairs import pair_summary
-from pointtally.runtime import broadcast_budget, materialize, point_bytes
+from pointtally.operators.pairs import GROUP_SCHEMA, PARTITIONS_PER_SLOT, block_rows, chosen_pairs, kernel_fn, pair_summary
+from pointtally.runtime import broadcast_budget, materialize, parallelism, point_bytes
 from pointtally.sources.text import validate_points
 
 # Task functions defined here travel by value (executors need no copy of the package).
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PRUNE_CENTERS = 8
+# Pivots of the branch and bound, within the broadcast budget.
+PIVOTS = 64
 # Exact pruning is tried from this many points on (its O(k n) passes are then
 # negligible against the O(n^2) pair phase); the result is the same either way.
 PRUNE_MIN_POINTS = 100_000
@@ -78,7 +81,7 @@ def exact_diameter(
 
     There is none below two points, or where every distance is NaN.  ``prune``
     forces the exact triangle-inequality pruning on or off (default: on from
-    ``PRUNE_MIN_POINTS`` points).
+    ``PRUNE_MIN_POINTS`` points); see :func:`diameter_search`.
     """
     spark = points.sparkSession
     n, dim = validate_points(points, shape=shape)
@@ -86,93 +89,210 @@ def exact_diameter(
         return _one_value(spark, "diameter", -1.0)
     if prune is None:
         prune = n >= PRUNE_MIN_POINTS
-    if prune and n > 2 * PRUNE_CENTERS:
-        return _pruned_diameter(points, n, dim, blocks)
+    if prune:
+        return _one_value(spark, "diameter", diameter_search(points, n, dim)[0])
     return _max_d2(points, n, dim, blocks).select(F.coalesce(F.sqrt("d2"), F.lit(-1.0)).alias("diameter"))
 
 
-def _radii_fn(centers: np.ndarray, dim: int):
-    """Task function: the largest squared distance of the task's points to each center.
+def _reach_fn(pivots: np.ndarray, dim: int):
+    """Task function: per block (nearest pivot) of the task's points, their number, the largest squared
+    distance to every pivot and the bounding box.
 
-    A NaN distance counts as infinite here, so that its point excludes nothing.
+    A NaN distance counts as infinite, so that its point excludes nothing.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        far = np.zeros(len(centers))
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = arrow_fns.column_matrix(batch.column("v"), dim)
+            d2 = arrow_fns.sqdists(x, pivots)
+            d2 = np.where(np.isnan(d2), np.inf, d2)
+            held = _merged_reach(held, d2.argmin(axis=1), np.ones(len(x), np.int64), d2, x, x)
+        if held is not None:
+            yield _reach_batch(pa, held)
+
+    return run
+
+
+def _merged_reach(held, blocks, counts, far, low, high):
+    """Block statistics joined with further rows of them, one row per block."""
+    rows = (blocks, counts, far, low, high)
+    if held is not None:
+        rows = tuple(np.concatenate(x) for x in zip(held, rows))
+    order = np.argsort(rows[0], kind="stable")
+    blocks = rows[0][order]
+    first = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
+    how = (np.add, np.maximum, np.minimum, np.maximum)
+    return blocks[first], *(f.reduceat(x[order], first, axis=0) for f, x in zip(how, rows[1:]))
+
+
+def _reach_batch(pa, held):
+    blocks, counts, *wide = held
+    arrays = [pa.array(blocks.astype(np.int64)), pa.array(counts)] + [pa.array(list(x), pa.list_(pa.float64())) for x in wide]
+    return pa.RecordBatch.from_arrays(arrays, names=["b", "n", "far", "low", "high"])
+
+
+REACH_SCHEMA = "b bigint, n bigint, far array<double>, low array<double>, high array<double>"
+
+
+def _merge_reach_fn(n_pivots: int, dim: int):
+    """Task function: the statistics of each block among the task's rows, merged."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        held = None
         for batch in batches:
             if batch.num_rows:
-                d2 = arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers)
-                far = np.maximum(far, np.where(np.isnan(d2), np.inf, d2).max(axis=0))
-        yield pa.RecordBatch.from_pydict(
-            {"t": list(range(len(centers))), "r2": far.tolist()},
-            schema=pa.schema([("t", pa.int64()), ("r2", pa.float64())]),
-        )
+                wide = [arrow_fns.column_matrix(batch.column(c), k) for c, k in (("far", n_pivots), ("low", dim), ("high", dim))]
+                held = _merged_reach(held, batch.column("b").to_numpy(), batch.column("n").to_numpy(), *wide)
+        if held is not None:
+            yield _reach_batch(pa, held)
 
     return run
 
 
-def _survivors_fn(centers: np.ndarray, radii: np.ndarray, lower: float, dim: int):
-    """Task function: the points that may still lie on a pair longer than ``lower``."""
+def pair_bounds(reach: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Upper bound of the distance between a point of block ``i`` and one of block ``j``, ``(blocks, blocks)``.
+
+    By the triangle inequality over every pivot (``reach[i, p]``: the farthest
+    that block ``i`` lies from pivot ``p``), and by the bounding boxes.
+    """
+    nb = len(reach)
+    out = np.empty((nb, nb))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for i in range(nb):
+            around = (reach[i] + reach).min(axis=1)
+            span = np.maximum(np.abs(high[i] - low), np.abs(high - low[i]))
+            box = np.sqrt((span * span).sum(axis=1))
+            out[i] = np.fmin(around, np.where(np.isnan(box), np.inf, box))
+    return out * (1.0 + PRUNE_SLACK)
+
+
+def _survivors_fn(pivots: np.ndarray, reach: np.ndarray, alive: np.ndarray, lower: float, dim: int):
+    """Task function: ``(id, v, k)`` of the points that may lie on a pair longer than ``lower``.
+
+    ``alive[i, j]`` tells the block pairs still in question; a point of block
+    ``i`` stays if the triangle inequality allows a partner in some such ``j``.
+    """
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            if batch.num_rows == 0:
+            if not batch.num_rows:
                 continue
-            d = np.sqrt(arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), centers))
-            bound = np.where(np.isnan(d), np.inf, d) + radii[None, :]
-            sub = batch.select(["id", "v"]).filter(pa.array(bound.min(axis=1) >= lower))
-            if sub.num_rows:
-                yield sub
+            d2 = arrow_fns.sqdists(arrow_fns.column_matrix(batch.column("v"), dim), pivots)
+            d2 = np.where(np.isnan(d2), np.inf, d2)
+            block = d2.argmin(axis=1)
+            d = np.sqrt(d2)
+            stays = np.zeros(len(d), bool)
+            for j in range(len(reach)):
+                rows = np.flatnonzero(alive[block, j] & ~stays)
+                if len(rows):
+                    stays[rows] = (d[rows] + reach[j]).min(axis=1) * (1.0 + PRUNE_SLACK) >= lower
+            keep = pa.array(stays)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").filter(keep), batch.column("v").filter(keep), pa.array(block[stays].astype(np.int64))],
+                names=["id", "v", "k"],
+            )
 
     return run
 
 
-def _pruned_diameter(points: DataFrame, n: int, dim: int, blocks: int | None) -> DataFrame:
-    """Exact diameter with triangle-inequality pruning (see module docstring).
-
-    Passes over one cache of the points: the farthest-first centers, one for
-    the radii, one that keeps the survivors; then the pair phase over those.
+def diameter_search(
+    points: DataFrame, n: int, dim: int, pivots: int = PIVOTS, block: int | None = None
+) -> tuple[float, dict[str, int]]:
+    """The diameter (``-1`` where every distance is NaN), and counts: points that could matter
+    (``survivors``), block pairs there are and were ``computed``.
+
+    Pivots are some farthest-first centers, whose distances to all points give
+    a first lower bound, and a seeded sample.  One pass gathers the blocks'
+    statistics, a second keeps the points that can matter; what reaches the
+    driver is a row per pivot.  A block of more than ``block`` points is cut by
+    a hash of the id.  Block pairs are then computed in rounds, farthest bound
+    first; a round raises the lower bound for the next.  The answer is exact:
+    a pair is left out only where its bound, with ``PRUNE_SLACK`` for
+    rounding, does not exceed a distance found.
     """
     from pointtally.operators.centers import farthest_first
 
     spark = points.sparkSession
-    pts = points.select("id", F.col("v").cast("array<double>").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    per_block = block or block_rows(dim)
+    pts = points.select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v"))
+    pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = farthest_first(pts, PRUNE_CENTERS, strict=False, storage_level=None).orderBy("pos").collect()
-        centers = np.asarray([list(r["v"]) for r in rows], dtype=np.float64).reshape(len(rows), dim)
-        # Lower bound: the exact diameter of the centers (a real pair distance,
-        # computed in the same summation order as every other pair).
-        between = arrow_fns.sqdists(centers, centers)
-        np.fill_diagonal(between, np.nan)
-        lower = math.sqrt(np.nanmax(between)) if (~np.isnan(between)).any() else -1.0
-        r2 = dict(
-            (r["t"], r["r2"])
-            for r in pts.mapInArrow(_radii_fn(centers, dim), "t bigint, r2 double")
-            .groupBy("t")
-            .agg(F.max("r2").alias("r2"))
+        fit = max(PRUNE_CENTERS, max(broadcast_budget(spark), 1 << 20) // (2 * point_bytes(dim)))
+        wanted = max(2, min(pivots, fit, n))
+        far = farthest_first(pts, min(PRUNE_CENTERS, wanted), strict=False, storage_level=None).select("id", "v")
+        drawn = sample_points(pts, wanted).select("id", "v").collect()
+        rows = {r["id"]: list(r["v"]) for r in [*far.collect(), *drawn]}
+        centers = np.asarray([rows[i] for i in sorted(rows)], np.float64).reshape(len(rows), dim)
+        parts = max(1, min(len(rows), parallelism(spark)))
+        stats = (
+            pts.mapInArrow(_reach_fn(centers, dim), REACH_SCHEMA)
+            .repartition(parts, "b")
+            .mapInArrow(_merge_reach_fn(len(rows), dim), REACH_SCHEMA)
             .collect()
         )
-        radii = np.sqrt(np.asarray([r2[t] for t in range(len(centers))]))
-        survivors = materialize(
-            pts.mapInArrow(
-                _survivors_fn(centers, radii, lower * (1.0 - PRUNE_SLACK), dim), "id bigint, v array<double>"
-            ),
-            "survivors",
-        )
-        m = survivors.count()
-        best = lower
-        if m >= 2:
-            got = _max_d2(survivors, m, dim, blocks).first()["d2"]
-            if got is not None:
-                best = max(best, math.sqrt(got))
-        survivors.unpersist()
+        stats.sort(key=lambda r: r["b"])
+        known = [r["b"] for r in stats]
+        far2 = np.asarray([list(r["far"]) for r in stats]).reshape(len(stats), len(rows))
+        low, high = (np.asarray([list(r[c]) for r in stats]).reshape(len(stats), dim) for c in ("low", "high"))
+        reach = np.full((len(rows), len(rows)), -np.inf)
+        reach[known] = np.sqrt(far2)
+        # The farthest point of a pivot is a real pair; NaN distances were made infinite and prove nothing.
+        real = far2[np.isfinite(far2)]
+        lower = float(real.max()) if len(real) else -1.0
+        bounds = np.full((len(rows), len(rows)), -np.inf)
+        bounds[np.ix_(known, known)] = pair_bounds(reach[known], low, high)
+        alive = bounds > math.sqrt(max(lower, 0.0))
+        stays = _survivors_fn(centers, reach, alive, math.sqrt(max(lower, 0.0)), dim)
+        kept = materialize(pts.mapInArrow(stays, "id bigint, v array<double>, k bigint"), "survivors")
     finally:
         pts.unpersist()
-    return _one_value(spark, "diameter", best)
+    sizes = {r["k"]: r["count"] for r in kept.groupBy("k").count().collect()}
+    cuts = {k: -(-m // per_block) for k, m in sizes.items()}
+    starts, total = {}, 0
+    for k in sorted(cuts):
+        starts[k], total = total, total + cuts[k]
+    todo = [
+        (float(bounds[a, b]), starts[a] + i, starts[b] + j)
+        for a in sorted(cuts)
+        for b in sorted(cuts)
+        if a <= b and alive[a, b]
+        for i in range(cuts[a])
+        for j in range(i if a == b else 0, cuts[b])
+    ]
+    todo.sort(key=lambda t: (-t[0], t[1], t[2]))
+    done, best = 0, lower
+    if todo:
+        first = F.create_map(*[F.lit(x) for k in sorted(cuts) for x in (k, starts[k])])
+        many = F.create_map(*[F.lit(x) for k in sorted(cuts) for x in (k, cuts[k])])
+        block_of = F.element_at(first, F.col("k")) + F.pmod(F.xxhash64("id"), F.element_at(many, F.col("k")))
+        placed = kept.select("id", "v", block_of.cast("bigint").alias("b"))
+        batch = PARTITIONS_PER_SLOT * parallelism(spark)
+        while done < len(todo) and not todo[done][0] <= math.sqrt(max(best, 0.0)):
+            now = [t for t in todo[done : done + batch] if not t[0] <= math.sqrt(max(best, 0.0))]
+            keys = spark.createDataFrame(
+                [(a, b, s) for s, (_, a, b) in enumerate(now)], "ki bigint, kj bigint, slot bigint"
+            )
+            got = (
+                chosen_pairs(placed, keys, min(len(now), PARTITIONS_PER_SLOT * parallelism(spark)))
+                .mapInArrow(kernel_fn(dim, False, best), GROUP_SCHEMA)
+                .agg(F.max("d2"))
+                .first()[0]
+            )
+            best = best if got is None else max(best, got)
+            done += len(now)
+            batch *= 2
+    blocks = sum(-(-r["n"] // per_block) for r in stats)
+    counts = {"survivors": sum(sizes.values()), "block_pairs": blocks * (blocks + 1) // 2, "computed": done}
+    return (math.sqrt(best) if best >= 0 else -1.0), counts
 
 
 def _far_fn(sample, dim: int):

@@ -4,9 +4,10 @@
 reference re-aimed at DataFrames: each of the ``k // 2`` rounds takes the
 farthest pair whose ends are both unused (squared distances, as the reference
 compares them; ties to the first ``(i, j)``), and for odd ``k`` the smallest
-unused id is added.  One best pair is kept per block pair; a round recomputes
-only the block pairs whose best it touched.  Only the chosen ids (at most
-``k``) ever reach the driver.
+unused id is added.  The first pairs of every block pair are listed in one
+job; rounds are taken from the lists, and lists are renewed only where they end
+too early.  The chosen ids (at most ``k``) and the first pairs in order reach
+the driver, the latter ``TOP_PAIRS`` at a time.
 
 :func:`diversity_maximization` is the reference's two-round MapReduce: the
 per-group farthest-first coreset (``k`` centers of each of ``L`` groups), then
@@ -21,12 +22,24 @@ from pyspark.sql import functions as F
 from pointtally.functions.ranges import with_start
 from pointtally.operators.centers import farthest_first
 from pointtally.operators.diameter import avg_pairwise_distance
-from pointtally.operators.pairs import best_pair, kernel_blocks, pair_groups
-from pointtally.runtime import materialize
+from pointtally.operators.pairs import (
+    LIST_SCHEMA,
+    chosen_pairs,
+    every_pair,
+    hashed_blocks,
+    kernel_blocks,
+    kernel_partitions,
+    list_fn,
+)
+from pointtally.runtime import fits_broadcast, materialize
 from pointtally.sources.text import validate_points
 
 RESULT_SCHEMA = "pos bigint, id bigint"
 
+# Pairs listed per block pair, and read by the driver at a time.
+LIST_PAIRS = 64
+TOP_PAIRS = 4096
+
 
 def _positions(points: DataFrame, order: list[int]) -> DataFrame:
     spark = points.sparkSession
@@ -62,38 +75,129 @@ def greedy_matching(points: DataFrame, k: int, shape: tuple[int, int] | None = N
     return _positions(points, used)
 
 
+class _Lists:
+    """The first pairs of every block pair, on the driver.
+
+    A pair is ``(-d2, i, j)``; a list that is not complete says nothing about
+    pairs after its last.
+    """
+
+    def __init__(self, points: DataFrame, nb: int, dim: int, m: int):
+        self.placed, self.nb, self.fn = hashed_blocks(points, nb), nb, list_fn(dim, m)
+        self.spark = points.sparkSession
+        self.jobs = 1
+        self.load(every_pair(self.placed, nb).mapInArrow(self.fn, LIST_SCHEMA))
+
+    def again(self, used: set[int], keys: DataFrame) -> DataFrame:
+        """The lists of some block pairs without used points."""
+        self.jobs += 1
+        parts = kernel_partitions(self.spark, self.nb)
+        return chosen_pairs(_without(self.placed, sorted(used), "id"), keys, parts).mapInArrow(self.fn, LIST_SCHEMA)
+
+    def load(self, found: DataFrame) -> None:
+        self.lists = {}
+        self.put(found)
+
+    def put(self, found: DataFrame) -> None:
+        for r in found.collect():
+            pairs = list(zip([-d for d in r["d2"]], r["i"], r["j"]))
+            self.lists[(r["ki"], r["kj"])] = (pairs, r["complete"])
+
+    def certain(self, used: set[int]) -> list[tuple]:
+        """Unused pairs in order, up to the end of the first list that may go on."""
+        end = min((p[-1] for p, complete in self.lists.values() if p and not complete), default=None)
+        free = (x for p, _ in self.lists.values() for x in p if x[1] not in used and x[2] not in used)
+        return sorted(x for x in free if end is None or x <= end)[:TOP_PAIRS]
+
+    def refresh(self, used: set[int]) -> bool:
+        """Renew the lists that end before the first unused pair; whether there were any."""
+        free = (x for p, _ in self.lists.values() for x in p if x[1] not in used and x[2] not in used)
+        first = min(free, default=None)
+        stale = [k for k, (p, complete) in self.lists.items() if p and not complete and (first is None or p[-1] < first)]
+        if not stale:
+            return False
+        rows = [(*k, s) for s, k in enumerate(stale)]
+        # A block pair without free points makes no row: its list is then empty and complete.
+        self.lists.update({k: ([], True) for k in stale})
+        self.put(self.again(used, self.spark.createDataFrame(rows, "ki bigint, kj bigint, slot bigint")))
+        return True
+
+    def close(self) -> None:
+        pass
+
+
+class _StoredLists(_Lists):
+    """The same lists as a stored table, where they are too many for the driver."""
+
+    def load(self, found: DataFrame) -> None:
+        entries = F.transform(F.arrays_zip("d2", "i", "j"), lambda x: F.struct((-x["d2"]).alias("nd2"), x["i"].alias("i"), x["j"].alias("j")))
+        self.table = materialize(found.select("ki", "kj", entries.alias("pairs"), "complete"), "lists")
+
+    def _open(self) -> DataFrame:
+        last = F.element_at("pairs", -1)
+        return self.table.filter(~F.col("complete") & (F.size("pairs") > 0)).select("ki", "kj", last.alias("last"))
+
+    def _free(self, used: set[int]) -> DataFrame:
+        pairs = self.table.select(F.explode("pairs").alias("p")).select("p", "p.i", "p.j")
+        return _without(pairs, sorted(used), "i", "j")
+
+    def certain(self, used: set[int]) -> list[tuple]:
+        end = self._open().agg(F.min("last").alias("e")).select("e.*").first()
+        free = self._free(used)
+        if end["nd2"] is not None:
+            free = free.filter(F.col("p") <= F.struct(*[F.lit(end[c]).alias(c) for c in ("nd2", "i", "j")]))
+        return [tuple(r["p"]) for r in free.orderBy("p").limit(TOP_PAIRS).collect()]
+
+    def refresh(self, used: set[int]) -> bool:
+        first = self._free(used).agg(F.min("p").alias("p")).select("p.*").first()
+        stale = self._open()
+        if first["nd2"] is not None:
+            stale = stale.filter(F.col("last") < F.struct(*[F.lit(first[c]).alias(c) for c in ("nd2", "i", "j")]))
+        stale = materialize(stale.select("ki", "kj", F.monotonically_increasing_id().alias("slot")), "stale")
+        if stale.isEmpty():
+            return False
+        old = self.table
+        rest = old.join(stale.select("ki", "kj"), ["ki", "kj"], "left_anti")
+        self.load(self.again(used, stale))
+        both = materialize(rest.unionByName(self.table), "lists")
+        old.unpersist()
+        self.table.unpersist()
+        self.table = both
+        return True
+
+    def close(self) -> None:
+        self.table.unpersist()
+
+
 def _greedy_pairs(points: DataFrame, n: int, dim: int, rounds: int) -> list[int]:
-    """Greedy rounds over block pairs, recomputing only what a round changes.
-
-    Round 1 reduces every block pair to its farthest pair (one pass over all
-    pairs, kept as one small row per block pair).  Once a pair is chosen, a
-    block pair's best changes only if that best touches a used point: its
-    remaining pairs are a subset that still holds the old best, and ties break
-    the same way.  So each later round recomputes just the block pairs whose
-    best was hit; their keys stay a DataFrame that is joined to the points.
+    """Greedy rounds over lists of the first pairs of every block pair.
+
+    Once a pair is chosen, the pairs that touch it are out; the others keep
+    their order.  So the lists serve as many rounds as they reach: every pair
+    up to the end of the first list that may go on is known.  Only where that
+    is used up are lists renewed, and only those that end before the first
+    unused pair.
     """
-    nb = kernel_blocks(points.sparkSession, n, dim)
-    keep = ["ki", "kj", "d2", "i", "j"]
-    bests = materialize(pair_groups(points, n, dim, nb, with_sum=False).select(*keep), "bests")
+    spark = points.sparkSession
+    nb = kernel_blocks(spark, n, dim)
+    few = fits_broadcast(spark, nb * (nb + 1) // 2 * LIST_PAIRS, 24)
+    lists = (_Lists if few else _StoredLists)(points, nb, dim, LIST_PAIRS)
     used: list[int] = []
     try:
-        for r in range(rounds):
-            best = bests.filter("d2 > 0").agg(best_pair().alias("b")).first()["b"]
-            if best is None:
-                pair = [row["id"] for row in _without(points.select("id"), used, "id").orderBy("id").limit(2).collect()]
-            else:
-                pair = [best["i"], best["j"]]
-            used.extend(int(i) for i in pair)
-            if r == rounds - 1:
+        while len(used) < 2 * rounds:
+            gone = set(used)
+            certain = lists.certain(gone)
+            for _, i, j in certain:
+                if len(used) < 2 * rounds and i not in gone and j not in gone:
+                    used += [int(i), int(j)]
+                    gone |= {i, j}
+            if len(used) < 2 * rounds and not certain and not lists.refresh(gone):
                 break
-            gone = F.col("i").isin(pair) | F.col("j").isin(pair)
-            hit = bests.filter(gone)
-            fresh = pair_groups(_without(points, used, "id"), n, dim, nb, with_sum=False, only=hit.select("ki", "kj"))
-            updated = materialize(bests.filter(~F.coalesce(gone, F.lit(False))).unionByName(fresh.select(*keep)), "bests")
-            bests.unpersist()
-            bests = updated
     finally:
-        bests.unpersist()
+        lists.close()
+    if len(used) < 2 * rounds:  # nothing but pairs at distance 0 or NaN
+        rest = _without(points.select("id"), used, "id").orderBy("id").limit(2 * rounds - len(used)).collect()
+        used += [int(r["id"]) for r in rest]
     return used
 
 

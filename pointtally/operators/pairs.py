@@ -33,6 +33,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 KERNEL_BLOCK_BYTES = 64 << 20
 # Rows and columns of a tile of the distance matrix (the working arrays stay in cache).
 TILE_ROWS, TILE_COLS = 64, 4096
+PRODUCT_ROWS, PRODUCT_COLS = 256, 2048
+# Pairs whose distances are computed one by one in a run.
+PAIR_RUN = 65_536
 # Blocks smaller than this cost more in tasks than they gain.
 MIN_BLOCK_ROWS = 1024
 # Partitions of the block pairs, per task slot.
@@ -41,56 +44,133 @@ PARTITIONS_PER_SLOT = 8
 GROUP_SCHEMA = "ki bigint, kj bigint, d2 double, i bigint, j bigint, sum_d double, n_pairs bigint"
 
 
-def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool):
+def _exact_tile(at, bt, rows, cols, out, tmp):
+    """Squared distances of a tile, summed one dimension at a time from zero."""
+    out.fill(0.0)
+    for k in range(at.shape[0]):
+        np.subtract.outer(at[k, rows], bt[k, cols], out=tmp)
+        np.multiply(tmp, tmp, out=tmp)
+        out += tmp
+    return out
+
+
+def _exact_pairs(at, bt, rows, cols):
+    """Squared distances of the pairs ``(rows[k], cols[k])``, in the same order of summation."""
+    out = np.empty(len(rows))
+    for lo in range(0, len(rows), PAIR_RUN):
+        r, c = rows[lo : lo + PAIR_RUN], cols[lo : lo + PAIR_RUN]
+        acc = np.zeros(len(r))
+        for k in range(at.shape[0]):
+            diff = at[k, r] - bt[k, c]
+            acc += diff * diff
+        out[lo : lo + PAIR_RUN] = acc
+    return out
+
+
+def _first_best(best, vals, ida, idb):
+    """``best`` or the largest of ``vals``, ``(-d2, i, j)``: ties go to the smallest ids, NaN is no candidate."""
+    known = ~np.isnan(vals)
+    if not known.any():
+        return best
+    top = float(vals[known].max())
+    if best is not None and top < -best[0]:
+        return best
+    hit = np.flatnonzero(vals == top)
+    pi, pj = np.minimum(ida[hit], idb[hit]), np.maximum(ida[hit], idb[hit])
+    first = np.lexsort((pj, pi))[0]
+    cand = (-top, int(pi[first]), int(pj[first]))
+    return cand if best is None or cand < best else best
+
+
+def rounding_margin(dim: int, size: float) -> float:
+    """How far ``|a|^2 + |b|^2 - 2ab`` and the plain sum of squared differences lie apart at most.
+
+    ``size`` bounds ``|a|^2 + |b|^2``.  With unit roundoff ``u`` and ``g(n) =
+    nu / (1 - nu)``: each norm is off by ``g(dim)`` of itself and the product
+    by ``g(dim)`` of ``size / 2``, in any order of summation; adding the three
+    costs ``4u`` of ``size``; the plain sum is off by ``g(dim + 2)`` of a value
+    of ``2 size`` at most.  Together below ``(4 dim + 12) u size``; twice that
+    covers the rounding of ``size`` itself, and underflow is below the last term.
+    """
+    return (4 * dim + 12) * np.finfo(np.float64).eps * size + 4 * dim * np.finfo(np.float64).tiny
+
+
+def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool, least: float = -1.0):
     """``(d2, i, j, sum, pairs)`` over all pairs of two blocks (``(dim, n)`` coordinates).
 
     With ``diag`` both are the same block in id order, of which the upper
     triangle is taken.  Squared distances are summed one dimension at a time
     from zero, the order of ``Vectors.sqdist``; ties go to the smallest
-    ``(i, j)``; ``d2`` is None where every distance is NaN.
+    ``(i, j)``; ``d2`` is None where every distance is NaN, or below ``least``.
+
+    Without the sum a tile is first judged by a matrix product: entries whose
+    product form, allowing for :func:`rounding_margin`, lies below the best so
+    far are left out, the others are computed in the plain order.  The result
+    is the same to the last bit.
     """
     best, total, count = None, 0.0, 0
     na, nb = len(ida), len(idb)
-    acc, tmp = np.empty((TILE_ROWS, TILE_COLS)), np.empty((TILE_ROWS, TILE_COLS))
-    for r0 in range(0, na, TILE_ROWS):
-        m = min(TILE_ROWS, na - r0)
-        for c0 in range(r0 if diag else 0, nb, TILE_COLS):
-            w = min(TILE_COLS, nb - c0)
-            dd, tt = acc[:m, :w], tmp[:m, :w]
-            dd.fill(0.0)
-            for k in range(at.shape[0]):
-                np.subtract.outer(at[k, r0 : r0 + m], bt[k, c0 : c0 + w], out=tt)
-                np.multiply(tt, tt, out=tt)
-                dd += tt
+    floor = least
+    if not with_sum and at.shape[0]:
+        with np.errstate(over="ignore", invalid="ignore"):
+            norm_a, norm_b = np.einsum("kn,kn->n", at, at), np.einsum("kn,kn->n", bt, bt)
+            ends = [(x.max() if len(x) else 0.0) for x in (norm_a, norm_b)]
+        by_product = bool(ends[0] + ends[1] < 1e300)  # false for NaN and infinity
+    else:
+        by_product = False
+    height, width = (PRODUCT_ROWS, PRODUCT_COLS) if by_product else (TILE_ROWS, TILE_COLS)
+    acc, tmp = np.empty((height, width)), np.empty((height, width))
+    for r0 in range(0, na, height):
+        m = min(height, na - r0)
+        for c0 in range(r0 if diag else 0, nb, width):
+            w = min(width, nb - c0)
+            rows, cols = slice(r0, r0 + m), slice(c0, c0 + w)
             valid = None
             if diag and c0 < r0 + m:  # the tile crosses the diagonal
                 valid = np.arange(c0, c0 + w)[None, :] > np.arange(r0, r0 + m)[:, None]
-            vals = dd if valid is None else dd[valid]
-            if not vals.size:
+            n = m * w if valid is None else int(valid.sum())
+            if not n:
                 continue
-            count += int(vals.size)
-            if with_sum:
-                total += float(np.sqrt(vals).sum())
-            known = ~np.isnan(vals)
-            if not known.any():
-                continue
-            top = float(vals[known].max())
-            if best is not None and top < -best[0]:
-                continue
-            hit = dd == top
-            rows, cols = np.nonzero(hit if valid is None else hit & valid)
-            pi = np.minimum(ida[r0 + rows], idb[c0 + cols])
-            pj = np.maximum(ida[r0 + rows], idb[c0 + cols])
-            first = np.lexsort((pj, pi))[0]
-            cand = (-top, int(pi[first]), int(pj[first]))
-            if best is None or cand < best:
-                best = cand
+            count += n
+            if by_product:
+                na2, nb2 = norm_a[rows], norm_b[cols]
+                margin = rounding_margin(at.shape[0], float(na2.max()) + float(nb2.max()))
+                g = np.matmul(at[:, rows].T, bt[:, cols], out=acc[:m, :w] if w == width else None)
+                g *= -2.0
+                g += na2[:, None]
+                g += nb2[None, :]
+                if valid is not None:
+                    g[~valid] = -np.inf
+                top = float(g.max())
+                floor = max(floor, top - margin)
+                if top + margin < floor:
+                    continue
+                i, j = np.nonzero(g >= floor - margin)
+                vals = _exact_pairs(at, bt, r0 + i, c0 + j)
+            else:
+                dd = _exact_tile(at, bt, rows, cols, acc[:m, :w], tmp[:m, :w])
+                if with_sum:
+                    total += float(np.sqrt(dd if valid is None else dd[valid]).sum())
+                # The largest of the tile and its ties; NaN compares as false.
+                known = ~np.isnan(dd) if valid is None else valid & ~np.isnan(dd)
+                top = dd.max(where=known, initial=-1.0)
+                if top < max(floor, 0.0):
+                    continue
+                i, j = np.nonzero(known & (dd == top))
+                vals = dd[i, j]
+            best = _first_best(best, vals, ida[r0 + i], idb[c0 + j])
+            if best is not None:
+                floor = max(floor, -best[0])
     d2, i, j = (None, None, None) if best is None else (-best[0], best[1], best[2])
     return d2, i, j, total, count
 
 
-def _kernel_fn(dim: int, with_sum: bool):
-    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``: one row per block pair."""
+def _pairs_fn(dim: int, reduce, out):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``.
+
+    ``reduce(ids, coordinates, ids, coordinates, same block)`` solves a block
+    pair, ``out(pyarrow, rows)`` makes a record batch of ``(ki, kj, *result)``.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -106,12 +186,7 @@ def _kernel_fn(dim: int, with_sum: bool):
                 rows = np.flatnonzero(side)
                 rows = rows[np.argsort(ids[rows], kind="stable")]
                 sides += [ids[rows], arrow_fns.columns_of(vecs[rows])]
-            return (ki, kj, *_block_pair(*sides, ki == kj, with_sum))
-
-        def out(rows):
-            names = [c.split()[0] for c in GROUP_SCHEMA.split(", ")]
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+            return (ki, kj, *reduce(*sides, ki == kj))
 
         key, parts = None, []
         for batch in batches:
@@ -123,15 +198,87 @@ def _kernel_fn(dim: int, with_sum: bool):
                 here = (int(ki[a]), int(kj[a]))
                 if here != key:
                     if parts:
-                        yield out([solve(key, parts)])
+                        yield out(pa, [solve(key, parts)])
                     key, parts = here, []
                 parts.append(batch.slice(a, b - a))
         if parts:
-            yield out([solve(key, parts)])
+            yield out(pa, [solve(key, parts)])
 
     return run
 
 
+def kernel_fn(dim: int, with_sum: bool, least: float = -1.0):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``: ``GROUP_SCHEMA`` rows."""
+
+    def out(pa, rows):
+        names = [c.split()[0] for c in GROUP_SCHEMA.split(", ")]
+        types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+
+    return _pairs_fn(dim, lambda *sides: _block_pair(*sides, with_sum, least), out)
+
+
+LIST_SCHEMA = "ki bigint, kj bigint, d2 array<double>, i array<bigint>, j array<bigint>, complete boolean"
+
+
+def _block_pair_list(ida, at, idb, bt, diag: bool, m: int):
+    """The first ``m`` pairs of two blocks by ``(-d2, i, j)``, as three arrays, and whether there are no more.
+
+    Pairs at distance 0 or NaN are no candidates.  A tile is judged by the
+    product form as in :func:`_block_pair`, against the ``m``-th best so far.
+    """
+    held = (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    floor, complete = 0.0, True
+    with np.errstate(over="ignore", invalid="ignore"):
+        norm_a, norm_b = np.einsum("kn,kn->n", at, at), np.einsum("kn,kn->n", bt, bt)
+        finite = bool((norm_a.max(initial=0.0) + norm_b.max(initial=0.0)) < 1e300)
+    for r0 in range(0, len(ida), PRODUCT_ROWS):
+        rows = slice(r0, min(r0 + PRODUCT_ROWS, len(ida)))
+        for c0 in range(r0 if diag else 0, len(idb), PRODUCT_COLS):
+            cols = slice(c0, min(c0 + PRODUCT_COLS, len(idb)))
+            shape = (rows.stop - r0, cols.stop - c0)
+            valid = np.ones(shape, bool)
+            if diag and c0 < rows.stop:
+                valid = np.arange(c0, cols.stop)[None, :] > np.arange(r0, rows.stop)[:, None]
+            if finite:
+                margin = rounding_margin(at.shape[0], float(norm_a[rows].max()) + float(norm_b[cols].max()))
+                g = norm_a[rows][:, None] + norm_b[cols][None, :] - 2.0 * (at[:, rows].T @ bt[:, cols])
+                g[~valid] = -np.inf
+                if g.size > m:
+                    least = float(np.partition(g.reshape(-1), g.size - m)[g.size - m])
+                    floor = max(floor, least - margin)
+                hit = valid & (g >= floor - margin)
+            else:
+                hit = valid
+            i, j = np.nonzero(hit)
+            vals = _exact_pairs(at, bt, r0 + i, c0 + j)
+            complete = complete and len(i) == int(valid.sum())
+            use = vals > 0  # false for NaN
+            complete = complete and len(held[0]) + int(use.sum()) <= m
+            pi, pj = ida[r0 + i[use]], idb[c0 + j[use]]
+            held = tuple(
+                np.concatenate(x) for x in zip(held, (vals[use], np.minimum(pi, pj), np.maximum(pi, pj)))
+            )
+            order = np.lexsort((held[2], held[1], -held[0]))[:m]
+            held = tuple(x[order] for x in held)
+            if len(order) == m:
+                floor = max(floor, float(held[0][-1]))
+    return (*held, complete)
+
+
+def list_fn(dim: int, m: int):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``: ``LIST_SCHEMA`` rows."""
+
+    def out(pa, solved):
+        ki, kj, d2, i, j, complete = zip(*solved)
+        types = (pa.list_(pa.float64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        arrays = [pa.array(ki, pa.int64()), pa.array(kj, pa.int64())]
+        arrays += [pa.array([x.tolist() for x in c], t) for c, t in zip((d2, i, j), types)] + [pa.array(complete, pa.bool_())]
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in LIST_SCHEMA.split(", ")])
+
+    return _pairs_fn(dim, lambda *sides: _block_pair_list(*sides, m), out)
+
+
 def block_rows(dim: int) -> int:
     """Points per block at most: ``KERNEL_BLOCK_BYTES`` of coordinates."""
     return max(1, KERNEL_BLOCK_BYTES // (8 * max(dim, 1)))
@@ -154,34 +301,45 @@ def pair_groups(
     dim: int,
     blocks: int | None = None,
     with_sum: bool = True,
-    only: DataFrame | None = None,
 ) -> DataFrame:
     """One row per block pair: ``(ki, kj, d2, i, j, sum_d, n_pairs)``.
 
     ``d2, i, j`` is the farthest pair (ties: smallest ``(i, j)``; null where
     every distance is NaN), ``sum_d`` the sum of distances (0 unless
-    ``with_sum``).  ``only`` restricts the work to its keys ``(ki, kj)`` (the
-    same ``blocks`` must then be passed again); they are joined to the points'
-    blocks before any copy is made.
+    ``with_sum``).
     """
-    spark = points.sparkSession
-    nb = blocks or kernel_blocks(spark, n, dim)
-    placed = points.select(F.col("id").cast("bigint").alias("id"), "v", stable_bucket(nb, "id").alias("b"))
-    if only is None:
-        others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint")))
-        copies = placed.select("id", "v", "b", others.alias("o")).select(
-            "id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj")
-        )
-    else:
-        wanted = only.select("ki", "kj", F.explode(F.array_distinct(F.array("ki", "kj"))).alias("kb"))
-        copies = placed.join(wanted, F.col("b") == F.col("kb")).select("id", "v", "b", "ki", "kj")
-    parts = kernel_partitions(spark, nb)
-    code = F.col("ki") * F.lit(nb) - F.expr("ki * (ki - 1) div 2") + F.col("kj") - F.col("ki")  # 0, 1, 2, ... row by row
-    return (
-        copies.repartitionById(parts, F.pmod(code, F.lit(parts)).cast("int"))
-        .sortWithinPartitions("ki", "kj", "b")
-        .mapInArrow(_kernel_fn(dim, with_sum), GROUP_SCHEMA)
+    nb = blocks or kernel_blocks(points.sparkSession, n, dim)
+    return every_pair(hashed_blocks(points, nb), nb).mapInArrow(kernel_fn(dim, with_sum), GROUP_SCHEMA)
+
+
+def every_pair(placed: DataFrame, nb: int) -> DataFrame:
+    """Copies of the points ``(id, v, b)`` for all pairs of ``nb`` blocks."""
+    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nb - 1).cast("bigint")))
+    copies = placed.select("id", "v", "b", others.alias("o")).select(
+        "id", "v", "b", F.least("b", "o").alias("ki"), F.greatest("b", "o").alias("kj")
     )
+    code = F.col("ki") * F.lit(nb) - F.expr("ki * (ki - 1) div 2") + F.col("kj") - F.col("ki")  # 0, 1, 2, ... row by row
+    return block_pairs(copies, code, kernel_partitions(placed.sparkSession, nb))
+
+
+def hashed_blocks(points: DataFrame, nb: int) -> DataFrame:
+    """``(id, v, b)``: the points with their block, by a hash of the id."""
+    return points.select(F.col("id").cast("bigint").alias("id"), "v", stable_bucket(nb, "id").alias("b"))
+
+
+def block_pairs(copies: DataFrame, code: Column, parts: int) -> DataFrame:
+    """Copies ``(id, v, b, ki, kj)`` with every block pair in one of ``parts`` partitions, dealt by ``code`` in turn."""
+    return copies.repartitionById(parts, F.pmod(code, F.lit(parts)).cast("int")).sortWithinPartitions("ki", "kj", "b")
+
+
+def chosen_pairs(placed: DataFrame, keys: DataFrame, parts: int) -> DataFrame:
+    """Copies of the points ``(id, v, b)`` for the block pairs ``keys (ki, kj, slot)`` only.
+
+    The keys are joined to the points' blocks before any copy is made.
+    """
+    sides = keys.select("ki", "kj", "slot", F.explode(F.array_distinct(F.array("ki", "kj"))).alias("kb"))
+    copies = placed.join(sides, F.col("b") == F.col("kb")).select("id", "v", "b", "ki", "kj", "slot")
+    return block_pairs(copies, F.col("slot"), parts).drop("slot")
 
 
 def best_pair() -> Column:
