@@ -51,10 +51,11 @@ def sqdist_to(cols: np.ndarray, center: np.ndarray) -> np.ndarray:
     """
     acc = np.zeros(cols.shape[1])
     tmp = np.empty(cols.shape[1])
-    for k in range(cols.shape[0]):
-        np.subtract(cols[k], center[k], out=tmp)
-        np.multiply(tmp, tmp, out=tmp)
-        acc += tmp
+    with np.errstate(invalid="ignore", over="ignore"):  # infinite coordinates
+        for k in range(cols.shape[0]):
+            np.subtract(cols[k], center[k], out=tmp)
+            np.multiply(tmp, tmp, out=tmp)
+            acc += tmp
     return acc
 
 

@@ -4,17 +4,22 @@ The reference loads a partition into a list and runs the traversal in one
 thread.  Here all groups advance together, one round per center:
 
 * each point carries ``md``, its distance to the nearest center of its own
-  group so far, and ``taken`` (already a center);
+  group so far, ``near``, which one that is, and ``taken`` (already a center);
 * a round maps every record batch through numpy (``mapInArrow``): ``md`` is
   brought up to date with the centers chosen since the state was last written,
   and the task's farthest free point of each group (ties: smallest id) is kept
-  -- one ``(part, -md, id)`` row per task and group, however many batches;
-* Spark reduces those rows per group, so no group is ever gathered into one
-  task: a group holding a third of all points costs the same as any other.
+  with its vector -- one row per task and group, however many batches;
+* a center farther than ``2 md`` from the point's nearest one cannot lower
+  ``md`` (triangle inequality), so such points, and batches of such points,
+  are not computed;
+* Spark reduces those rows per group, so a round is one pass over the points.
 
 Where the groups are few their centers travel to the tasks from the driver
-(size-checked); where they are many the centers stay a DataFrame that is joined
-to the points by group, and nothing is collected.  Both give the same result.
+(size-checked) and no group is gathered anywhere.  Where they are many the
+centers stay a DataFrame that is joined to the points, and nothing is
+collected; the points of a large group are spread over salts, to each of which
+its center is sent, so a group of half the points fills no task.  Both give the
+same result.
 
 Rules of the reference on every path: the first center sets ``md``, later ones
 lower it only where their distance is smaller; a NaN distance is never smaller
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 
 import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
-from pointtally.runtime import broadcast_budget, materialize, point_bytes
+from pointtally.runtime import broadcast_budget, fits_broadcast, materialize, point_bytes
 from pointtally.sources.text import validate_points
 
 # The task-side helpers travel by value, so executors need no copy of this
@@ -52,14 +57,21 @@ MATERIALIZE_EVERY = 8
 # broadcast budget too; beyond it they stay a DataFrame.
 DRIVER_GROUPS = 1_000
 
+# Rows of a group that share a salt, about, where centers are joined to the points.
+SALT_ROWS = 100_000
+
+# Relative slack for rounding in the triangle inequality.
+SKIP_SLACK = 1e-9
+
 # Pending centers larger than this (bytes) go out as a broadcast variable
 # instead of inside every task's closure.
 CLOSURE_BYTES = 1 << 20
 
 CENTERS_SCHEMA = "part bigint, pos bigint, id bigint, v array<double>"
-STATE_SCHEMA = "id bigint, v array<double>, part bigint, md double, taken boolean"
-WINNER_SCHEMA = "part bigint, nmd double, id bigint"
-FIRSTS_SCHEMA = "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint"
+STATE_SCHEMA = "id bigint, v array<double>, part bigint, md double, near int, taken boolean"
+STATE_COLUMNS = ["id", "v", "part", "md", "near", "taken"]
+WINNER_SCHEMA = "part bigint, nmd double, id bigint, v array<double>"
+FIRSTS_SCHEMA = "part bigint, n bigint, lo bigint, hi bigint, bad bigint, h string, id bigint, v array<double>"
 
 
 def _lower(md: np.ndarray, d: np.ndarray, first: bool) -> np.ndarray:
@@ -68,62 +80,83 @@ def _lower(md: np.ndarray, d: np.ndarray, first: bool) -> np.ndarray:
 
 
 def _apply(batch, payload, dim):
-    """``(ids, part, md, taken)`` of a record batch with the pending rounds applied.
+    """``(ids, part, md, near, taken, distances computed)`` of a record batch with the pending rounds applied.
 
-    ``payload`` is a list of rounds ``(first, parts, ids, cols)``: one center
-    per group, groups ascending, coordinates ``(dim, groups)``.
+    ``payload`` is a list of rounds ``(first, pos, parts, ids, cols, gaps)``:
+    one center per group, groups ascending, coordinates ``(dim, groups)``, and
+    the distances ``(groups, pos)`` to the group's earlier centers.
     """
     rounds = payload.value if hasattr(payload, "value") else payload
     ids = batch.column("id").to_numpy(zero_copy_only=False)
     part = batch.column("part").to_numpy(zero_copy_only=False)
     md = batch.column("md").to_numpy(zero_copy_only=False)
+    near = batch.column("near").to_numpy(zero_copy_only=False)
     taken = batch.column("taken").to_numpy(zero_copy_only=False)
-    if rounds:
-        cols = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v"), dim))
-        for first, parts, cids, centers in rounds:
-            at = np.searchsorted(parts, part)
-            at[at == len(parts)] = 0
-            own = parts[at] == part
-            chosen = centers[:, 0] if len(parts) == 1 else centers[:, at]
-            d = np.sqrt(arrow_fns.sqdist_to(cols, chosen))
-            md = np.where(own, _lower(md, d, first), md)
-            taken = taken | (own & (cids[at] == ids))
-    return ids, part, md, taken
+    cols, computed = None, 0
+    for first, pos, parts, cids, centers, gaps in rounds:
+        at = np.searchsorted(parts, part)
+        at[at == len(parts)] = 0
+        own = parts[at] == part
+        taken = taken | (own & (cids[at] == ids))
+        need = own
+        if not first:
+            gap = gaps[at, near]
+            need = own & ~(np.isfinite(gap) & (gap * (1.0 - SKIP_SLACK) >= 2.0 * md))
+        rows = np.flatnonzero(need)
+        if not len(rows):
+            continue
+        if cols is None:
+            cols = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v"), dim))
+        computed += len(rows)
+        some = len(rows) < len(ids)
+        chosen = centers[:, 0] if len(parts) == 1 else centers[:, at[rows] if some else at]
+        d = np.sqrt(arrow_fns.sqdist_to(cols[:, rows] if some else cols, chosen))
+        md, near = md.copy(), near.copy()
+        if first:
+            md[rows], near[rows] = d, 0
+        else:
+            less = d < md[rows]
+            md[rows[less]], near[rows[less]] = d[less], pos
+    return ids, part, md, near, taken, computed
 
 
 def _winners_fn(payload, dim):
-    """Task function: the farthest free point of each group among the task's rows."""
+    """Task function: the farthest free point of each group among the task's rows, with its vector."""
 
     def run(batches):
         import pyarrow as pa
 
         best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+        vectors = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ids, part, md, taken = _apply(batch, payload, dim)
+            ids, part, md, _, taken, _ = _apply(batch, payload, dim)
             free = np.flatnonzero(~taken & ~np.isnan(md))
+            here = arrow_fns.first_per_group(part[free], -md[free], ids[free])
+            free = free[here]
             rows = [np.concatenate(x) for x in zip(best, (part[free], -md[free], ids[free]))]
             first = arrow_fns.first_per_group(rows[0], rows[1], rows[2])
             best = tuple(x[first] for x in rows)
+            own = batch.column("v").take(pa.array(free))
+            both = own if vectors is None else pa.concat_arrays([vectors, own])
+            vectors = both.take(pa.array(first))
         if len(best[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["part", "nmd", "id"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in best), vectors], names=["part", "nmd", "id", "v"])
 
     return run
 
 
 def _rows_fn(payload, dim):
-    """Task function: every row with ``md`` / ``taken`` brought up to date."""
+    """Task function: every row with ``md``, ``near`` and ``taken`` brought up to date."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            _, _, md, taken = _apply(batch, payload, dim)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(taken)],
-                names=["id", "v", "part", "md", "taken"],
-            )
+            _, _, md, near, taken, _ = _apply(batch, payload, dim)
+            kept = [batch.column(c) for c in ("id", "v", "part")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(md), pa.array(near, pa.int32()), pa.array(taken)], names=STATE_COLUMNS)
 
     return run
 
@@ -146,20 +179,18 @@ def _joined_rows_fn(dim: int, first: bool):
                 md[has] = _lower(md[has], np.sqrt(arrow_fns.sqdist_to(x, c)), first)
                 same = batch.column("id").filter(rows).to_numpy() == batch.column("c_id").filter(rows).to_numpy()
                 taken[has] |= same
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(taken)],
-                names=["id", "v", "part", "md", "taken"],
-            )
+            names = ["id", "v", "part", "near", "salt"]
+            arrays = [*(batch.column(c) for c in names), pa.array(md), pa.array(taken)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "md", "taken"]).select([*STATE_COLUMNS, "salt"])
 
     return run
 
 
 def _farthest(state: DataFrame, payload, dim: int) -> DataFrame:
-    """``(part, id)``: the farthest free point of every group, one partial row per task and group."""
+    """``(part, id, v)``: the farthest free point of every group, one partial row per task and group."""
     partial = state.mapInArrow(_winners_fn(payload, dim), WINNER_SCHEMA)
-    return (
-        partial.groupBy("part").agg(F.min(F.struct("nmd", "id")).alias("b")).select("part", F.col("b.id").alias("id"))
-    )
+    best = partial.groupBy("part").agg(F.min(F.struct("nmd", "id", "v")).alias("b"))
+    return best.select("part", F.col("b.id").alias("id"), F.col("b.v").alias("v"))
 
 
 def _firsts_fn():
@@ -171,6 +202,7 @@ def _firsts_fn():
 
         keys = [np.zeros(0, np.int64)] + [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
         stats = np.zeros((0, 4), np.int64)  # n, lo, hi, bad
+        vectors = None
         for batch in batches:
             m = batch.num_rows
             if m == 0:
@@ -189,21 +221,24 @@ def _firsts_fn():
             stats = np.concatenate([stats, np.column_stack([np.ones(m, np.int64), lens, lens, bad])])
             order = np.lexsort(tuple(reversed(keys)))
             keys, stats = [k[order] for k in keys], stats[order]
+            both = v if vectors is None else pa.concat_arrays([vectors, v])
             at = np.flatnonzero(np.append(True, keys[0][1:] != keys[0][:-1]))
             stats = np.column_stack(
                 [f.reduceat(stats[:, c], at) for c, f in enumerate((np.add, np.minimum, np.maximum, np.add))]
             )
             keys = [k[at] for k in keys]
+            vectors = both.take(pa.array(order[at]))
         if len(keys[0]):
             hexes = [f"{a:016x}{b:016x}" for a, b in zip(keys[1].tolist(), keys[2].tolist())]
             cols = [pa.array(keys[0]), *(pa.array(stats[:, c]) for c in range(4)), pa.array(hexes), pa.array(keys[3])]
-            yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "lo", "hi", "bad", "h", "id"])
+            names = ["part", "n", "lo", "hi", "bad", "h", "id", "v"]
+            yield pa.RecordBatch.from_arrays([*cols, vectors], names=names)
 
     return run
 
 
 def _firsts(base: DataFrame, seed: int) -> DataFrame:
-    """Per group: validation counts and the id of its first center."""
+    """Per group: validation counts and its first center ``(id, v)``."""
     keyed = base.select("id", "v", "part", seeded_order_key(seed).alias("h"))
     return (
         keyed.mapInArrow(_firsts_fn(), FIRSTS_SCHEMA)
@@ -213,9 +248,9 @@ def _firsts(base: DataFrame, seed: int) -> DataFrame:
             F.min("lo").alias("lo"),
             F.max("hi").alias("hi"),
             F.sum("bad").alias("bad"),
-            F.min(F.struct("h", "id")).alias("c"),
+            F.min(F.struct("h", "id", "v")).alias("c"),
         )
-        .select("part", "n", "lo", "hi", "bad", F.col("c.id").alias("id"))
+        .select("part", "n", "lo", "hi", "bad", F.col("c.id").alias("id"), F.col("c.v").alias("v"))
     )
 
 
@@ -233,19 +268,27 @@ def _state_base(points: DataFrame, part: Column | None) -> DataFrame:
         F.col("v").cast("array<double>").alias("v"),
         (F.lit(0) if part is None else part).cast("bigint").alias("part"),
         F.lit(float("inf")).alias("md"),
+        F.lit(-1).alias("near"),
         F.lit(False).alias("taken"),
     )
 
 
-def _packed(rows: Sequence, first: bool, dim: int):
-    """A round's centers ``(part, id, v)`` as a payload entry."""
+def _packed(rows: Sequence, pos: int, dim: int, earlier: dict | None = None):
+    """A round's centers ``(part, id, v)`` as a payload entry; ``earlier`` has the ``pos`` centers of each group so far."""
     rows = sorted(rows, key=lambda r: r[0])
-    cols = np.asarray([r[2] for r in rows], np.float64).reshape(len(rows), dim).T
+    centers = np.asarray([r[2] for r in rows], np.float64).reshape(len(rows), dim)
+    gaps = np.full((len(rows), max(pos, 1)), np.nan)
+    with np.errstate(invalid="ignore", over="ignore"):
+        for g, r in enumerate(rows):
+            if earlier and pos:
+                gaps[g] = np.sqrt(arrow_fns.sqdists(centers[g : g + 1], np.asarray(earlier[r[0]], np.float64).reshape(pos, dim)))[0]
     return (
-        first,
+        pos == 0,
+        pos,
         np.asarray([r[0] for r in rows], np.int64),
         np.asarray([r[1] for r in rows], np.int64),
-        np.ascontiguousarray(cols),
+        np.ascontiguousarray(centers.T),
+        gaps,
     )
 
 
@@ -255,7 +298,7 @@ class _Payload:
     def __init__(self, spark, rounds: list):
         self.shared = None
         self.rounds = rounds
-        if sum(c.nbytes for _, _, _, c in rounds) > CLOSURE_BYTES:
+        if sum(c.nbytes + gaps.nbytes for *_, c, gaps in rounds) > CLOSURE_BYTES:
             self.shared = spark.sparkContext.broadcast(rounds)
 
     def __enter__(self):
@@ -269,16 +312,18 @@ class _Payload:
 def _few_groups(base: DataFrame, k: int, firsts: list, dim: int, cached: bool) -> list[tuple]:
     """``(part, pos, id, v)`` of all centers; they travel from the driver to the tasks."""
     spark = base.sparkSession
-    state, owned, pending, written = base, None, [], 0
+    state, owned, pending = base, None, []
+    chosen, earlier = [], {}
 
-    def vectors(rows):
-        where = {int(r["id"]): int(r["part"]) for r in rows}
-        got = base.filter(F.col("id").isin(list(where))).select("id", "v").collect()
-        return [(where[int(r["id"])], int(r["id"]), list(r["v"])) for r in got]
+    def add(rows, pos):
+        got = [(int(r["part"]), int(r["id"]), list(r["v"])) for r in rows]
+        pending.append(_packed(got, pos, dim, earlier))
+        chosen.extend((p, pos, i, v) for p, i, v in got)
+        for p, _, v in got:
+            earlier.setdefault(p, []).append(v)
 
     try:
-        chosen = [(p, 0, i, v) for p, i, v in vectors(firsts)]
-        pending.append(_packed([(p, i, v) for p, _, i, v in chosen], True, dim))
+        add(firsts, 0)
         for pos in range(1, k):
             if cached and len(pending) >= MATERIALIZE_EVERY:
                 with _Payload(spark, pending) as payload:
@@ -286,36 +331,67 @@ def _few_groups(base: DataFrame, k: int, firsts: list, dim: int, cached: bool) -
                 if owned is not None:
                     owned.unpersist()
                 state = owned = fresh
-                pending, written = [], written + 1
+                pending.clear()
             with _Payload(spark, pending) as payload:
                 rows = _farthest(state, payload, dim).collect()
             if not rows:
                 break
-            got = vectors(rows)
-            chosen += [(p, pos, i, v) for p, i, v in got]
-            pending.append(_packed(got, False, dim))
+            add(rows, pos)
         return chosen
     finally:
         if owned is not None:
             owned.unpersist()
 
 
-def _many_groups(base: DataFrame, k: int, firsts: DataFrame, dim: int) -> DataFrame:
-    """``CENTERS_SCHEMA`` rows; the centers stay a DataFrame and are joined to the points by group."""
-    state = base
-    ids = firsts.select("part", "id")
+def _salted(base: DataFrame, firsts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The state with its ``salt``, and ``(part, salts)`` of every group.
+
+    Only groups above ``SALT_ROWS`` rows (at most rows / ``SALT_ROWS`` of them)
+    have several salts; their number is looked up in a broadcast table if that
+    fits the budget, and otherwise is one for all, by the largest group.
+    """
+    spark = base.sparkSession
+    salts = F.ceil(F.col("n") / F.lit(SALT_ROWS)).cast("int")
+    large = firsts.filter(F.col("n") > SALT_ROWS).select(F.col("part").alias("g_part"), salts.alias("g_salts"))
+    if fits_broadcast(spark, large.count(), 16):
+        sized = base.join(F.broadcast(large), F.col("part") == F.col("g_part"), "left")
+        many = F.coalesce(F.col("g_salts"), F.lit(1))
+        counts = firsts.select("part", F.greatest(salts, F.lit(1)).alias("salts"))
+    else:
+        sized, many = base, F.lit(-(-most // SALT_ROWS))
+        counts = firsts.select("part", many.alias("salts"))
+    state = sized.withColumn("salt", F.pmod(F.xxhash64("id"), many).cast("int"))
+    return state.select(*STATE_COLUMNS, "salt"), counts
+
+
+def _with_newest(state: DataFrame, newest: DataFrame, salts: DataFrame) -> DataFrame:
+    """The state's rows with their group's newest center ``(c_id, c_v)``, by group and salt."""
+    centers = (
+        newest.join(salts.withColumnRenamed("part", "g_part"), F.col("part") == F.col("g_part"))
+        .withColumn("c_salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        .select(F.col("part").alias("c_part"), "c_salt", F.col("id").alias("c_id"), F.col("v").alias("c_v"))
+    )
+    same = (F.col("part") == F.col("c_part")) & (F.col("salt") == F.col("c_salt"))
+    return state.join(centers, same, "left").drop("c_part", "c_salt")
+
+
+def _many_groups(base: DataFrame, k: int, firsts: DataFrame, dim: int, most: int) -> DataFrame:
+    """``CENTERS_SCHEMA`` rows; the centers stay a DataFrame and are joined to the points by group and salt.
+
+    A round shuffles the points once by ``(part, salt)`` and writes them back;
+    the tasks that read them then hold few groups each.
+    """
+    state, salts = _salted(base, firsts, most)
+    newest = firsts.select("part", "id", "v")
     out = None
     for pos in range(k):
-        at = ids.select(F.col("id").alias("w_id"))
-        newest = materialize(state.join(at, F.col("id") == F.col("w_id"), "left_semi").select("part", "id", "v"), "centers")
         rows = newest.select("part", F.lit(pos).cast("bigint").alias("pos"), "id", "v")
         out = rows if out is None else out.unionAll(rows)
         if pos == k - 1:
             break
-        centers = newest.select(F.col("part").alias("c_part"), F.col("id").alias("c_id"), F.col("v").alias("c_v"))
-        joined = state.join(centers, F.col("part") == F.col("c_part"), "left").drop("c_part")
-        state = materialize(joined.mapInArrow(_joined_rows_fn(dim, pos == 0), STATE_SCHEMA), "farthest")
-        ids = _farthest(state, [], dim)
+        joined = _with_newest(state, newest, salts)
+        state = materialize(joined.mapInArrow(_joined_rows_fn(dim, pos == 0), STATE_SCHEMA + ", salt int"), "farthest")
+        newest = materialize(_farthest(state, [], dim), "centers")
     return out
 
 
@@ -353,34 +429,37 @@ def farthest_first(
     base = _state_base(points, part)
     if storage_level is not None:
         base = base.persist(storage_level)
+    firsts = found = _firsts(base, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        firsts = _firsts(base, seed)
         rows = firsts.limit(driver_groups + 1).collect()
         few = len(rows) <= driver_groups
         if not few:
             firsts = materialize(firsts, "firsts")
-            s = firsts.agg(F.sum("n"), F.min("lo"), F.max("hi"), F.sum("bad"), F.min("n"), F.count(F.lit(1))).first()
-            n, lo, hi, bad, least, groups = s
+            totals = (F.sum("n"), F.min("lo"), F.max("hi"), F.sum("bad"), F.min("n"), F.max("n"), F.count(F.lit(1)))
+            n, lo, hi, bad, least, most, groups = firsts.agg(*totals).first()
         else:
             groups = len(rows)
             n = sum(r["n"] for r in rows)
             lo, hi = min((r["lo"] for r in rows), default=0), max((r["hi"] for r in rows), default=0)
             bad, least = sum(r["bad"] for r in rows), min((r["n"] for r in rows), default=0)
+            most = max((r["n"] for r in rows), default=0)
         dim = _checked(n, lo, hi, bad)
         if strict and k > least:
             raise ValueError(f"cannot choose {k} centers from {least} points")
-        few = few and groups * point_bytes(dim) * min(k, MATERIALIZE_EVERY) <= max(broadcast_budget(spark), CLOSURE_BYTES)
+        pending = k if storage_level is None else min(k, MATERIALIZE_EVERY)
+        few = few and groups * point_bytes(dim) * pending <= max(broadcast_budget(spark), CLOSURE_BYTES)
         if few:
             chosen = _few_groups(base, k, rows, dim, storage_level is not None) if rows else []
             chosen.sort(key=lambda t: (t[0], t[1]))
             count = len(chosen)
             out = spark.createDataFrame(chosen, CENTERS_SCHEMA)
         else:
-            out = _many_groups(base, k, firsts, dim)
+            out = _many_groups(base, k, firsts, dim, most)
             count = out.count() if strict or with_shape else None
         if strict and count < k * groups:
             raise ValueError(f"a group has fewer than {k} points to choose")
     finally:
+        found.unpersist()
         if storage_level is not None:
             base.unpersist()
     return (out, (count, dim)) if with_shape else out
@@ -409,7 +488,7 @@ def nearest_center_distance(points: DataFrame, centers: DataFrame, dim: int | No
         rows = (centers if blocks == 1 else centers.filter(F.col("block") == b)).select("id", "v").collect()
         if n and rows and len(rows[0]["v"]) != dim:
             raise ValueError("centers and points differ in dimension")
-        packed = [_packed([(0, r["id"], r["v"])], False, dim) for r in rows]
+        packed = [np.asarray(r["v"], np.float64) for r in rows]
         state = state.mapInArrow(_nearest_fn(packed, dim), STATE_SCHEMA)
         if b < blocks - 1:
             state = materialize(state, "nearest")
@@ -419,7 +498,7 @@ def nearest_center_distance(points: DataFrame, centers: DataFrame, dim: int | No
     return state.select("id", dist.alias("dist"))
 
 
-def _nearest_fn(rounds, dim):
+def _nearest_fn(centers, dim):
     """Task function: ``md`` lowered by the centers; ``taken`` marks rows with any distance that is not NaN."""
 
     def run(batches):
@@ -430,13 +509,11 @@ def _nearest_fn(rounds, dim):
             known = batch.column("taken").to_numpy(zero_copy_only=False)
             if batch.num_rows:
                 cols = arrow_fns.columns_of(arrow_fns.column_matrix(batch.column("v"), dim))
-                for _, _, _, center in rounds:
-                    d = np.sqrt(arrow_fns.sqdist_to(cols, center[:, 0]))
+                for center in centers:
+                    d = np.sqrt(arrow_fns.sqdist_to(cols, center))
                     md = np.where(d < md, d, md)
                     known = known | ~np.isnan(d)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), batch.column("part"), pa.array(md), pa.array(known)],
-                names=["id", "v", "part", "md", "taken"],
-            )
+            kept = [batch.column(c) for c in ("id", "v", "part")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(md), batch.column("near"), pa.array(known)], names=STATE_COLUMNS)
 
     return run
