@@ -28,6 +28,7 @@ from pointtally.operators.words import (
     text_document_count,
     word_count,
     word_count_partitioned,
+    with_salt,
     word_count_salted,
 )
 
@@ -59,5 +60,6 @@ __all__ = [
     "two_approx_diameter",
     "word_count",
     "word_count_partitioned",
+    "with_salt",
     "word_count_salted",
 ]

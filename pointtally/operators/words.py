@@ -10,18 +10,12 @@ one row per task).
 
 from __future__ import annotations
 
-import sys
-
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointtally.functions.hashing import stable_bucket
 from pointtally.functions.tokens import line_count
 
-# Task functions defined here travel by value (executors need no copy of the package).
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def document_count(lines: DataFrame) -> DataFrame:
     """Number of documents (lines), ``(document_count BIGINT)``."""
@@ -38,62 +32,43 @@ def word_count(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_salt(lines: DataFrame, k: int) -> DataFrame:
+    """Lines with their ``salt``: a hash of ``(doc_id, line_no)`` into ``k`` buckets, made once per line."""
+    if k <= 0:
+        raise ValueError(f"number of salt buckets must be positive, got {k}")
+    return lines.withColumn("salt", stable_bucket(k, "doc_id", "line_no"))
+
+
 def word_count_salted(tokens: DataFrame, k: int) -> DataFrame:
     """Two rounds: count per ``(salt, word)``, then sum per word.
 
-    The salt is a hash of the line ``(doc_id, line_no)`` into ``k`` buckets, so
-    all copies of a word in one document share a salt (as the reference's per-
-    document map does) and a retried task picks the same salt.
+    The salt is that of the token's line (:func:`with_salt`, made before the
+    lines were split into tokens; added here where it is missing), so all
+    copies of a word in one document share a salt, as the reference's per-
+    document map does, and a retried task picks the same salt.
     """
     if k <= 0:
         raise ValueError(f"number of salt buckets must be positive, got {k}")
-    salted = tokens.withColumn("salt", stable_bucket(k, "doc_id", "line_no"))
+    salted = tokens if "salt" in tokens.columns else with_salt(tokens, k)
     partial = salted.groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n"))
     return partial.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-# Distinct words a task counts before it hands its counts on.
-TASK_WORDS = 1_000_000
-
-
-def _count_words(batches):
-    """Task function: occurrences of each word among the task's rows."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-
-    def merged(parts):
-        table = pa.concat_tables(parts)
-        return table.group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
-
-    held, size = [], 0
-    for batch in batches:
-        counts = pc.value_counts(batch.column(0))
-        held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
-        size += len(counts)
-        if size > 2 * TASK_WORDS:
-            held = [merged(held)]
-            size = held[0].num_rows
-            if size > TASK_WORDS:
-                yield from held[0].to_batches()
-                held, size = [], 0
-    if held:
-        yield from merged(held).to_batches()
-
-
 def word_count_partitioned(tokens: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Two rounds: count per ``(physical partition, word)`` inside the task, then sum per word.
+    """Two rounds: count per ``(physical partition, word)``, then sum per word.
 
-    The first round makes no shuffle: each task counts its own rows in one
-    pass.  With ``num_partitions`` the rows are dealt to that many partitions
-    first.
+    The first round is the partial aggregate of the task that reads the
+    partition: one row per partition and word, without an exchange.  With
+    ``num_partitions`` the tokens are dealt to that many partitions first; it
+    is cheaper to deal the documents before they are split
+    (:func:`pointtally.sources.deal`).
     """
     words = tokens.select("word")
     if num_partitions is not None:
         if num_partitions <= 0:
             raise ValueError(f"number of partitions must be positive, got {num_partitions}")
         words = words.repartition(num_partitions)
-    partial = words.mapInArrow(_count_words, "word string, n bigint")
-    return partial.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_words(counts: DataFrame) -> DataFrame:

@@ -116,6 +116,7 @@ ORACLE: dict[str, str] = {
         "SELECT coalesce(max(c), 0)::BIGINT AS max_partition_size "
         f"FROM (SELECT count(*) AS c FROM events GROUP BY ((event_id % {K_GROUPS}) + {K_GROUPS}) % {K_GROUPS})"
     ),
+    "lines_scan": f"WITH {LINES} SELECT line, count(*)::BIGINT AS n FROM lines GROUP BY line",
     "document_count": f"WITH {LINES} SELECT count(*)::BIGINT AS document_count FROM lines",
     "word_count": WORD_COUNT,
     "word_count_salted": WORD_COUNT,

@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.plans import tables as T
-from pointtally.sources.text import parse_pairs, parse_points, scan_point_tokens
+from pointtally.runtime import scratch_dir
+from pointtally.sources.text import (
+    document_tokens,
+    parse_pairs,
+    parse_points,
+    read_text_lines,
+    scan_point_tokens,
+    write_lines,
+)
 
 # Fixed parameters of the registered queries.
 SEED = 42
@@ -72,6 +80,14 @@ def q_max_partition_size_physical(spark, d):
     return O.max_partition_size_physical(T.labelled_pairs(spark, d), K_GROUPS)
 
 
+# ------------------------------------------------------------------ text
+
+def q_lines_scan(spark, d):
+    """The lines of ``documents``, written as text to the shared folder and scanned back."""
+    path = write_lines(T.lines(spark, d), scratch_dir(spark))
+    return read_text_lines(spark, path).groupBy(F.col("value").alias("line")).agg(F.count("id").alias("n"))
+
+
 # ------------------------------------------------------------------ words
 
 
@@ -84,14 +100,12 @@ def q_word_count(spark, d):
 
 
 def q_word_count_salted(spark, d):
-    return O.word_count_salted(T.tokens(spark, d), K_GROUPS)
+    return O.word_count_salted(document_tokens(O.with_salt(T.lines(spark, d), K_GROUPS)), K_GROUPS)
 
 
 def q_word_count_partitioned(spark, d):
-    # Partitions are those of the document scan (spread over the cluster when
-    # the file has few splits), as the reference repartitions documents once
-    # at read time; re-shuffling every token would add a full extra shuffle.
-    return O.word_count_partitioned(T.tokens(spark, d))
+    # Documents are dealt to the partitions, as the reference does at read time; their tokens are not moved again.
+    return O.word_count_partitioned(T.dealt_tokens(spark, d, K_GROUPS))
 
 
 def q_distinct_words(spark, d):
@@ -194,6 +208,7 @@ QUERIES: dict[str, Query] = {
     "most_frequent_class": q_most_frequent_class,
     "max_partition_size": q_max_partition_size,
     "max_partition_size_physical": q_max_partition_size_physical,
+    "lines_scan": q_lines_scan,
     "document_count": q_document_count,
     "word_count": q_word_count,
     "word_count_salted": q_word_count_salted,

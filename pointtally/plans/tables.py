@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointtally.runtime import spread
-from pointtally.sources.text import document_lines, document_tokens, points_from_table
+from pointtally.sources.text import deal, document_lines, document_tokens, points_from_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lines(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def dealt_tokens(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """Tokens of ``documents`` dealt to ``k`` partitions before they are split."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return document_tokens(document_lines(deal(docs, "doc_id", k)))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_tokens(lines(spark, sf_dir))
 

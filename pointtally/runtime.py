@@ -9,6 +9,7 @@ when it is unset.
 from __future__ import annotations
 
 import re
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -66,6 +67,21 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or None
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder for written state that all executors share.
+
+    Only a session in one process, with neither setting, gets a folder of its
+    own (tests); on a cluster a missing folder is an error.
+    """
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pointtally-"))
+        folder = checkpoint_dir(spark)
+    return folder.rstrip("/")
+
+
 def materialize(df: DataFrame, name: str = "state") -> DataFrame:
     """Run ``df`` once and cut its lineage.
 

@@ -1,6 +1,7 @@
 """Sources: text scans and parsers for labelled pairs, documents and points."""
 
 from pointtally.sources.text import (
+    deal,
     document_lines,
     document_tokens,
     parse_pairs,
@@ -15,9 +16,11 @@ from pointtally.sources.text import (
     scan_point_tokens,
     validate_points,
     with_row_index,
+    write_lines,
 )
 
 __all__ = [
+    "deal",
     "document_lines",
     "document_tokens",
     "parse_pairs",
@@ -32,4 +35,5 @@ __all__ = [
     "scan_point_tokens",
     "validate_points",
     "with_row_index",
+    "write_lines",
 ]

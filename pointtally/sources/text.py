@@ -11,6 +11,8 @@ rows get an explicit 0-based ``id`` in scan order from :func:`with_row_index`
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +100,21 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return read_text_lines(spark, path).select(F.col("id").alias("doc_id"), F.col("value").alias("text"))
 
 
+def deal(df: DataFrame, id_col: str, num_partitions: int) -> DataFrame:
+    """``repartition(K)``: row ``id`` goes to partition ``pmod(id, K)``, a null id to the first."""
+    if num_partitions <= 0:
+        raise ValueError(f"number of partitions must be positive, got {num_partitions}")
+    at = F.coalesce(F.pmod(F.col(id_col), F.lit(num_partitions)), F.lit(0))
+    return df.repartitionById(num_partitions, at.cast("int"))
+
+
+def write_lines(lines: DataFrame, folder: str, line: str = "line") -> str:
+    """Write a text column as text files, one row per line; returns the path of the new folder."""
+    path = f"{folder.rstrip('/')}/lines-{uuid.uuid4().hex}"
+    lines.select(F.col(line).alias("value")).write.text(path)
+    return path
+
+
 def document_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Table rows whose text holds line breaks → one row per line.
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.operators import centers as C
 from pointtally.operators import diameter as D
+from pointtally.operators import diversity as V
 from pointtally.operators import pairs as P
 from pointtally.plans import tables as T
 from pointtally.sources import read_point_tokens, read_points
@@ -300,3 +303,116 @@ def test_pair_kernel_tiles_ties_and_empty_blocks(spark, monkeypatch):
     got = O.pair_summary(points_df(spark, many), 50, 2, blocks=3).first()
     want = min((-sqd(many[a], many[b]), a, b) for a in range(50) for b in range(a + 1, 50))
     assert (-got["d2"], got["i"], got["j"], got["n_pairs"]) == (*want, 50 * 49 // 2)
+
+
+# ------------------------------------------------------------------ branch and bound, lists, skips
+
+
+def test_diameter_search_skips_block_pairs(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(12, 3)) * 20
+    coords = np.concatenate([c + rng.normal(size=(60, 3)) * 0.2 for c in centers]).tolist()
+    best, seen = D.diameter_search(points_df(spark, coords), len(coords), 3, pivots=24, block=20)
+    assert best == diameter(coords)
+    assert seen["computed"] < seen["block_pairs"] / 4 and seen["survivors"] < len(coords) / 2
+
+
+@pytest.mark.parametrize("kind", ["sphere", "line", "grid", "infinite", "pair"])
+def test_diameter_search_is_exact(spark, kind):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4))
+    if kind == "sphere":
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    elif kind == "line":
+        x[:, 1:] = 0
+    elif kind == "grid":
+        x = rng.integers(0, 3, (300, 4)).astype(float)
+    elif kind == "infinite":
+        x[7, 2] = np.inf
+    elif kind == "pair":
+        x = x[:2]
+    best, _ = D.diameter_search(points_df(spark, x.tolist()), len(x), 4, pivots=16, block=40)
+    assert best == diameter(x.tolist())
+
+
+def test_pair_bounds_hold():
+    rng = np.random.default_rng(8)
+    pivots = rng.normal(size=(6, 3))
+    blocks = [rng.normal(size=(20, 3)) + 3 * k for k in range(5)]
+    reach = np.array([np.linalg.norm(b[:, None] - pivots[None], axis=2).max(axis=0) for b in blocks])
+    bounds = D.pair_bounds(reach, np.array([b.min(axis=0) for b in blocks]), np.array([b.max(axis=0) for b in blocks]))
+    for i, a in enumerate(blocks):
+        for j, b in enumerate(blocks):
+            assert np.linalg.norm(a[:, None] - b[None], axis=2).max() <= bounds[i, j]
+
+
+def plain_pairs(ida, a, idb, b, diag):
+    out = []
+    for r in range(len(ida)):
+        for c in range(r + 1 if diag else 0, len(idb)):
+            out.append((-sqd(a[:, r], b[:, c]), *sorted((int(ida[r]), int(idb[c])))))
+    return sorted(x for x in out if not math.isnan(x[0]))
+
+
+@pytest.mark.parametrize("kind", range(5))
+def test_product_filter_changes_no_bit(kind, monkeypatch):
+    monkeypatch.setattr(P, "PRODUCT_ROWS", 16)
+    monkeypatch.setattr(P, "PRODUCT_COLS", 32)
+    rng = np.random.default_rng(kind)
+    for dim in (1, 3, 17):
+        make = lambda n: rng.integers(-2, 3, (dim, n)) * 1.0 if kind == 0 else rng.normal(size=(dim, n)) * (1e-4, 1e150, 1.0, 1.0)[kind - 1] + (kind == 3) * 1e7
+        a, b = make(50), make(70)
+        if kind == 4:
+            a[0, 3], b[0, 5] = np.inf, np.inf
+        ida, idb = np.arange(50) * 2, np.arange(70) * 2 + 1
+        with np.errstate(all="ignore"):
+            for sides in ((ida, a, idb, b, False), (ida, a, ida, a, True)):
+                want = plain_pairs(*sides)
+                d2, i, j, _, n = P._block_pair(*sides, False)
+                assert (-d2, i, j) == want[0] and n == (50 * 70 if not sides[4] else 50 * 49 // 2)
+                for m in (1, 7, 10_000):
+                    d, i, j, complete = P._block_pair_list(*sides, m)
+                    positive = [x for x in want if x[0] < 0]
+                    assert list(zip((-d).tolist(), i.tolist(), j.tolist())) == positive[:m]
+                    assert not complete or m >= len(positive)
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_lists_serve_several_rounds(spark, stored, monkeypatch):
+    jobs = []
+    again = V._Lists.again
+    monkeypatch.setattr(V._Lists, "again", lambda self, *a: jobs.append(1) or again(self, *a))
+    if stored:
+        monkeypatch.setattr(V, "fits_broadcast", lambda *a: False)
+    coords = generated(120, 3, 21)
+    pts = points_df(spark, coords)
+    want = greedy(dict(enumerate(coords)), 30)
+    assert ids(O.greedy_matching(pts, 30)) == want
+    assert len(jobs) < 14  # 15 rounds
+    monkeypatch.setattr(V, "LIST_PAIRS", 2)
+    assert ids(O.greedy_matching(pts, 30)) == want and jobs
+    flat = points_df(spark, [[1.0], [1.0], [2.0], [1.0], [1.0], [1.0]])
+    assert ids(O.greedy_matching(flat, 5)) == greedy({i: [2.0 if i == 2 else 1.0] for i in range(6)}, 5)
+
+
+def test_far_centers_are_not_computed():
+    rng = np.random.default_rng(2)
+    middles = rng.normal(size=(8, 2)) * 100
+    x = np.concatenate([m + rng.normal(size=(200, 2)) for m in middles])
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.arange(len(x))), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(np.zeros(len(x), np.int64)),
+            pa.array(np.full(len(x), np.inf)), pa.array(np.full(len(x), -1, np.int32)), pa.array(np.zeros(len(x), bool)),
+        ],
+        names=C.STATE_COLUMNS,
+    )
+    rounds, earlier, plain = [], {}, np.full(len(x), np.inf)
+    order = [200 * k for k in range(8)] + [200 * k + 7 for k in range(8)]
+    for pos, i in enumerate(order):
+        rounds.append(C._packed([(0, i, x[i].tolist())], pos, 2, earlier))
+        earlier.setdefault(0, []).append(x[i].tolist())
+        plain = np.minimum(plain, np.sqrt(((x - x[i]) ** 2).sum(axis=1)))
+    _, _, md, near, taken, computed = C._apply(batch, rounds, 2)
+    assert (md == plain).all() and taken.sum() == 16
+    assert (near == np.array([np.linalg.norm(x - x[i], axis=1) for i in order]).argmin(axis=0)).all()
+    assert computed < 0.5 * len(x) * len(order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pointtally import operators as O
 from pointtally.plans import tables as T
@@ -51,18 +52,13 @@ def test_partitioned_count_shuffles_words_once(tokens):
     assert plan.count("Exchange hashpartitioning") == 1 and "RoundRobin" not in plan
 
 
-def test_partitioned_count_hands_on_full_tables(tokens, monkeypatch):
-    from pointtally.operators import words
-
-    base = sorted(map(tuple, O.word_count(tokens).collect()))
-    monkeypatch.setattr(words, "TASK_WORDS", 1)
-    assert sorted(map(tuple, O.word_count_partitioned(tokens, 2).collect())) == base
-
-
 @pytest.mark.parametrize("k", [1, 8, 1000])
 def test_three_word_counts_agree(tokens, k):
     base = sorted(map(tuple, O.word_count(tokens).collect()))
     assert sorted(map(tuple, O.word_count_salted(tokens, k).collect())) == base
+    lines = tokens.groupBy("doc_id", "line_no").agg(F.array_join(F.collect_list("word"), " ").alias("line"))
+    salted = document_tokens(O.with_salt(lines, k))
+    assert sorted(map(tuple, O.word_count_salted(salted, k).collect())) == base
     assert sorted(map(tuple, O.word_count_partitioned(tokens, k).collect())) == base
 
 
