@@ -39,6 +39,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def trimmed(run):
+    """Task function ``run``, after which the worker's freed memory goes back to the system.
+
+    Python workers outlive their tasks; what their allocators keep would add up
+    over the stages of a pipeline.
+    """
+
+    def wrapped(batches):
+        import ctypes
+        import gc
+
+        import pyarrow as pa
+
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def open_fs(uri: str):
     """``(file system, path)`` of a URI or plain path, usable inside tasks."""
     from pyarrow import fs

@@ -2,16 +2,17 @@
 
 A benchmark item's windows are its runs of ``WINDOW`` consecutive words (an
 item of fewer words is one window).  The documents a task reads form shards of
-bounded size.  Of a shard, only runs of words that occur in some window can
-hold an occurrence; they become one word sequence, each run ended by a
-separator of its own.  Over it stand a suffix array, its Burrows-Wheeler
+bounded size.  All words of a shard become one sequence over the shard's own
+vocabulary, each document ended by a separator of its own; the index knows
+nothing of the benchmark.  Over it stand a suffix array, its Burrows-Wheeler
 transform as a wavelet matrix, and the positions of every ``SAMPLE``-th suffix
-and of each run's start.  All windows search backwards together through the
-wavelet ranks; the occurrences are located by walking to the next sampled
-position, and the spans of a document are merged.
+and of each document's start.  All windows whose words the shard holds search
+backwards together through the wavelet ranks; the occurrences are located by
+walking to the next sampled position, and the spans of a document are merged.
 
-The windows are the stated query set and travel with the tasks; their size is
-checked.
+The windows of a small benchmark travel with the tasks.  One above
+``PART_BYTES`` is written to the shared folder in parts of about that size,
+and every shard is searched for one part after the other.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import byte_slices, text_runs
-from pointtally.llm.words import NON_ALNUM, WordHasher
+from pointtally.llm.common import byte_slices, fresh_path, open_fs, text_runs, trimmed
+from pointtally.llm.words import NON_ALNUM, WordHasher, mix
 
 WINDOW = 13
 SAMPLE = 8
@@ -33,60 +34,96 @@ CHUNK_BYTES = 2 << 20
 LOCATE_ROWS = 1 << 20
 # Text a task holds while it filters whole rows.
 HELD_BYTES = 32 << 20
-MAX_BENCHMARK_BYTES = 64 << 20
+# Benchmark text whose windows travel with the tasks; a larger one is read in parts of this size.
+PART_BYTES = 2 << 20
 
 
 class Windows:
-    """The distinct windows of a benchmark, as rows of symbols (1.. in order of word hash)."""
+    """The distinct windows of benchmark items, as rows of word hashes, and the items that hold them."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
         hasher = WordHasher(NON_ALNUM)
         buf, starts, ends, first = hasher.split([(t or "").encode("utf-8", "surrogatepass") for _, t in items])
         words = hasher.hashes(buf, starts, ends)
-        self.vocabulary = np.unique(words)
-        codes = np.searchsorted(self.vocabulary, words) + 1
-        owners: dict[tuple, set] = {}
-        for k, (item, _) in enumerate(items):
-            seq = codes[first[k] : first[k + 1]].tolist()
-            for i in range(max(1, len(seq) - window + 1) if seq else 0):
-                owners.setdefault(tuple(seq[i : i + window]), set()).add("" if item is None else str(item))
-        rows = list(owners)
-        self.lengths = np.array([len(r) for r in rows], np.int64)
-        self.symbols = np.zeros((len(rows), window), np.int64)
-        for i, r in enumerate(rows):
-            self.symbols[i, : len(r)] = r
-        self.items = [sorted(owners[r]) for r in rows]
-        self.shortest = int(self.lengths.min()) if rows else window
-
-    def codes(self, words: np.ndarray) -> np.ndarray:
-        """Symbol of every word hash, 0 where no window holds the word."""
-        if not len(self.vocabulary) or not len(words):
-            return np.zeros(len(words), np.int64)
-        at = np.searchsorted(self.vocabulary, words)
-        at[at == len(self.vocabulary)] = 0
-        return np.where(self.vocabulary[at] == words, at + 1, 0)
+        size = np.diff(first)
+        count = np.where(size > 0, np.maximum(size - window + 1, 1), 0)
+        owner = np.repeat(np.arange(len(items)), count)
+        at = first[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        lengths = np.minimum(size[owner], window)
+        places = at[:, None] + np.arange(window)
+        rows = np.where(np.arange(window) < lengths[:, None], words[np.minimum(places, max(len(words) - 1, 0))], 0) if len(words) else np.zeros((0, window), np.uint64)
+        # Equal windows meet under one key; rows are compared word by word, so a shared key merges nothing else.
+        key = lengths.astype(np.uint64)
+        for c in range(window):
+            key = mix(key ^ rows[:, c])
+        order = np.argsort(key, kind="stable")
+        rows, lengths, owner = rows[order], lengths[order], owner[order]
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1) | (lengths[1:] != lengths[:-1])
+        number = np.cumsum(fresh) - 1
+        self.hashes, self.lengths = rows[fresh].astype(np.uint64), lengths[fresh]
+        pairs = np.unique(number * max(len(items), 1) + owner)
+        held, holder = np.divmod(pairs, max(len(items), 1))
+        self.owners = holder
+        self.owner_at = np.searchsorted(held, np.arange(len(self.lengths) + 1))
+        self.names = ["" if item is None else str(item) for item, _ in items]
+
+    def items(self, k: int) -> list[str]:
+        """Names of the items that hold window ``k``."""
+        return [self.names[i] for i in self.owners[self.owner_at[k] : self.owner_at[k + 1]].tolist()]
+
+    def symbols(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(window numbers, symbols)`` of the windows all of whose words a sorted vocabulary holds; symbols from 1."""
+        if not len(vocabulary) or not len(self.lengths):
+            return np.zeros(0, np.int64), np.zeros((0, self.hashes.shape[1]), np.int64)
+        at = np.minimum(np.searchsorted(vocabulary, self.hashes), len(vocabulary) - 1)
+        pad = np.arange(self.hashes.shape[1]) >= self.lengths[:, None]
+        known = ((vocabulary[at] == self.hashes) | pad).all(axis=1)
+        return np.flatnonzero(known), np.where(pad, 0, at + 1)[known]
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; zeros are separators that differ, the earlier the smaller."""
+    """Suffix array by prefix tripling; zeros are separators that differ, the earlier the smaller.
+
+    A rank is the first row of the suffixes that share a prefix; only suffixes
+    whose prefix is not unique yet are sorted again.
+    """
     n = len(symbols)
+    if not n:
+        return np.zeros(0, np.int64)
     zeros = symbols == 0
-    rank = symbols + int(zeros.sum())
+    rank = symbols.astype(np.int64) + int(zeros.sum())
     rank[zeros] = np.arange(int(zeros.sum()))
-    order = np.argsort(rank, kind="stable")
-    step = 1
-    while True:
-        sorted_rank = rank[order]
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.concatenate([[0], np.cumsum(sorted_rank[1:] != sorted_rank[:-1])]) if n else 0
-        rank = fresh
-        if n == 0 or rank.max() == n - 1:
-            return order
-        follow = np.zeros(n, np.int64)
-        follow[: n - step] = rank[step:] + 1
-        rank = rank * (n + 1) + follow
-        order = np.argsort(rank, kind="stable")
-        step *= 2
+    order, todo, group = np.empty(n, np.int64), np.arange(n), np.zeros(n, np.int64)
+    step, whole = 1, True
+    while len(todo):
+        follow = [np.where(todo + k * step < n, rank[np.minimum(todo + k * step, n - 1)] + 1, 0) for k in (1, 2)]
+        limit = int(rank.max()) + 2
+        if limit**3 < 1 << 63:
+            key = (rank[todo] * limit + follow[0]) * limit + follow[1]
+            by = np.argsort(key, kind="stable")
+            key = key[by]
+            differs = key[1:] != key[:-1]
+        else:
+            by = np.lexsort((follow[1], follow[0], rank[todo]))
+            parts = [x[by] for x in (rank[todo], *follow)]
+            differs = np.any([x[1:] != x[:-1] for x in parts], axis=0)
+        todo = todo[by]
+        # Rows of the suffixes: those of their old group, in the new order.
+        old = np.zeros(len(todo), np.int64) if whole else group[by]
+        first = np.flatnonzero(np.append(True, old[1:] != old[:-1]))
+        rows = old + np.arange(len(todo)) - np.repeat(first, np.diff(np.append(first, len(todo))))
+        order[rows] = todo
+        start = np.flatnonzero(np.append(True, differs))
+        sizes = np.diff(np.append(start, len(todo)))
+        fresh = np.repeat(rows[start], sizes)
+        if whole:
+            rank = np.empty(n, np.int64)
+        rank[todo] = fresh
+        again = np.repeat(sizes > 1, sizes)
+        todo, group = todo[again], fresh[again]
+        step, whole = 3 * step, False
+    return order
 
 
 class WaveletMatrix:
@@ -187,38 +224,23 @@ class FmIndex:
 class Shard:
     """Documents gathered until the shard is full; then indexed and searched."""
 
-    def __init__(self, windows: Windows):
-        self.windows = windows
+    def __init__(self, parts):
+        self.parts = parts
         self.hasher = WordHasher(NON_ALNUM)
         self.clear()
 
     def clear(self) -> None:
         self.ids: list = []
         self.n_words: list[np.ndarray] = []
-        self.kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # document, word, symbol (0 ends a run)
+        self.words: list[np.ndarray] = []
         self.size = 0
 
     def add(self, ids: list, texts: list[bytes]) -> None:
         buf, starts, ends, first = self.hasher.split(texts)
-        codes = self.windows.codes(self.hasher.hashes(buf, starts, ends))
-        counts = np.diff(first)
-        doc = np.repeat(np.arange(len(texts)), counts)
-        # Runs of known words inside one document, at least as long as the shortest window.
-        if len(codes):
-            breaks = np.ones(len(codes), bool)
-            breaks[1:] = (doc[1:] != doc[:-1]) | ((codes[1:] > 0) != (codes[:-1] > 0))
-            run_at = np.flatnonzero(breaks)
-            run_len = np.diff(np.append(run_at, len(codes)))
-            good = (codes[run_at] > 0) & (run_len >= self.windows.shortest)
-            keep = np.repeat(good, run_len)
-            at = np.flatnonzero(keep)
-            ends_run = np.cumsum(run_len[good])
-            where = np.insert(at, ends_run, -1)
-            word = np.where(where >= 0, where - first[doc[where]], -1)
-            self.kept.append((doc[where] + len(self.ids), word, np.where(where >= 0, codes[where], 0)))
-            self.size += len(where)
+        self.words.append(self.hasher.hashes(buf, starts, ends))
+        self.n_words.append(np.diff(first))
         self.ids += ids
-        self.n_words.append(counts)
+        self.size += len(starts)
 
     def full(self) -> bool:
         return self.size >= SHARD_WORDS or len(self.ids) >= SHARD_DOCS
@@ -229,28 +251,38 @@ class Shard:
         n_words = np.concatenate(self.n_words) if self.n_words else np.zeros(0, np.int64)
         items: dict[int, set] = {}
         spans: dict[int, list] = {}
-        n_hit = np.zeros(n, np.int64)
-        if self.size and len(self.windows.lengths):
-            doc, word, symbols = (np.concatenate([k[c] for k in self.kept]) for c in range(3))
-            index = FmIndex(symbols)
-            which, lo, hi = index.search(self.windows.symbols, self.windows.lengths)
-            cover = np.zeros(len(symbols) + 1, np.int64)
+        if not self.size:
+            return n_words, np.zeros(n, np.int64), items, spans
+        vocabulary, codes = np.unique(np.concatenate(self.words), return_inverse=True)
+        self.words = []
+        ends = np.cumsum(n_words)
+        symbols = np.insert(codes + 1, ends, 0)
+        doc = np.repeat(np.arange(n), n_words + 1)
+        word = np.arange(len(symbols)) - np.repeat(ends - n_words + np.arange(n), n_words + 1)
+        index, cover = None, np.zeros(len(symbols) + 1, np.int64)
+        for windows in self.parts():
+            number, patterns = windows.symbols(vocabulary)
+            if not len(number):
+                continue
+            index = index or FmIndex(symbols)
+            which, lo, hi = index.search(patterns, windows.lengths[number])
+            number = number[which]
             count = hi - lo
             for a, b in byte_slices(count.tolist(), LOCATE_ROWS):
                 c = count[a:b]
                 rows = np.repeat(lo[a:b] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-                pattern = np.repeat(which[a:b], c)
+                pattern = np.repeat(number[a:b], c)
                 at = index.locate(rows)
                 np.add.at(cover, at, 1)
-                np.add.at(cover, at + self.windows.lengths[pattern], -1)
-                pairs = np.unique(doc[at] * len(self.windows.lengths) + pattern)
-                for d, p in zip(*(x.tolist() for x in np.divmod(pairs, len(self.windows.lengths)))):
-                    items.setdefault(d, set()).update(self.windows.items[p])
-            hit = np.cumsum(cover[:-1]) > 0
-            n_hit = np.bincount(doc[hit], minlength=n)
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).view(np.int8)))
-            for s, e in zip(edge[0::2].tolist(), edge[1::2].tolist()):
-                spans.setdefault(int(doc[s]), []).append((int(word[s]), int(word[e - 1]) + 1))
+                np.add.at(cover, at + windows.lengths[pattern], -1)
+                pairs = np.unique(doc[at] * len(windows.lengths) + pattern)
+                for d, p in zip(*(x.tolist() for x in np.divmod(pairs, len(windows.lengths)))):
+                    items.setdefault(d, set()).update(windows.items(p))
+        hit = np.cumsum(cover[:-1]) > 0
+        n_hit = np.bincount(doc[hit], minlength=n)
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).view(np.int8)))
+        for s, e in zip(edge[0::2].tolist(), edge[1::2].tolist()):
+            spans.setdefault(int(doc[s]), []).append((int(word[s]), int(word[e - 1]) + 1))
         return n_words, n_hit, items, spans
 
 
@@ -260,11 +292,11 @@ SCHEMA = (
 )
 
 
-def _find_fn(windows: Windows):
+def _find_fn(parts):
     def run(batches):
         import pyarrow as pa
 
-        shard = Shard(windows)
+        shard = Shard(parts)
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
         def flush():
@@ -293,16 +325,16 @@ def _find_fn(windows: Windows):
         if shard.ids:
             yield from flush()
 
-    return run
+    return trimmed(run)
 
 
-def _clean_fn(windows: Windows, text_at: int, held_bytes: int):
+def _clean_fn(parts, text_at: int, held_bytes: int):
     """Task function: the rows of its batches, all columns, that are not contaminated."""
 
     def run(batches):
         import pyarrow as pa
 
-        shard = Shard(windows)
+        shard = Shard(parts)
         held, size = [], 0
 
         def flush():
@@ -324,20 +356,41 @@ def _clean_fn(windows: Windows, text_at: int, held_bytes: int):
                     held, size = [], 0
         yield from flush()
 
-    return run
+    return trimmed(run)
+
+
+def _parts(benchmark: DataFrame, window: int):
+    """A function, for tasks, that yields the benchmark's :class:`Windows`: one, or one per written part."""
+    spark = benchmark.sparkSession
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= PART_BYTES:
+        windows = spark.sparkContext.broadcast(Windows([tuple(r) for r in texts.collect()], window))
+        return lambda: [windows.value]
+    folder = fresh_path(spark, "benchmark")
+    texts.repartition(-(-size // PART_BYTES)).write.parquet(folder)
 
+    def read():
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
 
-def _windows(benchmark: DataFrame, window: int) -> Windows:
-    size = benchmark.agg(F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()["b"] or 0
-    if size > MAX_BENCHMARK_BYTES:
-        raise ValueError(f"benchmark texts of {size} bytes exceed the {MAX_BENCHMARK_BYTES} that travel with the tasks")
-    items = [tuple(r) for r in benchmark.select("item_id", F.col("text").cast("string")).collect()]
-    return Windows(items, window)
+        fs, root = open_fs(folder)
+        for info in sorted(fs.get_file_info(pafs.FileSelector(root)), key=lambda f: f.path):
+            if info.base_name.endswith(".parquet"):
+                table = pq.read_table(info.path, filesystem=fs)
+                yield Windows(list(zip(*(table.column(c).to_pylist() for c in ("item_id", "text")))), window)
+
+    return read
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of ``documents``, with all their columns, that :func:`find_contamination` does not flag."""
-    run = _clean_fn(_windows(benchmark, window), documents.columns.index("text"), HELD_BYTES)
+    """The rows of ``documents``, with all their columns, that :func:`find_contamination` does not flag.
+
+    Null and empty texts stay, as do repeated rows and rows without an id; an
+    empty benchmark removes nothing, an empty table gives no rows.  A text of
+    any length is judged whole, as a shard of its own if it fills one.
+    """
+    run = _clean_fn(_parts(benchmark, window), documents.columns.index("text"), HELD_BYTES)
     return documents.mapInArrow(run, documents.schema)
 
 
@@ -355,7 +408,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, window: int =
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    return docs.mapInArrow(_find_fn(_windows(benchmark, window)), SCHEMA)
+    return docs.mapInArrow(_find_fn(_parts(benchmark, window)), SCHEMA)
 
 
 ORACLE = f"""

@@ -223,6 +223,7 @@ def test_contamination(spark, small, monkeypatch):
         monkeypatch.setattr(D, "CHUNK_BYTES", 200)
         monkeypatch.setattr(D, "LOCATE_ROWS", 3)
         monkeypatch.setattr(D, "SAMPLE", 1)
+        monkeypatch.setattr(D, "PART_BYTES", 300)  # the benchmark is read in parts
     rng = random.Random(4)
     vocab = ["the", "Of", "größe", "x1", "and", "river", "été"]
     items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.choice([1, 3, 13, 20, 40])))) for k in range(12)]
@@ -254,6 +255,34 @@ def test_contamination_empty(spark):
     assert D.find_contamination(docs.limit(0), none).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["random", "copies", "one word", "separators"])
+def test_suffix_array_is_sorted(kind):
+    rng = np.random.RandomState(7)
+    seq = rng.randint(0, 9, 400)
+    if kind == "copies":
+        seq = np.concatenate([np.append(seq[:50] % 8 + 1, 0)] * 9)
+    elif kind == "one word":
+        seq = np.append(np.ones(300, np.int64), 0)
+    elif kind == "separators":
+        seq = np.zeros(40, np.int64)
+    zeros = np.cumsum(seq == 0)
+    plain = [int(z) if s == 0 else int(s) + 1000 for s, z in zip(seq, zeros)]
+    assert D.suffix_array(seq).tolist() == sorted(range(len(seq)), key=lambda i: plain[i:])
+
+
+def test_the_index_holds_every_word(monkeypatch):
+    held = []
+    index = D.FmIndex
+    monkeypatch.setattr(D, "FmIndex", lambda symbols: held.append(symbols) or index(symbols))
+    windows = D.Windows([("a", "two words"), ("b", "not there"), ("c", "two words")])
+    shard = D.Shard(lambda: [windows])
+    shard.add([1, 2], [b"here are two words and others", b"two"])
+    n_words, n_hit, items, spans = shard.results()
+    assert len(held[0]) == 6 + 1 + 2 and len(set(held[0].tolist())) == 7
+    assert n_words.tolist() == [6, 1] and n_hit.tolist() == [2, 0]
+    assert items == {0: {"a", "c"}} and spans == {0: [(2, 4)]}
+
+
 def test_suffix_array_and_ranks():
     rng = np.random.RandomState(1)
     seq = rng.randint(0, 6, 300)
