@@ -12,7 +12,12 @@ forms are judged by what they hold, measured in a first pass: an element around
 other text could be meant, and inside ``article`` or ``main`` only a whole
 boilerplate name or a share of links drops one.  Lists that are
 almost all links are menus too, but not inside ``article`` or ``main`` nor
-after prose of the container they stand in.
+after prose of the container they stand in.  An ``article`` or ``main`` that
+stands in a menu, header, footer or sidebar counts where the page has no other.
+
+Time and memory are linear in the page's size, however its elements nest and
+whatever is left open: tags end at the next ``>`` at the latest, open elements
+are found by name, and sums go from children to parents once.
 """
 
 from __future__ import annotations
@@ -79,6 +84,11 @@ SUBJECT_WORDS = frozenset(["discussion"])
 # Of the above, those that may name a part of the article itself when inside it.
 ARTICLE_PARTS = frozenset("header masthead banner".split())
 
+# Elements whose text is left out unless they hold the page's only article.
+SPARED_TAGS = frozenset("nav aside footer header menu".split())
+# Ancestors that a paragraph passes points to.
+LEVELS = 16
+
 SIBLING_SHARE = 0.2
 MENU_LINKS = 0.8
 # Links of an element inside an article that only partly has a boilerplate name;
@@ -89,9 +99,11 @@ MOST_PROSE, NEARLY_ALL = 0.5, 0.75
 DOUBTFUL = 0.25
 MENU_ITEMS = 3
 
+# The inside of a tag: quotes count after an equals sign only, and only in pairs.
+_INSIDE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+"
 _TOKENS = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW_TEXT})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*>",
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TEXT})\b{_INSIDE}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)({_INSIDE})>|<[!?/][^>]*>",
     re.S | re.I,
 )
 # One attribute after the other: the whole name, and a quoted or bare value.
@@ -224,12 +236,14 @@ class _Page:
     """Tree of block elements (``parent``, ``tag``) and text blocks ``(element, text, link characters)``.
 
     The tokens of ``dropped`` start elements that are left out; without it the
-    elements with boilerplate names are measured (``named``).
+    elements with boilerplate names are measured (``named``).  The tokens of
+    ``spared`` start elements that are not left out for their tag.
     """
 
-    def __init__(self, source: str, dropped: frozenset | None = None):
-        self.dropped = dropped
+    def __init__(self, source: str, dropped: frozenset | None = None, spared: frozenset = frozenset()):
+        self.dropped, self.spared = dropped, spared
         self.named: list[_Named] = []
+        self.lost: set[int] = set()  # elements left out for their tag that hold an article or main
         self.chars = self.linked = 0  # of the text so far
         self.outer = 0  # open article and main elements, comments aside
         self.wholes = 0  # closed article and main elements with prose, comments aside
@@ -237,10 +251,13 @@ class _Page:
         self.blocks: list[tuple[int, str, int]] = []
         # Open elements: (tag, node or -1 for inline, dropped, inside article, inside a link, measured or None)
         self.open = [("#root", 0, False, False, False, None)]
+        self.depths: dict[str, list[int]] = {}  # of the open elements, by tag
+        self.nodes = [(0, 0)]  # (depth, node) of the open block elements
+        self.left_out: tuple[int, int] | None = None  # depth and token (or -1) of the outermost element left out
         self.pieces: list[str] = []
         self.links = 0
-        at = 0
-        tokens = list(_TOKENS.finditer(source))
+        at, last = 0, source.rfind(">") + 1  # no tag ends after the last one
+        tokens = list(_TOKENS.finditer(source, 0, last))
         ends = _embedded_ends(tokens) if _EMBEDS.search(source) else {}
         skip = -1
         for k, m in enumerate(tokens):
@@ -261,6 +278,8 @@ class _Page:
                 self._end(tag)
             else:
                 self._start(tag, m[4], k)
+        if tokens and at == last and _runs_on(tokens[-1]):
+            at = len(source)
         if at < len(source):
             self._text(source[at:])
         self._pop_to(1)
@@ -281,31 +300,35 @@ class _Page:
         if self.pieces:
             text = " ".join(_html.unescape("".join(self.pieces)).split())
             if text:
-                node = next(o[1] for o in reversed(self.open) if o[1] >= 0)
-                self.blocks.append((node, text, min(self.links, len(text))))
+                self.blocks.append((self.nodes[-1][1], text, min(self.links, len(text))))
             self.pieces = []
         self.links = 0
 
     def _pop_to(self, depth: int) -> None:
-        if any(o[1] >= 0 for o in self.open[depth:]):
+        if self.nodes[-1][0] >= depth:
             self._flush()
-        for o in reversed(self.open[depth:]):
-            got = o[5]
+        while len(self.open) > depth:
+            tag, node, _, _, _, got = self.open.pop()
+            self.depths[tag].pop()
+            if node >= 0:
+                self.nodes.pop()
+            if self.left_out is not None and self.left_out[0] >= len(self.open):
+                self.left_out = None
             if got is not None:
                 chars, linked, wholes = got.before
                 got.chars, got.links, got.wholes = self.chars - chars, self.linked - linked, self.wholes - wholes
                 self.outer -= got.may_be_text
                 self.wholes += got.may_be_text and got.chars > got.links
-        del self.open[depth:]
+
+    def _depth(self, names: frozenset) -> int:
+        """Depth of the innermost open element of one of ``names``, 0 for none."""
+        return max((d[-1] for d in map(self.depths.get, names) if d), default=0)
 
     def _close(self, names: frozenset, scopes: frozenset) -> None:
         """Close the open element of one of ``names``, unless one of ``scopes`` stands between."""
-        for depth in range(len(self.open) - 1, 0, -1):
-            name = self.open[depth][0]
-            if name in names:
-                return self._pop_to(depth)
-            if name in scopes:
-                return None
+        depth = self._depth(names)
+        if depth and (self.nodes[-1][0] if scopes is BLOCKS else self._depth(scopes)) <= depth:
+            self._pop_to(depth)
 
     def _start(self, tag: str, attrs: str, token: int) -> None:
         if tag == "br" or tag == "hr" or tag in VOID:
@@ -328,13 +351,22 @@ class _Page:
         removed, kind = True, 0
         if not dropped:
             removed, kind = _judge(tag, attrs, in_article)
+            if removed and token in self.spared:
+                removed = False
+            if removed:
+                self.left_out = (len(self.open), token if tag in SPARED_TAGS else -1)
+        elif tag in KEPT_WHOLE and self.left_out is not None and self.left_out[1] >= 0:
+            hidden, named = _judge(tag, attrs, False)
+            if not hidden and named != COMMENTS:
+                self.lost.add(self.left_out[1])
         drop = removed or (self.dropped is not None and token in self.dropped)
         node = -1
         if tag in BLOCKS:
             self._flush()
             node = len(self.tag)
-            self.parent.append(next(o[1] for o in reversed(self.open) if o[1] >= 0))
+            self.parent.append(self.nodes[-1][1])
             self.tag.append(tag)
+            self.nodes.append((len(self.open), node))
         elif drop and not dropped:
             self.pieces.append(" ")
         got = None
@@ -343,16 +375,23 @@ class _Page:
             self.outer += got.may_be_text
             if kind:
                 self.named.append(got)
+        self.depths.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, node, drop, in_article or tag in KEPT_WHOLE, in_link or tag == "a", got))
 
     def _end(self, tag: str) -> None:
         if tag == "br" or tag in VOID:
             return
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == tag:
-                return self._pop_to(depth)
-            if tag not in BLOCKS and self.open[depth][0] in BLOCKS:
-                return
+        depth = self._depth((tag,))
+        if depth and (tag in BLOCKS or self.nodes[-1][0] <= depth):
+            self._pop_to(depth)
+
+
+def _runs_on(token: re.Match) -> bool:
+    """Whether a comment or raw text has no end, so that the rest of the page belongs to it."""
+    text = token[0]
+    if token[1]:
+        return not re.search(rf"</{token[1]}\s*>\Z", text, re.I)
+    return text.startswith("<!--") and not text.endswith("-->")
 
 
 def _chosen(page: _Page, doubt: frozenset = frozenset()) -> list[str]:
@@ -377,20 +416,21 @@ def _chosen(page: _Page, doubt: frozenset = frozenset()) -> list[str]:
         length = len(text)
         if tag[node] in PROSE and linked < 0.25 * length:
             prose_at.setdefault(parent[node], node)
-        at = node
-        while at >= 0:
-            size[at] += length
-            links[at] += linked
-            items[at] += 1
-            at = parent[at]
+        size[node] += length
+        links[node] += linked
+        items[node] += 1
         if tag[node] in HEADINGS:
             continue
         gain = (1 + text.count(",") + min(length / 100, 3)) * (1 - linked / length)
         gain *= DOUBTFUL if doubtful[node] else 1
         at, level = (parent[node] if tag[node] in PARAGRAPHS else node), 0
-        while at >= 0:
+        while at >= 0 and level < LEVELS:
             points[at] += gain / (1 if level == 0 else 2 if level == 1 else 3 * level)
             at, level = parent[at], level + 1
+    for k in range(n - 1, 0, -1):  # children come after their parents
+        size[parent[k]] += size[k]
+        links[parent[k]] += links[k]
+        items[parent[k]] += items[k]
     menu = [
         tag[k] in LISTS and items[k] >= MENU_ITEMS and links[k] >= MENU_LINKS * size[k] and not article_of[k] for k in range(n)
     ]
@@ -432,30 +472,30 @@ def _chosen(page: _Page, doubt: frozenset = frozenset()) -> list[str]:
         at = parent[at]
     prose = sum(size[k] - links[k] for k in kept if k >= 0)
     left_out = {k for k in doubt if k not in around and size[k] - links[k] <= NEARLY_ALL * prose}
-    out = []
-    for node, text, _ in blocks:
-        at, inside, dropped = node, (-1 - node) in kept, False
-        while at >= 0:
-            if menu[at] or at in left_out:
-                dropped = True
-            if at in kept:
-                inside = True
-                break
-            at = parent[at]
-        if inside and not dropped:
-            out.append(text)
-    return out
+    # Whether a node stands in something kept, and in something left out below that.
+    inside, gone = [False] * n, [False] * n
+    for k in range(n):
+        gone[k] = menu[k] or k in left_out
+        if k in kept:
+            inside[k] = True
+        elif k:
+            inside[k] = inside[parent[k]]
+            gone[k] = gone[k] or gone[parent[k]]
+    return [text for node, text, _ in blocks if (inside[node] or (-1 - node) in kept) and not gone[node]]
 
 
 def extract(source: str | None) -> str:
     """Main text of one page: blocks in page order joined by a line break; empty where there is none."""
     if not source:
         return ""
-    page = _Page(source)
+    page, spared = _Page(source), frozenset()
+    while page.lost - spared and not page.wholes:
+        spared |= page.lost
+        page = _Page(source, spared=spared)
     verdicts = [(named, named.verdict(page)) for named in page.named]
     dropped = frozenset(named.token for named, v in verdicts if v == "drop")
     doubt = frozenset(named.node for named, v in verdicts if v == "doubt" and named.node >= 0)
-    out = _chosen(_Page(source, dropped) if dropped else page, doubt)
+    out = _chosen(_Page(source, dropped, spared) if dropped else page, doubt)
     if not out:  # everything stood under a boilerplate word or a form: trust the elements alone
         out = _chosen(page)
     return "\n".join(out)

@@ -6,6 +6,7 @@ import collections
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -200,6 +201,107 @@ def test_named_elements_beside_the_text_are_dropped():
         assert H.extract(page).count("\n") == 5, page
 
 
+def test_an_article_in_a_menu_counts_where_there_is_no_other():
+    text = "<p>This is the text, and more of it, in a row.</p>"
+    assert H.extract(f"<nav><a>Home</a><article>{text}") == "This is the text, and more of it, in a row."
+    assert H.extract(f"<header><aside><main>{text}</main></aside></header>") == "This is the text, and more of it, in a row."
+    teaser = "<aside><article><p>A teaser, of something else.</p></article></aside>"
+    assert H.extract(f"{teaser}<main>{text}</main>") == "This is the text, and more of it, in a row."
+    comments = '<aside><article class="comment"><p>A reader says so, loudly.</p></article></aside>'
+    assert "reader" not in H.extract(f"<div>{text * 3}</div>{comments}")
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>x, some words here " * 100_000, "a <b 'x " * 125_000, "<b>x " * 200_000, "<! " * 300_000, "<ul><li>x" * 50_000,
+     "<div>" * 50_000 + "</span>" * 100_000, "<p " + "a='b " * 200_000 + ">x", "<a href=x>y" * 100_000],
+    ids=["divs", "quotes", "inline", "bangs", "lists", "ends", "attributes", "links"],
+)
+def test_time_is_linear(page):
+    begin = time.perf_counter()
+    H.extract(page)
+    assert time.perf_counter() - begin < 20  # seconds at most; quadratic walks took hours
+
+
+def test_quotes_count_after_an_equals_sign():
+    assert H.extract("<p title=\"a > b\">One, two.</p>") == "One, two."
+    assert H.extract("<p it's>One, two.</p><p>Three, four.</p>") == "One, two.\nThree, four."
+    assert H.extract("<p>One, two. <!-- no end <p>Three</p>") == "One, two."
+    assert H.extract("<p>One, two.</p><script>var a = '<p>x</p>' and on") == "One, two."
+    assert H.extract("One < two, and three > two") == "One < two, and three > two"
+
+
+class Plain:
+    """A tree scorer by definition: every sum walks the tree anew."""
+
+    def __init__(self, rng, depth=0):
+        self.tag = rng.choice(["div", "section", "p", "h2", "blockquote"]) if depth else "body"
+        if self.tag in ("p", "h2"):
+            self.children = [self.words(rng)]
+        else:
+            self.children = [
+                Plain(rng, depth + 1) if depth < 5 and rng.random() < 0.7 else self.words(rng) for _ in range(rng.randrange(5))
+            ]
+
+    def words(self, rng):
+        text = " ".join(rng.choice(["alpha", "beta,", "gamma", "a", "longer words here,"]) for _ in range(rng.randrange(1, 40)))
+        return (text, rng.random() < 0.25)
+
+    def html(self):
+        inner = "".join(
+            c.html() if isinstance(c, Plain) else (f"<a href=x>{c[0]}</a>" if c[1] else c[0]) for c in self.children
+        )
+        return f"<{self.tag}>{inner}</{self.tag}>"
+
+    def texts(self):
+        """``(node, path from it to the root, text, link characters)`` in page order; neighbouring inline text joins."""
+        run, linked = [], 0
+        for c in [*self.children, None]:
+            if isinstance(c, tuple):
+                run.append(c[0])
+                linked += len(c[0]) if c[1] else 0
+                continue
+            if run:
+                text = "".join(run)
+                yield self, [self], text, min(linked, len(text))
+                run, linked = [], 0
+            if c is not None:
+                yield from ((n, [*path, self], t, k) for n, path, t, k in c.texts())
+
+
+def plain_scores(root):
+    points, size, links = (collections.Counter() for _ in range(3))
+    for node, path, text, linked in root.texts():
+        for n in path:
+            size[n] += len(text)
+            links[n] += linked
+        if node.tag == "h2":
+            continue
+        gain = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
+        line = path[1:] if node.tag in ("p", "blockquote") else path
+        for level, n in enumerate(line):
+            points[n] += gain / (1 if level == 0 else 2 if level == 1 else 3 * level)
+    return {n: points[n] * (1 - links[n] / size[n]) for n in size}
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_container_matches_a_plain_scorer(seed):
+    rng = random.Random(seed)
+    root = Plain(rng)
+    scores = plain_scores(root)
+    if not scores or max(scores.values()) <= 0:
+        return
+    best = max(scores.values())
+    tops = [n for n, s in scores.items() if s > best - 1e-9 and n.tag != "h2"]
+    got = H.extract(root.html()).split("\n")
+    for n in tops[:1] if len(tops) == 1 else []:
+        inside = [" ".join(t.split()) for _, _, t, _ in n.texts()]
+        at = 0
+        for t in inside:  # the best container is kept, in page order
+            assert t in got[at:], (seed, t)
+            at = got.index(t, at) + 1
+
+
 def test_extract_text_rows(spark):
     rows = [(1, "u", "<p>Hello, world</p>"), (1, "u", "<p>Hello, world</p>"), (None, None, None), (2, "v", "")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
