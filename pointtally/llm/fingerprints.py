@@ -52,11 +52,35 @@ def digests(texts: list[bytes]) -> np.ndarray:
     out = np.zeros((n, DIGEST_BYTES), np.uint8)
     tables = _tables()
     for lo, hi in byte_slices([len(t) + 4 for t in texts], CHUNK_BYTES):
-        out[lo:hi] = _digest_slice(texts[lo:hi], tables)
+        if hi - lo == 1 and len(texts[lo]) > CHUNK_BYTES:
+            counts = _long_counts(texts[lo], tables)
+        else:
+            counts = _bucket_counts(texts[lo:hi], tables)
+        out[lo:hi] = _digest_rows(counts, texts[lo:hi])
     return out
 
 
-def _digest_slice(texts: list[bytes], tables: np.ndarray) -> np.ndarray:
+def _long_counts(text: bytes, tables: np.ndarray) -> np.ndarray:
+    """Bucket counts of one long text, by segments that each see the four bytes before them."""
+    counts = np.zeros((1, BUCKETS), np.int64)
+    for at in range(0, len(text), CHUNK_BYTES):
+        lead = text[max(at - 4, 0) : at]
+        window = np.frombuffer(b"\0" * (4 - len(lead)) + lead + text[at : at + CHUNK_BYTES], np.uint8)
+        counts[0] += _window_counts(window, np.arange(4, len(window)), np.zeros(len(window) - 4, np.int64), 1, tables)
+    return counts
+
+
+def _window_counts(buf: np.ndarray, pos: np.ndarray, base: np.ndarray, n: int, tables: np.ndarray) -> np.ndarray:
+    """Counts of the triplets that end at ``pos``, in the ``BUCKETS`` buckets from ``base`` on."""
+    counts = np.zeros(n * BUCKETS, np.int64)
+    back = [buf[pos - k] for k in range(5)]
+    for t, (i, j) in enumerate(TRIPLETS):
+        h = tables[t, 0][back[0]] ^ tables[t, 1][back[i]] ^ tables[t, 2][back[j]]
+        counts += np.bincount(base + h, minlength=n * BUCKETS)
+    return counts
+
+
+def _bucket_counts(texts: list[bytes], tables: np.ndarray) -> np.ndarray:
     n = len(texts)
     pad = b"\0\0\0\0"
     buf = np.frombuffer(pad + pad.join(texts), np.uint8)
@@ -64,13 +88,12 @@ def _digest_slice(texts: list[bytes], tables: np.ndarray) -> np.ndarray:
     starts = 4 + np.concatenate([[0], np.cumsum(lens + 4)[:-1]])
     doc = np.repeat(np.arange(n, dtype=np.int64), lens)
     pos = np.arange(len(doc), dtype=np.int64) + (starts - np.concatenate([[0], np.cumsum(lens)[:-1]]))[doc]
-    base = doc * BUCKETS
-    counts = np.zeros(n * BUCKETS, np.int64)
-    back = [buf[pos - k] for k in range(5)]
-    for t, (i, j) in enumerate(TRIPLETS):
-        h = tables[t, 0][back[0]] ^ tables[t, 1][back[i]] ^ tables[t, 2][back[j]]
-        counts += np.bincount(base + h, minlength=n * BUCKETS)
-    counts = counts.reshape(n, BUCKETS)
+    return _window_counts(buf, pos, doc * BUCKETS, n, tables).reshape(n, BUCKETS)
+
+
+def _digest_rows(counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    n = len(texts)
+    lens = np.array([len(t) for t in texts], np.int64)
     order = np.sort(counts, axis=1)
     q = order[:, [BUCKETS // 4 - 1, BUCKETS // 2 - 1, 3 * BUCKETS // 4 - 1]]
     code = (counts > q[:, :1]).astype(np.uint8) + (counts > q[:, 1:2]) + (counts > q[:, 2:])
@@ -163,7 +186,10 @@ def fingerprints(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     many first ones (or all) of the next document in descending ``doc_id``
     order; after the last comes the first, so a lone document follows itself.
     Rows of equal ``doc_id`` are ordered by descending text, null ids come
-    last, a null text counts as empty, an empty table gives no rows.
+    last, a null text counts as empty, an empty table gives no rows.  A long
+    text is hashed in segments; a task streams its range in windows of a few
+    megabytes, so a range of any size (ranges are ``range_bytes`` on average up
+    to 100,000 of them) needs no more memory than its longest text.
     """
     spark = documents.sparkSession
     docs = documents.select(
@@ -172,7 +198,7 @@ def fingerprints(documents: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
     size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n")).first()
     if not size["n"]:
         return spark.createDataFrame([], SCHEMA)
-    parts = partitions_for(spark, size["b"], range_bytes, 10_000)
+    parts = partitions_for(spark, size["b"], range_bytes)
     cuts = [i / parts for i in range(1, parts)]
     bounds = (docs.agg(F.percentile_approx("doc_id", cuts, 100 * parts).alias("c")).first()["c"] or []) if cuts else []
     # Ranges in descending order; null ids form the last one.

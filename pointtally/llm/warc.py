@@ -31,6 +31,7 @@ MIN_REVISIT_BYTES = 100
 DICT_BYTES = 64 << 10
 SAMPLE_BYTES = 2 << 20
 LEVEL = 3
+SALTS = 32
 DATE = "1970-01-01T00:00:00Z"
 
 INDEX_SCHEMA = "file string, n_records bigint, n_bytes bigint, dict_bytes bigint"
@@ -49,12 +50,17 @@ def _from_urn(text: str):
     return None if value == "null" else int(value)
 
 
-def _header_value(text: str) -> str:
-    """A URL as a header value: control characters and spaces percent-encoded."""
-    return re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", text)
+def _target(url: str) -> str:
+    """A URL as target URI: control characters and spaces percent-encoded, the rest as it is."""
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def _header_text(value: str) -> str:
+def _exact(url: str) -> str:
+    """A URL as a header of its own, from which :func:`_from_exact` gives every character back."""
+    return re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", url)
+
+
+def _from_exact(value: str) -> str:
     return re.sub(r"%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), value)
 
 
@@ -70,7 +76,9 @@ def record_bytes(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
         f"WARC-Payload-Digest: sha256:{digest}",
     ]
     if url is not None:
-        head.append(f"WARC-Target-URI: {_header_value(url)}")
+        head.append(f"WARC-Target-URI: {_target(url)}")
+        if _target(url) != url:  # not a valid URI: the row's text beside it
+            head.append(f"X-Page-URL: {_exact(url)}")
     if refers_to is not None:
         head += [f"WARC-Refers-To: {_urn(refers_to)}", f"WARC-Profile: {REVISIT_PROFILE}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
@@ -166,8 +174,12 @@ def write_warc(
         .filter((F.col("copies") > 1) & F.col("refers_to").isNotNull())
         .select("digest", "refers_to")
     )
+    # A payload's rows are spread over salts: one with very many copies fills no task.
+    salt = F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     revisits = (
-        keys.join(firsts, "digest")
+        keys.withColumn("salt", salt)
+        .join(firsts.withColumn("salt", salts), ["digest", "salt"])
         .filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
         .select(F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "refers_to")
         .distinct()
@@ -219,13 +231,15 @@ def parse_archive(stream):
             declared = int(re.search(rb"Content-Length: (\d+)", http)[1])
             refers = head.get("WARC-Refers-To")
             url = head.get("WARC-Target-URI")
+            if "X-Page-URL" in head:
+                url = _from_exact(head["X-Page-URL"])
             yield (
                 _from_urn(head["WARC-Record-ID"]),
                 declared,
                 head["WARC-Payload-Digest"].removeprefix("sha256:"),
                 head["WARC-Type"],
                 None if refers is None else _from_urn(refers),
-                None if url is None else _header_text(url),
+                url,
                 payload if head["WARC-Type"] == "response" else None,
             )
 

@@ -212,6 +212,15 @@ def test_warc_file_layout(spark):
     assert len(data) - size < plain
 
 
+def test_target_uris_are_not_encoded_twice():
+    head = lambda url: W.record_bytes(1, url, b"x", "d", None).split(b"\r\n\r\n")[0].decode().split("\r\n")
+    assert "WARC-Target-URI: http://x/a%20b?c=%C3%A9" in head("http://x/a%20b?c=%C3%A9")
+    assert not any(line.startswith("X-Page-URL") for line in head("http://x/a%20b"))
+    odd = head("http://x/a b%20c\r\nEvil: 1")
+    assert "WARC-Target-URI: http://x/a%20b%20c%0D%0AEvil:%201" in odd
+    assert "X-Page-URL: http://x/a%20b%2520c%0D%0AEvil:%201" in odd
+
+
 def test_warc_empty(spark):
     index = W.write_warc(pages(spark, []))
     assert index.collect() == [] and W.read_warc(index).collect() == []

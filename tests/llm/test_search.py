@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -345,6 +346,35 @@ def test_fingerprints_edges(spark):
     assert sorted(str(r["doc_id"]) for r in got.collect()) == ["5", "5", "5", "9", "None", "None"]
 
 
+def plain_digest(text: bytes) -> bytes:
+    """The digest by its definition, byte by byte."""
+    raw = [[b"".join(hashlib.sha256(f"{t}:{p}:{k}".encode()).digest() for k in range(8)) for p in range(3)] for t in range(6)]
+    counts = [0] * 128
+    padded = bytes(4) + text
+    for at in range(4, len(padded)):
+        for t, (i, j) in enumerate([(1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4)]):
+            a, b, c = padded[at], padded[at - i], padded[at - j]
+            counts[(raw[t][0][a] % 128) ^ (raw[t][1][b] % 128) ^ (raw[t][2][c] % 128)] += 1
+    q1, q2, q3 = (sorted(counts)[k] for k in (31, 63, 95))
+    body = bytearray(32)
+    for k, c in enumerate(counts):
+        body[k // 4] |= ((c > q1) + (c > q2) + (c > q3)) << 2 * (k % 4)
+    top = max(q3, 1)
+    length = min(round(math.log(max(len(text), 1)) / math.log(1.1)), 255)
+    ratios = (q1 * 100 // top % 16) << 4 | q2 * 100 // top % 16
+    return bytes([hashlib.blake2b(text, digest_size=1).digest()[0], length, ratios]) + bytes(body)
+
+
+def test_digests_by_definition(monkeypatch):
+    rng = random.Random(12)
+    texts = [b"", b"x", b"abc", b"\0\0\0\0\0", bytes(range(256)) * 3]
+    texts += [bytes(rng.randrange(256) for _ in range(rng.randrange(900))) for _ in range(30)]
+    want = [plain_digest(t) for t in texts]
+    assert [d.tobytes() for d in FP.digests(texts)] == want
+    monkeypatch.setattr(FP, "CHUNK_BYTES", 64)  # longer texts in segments
+    assert [d.tobytes() for d in FP.digests(texts)] == want
+
+
 def test_similar_texts_are_nearer():
     rng = random.Random(8)
     texts = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(900)) for _ in range(20)]
