@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import stored
+from pointtally.llm.common import stored, trimmed
 from pointtally.runtime import parallelism
 
 # Characters between words, and between pieces no phrase crosses.
@@ -473,7 +473,7 @@ def _shard_fn(ranges: Ranges, shard_words: int):
                     yield from flush()
         yield from flush()
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ union
@@ -513,7 +513,7 @@ def _pieces_fn(finer: Ranges):
         if held:
             yield from out()
 
-    return run
+    return trimmed(run)
 
 
 def _union_fn(least: int):
@@ -548,7 +548,7 @@ def _union_fn(least: int):
         for lang, n in words.items():
             yield row(None, None, lang, n)
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ parts
@@ -655,7 +655,7 @@ def _ask_fn(ranges: Ranges):
                 for owner in parts.owners():
                     yield _links([(owner, 1, place, parts.acceptor(owner))])
 
-    return run
+    return trimmed(run)
 
 
 def _answer_fn():
@@ -676,7 +676,7 @@ def _answer_fn():
         if owner is not None and len(owner.pairs):
             yield _links([(place, 2, place, dump([owner.longest.astype(np.uint64)]))])
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ scores
@@ -772,7 +772,7 @@ def _score_fn(ranges: Ranges, share: int, top: int | None):
         for held in best.values():
             yield from out(sorted(held, key=order)[:top])
 
-    return run
+    return trimmed(run)
 
 
 def collocations(

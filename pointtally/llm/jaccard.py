@@ -40,8 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from pointtally.llm.common import partitions_for, stored, text_runs
+from pointtally.llm.common import partitions_for, stored, text_runs, trimmed
 from pointtally.llm.words import SPACES, WordHasher, mix
+from pointtally.runtime import fits_broadcast
 
 WORDS = 5
 NUM, DEN = 80, 100
@@ -54,6 +55,8 @@ BUCKET_BYTES = 16 << 20
 LIST_BLOCK = 4096
 CELL_CLASSES = 1024
 CELL_SHINGLES = 1 << 20
+# Rows of one class that meet in a task.
+CLASS_ROWS = 50_000
 # DivideSkip: the weight of merging against probing when lists are divided.
 MU = 0.01
 
@@ -162,7 +165,7 @@ def _summary_fn(words: int, seed: int, bits: int):
             }
         )
 
-    return run
+    return trimmed(run)
 
 
 def _sum_tables(batches):
@@ -258,7 +261,7 @@ def _postings_fn(words, seed, bits, table, buckets, num, den):
                 {"bucket": pa.array(out_b, pa.int32()), "data": pa.array(out_d, pa.binary())}
             )
 
-    return run
+    return trimmed(run)
 
 
 def _unpack(data: bytes):
@@ -321,7 +324,7 @@ def _lists_fn(num, den):
                 names=["list_id", "cls", "leader"],
             )
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ cells
@@ -530,7 +533,7 @@ def _alive_fn(num, den):
         if found:
             yield out(found)
 
-    return run
+    return trimmed(run)
 
 
 CELL_SCHEMA = "cls bigint, root bigint, links bigint"
@@ -581,7 +584,7 @@ def _cells_fn(num, den):
             found += solve(rows)
         yield out(found)
 
-    return run
+    return trimmed(run)
 
 
 def _sets_fn(words, seed, bitmap, bits):
@@ -621,7 +624,7 @@ def _sets_fn(words, seed, bitmap, bits):
                     }
                 )
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ components
@@ -712,6 +715,8 @@ def _classified(
         totals = classes.agg(F.max("clash").alias("clash"), F.sum("n").alias("n")).first()
         if not totals["clash"]:
             break  # else two different sets share a class id: digest anew with other constants
+    else:
+        raise RuntimeError("different sets share a class id under every seed")
     table = spark.sparkContext.broadcast(_count_table(summary, sketch_bits))
     buckets = partitions_for(spark, (totals["n"] or 0) * (den - num) // den * 20, BUCKET_BYTES)
     packed = docs.mapInArrow(
@@ -844,7 +849,11 @@ def _classified(
             (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    rows = own.join(result, (F.col("n") > 0) & (F.col("cls") == F.col("r_cls")), "left").select(
+    told = ["doc_id", "n", "cls"]
+    worded, wordless = own.filter("n > 0").select(told), own.filter("n = 0").select(told)
+    by_class = _salted_join(worded, result, classes)
+    alone = [F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema.fields]
+    rows = by_class.unionByName(wordless.select(*told, *alone)).select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
@@ -855,6 +864,27 @@ def _classified(
     return rows, seed
 
 
+def _salted_join(worded: DataFrame, result: DataFrame, classes: DataFrame) -> DataFrame:
+    """Every row of a set with its class's ``result`` row; the rows of a class with many copies are spread over salts.
+
+    Classes above ``CLASS_ROWS`` rows are at most rows / ``CLASS_ROWS``; where
+    even those are too many to be broadcast the plain join is left to split
+    its skewed partitions.
+    """
+    many = classes.filter(F.col("mult") > CLASS_ROWS).select(
+        F.col("cls").alias("m_cls"), F.ceil(F.col("mult") / CLASS_ROWS).cast("int").alias("salts")
+    )
+    n = many.count()
+    if not n or not fits_broadcast(worded.sparkSession, n, 16):
+        return worded.join(result, F.col("cls") == F.col("r_cls"))
+    salts = F.coalesce("salts", F.lit(1))
+    tagged = worded.join(F.broadcast(many), F.col("cls") == F.col("m_cls"), "left")
+    tagged = tagged.withColumn("salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")).drop("m_cls", "salts")
+    copied = result.join(F.broadcast(many), F.col("r_cls") == F.col("m_cls"), "left")
+    copied = copied.withColumn("r_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("m_cls", "salts")
+    return tagged.join(copied, (F.col("cls") == F.col("r_cls")) & (F.col("salt") == F.col("r_salt"))).drop("salt", "r_salt")
+
+
 def _class_fn(words: int, seed: int, text_at: int):
     """Task function: the rows of its batches, all columns, with size and class of their sets."""
 
@@ -869,7 +899,7 @@ def _class_fn(words: int, seed: int, text_at: int):
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, *more], [*part.schema.names, "__n", "__cls"])
 
-    return run
+    return trimmed(run)
 
 
 def keep_one(documents: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -905,3 +935,28 @@ def keep_one(documents: DataFrame, words: int = WORDS, num: int = NUM, den: int
         .join(first, (F.col("__cls") == F.col("__c")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("__first")), "left_semi")
     )
     return out.unionAll(told.filter("__n = 0").unionAll(chosen).select(documents.columns))
+
+
+ORACLE = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT DISTINCT row, array_to_string(w[i:i + {WORDS - 1}], ' ') AS s
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - {WORDS - 1}, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sizes AS (
+  SELECT row, count(*) AS n FROM sets GROUP BY row
+), common AS (
+  SELECT a.row AS u, b.row AS v, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.row <> b.row GROUP BY ALL
+), links AS (
+  SELECT u, v FROM common JOIN sizes x ON x.row = u JOIN sizes y ON y.row = v
+  WHERE {DEN} * c >= {NUM} * (x.n + y.n - c)
+), reached AS (
+  SELECT row AS u, row AS v FROM docs UNION SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v
+), components AS (
+  SELECT u, min(doc_id) AS component_id FROM reached JOIN docs ON row = v GROUP BY u
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM docs LEFT JOIN sizes USING (row) JOIN components c ON c.u = docs.row
+  LEFT JOIN (SELECT u, count(*) AS n_links FROM links GROUP BY u) l ON l.u = docs.row
+"""

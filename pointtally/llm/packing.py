@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import text_runs
+from pointtally.llm.common import text_runs, trimmed
 from pointtally.llm.token_files import BATCH_BYTES, worker_encoder
 
 # Permitted lengths and their costs: the tokens computed, and a fixed part per sequence.
@@ -58,7 +58,7 @@ def _lengths_fn(tokenizer: str):
                 lengths = pa.array(encoder.lengths(texts) + 1, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lengths], ["doc_id", "length"])
 
-    return run
+    return trimmed(run)
 
 
 def token_lengths(documents: DataFrame, tokenizer: str) -> DataFrame:
@@ -156,7 +156,7 @@ def _pack_fn(costs: dict[int, float]):
         out = pa.Table.from_arrays(cols, names=[c.split()[0] for c in SCHEMA.split(", ")])
         yield from out.to_batches(max_chunksize=10_000)
 
-    return run
+    return trimmed(run)
 
 
 def pack(

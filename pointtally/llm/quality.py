@@ -13,13 +13,14 @@ every document in one pass.
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointtally.llm.common import stored, text_runs
+from pointtally.llm.common import stored, text_runs, trimmed
 from pointtally.llm.words import NON_ALNUM, WordHasher, mix
 
 # Insults that make a toxicity labeller fire; two overlapping labellers.
@@ -38,6 +39,8 @@ CHUNK_BYTES = 1 << 20
 L1 = (1e-3, 1e-4)
 MIN_DOCUMENTS = 2.5
 RUN_FEATURES = 500_000
+# The scorer's fit ends when no weight moves by more than SETTLED; ending by rounds above UNSETTLED is warned of.
+SETTLED, UNSETTLED = 1e-4, 0.05
 
 # Labellers of each aspect, in the order of their vote bits.
 QUALITY_LABELLERS = ("pipes", "symbols", "capitals", "shouts", "repeats", "variety", "lines")
@@ -94,13 +97,13 @@ def _votes_fn():
                 }
             )
 
-    return run
+    return trimmed(run)
 
 
 # ------------------------------------------------------------------ weak labels
 
 
-def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trust: float = 0.98):
+def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 2_000, trust: float = 0.98):
     """Expectation-maximisation over vote patterns.
 
     ``bits`` are the heuristics' votes (each fires for the class or abstains),
@@ -134,7 +137,9 @@ def fit_labellers(bits, known, counts, n_labellers: int, rounds: int = 200, trus
         rates = rates.clip(1e-6, 1 - 1e-6)
         agreed = (weighed * seen * np.where(known == 1, post, 1 - post)).sum()
         right = float(np.clip((agreed + trust * (n_known + 1)) / (2 * n_known + 1), 0.5, 1 - 1e-4))
-        prior = float(np.clip(((weighed * post).sum() + 0.1) / (weighed.sum() + 1), 1e-3, 0.5))
+        prior = float(np.clip(((weighed * post).sum() + 0.1) / (weighed.sum() + 1), 1e-3, 1 - 1e-3))
+    else:
+        warnings.warn(f"expectation-maximisation did not settle in {rounds} rounds", stacklevel=2)
     return post, rates, right, prior
 
 
@@ -186,7 +191,7 @@ def _features_fn():
                     }
                 )
 
-    return run
+    return trimmed(run)
 
 
 def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float = 0.5, l1: float = 1e-3):
@@ -213,7 +218,7 @@ def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float =
         (a, b, indices[ends[a] : ends[b]], np.repeat(np.arange(b - a, dtype=np.int32), np.diff(ends[a : b + 1])))
         for a, b in zip(cuts[:-1], cuts[1:])
     ]
-    for _ in range(rounds):
+    for round_ in range(rounds):
         g = np.zeros(dim + 1)
         for a, b, features, rows in runs:
             z = np.bincount(rows, weights=w[features], minlength=b - a) + w[dim]
@@ -222,8 +227,15 @@ def fit_scorer(indices, indptr, target, weight, rounds: int = 250, rate: float =
             g[dim] += err.sum()
         g2 += g * g
         step = rate / np.sqrt(g2)
+        before = w.copy()
         w -= step * g
         w[:dim] = np.sign(w[:dim]) * np.maximum(np.abs(w[:dim]) - step[:dim] * l1, 0)
+        moved = float(np.abs(w - before).max(initial=0.0))
+        if moved < SETTLED:
+            break
+    else:
+        if moved > UNSETTLED:
+            warnings.warn(f"the scorer still moved by {moved:.2g} in round {round_ + 1}", stacklevel=2)
     out = np.zeros((1 << FEATURE_BITS) + 1)
     out[used], out[-1] = w[:dim], w[dim]
     return out
@@ -256,7 +268,7 @@ def _score_fn(weights: np.ndarray):
                 }
             )
 
-    return run
+    return trimmed(run)
 
 
 def _texts(documents: DataFrame) -> DataFrame:
@@ -372,7 +384,7 @@ def _keep_fn(weights: np.ndarray, text_at: int):
             z = scores(hasher, weights, batch.column(text_at))
             yield batch.filter(pa.array((z < 0).all(axis=1)))
 
-    return run
+    return trimmed(run)
 
 
 def keep_documents(documents: DataFrame, labels: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

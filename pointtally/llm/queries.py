@@ -87,6 +87,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_jaccard": jaccard.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
     "op7_url_filters": urls.oracle(),

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pointtally.functions.ranges import range_bucket
-from pointtally.llm.common import fresh_path, open_fs, partitions_for, stored
+from pointtally.llm.common import fresh_path, open_fs, partitions_for, stored, trimmed
 
 MAGIC, END_MAGIC, VERSION = b"TOKP", b"TOKE", 1
 HEADER, BLOCK_HEAD, FOOTER = "<4sII", "<IBII", "<QQQ4s"
@@ -471,7 +471,7 @@ def _write_fn(folder: str, tokenizer: str, block: int, percentile: float, end_id
         if writer is not None:
             writer.close()
 
-    return run
+    return trimmed(run)
 
 
 INDEX_SCHEMA = "file string, bucket int, doc_id bigint, file_start bigint, n_tokens bigint"
@@ -493,13 +493,16 @@ def write_tokens(
     counts as empty (its only id is the end id); rows of equal ``doc_id`` are
     ordered by text, null ids come first; an empty table writes no file.
     ``tokenizer`` is the path of a tokenizers file, present on every executor.
+    Ranges are ``range_bytes`` on average, up to 100,000 of them; tasks stream
+    theirs, so a larger range or a very long text costs time and, for the text,
+    memory in proportion to it alone.
     """
     spark = documents.sparkSession
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    parts = partitions_for(spark, size, range_bytes, 10_000)
+    parts = partitions_for(spark, size, range_bytes)
     cuts = [i / parts for i in range(1, parts)]
     bounds = (docs.agg(F.percentile_approx("doc_id", cuts, 100 * parts).alias("c")).first()["c"] or []) if cuts else []
     bounds = sorted(set(bounds))
@@ -559,7 +562,7 @@ def _read_fn(with_ids: bool):
                 data["ids"] = pa.array(ids_out, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_pydict(data)
 
-    return run
+    return trimmed(run)
 
 
 def read_tokens(index: DataFrame, with_ids: bool = False) -> DataFrame:

@@ -105,6 +105,8 @@ def near_copies(n, seed):
 
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components(spark, small, monkeypatch):
+    if small:
+        monkeypatch.setattr(J, "CLASS_ROWS", 2)
     if small:  # many blocks, split lists, long lists probed
         monkeypatch.setattr(J, "CELL_CLASSES", 3)
         monkeypatch.setattr(J, "LIST_BLOCK", 4)
