@@ -28,7 +28,7 @@ from pointtally.llm.words import NON_ALNUM, WordHasher, mix
 
 WINDOW = 13
 SAMPLE = 8
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 18
 SHARD_DOCS = 100_000
 CHUNK_BYTES = 2 << 20
 LOCATE_ROWS = 1 << 20
@@ -61,7 +61,10 @@ class Windows:
         fresh = np.ones(len(rows), bool)
         fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1) | (lengths[1:] != lengths[:-1])
         number = np.cumsum(fresh) - 1
-        self.hashes, self.lengths = rows[fresh].astype(np.uint64), lengths[fresh]
+        self.lengths = lengths[fresh]
+        self.words, places = np.unique(rows[fresh], return_inverse=True)  # also the padding
+        self.places = places.reshape(len(self.lengths), window)
+        self.pad = np.arange(window) >= self.lengths[:, None]
         pairs = np.unique(number * max(len(items), 1) + owner)
         held, holder = np.divmod(pairs, max(len(items), 1))
         self.owners = holder
@@ -75,11 +78,11 @@ class Windows:
     def symbols(self, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(window numbers, symbols)`` of the windows all of whose words a sorted vocabulary holds; symbols from 1."""
         if not len(vocabulary) or not len(self.lengths):
-            return np.zeros(0, np.int64), np.zeros((0, self.hashes.shape[1]), np.int64)
-        at = np.minimum(np.searchsorted(vocabulary, self.hashes), len(vocabulary) - 1)
-        pad = np.arange(self.hashes.shape[1]) >= self.lengths[:, None]
-        known = ((vocabulary[at] == self.hashes) | pad).all(axis=1)
-        return np.flatnonzero(known), np.where(pad, 0, at + 1)[known]
+            return np.zeros(0, np.int64), np.zeros((0, self.places.shape[1]), np.int64)
+        at = np.minimum(np.searchsorted(vocabulary, self.words), len(vocabulary) - 1)
+        symbol = np.where(vocabulary[at] == self.words, at + 1, 0)[self.places]
+        known = np.flatnonzero(((symbol > 0) | self.pad).all(axis=1))
+        return known, np.where(self.pad, 0, symbol)[known]
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:

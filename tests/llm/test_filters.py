@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import collections
 import html
+import math
 import random
 import re
 import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF
@@ -445,6 +447,95 @@ def test_labellers_are_weighed_by_overlap():
     assert post[(1, -1)] > 0.9 and post[(2, -1)] < 0.4 and right > 0.9 and abs(prior - 0.2) < 0.05
 
 
+def plain_em(votes, rounds=2000):
+    """Expectation-maximisation document by document: ``votes`` of (fired labellers, known label or None)."""
+    n_known = sum(k is not None for _, k in votes)
+    prior, right, rates = 0.1, 0.98, [[0.02, 0.3] for _ in votes[0][0]]
+    post = [0.0] * len(votes)
+    for _ in range(rounds):
+        fresh = []
+        for fired, known in votes:
+            odds = math.log(prior / (1 - prior)) + sum(math.log(r[1] / r[0]) for r, f in zip(rates, fired) if f)
+            if known is not None:
+                odds += (1 if known else -1) * math.log(right / (1 - right))
+            fresh.append(1 / (1 + math.exp(-odds)))
+        if max(abs(a - b) for a, b in zip(fresh, post)) < 1e-9:
+            post = fresh
+            break
+        post = fresh
+        heard = [1.0 if k is not None or not n_known else Q.UNKNOWN_WEIGHT for _, k in votes]
+        for y in (0, 1):
+            w = [h * (p if y else 1 - p) for h, p in zip(heard, post)]
+            for j, r in enumerate(rates):
+                total = sum(x for x, (fired, _) in zip(w, votes) if fired[j])
+                r[y] = min(max((total + 2 * (0.02, 0.3)[y]) / (sum(w) + 2), 1e-6), 1 - 1e-6)
+        agreed = sum(p if k else 1 - p for p, (_, k) in zip(post, votes) if k is not None)
+        right = min(max((agreed + 0.98 * (n_known + 1)) / (2 * n_known + 1), 0.5), 1 - 1e-4)
+        counted = [p for p, (_, k) in zip(post, votes) if k is not None or not n_known]
+        prior = min(max((sum(counted) + 0.1) / (len(counted) + 1), 1e-3), 1 - 1e-3)
+    return post, rates, right, prior
+
+
+@pytest.mark.parametrize("share,with_known", [(0.2, True), (0.8, True), (0.3, False)])
+def test_expectation_maximisation_by_definition(share, with_known):
+    rng = random.Random(int(share * 10))
+    votes = []
+    for _ in range(400):
+        y = rng.random() < share
+        fired = tuple(int(rng.random() < (hit if y else miss)) for hit, miss in ((0.8, 0.05), (0.6, 0.1), (0.3, 0.3)))
+        votes.append((fired, int(y) if with_known and rng.random() < 0.4 else None))
+    c = collections.Counter((sum(f << k for k, f in enumerate(fired)), -1 if known is None else known) for fired, known in votes)
+    keys = list(c)
+    post, rates, right, prior = Q.fit_labellers([k[0] for k in keys], [k[1] for k in keys], [c[k] for k in keys], 3)
+    want, want_rates, want_right, want_prior = plain_em(votes)
+    got = dict(zip(keys, post))
+    for (fired, known), p in zip(votes, want):
+        assert got[sum(f << k for k, f in enumerate(fired)), -1 if known is None else known] == pytest.approx(p, abs=1e-6)
+    assert rates == pytest.approx(np.array(want_rates), abs=1e-6)
+    assert (right, prior) == pytest.approx((want_right, want_prior), abs=1e-6)
+    if share > 0.5:  # most documents in the class: the prior follows
+        assert prior > 0.7
+
+
+def test_fits_that_do_not_settle_say_so():
+    with pytest.warns(UserWarning, match="did not settle"):
+        Q.fit_labellers([0, 1, 3], [-1, -1, 1], [50, 30, 5], 2, rounds=2)
+    one = np.zeros(20, np.int64)
+    with pytest.warns(UserWarning, match="still moved"):
+        Q.fit_scorer(one, np.arange(21), np.ones(20), np.ones(20), rounds=1)
+
+
+def test_lexicons_and_report(spark):
+    rng = random.Random(5)
+    plain = ["berg", "hauses", "wiesen", "flusses", "garten", "wolken"]
+    marked = [f"zorniger{x}" for x in "abc"] + [f"dummkopfes{x}" for x in "abc"] + [f"haessliche{x}" for x in "abc"]
+    rows = []
+    for k in range(120):
+        toxic = k % 4 == 0
+        words = [rng.choice(plain) for _ in range(40)] + (rng.sample(marked, 6) if toxic else [])
+        if toxic and k % 8 == 0:
+            words += ["idiot", "clown"]
+        rows.append((k, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.filter("doc_id % 3 > 0").select("doc_id", F.lit(1).alias("quality"), "toxic")
+    report = {r["labeller"]: r for r in Q.labeller_report(docs.drop("toxic"), labels).filter("aspect = 'toxic'").collect()}
+    assert set(report) == set(Q.TOXIC_LABELLERS)
+    assert report["insults"]["fired"] == 15 and report["several"]["fired"] == 0
+    for name in ("lexicon_1", "lexicon_2"):  # also where no listed insult stands
+        assert report[name]["fired"] > 25 and report[name]["right"] == report[name]["known"] > 15
+        assert report[name]["rate_inside"] > 0.6 > 0.05 > report[name]["rate_outside"]
+    none = {r["labeller"]: r["fired"] for r in Q.labeller_report(docs.drop("toxic")).collect()}
+    assert none["lexicon_1"] == none["lexicon_2"] == 0
+
+
+def test_repeated_ids_are_fitted_alike(spark):
+    rows = [(k % 9, f"text {k} " + ("you idiot you clown you scum " * 3 if k % 2 else "plain words ") * 4) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(9)], "doc_id long, quality int, toxic int")
+    first = Q.fit(df.repartition(3), labels)
+    assert (Q.fit(df.repartition(7, "text"), labels) == first).all() and first.any()
+
+
 def test_quality_on_held_out_labels(spark):
     docs = spark.read.parquet(f"{SF}/sf0.01/documents.parquet")
     labels = spark.read.parquet(f"{SF}/sf0.01/labels.parquet")
@@ -474,6 +565,7 @@ def test_quality_edges(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, name):
     from oracle_compare import _rows, duck_connection
+
     df = QUERIES[name](spark, f"{SF}/sf0.001")
     got = _rows([tuple(r) for r in df.collect()], df.columns)
     con = duck_connection(f"{SF}/sf0.001")
