@@ -734,18 +734,8 @@ def _classified(
     )
     # Clusters that meet in a list: the smaller probes the larger one's cell.
     sizes = members.groupBy("x").agg(F.count(F.lit(1)).alias("g"), F.sum("n").alias("s"))
-    met = (
-        lists.join(members.select(F.col("cls").alias("m_cls"), "x"), F.col("cls") == F.col("m_cls"))
-        .select("list_id", "x")
-        .distinct()
-        .join(sizes, "x")
-        .groupBy("list_id")
-        .agg(F.collect_list(F.struct("g", "x")).alias("xs"))
-        .filter(F.size("xs") > 1)
-        .select(F.explode(F.transform("xs", lambda a: F.struct(a.alias("a"), F.filter("xs", lambda b: b < a).alias("less")))).alias("p"))
-        .select(F.col("p.a.x").alias("home"), F.explode("p.less").alias("q"))
-        .select("home", F.col("q.x").alias("guest"))
-        .distinct()
+    met = cluster_pairs(
+        lists.join(members.select(F.col("cls").alias("m_cls"), "x"), F.col("cls") == F.col("m_cls")).select("list_id", "x"), sizes
     )
     guests = met.join(members, F.col("guest") == F.col("x")).select("home", "cls", "rep", "mult", "n")
     probes = guests.groupBy("home").agg(F.count(F.lit(1)).alias("pg"), F.sum("n").alias("ps"))
@@ -864,6 +854,28 @@ def _classified(
     return rows, seed
 
 
+def cluster_pairs(seen: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(home, guest)``: clusters that meet in a list, from ``(list_id, x)`` and ``(x, g, s)``; the guest is the smaller.
+
+    Lists that hold the same clusters (the shingles of one template) count
+    once, and a list's pairs are made one home at a time.
+    """
+    return (
+        seen.distinct()
+        .join(sizes.select("x", "g"), "x")
+        .groupBy("list_id")
+        .agg(F.array_sort(F.collect_list(F.struct("g", "x"))).alias("xs"))
+        .filter(F.size("xs") > 1)
+        .select("xs")
+        .distinct()
+        .select("xs", F.posexplode("xs").alias("at", "a"))
+        .filter("at > 0")
+        .select(F.col("a.x").alias("home"), F.explode(F.slice("xs", F.lit(1), F.col("at"))).alias("q"))
+        .select("home", F.col("q.x").alias("guest"))
+        .distinct()
+    )
+
+
 def _salted_join(worded: DataFrame, result: DataFrame, classes: DataFrame) -> DataFrame:
     """Every row of a set with its class's ``result`` row; the rows of a class with many copies are spread over salts.
 

@@ -117,6 +117,29 @@ def test_jaccard_components(spark, small, monkeypatch):
     assert got == linked_components(docs)
 
 
+def test_cluster_pairs_of_templates_are_few(spark):
+    # a grid of heads and bodies: every head's shingles list one document of each body's cluster
+    seen = spark.range(100 * 20 * 100).selectExpr("id div 100 AS list_id", "id % 100 AS x")
+    sizes = spark.range(100).selectExpr("id AS x", "100 AS g", "1000 AS s")
+    pairs = J.cluster_pairs(seen, sizes)
+    assert pairs.count() == pairs.filter("guest < home").count() == 100 * 99 // 2
+    made = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert made.index("slice") < made.index("collect_list")  # pairs come from distinct lists
+    mixed = spark.createDataFrame([(1, 5), (1, 6), (1, 5), (2, 6), (2, 7), (3, 7), (3, 6), (4, 5)], "list_id long, x long")
+    few = J.cluster_pairs(mixed, spark.createDataFrame([(5, 2, 0), (6, 1, 0), (7, 2, 0)], "x long, g long, s long"))
+    assert sorted(map(tuple, few.collect())) == [(5, 6), (7, 6)]
+
+
+def test_template_grid(spark):
+    words = lambda kind, k: " ".join(f"{kind}{k}w{j}" for j in range(30))
+    docs = [(h * 12 + b, words("h", h) + " " + words("b", b)) for h in range(12) for b in range(12)]
+    docs += [(1000 + k, t) for k, t in docs[:5]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in J.jaccard_components(df).collect()}
+    want = {i: (i % 1000, 1 if i % 1000 < 5 else 0) for i, _ in docs}
+    assert got == want
+
+
 def test_jaccard_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert J.jaccard_components(df).collect() == []
