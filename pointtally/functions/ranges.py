@@ -28,6 +28,8 @@ def range_bucket(col: Column, bounds: Sequence[int]) -> Column:
     return F.when(col.isNotNull(), F.greatest(c - 1, F.lit(0)) * step + F.least(c, F.lit(1)) + fine)
 
 
+# Weight below which a range is not cut further.
+LEAST_RANGE = 10_000
 # Steps of an octave that totals are kept for, and times that a dense range is looked at again.
 STEPS, LOOKS = 256, 8
 
@@ -58,7 +60,7 @@ def range_totals(keyed: DataFrame, ranges: int) -> list[tuple[int | None, int]]:
     out = [(None, w) for low, _, w in steps if low is None]
     steps = [s for s in steps if s[0] is not None]
     total = sum(w for *_, w in steps)
-    share = total / ranges
+    share = max(total / ranges, min(LEAST_RANGE, total))
     for _ in range(LOOKS):
         dense = [s for s in steps if s[2] > 4 * share and s[0] < s[1]]
         if not dense:

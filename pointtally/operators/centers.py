@@ -404,6 +404,7 @@ def farthest_first(
     with_shape: bool = False,
     storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     driver_groups: int = DRIVER_GROUPS,
+    most_groups: int | None = None,
 ):
     """Farthest-first traversal: ``k`` centers per group, in order of choice.
 
@@ -412,6 +413,7 @@ def farthest_first(
     ``pmod(id, L)``) every group gets its own ``k`` centers (the coreset
     round).  ``strict`` (default: whole set only) raises when a group has fewer
     than ``k`` points to choose; otherwise such a group returns all of them.
+    ``most_groups`` is a known bound of the number of groups.
 
     Returns ``(part, pos, id, v)``; with ``with_shape`` also ``(number of
     centers, dim)``.
@@ -429,7 +431,9 @@ def farthest_first(
     base = _state_base(points, part)
     if storage_level is not None:
         base = base.persist(storage_level)
-    firsts = found = _firsts(base, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    firsts = found = _firsts(base, seed)
+    if (1 if part is None else most_groups or driver_groups + 1) > driver_groups:
+        found.persist(StorageLevel.MEMORY_AND_DISK)  # so that many groups are not counted twice
     try:
         rows = firsts.limit(driver_groups + 1).collect()
         few = len(rows) <= driver_groups

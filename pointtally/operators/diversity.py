@@ -217,9 +217,10 @@ def coreset(
     """
     if groups <= 0:
         raise ValueError(f"number of groups must be positive, got {groups}")
+    most = groups if part is None else None
     if part is None:
         part = F.pmod(F.col("id"), F.lit(groups))
-    return farthest_first(points, k, part=part, seed=seed, strict=False, with_shape=with_shape)
+    return farthest_first(points, k, part=part, seed=seed, strict=False, with_shape=with_shape, most_groups=most)
 
 
 def diversity_maximization(

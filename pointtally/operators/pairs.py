@@ -36,8 +36,8 @@ TILE_ROWS, TILE_COLS = 64, 4096
 PRODUCT_ROWS, PRODUCT_COLS = 256, 2048
 # Pairs whose distances are computed one by one in a run.
 PAIR_RUN = 65_536
-# Blocks smaller than this cost more in tasks than they gain.
-MIN_BLOCK_ROWS = 1024
+# Blocks smaller than this cost more in tasks than they gain, with and without sums of distances.
+MIN_BLOCK_ROWS, MIN_PRODUCT_ROWS = 1024, 4096
 # Partitions of the block pairs, per task slot.
 PARTITIONS_PER_SLOT = 8
 
@@ -284,10 +284,11 @@ def block_rows(dim: int) -> int:
     return max(1, KERNEL_BLOCK_BYTES // (8 * max(dim, 1)))
 
 
-def kernel_blocks(spark, n: int, dim: int) -> int:
+def kernel_blocks(spark, n: int, dim: int, with_sum: bool = False) -> int:
     """Blocks for ``n`` points: as few as memory allows, but several block pairs per task slot."""
     by_tasks = math.ceil(math.sqrt(PARTITIONS_PER_SLOT * parallelism(spark)))
-    return max(1, min(by_tasks, math.ceil(n / MIN_BLOCK_ROWS)), math.ceil(n / block_rows(dim)))
+    least = MIN_BLOCK_ROWS if with_sum else MIN_PRODUCT_ROWS
+    return max(1, min(by_tasks, math.ceil(n / least)), math.ceil(n / block_rows(dim)))
 
 
 def kernel_partitions(spark, nb: int) -> int:
@@ -308,7 +309,7 @@ def pair_groups(
     every distance is NaN), ``sum_d`` the sum of distances (0 unless
     ``with_sum``).
     """
-    nb = blocks or kernel_blocks(points.sparkSession, n, dim)
+    nb = blocks or kernel_blocks(points.sparkSession, n, dim, with_sum)
     return every_pair(hashed_blocks(points, nb), nb).mapInArrow(kernel_fn(dim, with_sum), GROUP_SCHEMA)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from py4j.protocol import Py4JJavaError
 
 from pointtally.functions import java_space_split
+from pointtally.functions import ranges as R
 from pointtally.functions.ranges import range_bucket, with_start
 from pointtally.operators import text_document_count
 from pointtally.sources import (
@@ -77,6 +78,30 @@ def test_with_start_sums_in_key_order(spark):
     assert with_start(df.limit(0), "at", F.col("x"), ["x"]).count() == 0
 
 
+def test_ranges_follow_dense_keys(spark, monkeypatch):
+    monkeypatch.setattr(R, "LEAST_RANGE", 1)
+    keys = [1_700_000_000_000 + k for k in range(3000)] + [-(2**63), -7, -7, 0, 2**63 - 1] + [42] * 400 + [None, None]
+    df = spark.createDataFrame([(k,) for k in keys], "x bigint").repartition(4)
+    keyed = df.select(F.col("x").alias("__pt_key"), F.lit(1).cast("bigint").alias("__pt_w"))
+    totals = R.range_totals(keyed, 20)
+    assert sum(w for _, w in totals) == len(keys) and totals[0] == (None, 2)
+    lows = [low for low, _ in totals[1:]]
+    assert lows == sorted(lows) and lows[0] == -(2**63)
+    assert max(w for low, w in totals if low != 42) <= 4 * len(keys) / 20  # one key cannot be cut
+    got = with_start(df, "at", F.col("x"), ["x"], ranges=20).collect()
+    assert sorted(r["at"] for r in got) == list(range(len(keys)))
+    order = sorted(got, key=lambda r: r["at"])
+    assert [r["x"] for r in order] == sorted(keys, key=lambda k: (k is not None, k))
+
+
+def test_key_steps_rise_with_keys(spark):
+    keys = sorted({s * (2**e + d) for e in range(62) for d in (-1, 0, 1) for s in (-1, 1)} | {2**63 - 1, -(2**63)})
+    df = spark.createDataFrame([(k,) for k in keys], "x bigint")
+    rows = df.select("x", R.key_step(F.col("x")).alias("s")).orderBy("x").collect()
+    steps = [r["s"] for r in rows]
+    assert steps == sorted(steps) and all(r["s"] == r["x"] for r in rows if abs(r["x"]) < R.STEPS)
+
+
 def test_range_bucket(spark):
     bounds = [3, 5, 8, 13, 21, 34, 55]
     got = spark.range(-2, 60).select("id", range_bucket(F.col("id"), bounds).alias("b")).collect()
