@@ -175,26 +175,20 @@ def adaptive_limits(sketch: DataFrame, least_docs: int = LEAST_DOCS) -> DataFram
     own = limits(sketch, "lang", "source")
     by_lang = limits(merged(sketch, "lang"), "lang")
     names = [c for c in own.columns if c not in ("lang", "source", "n")]
-    of_all = limits(merged(sketch))
+    total = limits(merged(sketch)).first()  # one row of numbers
+    lang = by_lang.select(*[F.col(c).alias(f"lang_{c}") for c in by_lang.columns])
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_lang")))
 
-    def renamed(df: DataFrame, tag: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
+    def chosen(source: Column, by_lang: Column, of_all: Column) -> Column:
+        enough = F.when(F.col("n") >= least_docs, source).when(F.col("lang_n") >= least_docs, by_lang)
+        return enough.otherwise(of_all)
 
-    lang, total = renamed(by_lang, "lang"), renamed(of_all, "all")
-    # One row of totals: the join makes no more rows than there are groups.
-    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("lang_lang"))).join(F.broadcast(total), F.lit(True))
     return joined.select(
         "lang",
         "source",
-        F.when(F.col("n") >= least_docs, "source")
-        .when(F.col("lang_n") >= least_docs, "lang")
-        .otherwise("all")
-        .alias("limits_of"),
+        chosen(F.lit("source"), F.lit("lang"), F.lit("all")).alias("limits_of"),
         *[
-            F.when(F.col("n") >= least_docs, F.col(c))
-            .when(F.col("lang_n") >= least_docs, F.col(f"lang_{c}"))
-            .otherwise(F.col(f"all_{c}"))
-            .alias(c)
+            chosen(F.col(c), F.col(f"lang_{c}"), F.lit(None if total is None else total[c]).cast("bigint")).alias(c)
             for c in names
         ],
     )
