@@ -3,25 +3,20 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pointtally.runtime import scratch_dir
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session, else its checkpoint folder.
 
-    Only where neither the setting nor a checkpoint folder exists (local tests)
-    is a folder of our own made and set.
+    Where neither is set, a session in one process (tests) gets a folder of its
+    own; on a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-shared-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    return named.rstrip("/") if named else scratch_dir(spark)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -40,11 +40,6 @@ def default_costs(capacities=CAPACITIES) -> dict[int, float]:
     return {int(c): float(c + SEQUENCE_COST) for c in capacities}
 
 
-def word_tokens(text: Column) -> Column:
-    """Length of a text in this packing: its words (runs without ASCII white space) and one end id."""
-    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint") + 1
-
-
 def _lengths_fn(tokenizer: str):
     def run(batches):
         import os
@@ -169,23 +164,21 @@ def pack(
     """Place every document: ``SCHEMA`` rows, one per piece, ``start`` and ``length`` in tokens of the document.
 
     A bin is ``(shard, bin)`` with its final ``capacity``; a piece stands at
-    ``offset`` in it.  With ``tokenizer`` lengths are :func:`token_lengths`;
-    otherwise ``length`` is a column over ``documents`` (default:
-    :func:`word_tokens` of ``text``); null and negative lengths count as 0, and
-    a document of length 0 is one piece of length 0.  Repeated rows and null
-    ids are placed like any other row; ties go by ``doc_id``; other columns are
-    ignored; an empty table gives no rows.
+    ``offset`` in it.  Either ``tokenizer`` is given, and lengths are
+    :func:`token_lengths`, or ``length``, a column over ``documents``; null and
+    negative lengths count as 0, and a document of length 0 is one piece of
+    length 0.  Repeated rows and null ids are placed like any other row; ties
+    go by ``doc_id``; other columns are ignored; an empty table gives no rows;
+    a text of any length is encoded whole and cut into full sequences and a rest.
     """
     costs = {int(c): float(v) for c, v in (costs or default_costs()).items()}
     if not costs or min(costs) < 1:
         raise ValueError("capacities must be positive")
-    if length is not None and tokenizer is not None:
+    if (length is None) == (tokenizer is None):
         raise ValueError("either a length or a tokenizer")
     shards = max(1, math.ceil(documents.count() / shard_items))
     if tokenizer is not None:
         documents, length = token_lengths(documents, tokenizer), F.col("length")
-    elif length is None:
-        length = word_tokens(F.col("text"))
     items = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.greatest(F.coalesce(length.cast("bigint"), F.lit(0)), F.lit(0)).alias("length"),

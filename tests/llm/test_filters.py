@@ -412,8 +412,9 @@ def test_pack(spark):
     docs = [(k, " ".join("w" * rng.randrange(1, 30))) for k in range(80)] + [(200, "w " * 25), (201, None), (201, ""), (5, "x"), (None, "y z")]
     df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS length", "2 AS bin")
     costs = {4: 5.0, 8: 9.0, 10: 11.0}
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\S+")) + 1
     for shard_items in (1000, 20):
-        rows = PK.pack(df, costs=costs, shard_items=shard_items).collect()
+        rows = PK.pack(df, words, costs, shard_items).collect()
         total = collections.Counter()
         used = collections.defaultdict(list)
         for r in rows:
@@ -427,7 +428,9 @@ def test_pack(spark):
         assert len({k[:2] for k in used}) == len(used)
         for (_, _, capacity), spans in used.items():
             assert max(e for _, e in spans) <= capacity and sum(e - s for s, e in spans) == max(e for _, e in spans)
-    assert PK.pack(df.limit(0)).collect() == []
+    assert PK.pack(df.limit(0), words).collect() == []
+    with pytest.raises(ValueError):
+        PK.pack(df)  # neither lengths nor a tokenizer
 
 
 # ------------------------------------------------------------------ quality
