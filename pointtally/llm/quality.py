@@ -2,10 +2,7 @@
 
 Two aspects are modelled alike, low quality and toxicity.  Heuristic labellers
 vote on every document; known labels, where a table of them exists, are one
-more labeller that abstains elsewhere.  Two of the toxicity labellers are
-lexicons of word beginnings that stand out in the documents known to be toxic,
-each mined from one half of them, so they work in any language and overlap
-without being equal.  The votes of all documents are counted
+more labeller that abstains elsewhere.  The votes of all documents are counted
 by pattern (at most ``2^labellers * 3`` rows), and expectation-maximisation on
 those counts estimates each labeller's accuracy and a posterior per pattern.  A linear scorer over hashed features (words, word beginnings, shape
 buckets) is fitted to the posteriors of a bounded sample of voted documents
@@ -49,19 +46,17 @@ SETTLED, UNSETTLED = 1e-4, 0.05
 
 # Labellers of each aspect, in the order of their vote bits.
 QUALITY_LABELLERS = ("pipes", "symbols", "capitals", "shouts", "repeats", "variety", "lines")
-TOXIC_LABELLERS = ("insults", "several", "dense", "lexicon_1", "lexicon_2")
+TOXIC_LABELLERS = ("insults", "several", "dense", "addressed")
 # Different insults that make several, their share of the words that is dense.
 SEVERAL, DENSE = 3, 0.02
-# Lexicons: bytes of a word beginning, entries at most, known toxic documents an
-# entry stands in at least and how much more often than in others, and entries a
-# document must hold.
-LEXICON_BYTES, LEXICON_SIZE, LEXICON_DOCS, LEXICON_RATIO, LEXICON_HITS = 5, 400, 4, 8.0, 3
 # Shares from which the quality labellers fire; "variety" fires below its share.
 THRESHOLDS = {
     "pipes": 0.1, "symbols": 0.15, "capitals": 0.3, "shouts": 0.1, "repeats": 0.15, "variety": 0.3, "lines": 0.3,
 }
 
 _INSULTS = re.compile(rf"\b(?:{'|'.join(INSULTS)})\b")
+# An insult at most two words after one that addresses the reader.
+_ADDRESSED = re.compile(rf"\b(?:you|your|youre|you're)\b\W+(?:\w+\W+){{0,2}}?(?:{'|'.join(INSULTS)})\b")
 _SYMBOLS = re.compile(r"([#$%&*@^~=+_<>])\1\1")
 
 
@@ -82,7 +77,7 @@ def shapes(text: str) -> dict[str, float]:
 
 
 def votes(text: str) -> tuple[int, int]:
-    """Vote bits of the quality labellers and of those toxicity labellers that need no lexicon."""
+    """Vote bits of the quality and of the toxicity labellers."""
     s = shapes(text)
     q = 0
     for k, name in enumerate(QUALITY_LABELLERS):
@@ -91,112 +86,27 @@ def votes(text: str) -> tuple[int, int]:
     low = text.lower()
     found = _INSULTS.findall(low) if any(w in low for w in INSULTS) else []
     dense = bool(found) and len(found) >= DENSE * len(text.split())
-    return q, bool(found) | (len(set(found)) >= SEVERAL) << 1 | dense << 2
+    addressed = bool(found) and _ADDRESSED.search(low) is not None
+    return q, bool(found) | (len(set(found)) >= SEVERAL) << 1 | dense << 2 | addressed << 3
 
 
-def stem_rows(hasher: WordHasher, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """``(text number, feature)`` of the distinct hashed word beginnings of ``LEXICON_BYTES`` bytes."""
-    buf, starts, ends, first = hasher.split([t.encode("utf-8", "surrogatepass") for t in texts])
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(first))
-    h = hasher.hashes(buf, starts, np.minimum(ends, starts + LEXICON_BYTES))
-    distinct = np.unique(doc << FEATURE_BITS | (h >> np.uint64(64 - FEATURE_BITS)).astype(np.int64))
-    return distinct >> FEATURE_BITS, distinct & ((1 << FEATURE_BITS) - 1)
-
-
-def lexicon_votes(hasher: WordHasher, texts: list[str], lexicons: list[np.ndarray]) -> np.ndarray:
-    """Vote bits of the lexicons, from bit 3 on."""
-    out = np.zeros(len(texts), np.int64)
-    if any(len(x) for x in lexicons):
-        doc, feature = stem_rows(hasher, texts)
-        for k, lexicon in enumerate(lexicons):
-            hits = np.bincount(doc[np.isin(feature, lexicon)], minlength=len(texts))
-            out |= (hits >= LEXICON_HITS).astype(np.int64) << (3 + k)
-    return out
-
-
-def _votes_fn(lexicons: list[np.ndarray]):
+def _votes_fn():
     def run(batches):
         import pyarrow as pa
 
-        hasher = WordHasher(NON_ALNUM)
         for batch in batches:
-            q, t = [], []
-            for _, _, texts in text_runs(batch.column(1), CHUNK_BYTES):
-                got = [votes(x) for x in texts]
-                q += [g[0] for g in got]
-                t += (np.array([g[1] for g in got], np.int64) | lexicon_votes(hasher, texts, lexicons)).tolist()
+            got = [votes(t) for _, _, texts in text_runs(batch.column(1), CHUNK_BYTES) for t in texts]
             yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column(0), "q": pa.array(q, pa.int32()), "t": pa.array(t, pa.int32())}
+                {
+                    "doc_id": batch.column(0),
+                    "q": pa.array([g[0] for g in got], pa.int32()),
+                    "t": pa.array([g[1] for g in got], pa.int32()),
+                }
             )
 
     return trimmed(run)
 
 
-def _stems_fn():
-    """Task function over ``(half, toxic, text)``: documents per half, class and word beginning (-1: all)."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        hasher = WordHasher(NON_ALNUM)
-        counts = np.zeros((2, 2, (1 << FEATURE_BITS) + 1), np.int64)
-        for batch in batches:
-            group = 2 * batch.column(0).to_numpy() + batch.column(1).to_numpy()
-            for lo, hi, texts in text_runs(batch.column(2), CHUNK_BYTES):
-                doc, feature = stem_rows(hasher, texts)
-                own = group[lo:hi]
-                flat = counts.reshape(4, -1)
-                for g in range(4):
-                    flat[g, :-1] += np.bincount(feature[own[doc] == g], minlength=1 << FEATURE_BITS)
-                    flat[g, -1] += int((own == g).sum())
-        half, toxic, feature = np.nonzero(counts)
-        n = counts[half, toxic, feature]
-        feature = np.where(feature == 1 << FEATURE_BITS, -1, feature)
-        for k in range(0, len(n), 50_000):
-            arrays = [pa.array(x[k : k + 50_000], pa.int64()) for x in (half, toxic, feature, n)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["half", "toxic", "feature", "n"])
-
-    return trimmed(run)
-
-
-def mine_lexicons(documents: DataFrame, known: DataFrame) -> list[np.ndarray]:
-    """Two lexicons of hashed word beginnings, from the halves (by a hash of the id) of the documents with a known label.
-
-    An entry stands in ``LEXICON_DOCS`` toxic documents of its half or more, and
-    ``LEXICON_RATIO`` times as often as in the others; the ``LEXICON_SIZE`` with
-    the largest ratio are kept.  Without known toxic documents they are empty.
-    """
-    labelled = known.filter(F.col("toxic").isNotNull()).select("l_id", F.col("toxic").cast("bigint").alias("toxic"))
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("half")
-    counted = (
-        documents.join(labelled, F.col("doc_id") == F.col("l_id"))
-        .select(half, "toxic", "text")
-        .mapInArrow(_stems_fn(), "half bigint, toxic bigint, feature bigint, n bigint")
-        .groupBy("half", "feature")
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("inside"),
-            F.coalesce(F.sum(F.when(F.col("toxic") == 0, F.col("n"))), F.lit(0)).alias("outside"),
-        )
-    )
-    counted = stored(counted, "stems")  # at most 2 * 2^FEATURE_BITS rows
-    out = []
-    for h in (0, 1):
-        total = counted.filter((F.col("half") == h) & (F.col("feature") == -1)).first()
-        if total is None or not total["inside"]:
-            out.append(np.zeros(0, np.int64))
-            continue
-        rate = (F.col("inside") + 0.5) * (total["outside"] + 1) / ((F.col("outside") + 0.5) * (total["inside"] + 1))
-        rows = (
-            counted.filter((F.col("half") == h) & (F.col("feature") >= 0) & (F.col("inside") >= LEXICON_DOCS))
-            .select("feature", rate.alias("rate"))
-            .filter(F.col("rate") >= LEXICON_RATIO)
-            .orderBy(F.desc("rate"), "feature")
-            .limit(LEXICON_SIZE)
-        )
-        out.append(np.array(sorted(r["feature"] for r in rows.collect()), np.int64))
-    return out
-
-
 # ------------------------------------------------------------------ weak labels
 
 
@@ -381,8 +291,7 @@ def _voted(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
     known = labels.groupBy(F.col("doc_id").cast("bigint").alias("l_id")).agg(
         F.max(1 - F.col("quality").cast("int")).alias("low"), F.max(F.col("toxic").cast("int")).alias("toxic")
     )
-    run = _votes_fn(mine_lexicons(docs, known))
-    voted = stored(docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, q int, t int"), "votes")
+    voted = stored(docs.mapInArrow(_votes_fn(), "doc_id bigint, q int, t int"), "votes")
     return voted.join(known, voted.doc_id == known.l_id, "left").select(
         "doc_id",
         "q",

@@ -508,27 +508,18 @@ def test_fits_that_do_not_settle_say_so():
         Q.fit_scorer(one, np.arange(21), np.ones(20), np.ones(20), rounds=1)
 
 
-def test_lexicons_and_report(spark):
-    rng = random.Random(5)
-    plain = ["berg", "hauses", "wiesen", "flusses", "garten", "wolken"]
-    marked = [f"zorniger{x}" for x in "abc"] + [f"dummkopfes{x}" for x in "abc"] + [f"haessliche{x}" for x in "abc"]
-    rows = []
-    for k in range(120):
-        toxic = k % 4 == 0
-        words = [rng.choice(plain) for _ in range(40)] + (rng.sample(marked, 6) if toxic else [])
-        if toxic and k % 8 == 0:
-            words += ["idiot", "clown"]
-        rows.append((k, " ".join(words), int(toxic)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    labels = docs.filter("doc_id % 3 > 0").select("doc_id", F.lit(1).alias("quality"), "toxic")
-    report = {r["labeller"]: r for r in Q.labeller_report(docs.drop("toxic"), labels).filter("aspect = 'toxic'").collect()}
-    assert set(report) == set(Q.TOXIC_LABELLERS)
-    assert report["insults"]["fired"] == 15 and report["several"]["fired"] == 0
-    for name in ("lexicon_1", "lexicon_2"):  # also where no listed insult stands
-        assert report[name]["fired"] > 25 and report[name]["right"] == report[name]["known"] > 15
-        assert report[name]["rate_inside"] > 0.6 > 0.05 > report[name]["rate_outside"]
-    none = {r["labeller"]: r["fired"] for r in Q.labeller_report(docs.drop("toxic")).collect()}
-    assert none["lexicon_1"] == none["lexicon_2"] == 0
+def test_toxicity_labellers_differ(spark):
+    filler = "some plain words in a row " * 40
+    texts = ["a clown came by " + filler, "clown idiot scum " + filler, "idiot clown scum", "you are an idiot " + filler, filler, None, ""]
+    assert [Q.votes(t or "")[1] for t in texts] == [0b0001, 0b0011, 0b0111, 0b1001, 0, 0, 0]
+    rows = [(k, texts[k % 7]) for k in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.filter("doc_id % 2 = 0").selectExpr("doc_id", "1 AS quality", "int(doc_id % 7 < 4) AS toxic")
+    report = {r["labeller"]: r for r in Q.labeller_report(docs, labels).filter("aspect = 'toxic'").collect()}
+    assert list(report) == list(Q.TOXIC_LABELLERS)
+    assert [report[name]["fired"] for name in Q.TOXIC_LABELLERS] == [40, 20, 10, 10]
+    assert all(r["right"] == r["known"] > 0 and r["rate_inside"] > r["rate_outside"] for r in report.values())
+    assert {r["known"] for r in Q.labeller_report(docs).collect()} == {0}
 
 
 def test_repeated_ids_are_fitted_alike(spark):
