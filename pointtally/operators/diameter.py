@@ -15,6 +15,7 @@ A NaN distance is never the largest on any path; an average over one is NaN.
 
 from __future__ import annotations
 
+import heapq
 import math
 import sys
 
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 import pointtally.functions.arrow as arrow_fns
 from pointtally.functions.hashing import seeded_order_key
 from pointtally.functions.ranges import with_start
-from pointtally.operators.pairs import GROUP_SCHEMA, PARTITIONS_PER_SLOT, block_rows, chosen_pairs, kernel_fn, pair_summary
-from pointtally.runtime import broadcast_budget, materialize, parallelism, point_bytes
+from pointtally.operators.pairs import PARTITIONS_PER_SLOT, _block_pair, block_rows, block_side, grouped_fn, kernel_blocks, pair_summary, side_copies
+from pointtally.runtime import broadcast_budget, fits_broadcast, materialize, parallelism, point_bytes
 from pointtally.sources.text import validate_points
 
 # Task functions defined here travel by value (executors need no copy of the package).
@@ -204,6 +205,57 @@ def _survivors_fn(pivots: np.ndarray, reach: np.ndarray, alive: np.ndarray, lowe
     return run
 
 
+SEARCH_SCHEMA = "d2 double, computed bigint"
+
+
+def _search_fn(dim: int, bounds: np.ndarray, pivot_of: np.ndarray, pack_of: np.ndarray, turn: float, near: bool, lower: float):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``, where ``ki`` and ``kj`` are packs of
+    blocks: ``SEARCH_SCHEMA`` rows, the largest squared distance above ``lower`` and the block pairs computed.
+
+    Block pairs whose bound is at least ``turn`` (with ``near``: below it) are
+    taken farthest bound first, until it does not exceed the longest distance found.
+    """
+
+    def solve(ki, kj, table):
+        ids, blk = table.column("id").to_numpy(), table.column("b").to_numpy()
+        vecs = arrow_fns.column_matrix(table.column("v"), dim)
+        sides = {int(b): block_side(ids, vecs, np.flatnonzero(blk == b)) for b in np.unique(blk)}
+        todo = []
+        for a in sides:
+            for b in sides:
+                bound = float(bounds[pivot_of[a], pivot_of[b]])
+                here = (pack_of[a], pack_of[b]) == (ki, kj) and (ki != kj or a <= b)
+                if here and near == (bound < turn):
+                    todo.append((-bound, a, b))
+        best, found, computed = lower, None, 0
+        for bound, a, b in sorted(todo):
+            if -bound <= math.sqrt(max(best, 0.0)):
+                break
+            d2 = _block_pair(*sides[a], *sides[b], a == b, False, best)[0]
+            computed += 1
+            if d2 is not None:
+                found = d2 if found is None else max(found, d2)
+                best = max(best, d2)
+        return found, computed
+
+    def out(pa, rows):
+        d2, computed = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(d2, pa.float64()), pa.array(computed, pa.int64())], names=["d2", "computed"])
+
+    return grouped_fn(solve, out)
+
+
+def packed(sizes: dict[int, int], packs: int) -> dict[int, int]:
+    """A pack for every block, such that the packs are about equally large (the largest block goes to the least pack first)."""
+    heap = [(0, p) for p in range(packs)]
+    out = {}
+    for b in sorted(sizes, key=lambda b: (-sizes[b], b)):
+        total, p = heapq.heappop(heap)
+        out[b] = p
+        heapq.heappush(heap, (total + sizes[b], p))
+    return out
+
+
 def diameter_search(
     points: DataFrame, n: int, dim: int, pivots: int = PIVOTS, block: int | None = None
 ) -> tuple[float, dict[str, int]]:
@@ -213,16 +265,18 @@ def diameter_search(
     Pivots are some farthest-first centers, whose distances to all points give
     a first lower bound, and a seeded sample.  One pass gathers the blocks'
     statistics, a second keeps the points that can matter; what reaches the
-    driver is a row per pivot.  A block of more than ``block`` points is cut by
-    a hash of the id.  Block pairs are then computed in rounds, farthest bound
-    first; a round raises the lower bound for the next.  The answer is exact:
-    a pair is left out only where its bound, with ``PRUNE_SLACK`` for
-    rounding, does not exceed a distance found.
+    driver is a row per pivot.  Blocks are put into as few packs as the plain
+    block kernel has blocks (at most ``block`` points on average); a larger
+    block is cut by a hash of the id.  A task gets the points of a pair of packs
+    once, for all block pairs between them: however many blocks there are, a
+    point is copied once per pack at most.  Block pairs are computed in two
+    rounds, those of the farthest bounds first, which raises the lower bound
+    for the others.  The answer is exact: a pair is left out only where its
+    bound, with ``PRUNE_SLACK`` for rounding, does not exceed a distance found.
     """
     from pointtally.operators.centers import farthest_first
 
     spark = points.sparkSession
-    per_block = block or block_rows(dim)
     pts = points.select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v"))
     pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -256,10 +310,16 @@ def diameter_search(
     finally:
         pts.unpersist()
     sizes = {r["k"]: r["count"] for r in kept.groupBy("k").count().collect()}
+    left = sum(sizes.values())
+    packs = max(1, kernel_blocks(spark, left, dim), -(-left // (block or block_rows(dim))))
+    per_block = -(-left // packs) or block or block_rows(dim)
     cuts = {k: -(-m // per_block) for k, m in sizes.items()}
     starts, total = {}, 0
     for k in sorted(cuts):
         starts[k], total = total, total + cuts[k]
+    pack = packed({starts[k] + i: sizes[k] // cuts[k] for k in cuts for i in range(cuts[k])}, packs)
+    pivot_of = np.repeat(sorted(cuts), [cuts[k] for k in sorted(cuts)]).astype(np.int64)
+    pack_of = np.asarray([pack[b] for b in range(total)], np.int64)
     todo = [
         (float(bounds[a, b]), starts[a] + i, starts[b] + j)
         for a in sorted(cuts)
@@ -275,23 +335,29 @@ def diameter_search(
         many = F.create_map(*[F.lit(x) for k in sorted(cuts) for x in (k, cuts[k])])
         block_of = F.element_at(first, F.col("k")) + F.pmod(F.xxhash64("id"), F.element_at(many, F.col("k")))
         placed = kept.select("id", "v", block_of.cast("bigint").alias("b"))
-        batch = PARTITIONS_PER_SLOT * parallelism(spark)
-        while done < len(todo) and not todo[done][0] <= math.sqrt(max(best, 0.0)):
-            now = [t for t in todo[done : done + batch] if not t[0] <= math.sqrt(max(best, 0.0))]
-            keys = spark.createDataFrame(
-                [(a, b, s) for s, (_, a, b) in enumerate(now)], "ki bigint, kj bigint, slot bigint"
+        # Block pairs of equal bounds are in the same round.
+        turn = todo[min(len(todo), PARTITIONS_PER_SLOT * parallelism(spark)) - 1][0]
+        for near in (False, True):
+            now = [t for t in todo if near == (t[0] < turn) and not t[0] <= math.sqrt(max(best, 0.0))]
+            if not now:
+                continue
+            needs = {(*sorted((pack[a], pack[b])), x) for _, a, b in now for x in (a, b)}
+            slots = {key: s for s, key in enumerate(sorted({need[:2] for need in needs}))}
+            sides = spark.createDataFrame(
+                [(*need[:2], slots[need[:2]], need[2]) for need in sorted(needs)], "ki bigint, kj bigint, slot bigint, kb bigint"
             )
+            if fits_broadcast(spark, len(needs), 40):
+                sides = F.broadcast(sides)
             got = (
-                chosen_pairs(placed, keys, min(len(now), PARTITIONS_PER_SLOT * parallelism(spark)))
-                .mapInArrow(kernel_fn(dim, False, best), GROUP_SCHEMA)
-                .agg(F.max("d2"))
-                .first()[0]
+                side_copies(placed, sides, min(len(slots), PARTITIONS_PER_SLOT * parallelism(spark)))
+                .mapInArrow(_search_fn(dim, bounds, pivot_of, pack_of, turn, near, best), SEARCH_SCHEMA)
+                .agg(F.max("d2").alias("d2"), F.sum("computed").alias("computed"))
+                .first()
             )
-            best = best if got is None else max(best, got)
-            done += len(now)
-            batch *= 2
+            best = best if got["d2"] is None else max(best, got["d2"])
+            done += got["computed"] or 0
     blocks = sum(-(-r["n"] // per_block) for r in stats)
-    counts = {"survivors": sum(sizes.values()), "block_pairs": blocks * (blocks + 1) // 2, "computed": done}
+    counts = {"survivors": left, "block_pairs": blocks * (blocks + 1) // 2, "computed": done}
     return (math.sqrt(best) if best >= 0 else -1.0), counts
 
 

@@ -165,29 +165,12 @@ def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool, least: float = -1.
     return d2, i, j, total, count
 
 
-def _pairs_fn(dim: int, reduce, out):
-    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``.
-
-    ``reduce(ids, coordinates, ids, coordinates, same block)`` solves a block
-    pair, ``out(pyarrow, rows)`` makes a record batch of ``(ki, kj, *result)``.
-    """
+def grouped_fn(solve, out):
+    """Task function over rows sorted by ``(ki, kj)``: ``solve(ki, kj, their table)`` is a row, ``out(pyarrow, rows)`` a record batch."""
 
     def run(batches):
         import pyarrow as pa
 
-        def solve(key, parts):
-            table = pa.Table.from_batches(parts)
-            ids = table.column("id").to_numpy()
-            blk = table.column("b").to_numpy()
-            vecs = arrow_fns.column_matrix(table.column("v"), dim)
-            ki, kj = key
-            sides = []
-            for side in (blk == ki, blk == kj):
-                rows = np.flatnonzero(side)
-                rows = rows[np.argsort(ids[rows], kind="stable")]
-                sides += [ids[rows], arrow_fns.columns_of(vecs[rows])]
-            return (ki, kj, *reduce(*sides, ki == kj))
-
         key, parts = None, []
         for batch in batches:
             if not batch.num_rows:
@@ -198,15 +181,37 @@ def _pairs_fn(dim: int, reduce, out):
                 here = (int(ki[a]), int(kj[a]))
                 if here != key:
                     if parts:
-                        yield out(pa, [solve(key, parts)])
+                        yield out(pa, [solve(*key, pa.Table.from_batches(parts))])
                     key, parts = here, []
                 parts.append(batch.slice(a, b - a))
         if parts:
-            yield out(pa, [solve(key, parts)])
+            yield out(pa, [solve(*key, pa.Table.from_batches(parts))])
 
     return run
 
 
+def block_side(ids: np.ndarray, vecs: np.ndarray, rows: np.ndarray):
+    """Ids and coordinates ``(dim, n)`` of some rows, in id order."""
+    rows = rows[np.argsort(ids[rows], kind="stable")]
+    return ids[rows], arrow_fns.columns_of(vecs[rows])
+
+
+def _pairs_fn(dim: int, reduce, out):
+    """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``.
+
+    ``reduce(ids, coordinates, ids, coordinates, same block)`` solves a block
+    pair, ``out(pyarrow, rows)`` makes a record batch of ``(ki, kj, *result)``.
+    """
+
+    def solve(ki, kj, table):
+        ids, blk = table.column("id").to_numpy(), table.column("b").to_numpy()
+        vecs = arrow_fns.column_matrix(table.column("v"), dim)
+        sides = [x for k in (ki, kj) for x in block_side(ids, vecs, np.flatnonzero(blk == k))]
+        return (ki, kj, *reduce(*sides, ki == kj))
+
+    return grouped_fn(solve, out)
+
+
 def kernel_fn(dim: int, with_sum: bool, least: float = -1.0):
     """Task function over rows ``(ki, kj, b, id, v)`` sorted by ``(ki, kj, b)``: ``GROUP_SCHEMA`` rows."""
 
@@ -339,6 +344,11 @@ def chosen_pairs(placed: DataFrame, keys: DataFrame, parts: int) -> DataFrame:
     The keys are joined to the points' blocks before any copy is made.
     """
     sides = keys.select("ki", "kj", "slot", F.explode(F.array_distinct(F.array("ki", "kj"))).alias("kb"))
+    return side_copies(placed, sides, parts)
+
+
+def side_copies(placed: DataFrame, sides: DataFrame, parts: int) -> DataFrame:
+    """A copy of the points ``(id, v, b)`` of block ``kb`` for every row ``(ki, kj, slot, kb)`` of ``sides``."""
     copies = placed.join(sides, F.col("b") == F.col("kb")).select("id", "v", "b", "ki", "kj", "slot")
     return block_pairs(copies, F.col("slot"), parts).drop("slot")
 

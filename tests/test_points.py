@@ -335,6 +335,31 @@ def test_diameter_search_is_exact(spark, kind):
     assert best == diameter(x.tolist())
 
 
+@pytest.mark.parametrize("kind", ["sphere", "clusters"])
+def test_diameter_search_copies_a_point_once_per_pack(spark, monkeypatch, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 16))
+    if kind == "sphere":  # bounds leave nearly all block pairs in question
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    else:
+        x[:, 0] += 40 * rng.integers(0, 3, 600)
+    copied, real = [], D.side_copies
+    monkeypatch.setattr(D, "PARTITIONS_PER_SLOT", 1)
+    monkeypatch.setattr(D, "side_copies", lambda *a: copied.append((df := real(*a)).count()) or df)
+    best, seen = D.diameter_search(points_df(spark, x.tolist()), len(x), 16, pivots=64, block=150)
+    assert best == diameter(x.tolist())
+    assert copied and max(copied) <= 4 * len(x) and len(copied) <= 2
+    if kind == "sphere":
+        assert seen["computed"] > 1000  # many more block pairs than packs make
+
+
+def test_packs_are_about_equal():
+    sizes = {b: 1 + 37 * b % 29 for b in range(80)}
+    got = D.packed(sizes, 7)
+    totals = [sum(sizes[b] for b in sizes if got[b] == p) for p in range(7)]
+    assert set(got) == set(sizes) and max(totals) - min(totals) <= max(sizes.values())
+
+
 def test_pair_bounds_hold():
     rng = np.random.default_rng(8)
     pivots = rng.normal(size=(6, 3))
