@@ -34,6 +34,11 @@ KERNEL_BLOCK_BYTES = 64 << 20
 # Rows and columns of a tile of the distance matrix (the working arrays stay in cache).
 TILE_ROWS, TILE_COLS = 64, 4096
 PRODUCT_ROWS, PRODUCT_COLS = 256, 2048
+# A sum of distances takes squared distances from the product form only where they exceed its margin by this
+# factor (a relative error of 2^-31 of the distance at most).
+CLOSE = 2.0**30
+# Share of close pairs from which a whole tile is computed in the plain order, and dimensions below which all are.
+CLOSE_SHARE, SUM_DIM = 1 / 8, 8
 # Pairs whose distances are computed one by one in a run.
 PAIR_RUN = 65_536
 # Blocks smaller than this cost more in tasks than they gain, with and without sums of distances.
@@ -86,10 +91,10 @@ def rounding_margin(dim: int, size: float) -> float:
     """How far ``|a|^2 + |b|^2 - 2ab`` and the plain sum of squared differences lie apart at most.
 
     ``size`` bounds ``|a|^2 + |b|^2``.  With unit roundoff ``u`` and ``g(n) =
-    nu / (1 - nu)``: each norm is off by ``g(dim)`` of itself and the product
-    by ``g(dim)`` of ``size / 2``, in any order of summation; adding the three
-    costs ``4u`` of ``size``; the plain sum is off by ``g(dim + 2)`` of a value
-    of ``2 size`` at most.  Together below ``(4 dim + 12) u size``; twice that
+    nu / (1 - nu)``: each norm is off by ``g(dim)`` of itself, the sum of the
+    ``dim`` products and both norms by ``g(dim + 2)`` of ``2 size``, in any
+    order of summation; the plain sum is off by ``g(dim + 2)`` of a value of
+    ``2 size`` at most.  Together below ``(5 dim + 10) u size``; what is left
     covers the rounding of ``size`` itself, and underflow is below the last term.
     """
     return (4 * dim + 12) * np.finfo(np.float64).eps * size + 4 * dim * np.finfo(np.float64).tiny
@@ -103,23 +108,29 @@ def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool, least: float = -1.
     from zero, the order of ``Vectors.sqdist``; ties go to the smallest
     ``(i, j)``; ``d2`` is None where every distance is NaN, or below ``least``.
 
-    Without the sum a tile is first judged by a matrix product: entries whose
-    product form, allowing for :func:`rounding_margin`, lies below the best so
-    far are left out, the others are computed in the plain order.  The result
-    is the same to the last bit.
+    A tile is first judged by a matrix product (the norms are two further
+    coordinates of it): entries whose product form, allowing for
+    :func:`rounding_margin`, lies below the best so far are left out, the
+    others are computed in the plain order.  The farthest pair is the same to
+    the last bit.  The sum takes the product form of all pairs but the close
+    ones, whose distance it would not give to nine digits: they are computed in
+    the plain order, and so are tiles with many of them, vectors of few
+    dimensions and blocks with an infinite coordinate or a size near overflow.
     """
     best, total, count = None, 0.0, 0
     na, nb = len(ida), len(idb)
+    dim = at.shape[0]
     floor = least
-    if not with_sum and at.shape[0]:
+    by_product = False
+    if na and nb and dim >= (SUM_DIM if with_sum else 1):
         with np.errstate(over="ignore", invalid="ignore"):
             norm_a, norm_b = np.einsum("kn,kn->n", at, at), np.einsum("kn,kn->n", bt, bt)
-            ends = [(x.max() if len(x) else 0.0) for x in (norm_a, norm_b)]
-        by_product = bool(ends[0] + ends[1] < 1e300)  # false for NaN and infinity
-    else:
-        by_product = False
+        by_product = bool(norm_a.max() + norm_b.max() < 1e300)  # false for NaN and infinity
     height, width = (PRODUCT_ROWS, PRODUCT_COLS) if by_product else (TILE_ROWS, TILE_COLS)
-    acc, tmp = np.empty((height, width)), np.empty((height, width))
+    acc, tmp = np.empty((height, width)), None
+    if by_product:
+        wide_a = np.concatenate([-2.0 * at, norm_a[None], np.ones((1, na))]).T
+        wide_b = np.concatenate([bt, np.ones((1, nb)), norm_b[None]])
     for r0 in range(0, na, height):
         m = min(height, na - r0)
         for c0 in range(r0 if diag else 0, nb, width):
@@ -132,22 +143,15 @@ def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool, least: float = -1.
             if not n:
                 continue
             count += n
+            plain, near = not by_product, None
             if by_product:
-                na2, nb2 = norm_a[rows], norm_b[cols]
-                margin = rounding_margin(at.shape[0], float(na2.max()) + float(nb2.max()))
-                g = np.matmul(at[:, rows].T, bt[:, cols], out=acc[:m, :w] if w == width else None)
-                g *= -2.0
-                g += na2[:, None]
-                g += nb2[None, :]
-                if valid is not None:
-                    g[~valid] = -np.inf
-                top = float(g.max())
-                floor = max(floor, top - margin)
-                if top + margin < floor:
-                    continue
-                i, j = np.nonzero(g >= floor - margin)
-                vals = _exact_pairs(at, bt, r0 + i, c0 + j)
-            else:
+                margin = rounding_margin(dim, float(norm_a[rows].max()) + float(norm_b[cols].max()))
+                g = np.matmul(wide_a[rows], wide_b[:, cols], out=acc[:m, :w] if w == width else None)
+                if with_sum and (valid is not None or float(g.min()) < CLOSE * margin):
+                    near = g < CLOSE * margin if valid is None else valid & (g < CLOSE * margin)
+                    plain = np.count_nonzero(near) > CLOSE_SHARE * n
+            if plain:
+                tmp = np.empty_like(acc) if tmp is None else tmp
                 dd = _exact_tile(at, bt, rows, cols, acc[:m, :w], tmp[:m, :w])
                 if with_sum:
                     total += float(np.sqrt(dd if valid is None else dd[valid]).sum())
@@ -158,6 +162,20 @@ def _block_pair(ida, at, idb, bt, diag: bool, with_sum: bool, least: float = -1.
                     continue
                 i, j = np.nonzero(known & (dd == top))
                 vals = dd[i, j]
+            else:
+                if valid is not None:
+                    g[~valid] = -np.inf
+                top = float(g.max())
+                floor = max(floor, top - margin)
+                i, j = np.nonzero(g >= floor - margin) if top + margin >= floor else ((), ())
+                vals = _exact_pairs(at, bt, r0 + i, c0 + j) if len(i) else None
+                if with_sum:
+                    if near is not None:
+                        ni, nj = np.nonzero(near)
+                        g[ni, nj] = _exact_pairs(at, bt, r0 + ni, c0 + nj)
+                    total += float(np.sqrt(g if valid is None else g[valid]).sum())
+                if vals is None:
+                    continue
             best = _first_best(best, vals, ida[r0 + i], idb[c0 + j])
             if best is not None:
                 floor = max(floor, -best[0])

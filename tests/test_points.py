@@ -305,6 +305,36 @@ def test_pair_kernel_tiles_ties_and_empty_blocks(spark, monkeypatch):
     assert (-got["d2"], got["i"], got["j"], got["n_pairs"]) == (*want, 50 * 49 // 2)
 
 
+@pytest.mark.parametrize("kind", ["unit", "copies", "tight", "equal", "far off"])
+@pytest.mark.parametrize("diag", [False, True])
+def test_sum_of_distances_by_product(monkeypatch, kind, diag):
+    monkeypatch.setattr(P, "PRODUCT_ROWS", 32)
+    monkeypatch.setattr(P, "PRODUCT_COLS", 48)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(130, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "copies":
+        x[rng.random(130) < 0.2] = x[0]
+    elif kind == "tight":
+        x[5:] = x[5] + 1e-9 * x[5:]
+    elif kind == "equal":
+        x[:] = x[0]
+    elif kind == "far off":
+        x = 1e4 + 1e-3 * x
+    plain, real = [], P._exact_tile
+    monkeypatch.setattr(P, "_exact_tile", lambda *a: plain.append(1) or real(*a))
+    a, b = (x, x) if diag else (x[:70], x[70:])
+    i, j = np.triu_indices(130, 1) if diag else (np.repeat(np.arange(70), 60), np.tile(np.arange(60), 70))
+    d2 = np.zeros(len(i))
+    for k in range(16):
+        d2 += (a[i, k] - b[j, k]) ** 2
+    got = P._block_pair(np.arange(len(a)), a.T.copy(), np.arange(len(b)) + (0 if diag else 500), b.T.copy(), diag, True)
+    assert got[0] == d2.max() and got[4] == len(d2)
+    assert got[3] == pytest.approx(np.sqrt(d2).sum(), rel=1e-12)
+    if kind == "unit":
+        assert not plain  # distances come from matrix products, not one dimension at a time
+
+
 # ------------------------------------------------------------------ branch and bound, lists, skips
 
 
